@@ -23,7 +23,7 @@ def _byte_at(b: Column, pos: int) -> Column:
 
 
 def _is_continuation(byte: Column) -> Column:
-    return byte.isNotNull() & (F.bitwise_and(byte, F.lit(0xC0)) == F.lit(0x80))
+    return byte.isNotNull() & (byte.bitwiseAND(0xC0) == 0x80)
 
 
 def truncate_utf8(text: Column, width: int) -> Column:

@@ -12,10 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.functions import french_vat_number
-from tenderlake.operators import codes, companies, contracts, reports, statements
-from tenderlake.plans.fixtures import fixture
+from pyspark.sql.types import LongType, StructField, StructType
+
+from tenderlake import schemas, sinks, sources
+from tenderlake.functions import french_vat_number, truncate_utf8
+from tenderlake.operators import codes, companies, contracts, quality, reports, statements
+from tenderlake.plans import landing
+from tenderlake.plans.fixtures import fixture, read_table
 from tenderlake.plans.oracle import sql_with
+from tenderlake.session import scratch_path
+from tenderlake.sinks import Warehouse
+from tenderlake.sources.delimited import row_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -219,3 +226,201 @@ def q_fact_per_ess(spark, sf):
 def q_contracts_year_month(spark, sf):
     m = dwh_marches(spark, sf)
     return reports.contracts_year_month(m, contracts.time_dimension(m))
+
+
+# --- sources: landed files read back ----------------------------------------------
+
+def _landed_contracts(spark, sf):
+    path = landing.land_contracts(spark, sf, scratch_path(spark, "contracts-json"))
+    return sources.read_contracts(spark, path)
+
+
+@register("contracts_from_json")
+def q_contracts_from_json(spark, sf):
+    return _landed_contracts(spark, sf)
+
+
+@register("contract_rows", "SELECT * FROM fx_marches")
+def q_contract_rows(spark, sf):
+    return sources.contract_rows(_landed_contracts(spark, sf))
+
+
+@register("award_rows", "SELECT * FROM fx_titulaires")
+def q_award_rows(spark, sf):
+    return sources.award_rows(_landed_contracts(spark, sf))
+
+
+@register("strip_escapes",
+          "SELECT doc_id, replace(replace(text, chr(9), ''), chr(10), '') AS text FROM documents")
+def q_strip_escapes(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return sources.strip_escapes(docs, ["text"])
+
+
+@register("json_by_name", "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def q_json_by_name(spark, sf):
+    events = read_table(spark, sf, "events")
+    return sources.json_fields(events, "props", StructType([StructField("k", LongType())]), keep=["event_id"])
+
+
+_REGISTRY_ORACLE = """
+SELECT siren, nomUniteLegale, nomUsageUniteLegale, denominationUniteLegale,
+       'Denom, "' || siren || '"' AS denominationUsuelle2UniteLegale,
+       economieSocialeSolidaireUniteLegale, trancheEffectifsUniteLegale, categorieEntreprise, dateDebut
+FROM fx_siren
+"""
+
+
+@register("read_delimited", _REGISTRY_ORACLE)
+def q_read_delimited(spark, sf):
+    path = landing.land_registry(spark, sf, scratch_path(spark, "registry-csv"))
+    reg = sources.clean_loaded(sources.read_delimited(spark, path, schemas.REGISTRY, sep=",", header=True))
+    return reg.select("siren", "nomUniteLegale", "nomUsageUniteLegale", "denominationUniteLegale",
+                      "denominationUsuelle2UniteLegale", "economieSocialeSolidaireUniteLegale",
+                      "trancheEffectifsUniteLegale", "categorieEntreprise", "dateDebut")
+
+
+@register("read_delimited_fill", "SELECT * FROM fx_infogreffe")
+def q_read_delimited_fill(spark, sf):
+    path = landing.land_statements(spark, sf, scratch_path(spark, "statements-csv"))
+    return sources.clean_loaded(sources.read_delimited(spark, path, schemas.STAGING_STATEMENTS, sep=";",
+                                                       header=False, fill_missing=True))
+
+
+_BLANK = "'[ \\t\\n\\r\\f\\x0B]*'"
+
+
+@register("load_hygiene",
+          f"SELECT event_id, CASE WHEN regexp_full_match(event_type, {_BLANK}) THEN NULL ELSE event_type END"
+          f" AS event_type, CASE WHEN regexp_full_match(props, {_BLANK}) THEN NULL ELSE props END AS props"
+          " FROM fx_blanks")
+def q_load_hygiene(spark, sf):
+    return sources.clean_loaded(fixture(spark, sf, "fx_blanks"))
+
+
+TRUNCATE_WIDTH = 256
+
+
+@register("truncate_bytes",
+          f"SELECT doc_id, CASE WHEN strlen(text) <= {TRUNCATE_WIDTH} THEN text ELSE left(text, list_max(list_filter("
+          f"range(0, {TRUNCATE_WIDTH} + 1), lambda i: strlen(left(text, i)) <= {TRUNCATE_WIDTH}))) END AS text"
+          " FROM documents")
+def q_truncate_bytes(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return docs.select("doc_id", truncate_utf8(F.col("text"), TRUNCATE_WIDTH).alias("text"))
+
+
+@register("csv_header_scan", "SELECT CAST(count(*) AS BIGINT) AS n_rows FROM fx_siren")
+def q_csv_header_scan(spark, sf):
+    path = landing.land_registry(spark, sf, scratch_path(spark, "registry-csv"))
+    return row_count(sources.csv_header_scan(spark, path))
+
+
+# --- sinks ---------------------------------------------------------------------------
+
+def _warehouse(spark) -> Warehouse:
+    return Warehouse(spark, scratch_path(spark, "warehouse"))
+
+
+@register("table_scan", "SELECT * FROM dwh_marches")
+def q_table_scan(spark, sf):
+    wh = _warehouse(spark)
+    wh.overwrite(dwh_marches(spark, sf), "dwh", "decp_marches")
+    return wh.read("dwh", "decp_marches")
+
+
+@register("overwrite_table", "SELECT * FROM dwh_titulaires")
+def q_overwrite_table(spark, sf):
+    wh = _warehouse(spark)
+    wh.overwrite(datalake_titulaires(spark, sf), "dwh", "decp_titulaires")
+    wh.overwrite(dwh_titulaires(spark, sf), "dwh", "decp_titulaires")
+    return wh.read("dwh", "decp_titulaires")
+
+
+_UPSERT_ORACLE = """
+SELECT * FROM (SELECT codecpv, description || ' old' AS description FROM fx_cpv
+               WHERE CAST(codecpv AS BIGINT) % 3 <> 0) t
+WHERE NOT EXISTS (SELECT 1 FROM fx_cpv b WHERE CAST(b.codecpv AS BIGINT) % 2 = 0 AND b.codecpv = t.codecpv)
+UNION ALL
+SELECT DISTINCT codecpv, description FROM fx_cpv WHERE CAST(codecpv AS BIGINT) % 2 = 0
+"""
+
+
+@register("upsert", _UPSERT_ORACLE)
+def q_upsert(spark, sf):
+    cpv = fixture(spark, sf, "fx_cpv")
+    n = F.col("codecpv").cast("bigint")
+    wh = _warehouse(spark)
+    wh.overwrite(cpv.where(n % 3 != 0).select("codecpv", F.concat("description", F.lit(" old")).alias("description")),
+                 "datalake", "cpv_attributes")
+    wh.upsert(cpv.where(n % 2 == 0), "datalake", "cpv_attributes", "codecpv")
+    return wh.read("datalake", "cpv_attributes")
+
+
+@register("write_delimited", "SELECT * FROM fx_cpv")
+def q_write_delimited(spark, sf):
+    raw = fixture(spark, sf, "fx_cpv_raw").select(F.col("CODE").alias("codecpv"), F.col("EN").alias("description"))
+    path = scratch_path(spark, "cpv-csv")
+    sinks.write_delimited(raw, path, sep="|")
+    return sources.clean_loaded(sources.read_delimited(spark, path, schemas.CPV, sep="|"), schemas.CPV_WIDTHS)
+
+
+_APPEND_ORACLE = """
+SELECT * FROM fx_cpv WHERE CAST(codecpv AS BIGINT) % 2 = 0
+UNION ALL SELECT * FROM fx_cpv WHERE CAST(codecpv AS BIGINT) % 2 = 1
+"""
+
+
+@register("append_into", _APPEND_ORACLE)
+def q_append_into(spark, sf):
+    cpv = fixture(spark, sf, "fx_cpv")
+    n = F.col("codecpv").cast("bigint")
+    wh = _warehouse(spark)
+    wh.overwrite(cpv.where(n % 2 == 0), "datalake", "cpv_attributes")
+    wh.append(cpv.where(n % 2 == 1).select("description", "codecpv"), "datalake", "cpv_attributes")
+    return wh.read("datalake", "cpv_attributes")
+
+
+# --- quality checks -----------------------------------------------------------------
+
+@register("check_not_empty", "SELECT CAST(count(*) AS BIGINT) AS n_rows FROM dwh_marches")
+def q_check_not_empty(spark, sf):
+    return quality.check_not_empty(dwh_marches(spark, sf))
+
+
+@register("check_unique_key",
+          "SELECT CAST(max(n) AS BIGINT) AS max_rows_per_key FROM (SELECT decp_bridge_uid, count(*) AS n"
+          " FROM titulaires_keyed GROUP BY decp_bridge_uid) b")
+def q_check_unique_key(spark, sf):
+    return quality.check_unique_key(contracts.award_uid(fixture(spark, sf, "fx_titulaires")), "decp_bridge_uid")
+
+
+def _keyed_tables(spark, sf):
+    return {
+        "datalake.decp_marches": (contracts.marches_unique(fixture(spark, sf, "fx_marches")), "decp_uid"),
+        "staging.decp_titulaires": (contracts.award_uid(fixture(spark, sf, "fx_titulaires")), "decp_bridge_uid"),
+        "dwh.decp_titulaires": (dwh_titulaires(spark, sf), "decp_bridge_uid"),
+        "dwh.decp_siren_used": (siren_used(spark, sf), "siren"),
+        "dwh.siren_attributes": (dwh_siren(spark, sf), "siren"),
+        "dwh.infogreffe_attributes": (statements.dwh_statements(datalake_statements(spark, sf)), "infogreffe_uid"),
+        "dwh.cpv_attributes": (fixture(spark, sf, "fx_cpv"), "codecpv"),
+    }
+
+
+_QUALITY_ORACLE = """
+SELECT table_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows, CAST(coalesce(max(n), 0) AS BIGINT)
+       AS max_rows_per_key, coalesce(sum(n), 0) > 0 AND coalesce(max(n), 0) <= 1 AS passed
+FROM (SELECT 'datalake.decp_marches' AS table_name, count(*) AS n FROM marches_unique GROUP BY decp_uid
+      UNION ALL SELECT 'staging.decp_titulaires', count(*) FROM titulaires_keyed GROUP BY decp_bridge_uid
+      UNION ALL SELECT 'dwh.decp_titulaires', count(*) FROM dwh_titulaires GROUP BY decp_bridge_uid
+      UNION ALL SELECT 'dwh.decp_siren_used', count(*) FROM siren_used GROUP BY siren
+      UNION ALL SELECT 'dwh.siren_attributes', count(*) FROM dwh_siren GROUP BY siren
+      UNION ALL SELECT 'dwh.infogreffe_attributes', count(*) FROM st_standardized GROUP BY infogreffe_uid
+      UNION ALL SELECT 'dwh.cpv_attributes', count(*) FROM fx_cpv GROUP BY codecpv) g
+GROUP BY table_name
+"""
+
+
+@register("quality_report", _QUALITY_ORACLE)
+def q_quality_report(spark, sf):
+    return quality.quality_report(_keyed_tables(spark, sf))
