@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tenderlake import schemas, sinks, sources
 from tenderlake.functions import french_vat_number, truncate_utf8
-from tenderlake.operators import codes, companies, contracts, quality, reports, statements
+from tenderlake.operators import codes, companies, contracts, profile, quality, reports, statements
 from tenderlake.plans import landing
 from tenderlake.plans.fixtures import fixture, read_table
 from tenderlake.plans.oracle import sql_with
@@ -424,3 +424,156 @@ GROUP BY table_name
 @register("quality_report", _QUALITY_ORACLE)
 def q_quality_report(spark, sf):
     return quality.quality_report(_keyed_tables(spark, sf))
+
+
+# --- profiling ------------------------------------------------------------------------
+
+def _rounded(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*[F.round(F.col(c), 2).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("row_count", "SELECT CAST(count(*) AS BIGINT) AS n_rows FROM dwh_marches")
+def q_row_count(spark, sf):
+    return profile.row_count(dwh_marches(spark, sf))
+
+
+_MARCHES_PROFILED = contracts.MARCHES_COLUMNS + ["suspicious_amount"]
+_NULL_SHARE = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS null_share FROM dwh_marches"
+    for c in _MARCHES_PROFILED)
+
+
+@register("null_share", _NULL_SHARE)
+def q_null_share(spark, sf):
+    return profile.null_share(dwh_marches(spark, sf), _MARCHES_PROFILED)
+
+
+@register("key_uniqueness",
+          "SELECT CAST(count(DISTINCT decp_bridge_uid) AS BIGINT) AS n_distinct, CAST(count(*) AS BIGINT) AS n_rows,"
+          " count(DISTINCT decp_bridge_uid) / count(*) AS ratio, count(DISTINCT decp_bridge_uid) = count(*)"
+          " AS is_unique FROM titulaires_keyed")
+def q_key_uniqueness(spark, sf):
+    return profile.key_uniqueness(contracts.award_uid(fixture(spark, sf, "fx_titulaires")), "decp_bridge_uid")
+
+
+@register("max_rows_per_key",
+          "SELECT CAST(max(n) AS BIGINT) AS max_rows_per_key FROM (SELECT siren, count(*) AS n FROM fx_siren"
+          " GROUP BY siren) b")
+def q_max_rows_per_key(spark, sf):
+    return profile.max_rows_per_key(fixture(spark, sf, "fx_siren"), "siren")
+
+
+@register("numeric_summary",
+          "SELECT CAST(count(montant) AS BIGINT) AS n, round(avg(montant), 2) AS mean,"
+          " round(stddev_samp(montant), 2) AS std, round(min(montant), 2) AS min,"
+          " round(quantile_cont(montant, 0.25), 2) AS p25, round(quantile_cont(montant, 0.5), 2) AS p50,"
+          " round(quantile_cont(montant, 0.75), 2) AS p75, round(max(montant), 2) AS max FROM dwh_marches")
+def q_numeric_summary(spark, sf):
+    out = profile.numeric_summary(dwh_marches(spark, sf), "montant")
+    return _rounded(out, "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+_BOX = """
+SELECT round(q1, 2) AS q1, round(med, 2) AS median, round(q3, 2) AS q3, round(q3 - q1, 2) AS iqr,
+       round(min(CASE WHEN montant >= q1 - 1.5 * (q3 - q1) AND montant <= q3 + 1.5 * (q3 - q1) THEN montant END), 2)
+         AS lower_whisker,
+       round(max(CASE WHEN montant >= q1 - 1.5 * (q3 - q1) AND montant <= q3 + 1.5 * (q3 - q1) THEN montant END), 2)
+         AS upper_whisker,
+       CAST(count(*) FILTER (WHERE NOT (montant >= q1 - 1.5 * (q3 - q1) AND montant <= q3 + 1.5 * (q3 - q1)))
+         AS BIGINT) AS n_outliers
+FROM dwh_marches,
+     (SELECT quantile_cont(montant, 0.25) AS q1, quantile_cont(montant, 0.5) AS med,
+             quantile_cont(montant, 0.75) AS q3 FROM dwh_marches) q
+WHERE montant IS NOT NULL
+GROUP BY q1, med, q3
+"""
+
+
+@register("box_stats", _BOX)
+def q_box_stats(spark, sf):
+    out = profile.box_stats(dwh_marches(spark, sf), "montant")
+    return _rounded(out, "q1", "median", "q3", "iqr", "lower_whisker", "upper_whisker")
+
+
+@register("amount_outliers",
+          "SELECT *, CASE WHEN montant >= 100000000 THEN 'huge' ELSE 'zero' END AS kind FROM dwh_marches"
+          " WHERE montant >= 100000000 OR montant = 0")
+def q_amount_outliers(spark, sf):
+    return profile.amount_outliers(dwh_marches(spark, sf), "montant", 1e8)
+
+
+@register("date_coerce",
+          "SELECT CAST(count(*) AS BIGINT) AS n_rows,"
+          " CAST(count(*) FILTER (WHERE TRY_CAST(datenotification AS DATE) IS NULL) AS BIGINT) AS n_null,"
+          " avg(CASE WHEN TRY_CAST(datenotification AS DATE) IS NULL THEN 1 ELSE 0 END) AS null_share"
+          " FROM fx_marches")
+def q_date_coerce(spark, sf):
+    return profile.date_coerce(fixture(spark, sf, "fx_marches"), "datenotification")
+
+
+_EPOCH = "DATE '1970-01-01'"
+
+
+@register("date_summary",
+          f"SELECT CAST(count(d) AS BIGINT) AS n, round(avg(d), 2) AS mean_day,"
+          f" {_EPOCH} + CAST(min(d) AS INTEGER) AS min,"
+          f" {_EPOCH} + CAST(floor(quantile_cont(d, 0.25)) AS INTEGER) AS p25,"
+          f" {_EPOCH} + CAST(floor(quantile_cont(d, 0.5)) AS INTEGER) AS p50,"
+          f" {_EPOCH} + CAST(floor(quantile_cont(d, 0.75)) AS INTEGER) AS p75,"
+          f" {_EPOCH} + CAST(max(d) AS INTEGER) AS max"
+          f" FROM (SELECT date_diff('day', {_EPOCH}, datenotification) AS d FROM dwh_marches) x")
+def q_date_summary(spark, sf):
+    return _rounded(profile.date_summary(dwh_marches(spark, sf), "datenotification"), "mean_day")
+
+
+@register("future_dates", "SELECT * FROM dwh_marches WHERE year(datenotification) > 2021")
+def q_future_dates(spark, sf):
+    return profile.future_dates(dwh_marches(spark, sf), "datenotification", 2021)
+
+
+_MONTHLY = ("SELECT CAST(year({c}) AS VARCHAR) || '-' || lpad(CAST(month({c}) AS VARCHAR), 2, '0') AS year_month,"
+            " CAST(count(*) AS BIGINT) AS n FROM dwh_marches WHERE {c} IS NOT NULL {extra} GROUP BY 1 ORDER BY 1")
+
+
+@register("monthly_histogram", _MONTHLY.format(
+    c="datenotification", extra="AND year(datenotification) >= 2018 AND year(datenotification) <= 2021"))
+def q_monthly_histogram(spark, sf):
+    return profile.monthly_histogram(dwh_marches(spark, sf), "datenotification", 2018, 2021)
+
+
+@register("monthly_histogram_publication", _MONTHLY.format(c="datepublicationdonnees", extra=""))
+def q_monthly_histogram_publication(spark, sf):
+    return profile.monthly_histogram(dwh_marches(spark, sf), "datepublicationdonnees")
+
+
+@register("value_counts",
+          "SELECT millesime AS value, CAST(count(*) AS BIGINT) AS n FROM st_unique WHERE millesime IS NOT NULL"
+          " GROUP BY millesime ORDER BY n DESC, value")
+def q_value_counts(spark, sf):
+    return profile.value_counts(datalake_statements(spark, sf), "millesime")
+
+
+@register("value_counts_top5",
+          "SELECT codecpv AS value, CAST(count(*) AS BIGINT) AS n FROM dwh_marches WHERE codecpv IS NOT NULL"
+          " GROUP BY codecpv ORDER BY n DESC, value LIMIT 5")
+def q_value_counts_top5(spark, sf):
+    return profile.value_counts(dwh_marches(spark, sf), "codecpv", k=5)
+
+
+@register("null_share_by_category",
+          "SELECT tranche_ca_millesime, avg(CASE WHEN ca IS NULL THEN 1 ELSE 0 END) AS ca_pct_null FROM st_unique"
+          " WHERE tranche_ca_millesime IS NOT NULL GROUP BY tranche_ca_millesime ORDER BY tranche_ca_millesime")
+def q_null_share_by_category(spark, sf):
+    return profile.null_share_by_category(datalake_statements(spark, sf), "tranche_ca_millesime", "ca")
+
+
+@register("decade_histogram",
+          "SELECT CAST(1900 + 10 * floor((year(CAST(dateDebut AS DATE)) - 1900) / 10) AS BIGINT) AS decade,"
+          " CAST(count(*) AS BIGINT) AS n FROM fx_siren GROUP BY 1 ORDER BY 1 NULLS FIRST LIMIT 20")
+def q_decade_histogram(spark, sf):
+    return profile.decade_histogram(fixture(spark, sf, "fx_siren"), "dateDebut", 20)
+
+
+@register("sample_rows")
+def q_sample_rows(spark, sf):
+    return profile.sample_rows(dwh_marches(spark, sf), 100, "decp_uid", seed=42)
