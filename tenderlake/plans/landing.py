@@ -90,3 +90,21 @@ def statement_lines(spark: SparkSession, sf: str) -> DataFrame:
 def land_statements(spark: SparkSession, sf: str, path: str) -> str:
     statement_lines(spark, sf).write.mode("errorifexists").text(path)
     return path
+
+
+def land_codes(spark: SparkSession, sf: str, path: str) -> str:
+    """The code list as published (``NNNNNNNN-N`` codes), ``|``-separated."""
+    from tenderlake.sinks.files import write_delimited
+    raw = fixture(spark, sf, "fx_cpv_raw").select(F.col("CODE").alias("codecpv"), F.col("EN").alias("description"))
+    write_delimited(raw, path, sep="|")
+    return path
+
+
+def land_all(spark: SparkSession, sf: str, base: str) -> dict[str, str]:
+    """Every landed input of the pipeline under ``base``."""
+    return {
+        "contracts": land_contracts(spark, sf, f"{base}/contracts"),
+        "registry": land_registry(spark, sf, f"{base}/registry"),
+        "statements": land_statements(spark, sf, f"{base}/statements"),
+        "codes": land_codes(spark, sf, f"{base}/codes"),
+    }
