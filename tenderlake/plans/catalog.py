@@ -577,3 +577,17 @@ def q_decade_histogram(spark, sf):
 @register("sample_rows")
 def q_sample_rows(spark, sf):
     return profile.sample_rows(dwh_marches(spark, sf), 100, "decp_uid", seed=42)
+
+
+# --- streaming ------------------------------------------------------------------------
+
+@register("stream_contract_ingest", "SELECT * FROM marches_unique")
+def q_stream_contract_ingest(spark, sf):
+    from tenderlake.streaming import ingest_contracts
+    landed = landing.land_contracts(spark, sf, scratch_path(spark, "contracts-stream"))
+    wh = _warehouse(spark)
+    q = ingest_contracts(spark, landed, wh, scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return wh.read("datalake", "decp_marches")

@@ -51,10 +51,11 @@ class Pipeline:
         nested = self.wh.read("staging", "decp_contracts")
         marches = clean_loaded(strip_escapes(contract_rows(nested)), widths)
         awards = clean_loaded(strip_escapes(award_rows(nested)), widths)
+        # both batches are already one row per key: no whole-row distinct
         step.upserts["decp_marches"] = self.wh.upsert(contracts.marches_unique(marches), "datalake",
-                                                      "decp_marches", "decp_uid")
+                                                      "decp_marches", "decp_uid", distinct=False)
         step.upserts["decp_titulaires"] = self.wh.upsert(contracts.titulaires_unique(awards), "datalake",
-                                                         "decp_titulaires", "decp_bridge_uid")
+                                                         "decp_titulaires", "decp_bridge_uid", distinct=False)
         self._checks(step, {"datalake.decp_marches": ("datalake", "decp_marches", "decp_uid"),
                             "datalake.decp_titulaires": ("datalake", "decp_titulaires", "decp_bridge_uid")})
         return step
@@ -94,7 +95,8 @@ class Pipeline:
         raw = clean_loaded(read_delimited(self.spark, path, schemas.STAGING_STATEMENTS, sep=";", header=header,
                                           fill_missing=True))
         step.upserts["infogreffe_attributes"] = self.wh.upsert(statements.datalake_statements(raw), "datalake",
-                                                               "infogreffe_attributes", "infogreffe_uid")
+                                                               "infogreffe_attributes", "infogreffe_uid",
+                                                               distinct=False)
         self._checks(step, {"datalake.infogreffe_attributes": ("datalake", "infogreffe_attributes",
                                                                "infogreffe_uid")})
         return step

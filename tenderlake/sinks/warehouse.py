@@ -26,7 +26,8 @@ class UpsertResult:
     null_keys_rejected: int
 
 
-def upsert_frame(target: DataFrame, batch: DataFrame, key: str, insert: DataFrame | None = None) -> DataFrame:
+def upsert_frame(target: DataFrame, batch: DataFrame, key: str, insert: DataFrame | None = None,
+                 distinct: bool = True) -> DataFrame:
     """Target rows whose key is not in the batch, plus the distinct batch rows.
 
     Batch rows with a NULL key are left out: a NULL key never matches the
@@ -34,11 +35,13 @@ def upsert_frame(target: DataFrame, batch: DataFrame, key: str, insert: DataFram
     rows with a NULL key are kept (NULL never equals a batch key).  Columns
     are matched by name; the result has the target's column order.
     ``insert`` is the same batch with observation metrics attached (kept off
-    the key branch so metrics are counted once).
+    the key branch so metrics are counted once).  ``distinct=False`` skips
+    the whole-row de-duplication (a shuffle of the batch) for batches that
+    are already one row per key.
     """
-    insert = (batch if insert is None else insert).select(*target.columns)
+    insert = (batch if insert is None else insert).select(*target.columns).where(F.col(key).isNotNull())
     kept = target.join(batch.select(key).where(F.col(key).isNotNull()), on=key, how="left_anti")
-    return kept.unionByName(insert.where(F.col(key).isNotNull()).distinct())
+    return kept.unionByName(insert.distinct() if distinct else insert)
 
 
 class Warehouse:
@@ -117,18 +120,24 @@ class Warehouse:
         df.select(*cols).write.mode("append").parquet(self._version_path(layer, table, v))
         return v
 
-    def upsert(self, batch: DataFrame, layer: str, table: str, key: str) -> UpsertResult:
+    def upsert(self, batch: DataFrame, layer: str, table: str, key: str, distinct: bool = True,
+               count: bool = True) -> UpsertResult:
         """SNK-2: delete target rows whose key is in the batch, insert the
         distinct batch rows, as one new version.  Batch counts come from an
-        ``Observation`` on the write, so no extra pass over the data."""
-        obs = Observation(f"upsert_{layer}_{table}")
+        ``Observation`` on the write, so no extra pass over the data
+        (``count=False`` inside streaming micro-batches, where the metrics are
+        not delivered to the observation; counts are then -1)."""
+        obs = Observation(f"upsert_{layer}_{table}") if count else None
         observed = batch.observe(obs, F.count(F.lit(1)).alias("rows"),
-                                 F.count_if(F.col(key).isNull()).alias("null_keys"))
+                                 F.count_if(F.col(key).isNull()).alias("null_keys")) if count else batch
         if self.exists(layer, table):
-            new = upsert_frame(self.read(layer, table), batch, key, insert=observed)
+            new = upsert_frame(self.read(layer, table), batch, key, insert=observed, distinct=distinct)
         else:
-            new = observed.where(F.col(key).isNotNull()).distinct()
+            new = observed.where(F.col(key).isNotNull())
+            new = new.distinct() if distinct else new
         v = self.overwrite(new, layer, table)
+        if obs is None:
+            return UpsertResult(v, -1, -1)
         m = obs.get
         return UpsertResult(v, int(m.get("rows", 0) or 0), int(m.get("null_keys", 0) or 0))
 
