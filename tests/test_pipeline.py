@@ -36,6 +36,19 @@ def test_pipeline_end_to_end(spark, tmp_dir):
         exp_rel = con.sql(oracle[key])
         assert _multiset(got.select(*exp_rel.columns).collect()) == _multiset(exp_rel.fetchall()), table
 
+    # properties: report totals agree with the per-company totals they come from
+    from pyspark.sql import functions as F
+    from tenderlake.operators import reports
+    totals = reports.siren_totals(pipe.wh.read("dwh", "decp_marches"), pipe.wh.read("dwh", "decp_titulaires"))
+    t = totals.agg(F.sum("total_amount").alias("a"), F.sum("n_contract").alias("n")).first()
+    ess = pipe.wh.read("dwh", "fact_per_ess").agg(F.sum("total_amount").alias("a"),
+                                                  F.sum("n_contract").alias("n")).first()
+    assert ess["n"] == t["n"] and abs(ess["a"] - t["a"]) < 1e-6 * max(1.0, abs(t["a"]))
+    used = {r[0] for r in pipe.wh.read("dwh", "decp_siren_used").collect()}
+    assert {r[0] for r in totals.select("siren").collect()} <= used
+    n_notified = pipe.wh.read("dwh", "decp_marches").where(F.col("datenotification").isNotNull()).count()
+    assert pipe.wh.read("dwh", "contracts_year_month").agg(F.sum("n_contracts")).first()[0] <= n_notified
+
     # a re-run of the same batch is idempotent and leaves one row per key
     before = pipe.wh.read("datalake", "decp_marches").count()
     again = pipe.load_contracts(paths["contracts"])
