@@ -38,6 +38,26 @@ def build_session(master: str | None = None, app_name: str = "tenderlake",
     return spark
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, min_partitions: int = 8,
+                 max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of landed data.
+
+    AQE starts every shuffle with enough partitions for ~``partition_bytes``
+    of input each (so no reducer spills at full scale) and coalesces them at
+    runtime down to its 64 MB advisory size when a stage is smaller, e.g.
+    after a de-dup or a per-company aggregate.  Scans split files at 128 MB.
+    The count is capped (map-output tracking grows with it); beyond the cap
+    AQE's skew handling still splits oversized reducer partitions.
+    """
+    n = min(max_partitions, max(min_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 << 20),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
@@ -64,4 +84,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "shared_dir", "scratch_path", "local_path", "DEFAULT_CONF"]
+__all__ = ["build_session", "cluster_conf", "shared_dir", "scratch_path", "local_path", "DEFAULT_CONF"]
