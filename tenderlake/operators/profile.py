@@ -17,6 +17,12 @@ from tenderlake.operators.quantiles import exact_quantiles
 
 QUARTILES = [0.25, 0.5, 0.75]
 
+# Fixed values from the exploration notebooks: amounts from 100 M are outliers;
+# dates after 2021 are in the future; decades are counted from 1900.
+OUTLIER_AMOUNT = 1e8
+LAST_EXPECTED_YEAR = 2021
+DECADE_ORIGIN = 1900
+
 
 def row_count(df: DataFrame) -> DataFrame:
     """PRF-1."""
@@ -78,7 +84,7 @@ def box_stats(df: DataFrame, column: str) -> DataFrame:
         F.count_if(~inside).alias("n_outliers"))
 
 
-def amount_outliers(df: DataFrame, column: str = "montant", huge: float = 1e8) -> DataFrame:
+def amount_outliers(df: DataFrame, column: str = "montant", huge: float = OUTLIER_AMOUNT) -> DataFrame:
     """PRF-7: rows at or above ``huge`` and rows equal to 0, tagged ``kind``."""
     c = F.col(column)
     kind = F.when(c >= huge, F.lit("huge")).when(c == 0, F.lit("zero"))
@@ -110,7 +116,7 @@ def date_summary(df: DataFrame, column: str) -> DataFrame:
                       as_date["q2"].alias("p50"), as_date["q3"].alias("p75"), as_date["hi"].alias("max"))
 
 
-def future_dates(df: DataFrame, column: str, after_year: int = 2021) -> DataFrame:
+def future_dates(df: DataFrame, column: str, after_year: int = LAST_EXPECTED_YEAR) -> DataFrame:
     """PRF-10: rows dated after ``after_year``."""
     return df.where(F.year(F.col(column)) > after_year)
 
@@ -146,8 +152,8 @@ def null_share_by_category(df: DataFrame, category: str, measure: str) -> DataFr
 def decade_histogram(df: DataFrame, column: str, k: int = 20) -> DataFrame:
     """PRF-15: rows per founding decade 1900 + 10*floor((year-1900)/10),
     in decade order (missing decade first), first ``k`` decades."""
-    year = F.year(F.to_date(F.col(column)))
-    decade = (F.lit(1900) + F.lit(10) * F.floor((year - 1900) / 10)).cast("bigint")
+    year = F.year(F.try_to_date(F.col(column).cast("string")))
+    decade = (F.lit(DECADE_ORIGIN) + F.lit(10) * F.floor((year - DECADE_ORIGIN) / 10)).cast("bigint")
     return (df.groupBy(decade.alias("decade")).agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.col("decade").asc_nulls_first()).limit(k))
 

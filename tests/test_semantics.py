@@ -183,3 +183,9 @@ def test_box_and_summary_on_small_frame(spark):
     assert (b["q1"], b["median"], b["q3"], b["upper_whisker"], b["n_outliers"]) == (2.0, 3.0, 4.0, 4.0, 1)
     s = profile.numeric_summary(df, "x").first()
     assert s["n"] == 5 and s["p50"] == 3.0 and s["max"] == 100.0
+
+
+def test_decade_histogram_tolerates_bad_dates(spark):
+    df = spark.createDataFrame([("1895-06-01",), ("2021-01-01",), ("junk",), (None,)], "dateDebut string")
+    got = [tuple(r) for r in profile.decade_histogram(df, "dateDebut").collect()]
+    assert got == [(None, 2), (1890, 1), (2020, 1)]
