@@ -591,3 +591,14 @@ def q_stream_contract_ingest(spark, sf):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return wh.read("datalake", "decp_marches")
+
+
+# --- the whole pipeline on landed files ---------------------------------------------------
+
+@register("pipeline_fact_per_suppliername", _RPT_SUPPLIER)
+def q_pipeline_fact_per_suppliername(spark, sf):
+    from tenderlake.plans.pipeline import Pipeline
+    paths = landing.land_all(spark, sf, scratch_path(spark, "pipeline-landing"))
+    pipe = Pipeline(spark, _warehouse(spark))
+    pipe.run_all(paths["contracts"], paths["registry"], paths["statements"], paths["codes"], statements_header=False)
+    return pipe.wh.read("dwh", "fact_per_suppliername").select("sirenname", money("total_amount"), "n_contract")
