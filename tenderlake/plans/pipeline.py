@@ -10,7 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tenderlake import schemas
 from tenderlake.operators import codes, companies, contracts, quality, reports, statements
@@ -27,6 +28,7 @@ class StepReport:
     step: str
     upserts: dict[str, UpsertResult] = field(default_factory=dict)
     checks: list[dict] = field(default_factory=list)
+    notes: dict[str, int] = field(default_factory=dict)
 
 
 class Pipeline:
@@ -82,10 +84,15 @@ class Pipeline:
         return step
 
     def refresh_registry(self) -> StepReport:
+        """Companies whose siren is not a number get a NULL VAT number instead
+        of failing the refresh; their count is observed during the write."""
         step = StepReport("refresh_registry")
         std = companies.siren_standardized(self.wh.read("datalake", "siren_attributes"))
-        self.wh.overwrite(companies.siren_of_interest(std, self.wh.read("dwh", "decp_siren_used")),
-                          "dwh", "siren_attributes")
+        out = companies.siren_of_interest(std, self.wh.read("dwh", "decp_siren_used"))
+        obs = Observation("refresh_registry")
+        out = out.observe(obs, F.count_if(F.col("euvat").isNull() & F.col("siren").isNotNull()).alias("n"))
+        self.wh.overwrite(out, "dwh", "siren_attributes")
+        step.notes["siren_without_vat"] = int(obs.get.get("n", 0) or 0)
         self._checks(step, {"dwh.siren_attributes": ("dwh", "siren_attributes", "siren")})
         return step
 

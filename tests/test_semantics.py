@@ -189,3 +189,28 @@ def test_decade_histogram_tolerates_bad_dates(spark):
     df = spark.createDataFrame([("1895-06-01",), ("2021-01-01",), ("junk",), (None,)], "dateDebut string")
     got = [tuple(r) for r in profile.decade_histogram(df, "dateDebut").collect()]
     assert got == [(None, 2), (1890, 1), (2020, 1)]
+
+
+def test_failed_write_leaves_previous_version(spark, tmp_dir):
+    wh = Warehouse(spark, tmp_dir)
+    wh.overwrite(spark.createDataFrame([("1",)], "k string"), "dwh", "t")
+    # a job that died mid-write: version folder without the commit marker
+    spark.createDataFrame([("junk",)], "k string").write.parquet(f"{tmp_dir}/dwh/t/v=000002")
+    import os
+    os.remove(f"{tmp_dir}/dwh/t/v=000002/_SUCCESS")
+    assert [r.k for r in wh.read("dwh", "t").collect()] == ["1"]
+    v = wh.overwrite(spark.createDataFrame([("2",)], "k string"), "dwh", "t")
+    assert v == 3 and [r.k for r in wh.read("dwh", "t").collect()] == ["2"]
+
+
+def test_registry_refresh_counts_non_numeric_siren(spark, tmp_dir):
+    from tenderlake.plans.pipeline import Pipeline
+    wh = Warehouse(spark, tmp_dir)
+    reg = spark.createDataFrame([tuple([s] + [None] * (len(schemas.REGISTRY_COLUMNS) - 1)) for s in ("123456789", "12A")],
+                                schemas.REGISTRY)
+    wh.overwrite(reg, "datalake", "siren_attributes")
+    wh.overwrite(spark.createDataFrame([("123456789",), ("12A",)], "siren string"), "dwh", "decp_siren_used")
+    step = Pipeline(spark, wh).refresh_registry()
+    assert step.notes["siren_without_vat"] == 1
+    got = {r.siren: r.euvat for r in wh.read("dwh", "siren_attributes").collect()}
+    assert got["12A"] is None and got["123456789"].startswith("FR")
