@@ -38,10 +38,14 @@ def upsert_frame(target: DataFrame, batch: DataFrame, key: str, insert: DataFram
     the key branch so metrics are counted once).  ``distinct=False`` skips
     the whole-row de-duplication (a shuffle of the batch) for batches that
     are already one row per key.
+    NULL-key target rows bypass the join: they can never match, and in a
+    sort-merge anti-join they would all hash to one reducer.
     """
-    insert = (batch if insert is None else insert).select(*target.columns).where(F.col(key).isNotNull())
-    kept = target.join(batch.select(key).where(F.col(key).isNotNull()), on=key, how="left_anti")
-    return kept.unionByName(insert.distinct() if distinct else insert)
+    k = F.col(key)
+    insert = (batch if insert is None else insert).select(*target.columns).where(k.isNotNull())
+    kept = target.where(k.isNotNull()).join(batch.select(key).where(k.isNotNull()), on=key, how="left_anti")
+    return (target.where(k.isNull()).unionByName(kept.select(*target.columns))
+            .unionByName(insert.distinct() if distinct else insert))
 
 
 class Warehouse:
