@@ -32,16 +32,36 @@ class StepReport:
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, warehouse: Warehouse, check: bool = True):
+    """``keep_versions``: after a step's checks pass, delete all but that many
+    newest versions of every table the step wrote (default: keep all)."""
+
+    def __init__(self, spark: SparkSession, warehouse: Warehouse, check: bool = True,
+                 keep_versions: int | None = None):
         self.spark = spark
         self.wh = warehouse
         self.check = check
+        self.keep_versions = keep_versions
+        self._written: set[tuple[str, str]] = set()
+
+    def _overwrite(self, df: DataFrame, layer: str, table: str) -> int:
+        self._written.add((layer, table))
+        return self.wh.overwrite(df, layer, table)
+
+    def _upsert(self, df: DataFrame, layer: str, table: str, key: str, distinct: bool = True) -> UpsertResult:
+        self._written.add((layer, table))
+        return self.wh.upsert(df, layer, table, key, distinct=distinct)
 
     def _checks(self, step: StepReport, tables: dict[str, tuple[str, str, str]]) -> None:
-        if not self.check:
-            return
-        frames = {name: (self.wh.read(layer, table), key) for name, (layer, table, key) in tables.items()}
-        step.checks = quality.assert_quality(quality.quality_report(frames))
+        if self.check:
+            frames = {name: (self.wh.read(layer, table), key) for name, (layer, table, key) in tables.items()}
+            step.checks = quality.assert_quality(quality.quality_report(frames))
+        self._retain()
+
+    def _retain(self) -> None:
+        if self.keep_versions:
+            for layer, table in sorted(self._written):
+                self.wh.vacuum(layer, table, keep=self.keep_versions)
+        self._written.clear()
 
     # -- Entry A: contracts ------------------------------------------------------
     def load_contracts(self, path: str, multi_line: bool = False,
@@ -49,14 +69,14 @@ class Pipeline:
         """Parse the documents once into a columnar staging table, then derive
         contract and award rows from it (each reads only its columns)."""
         step = StepReport("load_contracts")
-        self.wh.overwrite(read_contracts(self.spark, path, multi_line), "staging", "decp_contracts")
+        self._overwrite(read_contracts(self.spark, path, multi_line), "staging", "decp_contracts")
         nested = self.wh.read("staging", "decp_contracts")
         marches = clean_loaded(strip_escapes(contract_rows(nested)), widths)
         awards = clean_loaded(strip_escapes(award_rows(nested)), widths)
         # both batches are already one row per key: no whole-row distinct
-        step.upserts["decp_marches"] = self.wh.upsert(contracts.marches_unique(marches), "datalake",
+        step.upserts["decp_marches"] = self._upsert(contracts.marches_unique(marches), "datalake",
                                                       "decp_marches", "decp_uid", distinct=False)
-        step.upserts["decp_titulaires"] = self.wh.upsert(contracts.titulaires_unique(awards), "datalake",
+        step.upserts["decp_titulaires"] = self._upsert(contracts.titulaires_unique(awards), "datalake",
                                                          "decp_titulaires", "decp_bridge_uid", distinct=False)
         self._checks(step, {"datalake.decp_marches": ("datalake", "decp_marches", "decp_uid"),
                             "datalake.decp_titulaires": ("datalake", "decp_titulaires", "decp_bridge_uid")})
@@ -66,10 +86,10 @@ class Pipeline:
     def refresh_contracts(self) -> StepReport:
         step = StepReport("refresh_contracts")
         wh = self.wh
-        wh.overwrite(contracts.dwh_titulaires(wh.read("datalake", "decp_titulaires")), "dwh", "decp_titulaires")
-        wh.overwrite(contracts.marches_prepared(wh.read("datalake", "decp_marches")), "dwh", "decp_marches")
-        wh.overwrite(contracts.siren_used(wh.read("dwh", "decp_titulaires")), "dwh", "decp_siren_used")
-        wh.overwrite(contracts.time_dimension(wh.read("dwh", "decp_marches")), "dwh", "time")
+        self._overwrite(contracts.dwh_titulaires(wh.read("datalake", "decp_titulaires")), "dwh", "decp_titulaires")
+        self._overwrite(contracts.marches_prepared(wh.read("datalake", "decp_marches")), "dwh", "decp_marches")
+        self._overwrite(contracts.siren_used(wh.read("dwh", "decp_titulaires")), "dwh", "decp_siren_used")
+        self._overwrite(contracts.time_dimension(wh.read("dwh", "decp_marches")), "dwh", "time")
         self._checks(step, {"dwh.decp_marches": ("dwh", "decp_marches", "decp_uid"),
                             "dwh.decp_titulaires": ("dwh", "decp_titulaires", "decp_bridge_uid")})
         return step
@@ -79,7 +99,7 @@ class Pipeline:
         step = StepReport("load_registry")
         reg = clean_loaded(read_delimited(self.spark, path, schemas.REGISTRY, sep=",", header=True),
                            REGISTRY_WIDTHS)
-        step.upserts["siren_attributes"] = self.wh.upsert(reg, "datalake", "siren_attributes", "siren")
+        step.upserts["siren_attributes"] = self._upsert(reg, "datalake", "siren_attributes", "siren")
         self._checks(step, {"datalake.siren_attributes": ("datalake", "siren_attributes", "siren")})
         return step
 
@@ -91,7 +111,7 @@ class Pipeline:
         out = companies.siren_of_interest(std, self.wh.read("dwh", "decp_siren_used"))
         obs = Observation("refresh_registry")
         out = out.observe(obs, F.count_if(F.col("euvat").isNull() & F.col("siren").isNotNull()).alias("n"))
-        self.wh.overwrite(out, "dwh", "siren_attributes")
+        self._overwrite(out, "dwh", "siren_attributes")
         step.notes["siren_without_vat"] = int(obs.get.get("n", 0) or 0)
         self._checks(step, {"dwh.siren_attributes": ("dwh", "siren_attributes", "siren")})
         return step
@@ -101,7 +121,7 @@ class Pipeline:
         step = StepReport("load_statements")
         raw = clean_loaded(read_delimited(self.spark, path, schemas.STAGING_STATEMENTS, sep=";", header=header,
                                           fill_missing=True))
-        step.upserts["infogreffe_attributes"] = self.wh.upsert(statements.datalake_statements(raw), "datalake",
+        step.upserts["infogreffe_attributes"] = self._upsert(statements.datalake_statements(raw), "datalake",
                                                                "infogreffe_attributes", "infogreffe_uid",
                                                                distinct=False)
         self._checks(step, {"datalake.infogreffe_attributes": ("datalake", "infogreffe_attributes",
@@ -111,8 +131,8 @@ class Pipeline:
     def refresh_statements(self) -> StepReport:
         step = StepReport("refresh_statements")
         std = statements.dwh_statements(self.wh.read("datalake", "infogreffe_attributes"))
-        self.wh.overwrite(statements.statements_of_interest(std, self.wh.read("dwh", "decp_siren_used")),
-                          "dwh", "infogreffe_attributes")
+        self._overwrite(statements.statements_of_interest(std, self.wh.read("dwh", "decp_siren_used")),
+                        "dwh", "infogreffe_attributes")
         self._checks(step, {"dwh.infogreffe_attributes": ("dwh", "infogreffe_attributes", "infogreffe_uid")})
         return step
 
@@ -120,13 +140,13 @@ class Pipeline:
     def load_codes(self, path: str) -> StepReport:
         step = StepReport("load_codes")
         raw = clean_loaded(read_delimited(self.spark, path, schemas.CPV, sep="|", header=True), schemas.CPV_WIDTHS)
-        step.upserts["cpv_attributes"] = self.wh.upsert(raw, "datalake", "cpv_attributes", "codecpv")
+        step.upserts["cpv_attributes"] = self._upsert(raw, "datalake", "cpv_attributes", "codecpv")
         self._checks(step, {"datalake.cpv_attributes": ("datalake", "cpv_attributes", "codecpv")})
         return step
 
     def refresh_codes(self) -> StepReport:
         step = StepReport("refresh_codes")
-        self.wh.overwrite(codes.cpv_refresh(self.wh.read("datalake", "cpv_attributes")), "dwh", "cpv_attributes")
+        self._overwrite(codes.cpv_refresh(self.wh.read("datalake", "cpv_attributes")), "dwh", "cpv_attributes")
         self._checks(step, {"dwh.cpv_attributes": ("dwh", "cpv_attributes", "codecpv")})
         return step
 
@@ -140,11 +160,12 @@ class Pipeline:
             StorageLevel.MEMORY_AND_DISK)
         try:
             names = wh.read("dwh", "siren_attributes")
-            wh.overwrite(reports.fact_per_suppliername(totals, names), "dwh", "fact_per_suppliername")
-            wh.overwrite(reports.fact_per_ess(totals, names), "dwh", "fact_per_ess")
+            self._overwrite(reports.fact_per_suppliername(totals, names), "dwh", "fact_per_suppliername")
+            self._overwrite(reports.fact_per_ess(totals, names), "dwh", "fact_per_ess")
         finally:
             totals.unpersist()
-        wh.overwrite(reports.contracts_year_month(marches, wh.read("dwh", "time")), "dwh", "contracts_year_month")
+        self._overwrite(reports.contracts_year_month(marches, wh.read("dwh", "time")), "dwh", "contracts_year_month")
+        self._retain()
         return step
 
     def report(self, name: str) -> DataFrame:

@@ -55,3 +55,13 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     assert pipe.wh.read("datalake", "decp_marches").count() == before
     assert again.upserts["decp_marches"].null_keys_rejected == 0
     assert len(pipe.wh.versions("datalake", "decp_marches")) == 2
+
+
+def test_version_retention(spark, tmp_dir):
+    codes = landing.land_codes(spark, SF_SMALL, f"{tmp_dir}/codes")
+    pipe = Pipeline(spark, Warehouse(spark, f"{tmp_dir}/wh"), keep_versions=1)
+    pipe.load_codes(codes)
+    pipe.load_codes(codes)
+    pipe.refresh_codes()
+    assert pipe.wh.versions("datalake", "cpv_attributes") == [2]
+    assert pipe.wh.read("datalake", "cpv_attributes").count() == pipe.wh.read("dwh", "cpv_attributes").count() > 0
