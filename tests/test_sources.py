@@ -59,3 +59,12 @@ def test_quoted_delimiters_and_header_scan(spark, tmp_dir):
     df = clean_loaded(read_delimited(spark, f"{tmp_dir}/cpv", schemas.CPV, sep="|"), schemas.CPV_WIDTHS)
     assert [tuple(r) for r in df.collect()] == [("03000000", 'Farm, "fresh" | goods')]
     assert csv_header_scan(spark, f"{tmp_dir}/cpv").count() == 1
+
+
+def test_json_lines_by_key_name(spark, tmp_dir):
+    from tenderlake.sources import read_json_lines
+    _write(f"{tmp_dir}/jl/a.json", '{"decp_uid": "1", "titulaire_id": "9", "extra": 1}\n{"titulaire_name": "X"}\n')
+    df = read_json_lines(spark, f"{tmp_dir}/jl", schemas.STAGING_TITULAIRES)
+    assert df.columns == [f.name for f in schemas.STAGING_TITULAIRES.fields]
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(
+        [("1", "9", None, None), (None, None, "X", None)], key=str)
