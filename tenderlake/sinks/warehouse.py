@@ -12,12 +12,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _PREFIX = "v="
 
+# Largest measured key set broadcast to the upsert anti-join (bytes).
+BROADCAST_KEYS_LIMIT = 64 << 20
+
 
 @dataclass
 class UpsertResult:
@@ -27,7 +31,7 @@ class UpsertResult:
 
 
 def upsert_frame(target: DataFrame, batch: DataFrame, key: str, insert: DataFrame | None = None,
-                 distinct: bool = True) -> DataFrame:
+                 distinct: bool = True, broadcast_keys: bool = False) -> DataFrame:
     """Target rows whose key is not in the batch, plus the distinct batch rows.
 
     Batch rows with a NULL key are left out: a NULL key never matches the
@@ -40,10 +44,14 @@ def upsert_frame(target: DataFrame, batch: DataFrame, key: str, insert: DataFram
     are already one row per key.
     NULL-key target rows bypass the join: they can never match, and in a
     sort-merge anti-join they would all hash to one reducer.
+    ``broadcast_keys`` is only for a batch whose key set was measured to be
+    small: the target is then filtered map-side, without being shuffled.
     """
     k = F.col(key)
     insert = (batch if insert is None else insert).select(*target.columns).where(k.isNotNull())
-    kept = target.where(k.isNotNull()).join(batch.select(key).where(k.isNotNull()), on=key, how="left_anti")
+    keys = batch.select(key).where(k.isNotNull())
+    keys = F.broadcast(keys) if broadcast_keys else keys
+    kept = target.where(k.isNotNull()).join(keys, on=key, how="left_anti")
     return (target.where(k.isNull()).unionByName(kept.select(*target.columns))
             .unionByName(insert.distinct() if distinct else insert))
 
@@ -131,15 +139,29 @@ class Warehouse:
         ``Observation`` on the write, so no extra pass over the data
         (``count=False`` inside streaming micro-batches, where the metrics are
         not delivered to the observation; counts are then -1)."""
-        obs = Observation(f"upsert_{layer}_{table}") if count else None
-        observed = batch.observe(obs, F.count(F.lit(1)).alias("rows"),
-                                 F.count_if(F.col(key).isNull()).alias("null_keys")) if count else batch
-        if self.exists(layer, table):
-            new = upsert_frame(self.read(layer, table), batch, key, insert=observed, distinct=distinct)
-        else:
-            new = observed.where(F.col(key).isNotNull())
-            new = new.distinct() if distinct else new
-        v = self.overwrite(new, layer, table)
+        if not self.exists(layer, table):
+            obs = Observation(f"upsert_{layer}_{table}") if count else None
+            new = batch.observe(obs, F.count(F.lit(1)).alias("rows"),
+                                F.count_if(F.col(key).isNull()).alias("null_keys")) if count else batch
+            new = new.where(F.col(key).isNotNull())
+            v = self.overwrite(new.distinct() if distinct else new, layer, table)
+            return self._result(v, obs)
+        # The batch is measured once (exact key bytes) and kept for the write:
+        # a key set under BROADCAST_KEYS_LIMIT is broadcast so the (large)
+        # target is never shuffled; above it the anti-join is a sort-merge join.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            m = batch.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("null_keys"),
+                          F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)).alias("b")).first()
+            small = m["b"] + 16 * m["rows"] <= BROADCAST_KEYS_LIMIT
+            new = upsert_frame(self.read(layer, table), batch, key, distinct=distinct, broadcast_keys=small)
+            v = self.overwrite(new, layer, table)
+        finally:
+            batch.unpersist()
+        return UpsertResult(v, int(m["rows"]), int(m["null_keys"]))
+
+    @staticmethod
+    def _result(v: int, obs: Observation | None) -> UpsertResult:
         if obs is None:
             return UpsertResult(v, -1, -1)
         m = obs.get
