@@ -160,9 +160,14 @@ def decade_histogram(df: DataFrame, column: str, k: int = 20) -> DataFrame:
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """PRF-16: ``n`` pseudo-random rows, reproducible for a seed: rows ordered
-    by a seeded hash of the key (top-n, no full sort, no shuffle of rows)."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    return df.orderBy(h, F.col(key)).limit(n)
+    by an md5 of ``key || '#' || seed`` (NULL key hashed as ''), then by key.
+
+    Planned as ``TakeOrderedAndProject``: each task keeps its own ``n`` best
+    rows and only ``n`` per task reach the final merge, so no full sort and no
+    shuffle of the table.  md5 (not xxhash64) so any SQL engine can name the
+    same sample."""
+    h = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"#{int(seed)}")))
+    return df.orderBy(h, F.col(key).asc_nulls_last()).limit(n)
 
 
 def first_rows(df: DataFrame, n: int = 1000) -> DataFrame:

@@ -574,7 +574,9 @@ def q_decade_histogram(spark, sf):
     return profile.decade_histogram(fixture(spark, sf, "fx_siren"), "dateDebut", 20)
 
 
-@register("sample_rows")
+@register("sample_rows",
+          "SELECT * FROM dwh_marches"
+          " ORDER BY md5(coalesce(CAST(decp_uid AS VARCHAR), '') || '#42'), decp_uid ASC NULLS LAST LIMIT 100")
 def q_sample_rows(spark, sf):
     return profile.sample_rows(dwh_marches(spark, sf), 100, "decp_uid", seed=42)
 
