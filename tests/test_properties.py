@@ -41,3 +41,18 @@ def test_upsert_idempotent(spark, target, batch):
     kept = [r for r in target if r[0] not in batch_keys]
     inserted = {r for r in batch if r[0] is not None}
     assert sorted(kept + list(inserted), key=key) == a1
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="abcé1 ", max_size=6) | st.none(), min_size=0, max_size=30, unique=True),
+       st.integers(0, 20), st.integers(0, 10_000))
+def test_sample_rows_is_md5_top_n(spark, keys_, n, seed):
+    import hashlib
+
+    from tenderlake.operators.profile import sample_rows
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys_)], "k string, i int").repartition(3)
+    got = [r["k"] for r in sample_rows(df, n, "k", seed=seed).collect()]
+
+    def rank(k):
+        return (hashlib.md5(f"{k or ''}#{seed}".encode()).hexdigest(), k is None, k or "")
+    assert got == sorted(keys_, key=rank)[:n]
