@@ -53,3 +53,12 @@ def test_filters_reach_the_scan(spark):
     p = plan(df)
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)]" in p
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in p
+
+
+def test_monthly_report_year_window_reaches_the_scan(spark, tmp_dir):
+    m = contracts.marches_prepared(contracts.marches_unique(fixture(spark, SF_SMALL, "fx_marches")))
+    m.write.parquet(f"{tmp_dir}/m")
+    m = spark.read.parquet(f"{tmp_dir}/m")
+    df = reports.contracts_year_month(m, contracts.time_dimension(m))
+    p = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(datenotification,2018-01-01), LessThan(datenotification,2022-01-01)" in p
