@@ -597,8 +597,8 @@ def q_stream_contract_ingest(spark, sf):
 
 # --- the whole pipeline on landed files ---------------------------------------------------
 
-@register("pipeline_fact_per_suppliername", _RPT_SUPPLIER)
-def q_pipeline_fact_per_suppliername(spark, sf):
+@register("landed_fact_per_suppliername", _RPT_SUPPLIER)
+def q_landed_fact_per_suppliername(spark, sf):
     from tenderlake.plans.pipeline import Pipeline
     paths = landing.land_all(spark, sf, scratch_path(spark, "pipeline-landing"))
     pipe = Pipeline(spark, _warehouse(spark))
