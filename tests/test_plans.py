@@ -62,3 +62,11 @@ def test_monthly_report_year_window_reaches_the_scan(spark, tmp_dir):
     df = reports.contracts_year_month(m, contracts.time_dimension(m))
     p = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(datenotification,2018-01-01), LessThan(datenotification,2022-01-01)" in p
+
+
+def test_calendar_scans_contracts_once(spark, tmp_dir):
+    m = contracts.marches_prepared(contracts.marches_unique(fixture(spark, SF_SMALL, "fx_marches")))
+    m.write.parquet(f"{tmp_dir}/m")
+    df = contracts.time_dimension(spark.read.parquet(f"{tmp_dir}/m"))
+    assert optimized(df).count("] parquet") == 1
+    assert "Generate explode" in plan(df)
