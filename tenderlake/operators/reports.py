@@ -33,28 +33,34 @@ def siren_totals(marches: DataFrame, titulaires: DataFrame) -> DataFrame:
             .agg(F.sum("montant").alias("total_amount"), F.count(F.lit(1)).alias("n_contract")))
 
 
-def fact_per_suppliername(totals: DataFrame, companies: DataFrame) -> DataFrame:
+def _by_amount(df: DataFrame, ordered: bool) -> DataFrame:
+    return df.orderBy(F.col("total_amount").desc_nulls_first()) if ordered else df
+
+
+def fact_per_suppliername(totals: DataFrame, companies: DataFrame, ordered: bool = True) -> DataFrame:
     """Spend per company name, largest first.  Companies missing from the
     registry drop out; companies sharing a name (including the empty name)
-    are summed together."""
+    are summed together.  ``ordered=False`` leaves out the global sort (a
+    range-partitioning shuffle) for results written to a table, which keeps
+    no row order; the order is applied when the table is read."""
     names = companies.select("siren", "sirenname").where(F.col("sirenname").isNotNull())
-    return (totals.join(names, "siren")
-            .groupBy("sirenname")
-            .agg(F.sum("total_amount").alias("total_amount"), F.sum("n_contract").alias("n_contract"))
-            .orderBy(F.col("total_amount").desc_nulls_first()))
+    return _by_amount(totals.join(names, "siren")
+                      .groupBy("sirenname")
+                      .agg(F.sum("total_amount").alias("total_amount"), F.sum("n_contract").alias("n_contract")),
+                      ordered)
 
 
-def fact_per_ess(totals: DataFrame, companies: DataFrame) -> DataFrame:
+def fact_per_ess(totals: DataFrame, companies: DataFrame, ordered: bool = True) -> DataFrame:
     """Spend per social-economy flag; companies without a registry row or
     without a flag form the NULL group."""
     flags = companies.select("siren", F.col("economieSocialeSolidaireUniteLegale").alias("ess"))
-    return (totals.join(flags, "siren", "left")
-            .groupBy("ess")
-            .agg(F.sum("total_amount").alias("total_amount"), F.sum("n_contract").alias("n_contract"))
-            .orderBy(F.col("total_amount").desc_nulls_first()))
+    return _by_amount(totals.join(flags, "siren", "left")
+                      .groupBy("ess")
+                      .agg(F.sum("total_amount").alias("total_amount"), F.sum("n_contract").alias("n_contract")),
+                      ordered)
 
 
-def contracts_year_month(marches: DataFrame, time: DataFrame) -> DataFrame:
+def contracts_year_month(marches: DataFrame, time: DataFrame, ordered: bool = True) -> DataFrame:
     """Contracts notified per month of 2018-2021, oldest month first.
 
     Contracts are first counted per notification day (partial aggregate,
@@ -72,7 +78,7 @@ def contracts_year_month(marches: DataFrame, time: DataFrame) -> DataFrame:
                .agg(F.count(F.lit(1)).alias("n")))
     cal = (time.where((F.col("year") >= REPORT_FIRST_YEAR) & (F.col("year") <= REPORT_LAST_YEAR))
            .select("date", "year", "year_month"))
-    return (per_day.join(cal, "date")
-            .groupBy("year", "year_month")
-            .agg(F.sum("n").alias("n_contracts"))
-            .orderBy("year_month"))
+    out = (per_day.join(cal, "date")
+           .groupBy("year", "year_month")
+           .agg(F.sum("n").alias("n_contracts")))
+    return out.orderBy("year_month") if ordered else out

@@ -152,7 +152,9 @@ class Pipeline:
 
     # -- Entry C: reports -------------------------------------------------------------
     def refresh_reports(self) -> StepReport:
-        """Per-company totals are computed once and feed both spend reports."""
+        """Per-company totals are computed once and feed both spend reports.
+        Reports are stored unsorted (a table keeps no row order; ``report``
+        sorts on read), which saves one range-partitioning shuffle each."""
         step = StepReport("refresh_reports")
         wh = self.wh
         marches = wh.read("dwh", "decp_marches")
@@ -160,11 +162,13 @@ class Pipeline:
             StorageLevel.MEMORY_AND_DISK)
         try:
             names = wh.read("dwh", "siren_attributes")
-            self._overwrite(reports.fact_per_suppliername(totals, names), "dwh", "fact_per_suppliername")
-            self._overwrite(reports.fact_per_ess(totals, names), "dwh", "fact_per_ess")
+            self._overwrite(reports.fact_per_suppliername(totals, names, ordered=False),
+                            "dwh", "fact_per_suppliername")
+            self._overwrite(reports.fact_per_ess(totals, names, ordered=False), "dwh", "fact_per_ess")
         finally:
             totals.unpersist()
-        self._overwrite(reports.contracts_year_month(marches, wh.read("dwh", "time")), "dwh", "contracts_year_month")
+        self._overwrite(reports.contracts_year_month(marches, wh.read("dwh", "time"), ordered=False),
+                        "dwh", "contracts_year_month")
         self._retain()
         return step
 

@@ -49,6 +49,12 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     n_notified = pipe.wh.read("dwh", "decp_marches").where(F.col("datenotification").isNotNull()).count()
     assert pipe.wh.read("dwh", "contracts_year_month").agg(F.sum("n_contracts")).first()[0] <= n_notified
 
+    # reports are stored unsorted; report() gives the published order
+    months = [r["year_month"] for r in pipe.report("contracts_year_month").collect()]
+    assert months == sorted(months) and months
+    amounts = [r["total_amount"] for r in pipe.report("fact_per_suppliername").collect()]
+    assert amounts == sorted(amounts, key=lambda a: (a is not None, -(a or 0))) and amounts
+
     # a re-run of the same batch is idempotent and leaves one row per key
     before = pipe.wh.read("datalake", "decp_marches").count()
     again = pipe.load_contracts(paths["contracts"])
