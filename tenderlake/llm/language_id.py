@@ -24,7 +24,8 @@ STEPS = 12
 #: A further language must gain this many nats plus half the log of the number of trigrams.
 PENALTY = 3.0
 UNKNOWN = "und"
-MIN_SCORE = 0.5
+#: Share that the main language must reach for a row to be kept; mixtures of three stay.
+MIN_SCORE = 0.3
 
 # Bytes of words: letters and everything beyond ASCII; all else separates.
 _BYTES = np.array([c | 0x20 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 32

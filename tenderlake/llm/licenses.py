@@ -164,14 +164,22 @@ def scan(text: str, machine) -> tuple:
     words = text.encode("utf-8", "surrogatepass").translate(_TO_WORDS).split(b" ")
     words = [w for w in words if w]
     flat = " " + b" ".join(words).decode("utf-8", "surrogatepass") + " "
-    starts, base, labels = [], set(), {}
+    starts, base, labels, notices = [], set(), {}, []
     for end, (size, found) in machine.iter(flat):
         at = end - size + 1
         for label, is_base in found:
-            labels[label] = OPENNESS[label]
             if is_base:
+                labels[label] = OPENNESS[label]
                 starts.append(at)
                 base.add(label)
+            else:
+                notices.append((at, end, label))
+    reach = (-1, -1)  # of notices inside one another the longest counts
+    for at, end, label in sorted(notices, key=lambda x: (x[0], -x[1])):
+        if end > reach[1]:
+            reach = (at, end)
+        if reach == (at, end):
+            labels[label] = OPENNESS[label]
     if starts:  # matches come by end, so starts may be out of order
         starts.sort()
         first, last = flat.count(" ", 0, starts[0]), flat.count(" ", 0, starts[-1])

@@ -29,7 +29,7 @@ FEATURES = 6_000
 MIN_ROWS = 4
 THRESHOLD = 0.7
 SWAP_PENALTY = 4.0
-RIDGE = 2e-4
+RIDGE = 5e-5
 PREFIXES = (4, 5, 6)
 
 # Identity terms by kind; a term is swapped for others of its kind and for the neutral word.
@@ -128,7 +128,11 @@ def _sparse(xs: list[np.ndarray], vocabulary: np.ndarray) -> tuple[np.ndarray, n
 
 def fit(sample: list[tuple[int, bytes, list[bytes]]], size: int = FEATURES, min_rows: int = MIN_ROWS,
         ridge: float = RIDGE, swap_penalty: float = SWAP_PENALTY, steps: int = 300) -> dict:
-    """{feature: weight} with the bias under feature 0; one class only: no weights, the bias says which."""
+    """{feature: weight} with the bias under feature 0; one class only: no weights, the bias says which.
+
+    Rows are weighted so that both classes weigh the same: a score of 0.5 is
+    where a text is as typical of one as of the other.
+    """
     y = np.array([min(1, max(0, r[0])) for r in sample], dtype=float)
     if not len(y) or y.min() == y.max():
         return {0: 4.0 if len(y) and y[0] else -4.0}
@@ -140,7 +144,8 @@ def fit(sample: list[tuple[int, bytes, list[bytes]]], size: int = FEATURES, min_
     r, c = _sparse(xs, vocabulary)
     owner = np.array([i for i, s in enumerate(sample) for _ in s[2]], dtype=np.int64)
     sr, sc = _sparse([np.frombuffer(v, dtype=np.uint32) for s in sample for v in s[2]], vocabulary)
-    w, bias = np.zeros(m), float(np.log(y.mean() / (1 - y.mean())))
+    weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / n
+    w, bias = np.zeros(m), 0.0
     mom, var, b_mom, b_var, rate = np.zeros(m), np.zeros(m), 0.0, 0.0, 0.05
 
     def margin(rows, cols, count):
@@ -148,7 +153,7 @@ def fit(sample: list[tuple[int, bytes, list[bytes]]], size: int = FEATURES, min_
 
     for step in range(1, steps + 1):
         z = margin(r, c, n)
-        err = (1 / (1 + np.exp(-(z + bias))) - y) / n
+        err = (1 / (1 + np.exp(-(z + bias))) - y) * weight
         if len(owner):
             # d/dz of penalty * mean((z - z_swapped)^2)
             gap = 2 * swap_penalty * (z[owner] - margin(sr, sc, len(owner))) / len(owner)
