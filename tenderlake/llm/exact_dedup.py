@@ -48,7 +48,9 @@ def duplicate_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        .otherwise(F.raise_error(F.lit("two texts share all hashes"))).alias("group_size")))
     rows = (keyed.select("doc_id", "h1", "h2", F.sha2("norm", 256).alias("text_sha256"))
             .groupBy("doc_id", "h1", "h2", "text_sha256").agg(F.count("*").alias("copies")))
-    out = rows.join(by_hash, ["h1", "h2", "text_sha256"]).withColumn(
+    # joined on another key than it was grouped by: both sides then get a shuffle of their own,
+    # whose large partitions (a text that many rows share) adaptive execution splits
+    out = rows.drop("h1", "h2").join(by_hash.drop("h1", "h2"), "text_sha256").withColumn(
         "copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     return out.select("doc_id", "keep_id", "group_size",
                       (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
