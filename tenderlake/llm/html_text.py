@@ -47,7 +47,7 @@ widget""".split())
 LAYOUT_PREFIXES = ("has-", "with-", "without-", "no-")
 
 _PIECE = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>"""
-                    r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+                    r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[/!?a-zA-Z][^<>]*\Z""", re.S)
 _ATTRIBUTE = re.compile(r"""(?i)(?<![\w-])(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")

@@ -36,6 +36,7 @@ def trigrams(text: str) -> np.ndarray:
     """Buckets of the byte trigrams of a lower-cased text; a run of separators counts once."""
     raw = _BYTES[np.frombuffer(f" {text.lower()} ".encode("utf-8", "surrogatepass"), dtype=np.uint8)]
     keep = raw != 32
+    keep[0] = True
     keep[1:] |= raw[:-1] != 32
     raw = raw[keep]
     if len(raw) < 3:

@@ -96,7 +96,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, learnable: Column, rows: i
 
 
 def _select(xs: list[np.ndarray], y: np.ndarray, size: int, min_rows: int) -> np.ndarray:
-    """Features with the largest G-squared statistic against the label, sorted; rare ones left out."""
+    """Features that are more frequent in toxic rows, by G-squared statistic, sorted.
+
+    Only evidence for toxicity is used: ordinary words would otherwise learn
+    negative weights, and a long text could outweigh its insults.  The
+    statistic must pass 2 ln(number of features), about what the luckiest of
+    so many irrelevant features reaches.
+    """
     n, n1 = len(y), int(y.sum())
     ids, counts = np.unique(np.concatenate(xs), return_counts=True)
     on = [x for x, label in zip(xs, y) if label]
@@ -108,9 +114,9 @@ def _select(xs: list[np.ndarray], y: np.ndarray, size: int, min_rows: int) -> np
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / np.maximum(expected, 1e-12)), 0.0)
 
     total = counts.astype(float)
-    g2 = (part(hit, total * n1 / n) + part(total - hit, total * (n - n1) / n)
-          + part(n1 - hit, (n - total) * n1 / n) + part(n - total - (n1 - hit), (n - total) * (n - n1) / n))
-    ok = np.flatnonzero(total >= min_rows)
+    g2 = 2 * (part(hit, total * n1 / n) + part(total - hit, total * (n - n1) / n)
+              + part(n1 - hit, (n - total) * n1 / n) + part(n - total - (n1 - hit), (n - total) * (n - n1) / n))
+    ok = np.flatnonzero((total >= min_rows) & (hit * n > total * n1) & (g2 > 2 * np.log(max(2, len(ids)))))
     best = ok[np.lexsort((ids[ok], -g2[ok]))[:size]]
     return np.sort(ids[best])
 

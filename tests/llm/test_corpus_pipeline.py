@@ -1,0 +1,82 @@
+import random
+import re
+
+import corpus_pipeline
+from tenderlake.llm import decontaminate, language_id
+from tenderlake.llm.common import materialize
+from tests.llm.helpers import SCHEMA, normal, rows
+from tests.llm.test_decontaminate import brute
+from tests.llm.test_simhash import slow_components
+
+
+def small_corpus():
+    rnd = random.Random(21)
+    en, fr = ["the", "cat", "house", "with", "friends", "and", "other", "water"], \
+        ["le", "chat", "maison", "avec", "leurs", "amis", "étaient", "les"]
+    bench = [(k, " ".join(f"b{k}x{j}" for j in range(30))) for k in range(3)]
+    docs = [(i, " ".join(rnd.choices(fr if i % 3 == 0 else en, k=rnd.randrange(20, 60))), "fr" if i % 3 == 0 else "en")
+            for i in range(40)]
+    docs += [(100, None, "en"), (101, "123 456", "en"), (102, "", None)]
+    docs += [(103, docs[4][1].replace(" ", "  "), "en"), (104, docs[4][1], "en"), (104, docs[4][1], "en")]
+    long = " ".join(rnd.choices(en, k=600))
+    docs += [(110 + i, long + f" cat{i}", "en") for i in range(5)]
+    docs += [(120, f"{docs[7][1]} {bench[1][1]} {docs[8][1]}", "en"), (None, docs[9][1] + " water", "en")]
+    return docs, bench
+
+
+def test_each_stage_against_brute_force(spark, tmp_dir):
+    docs, bench = small_corpus()
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    at, state = rows(spark, docs), [(d, t) for d, t, _ in docs]
+
+    def after(name):
+        nonlocal at
+        out = dict(corpus_pipeline.STAGES)[name](spark, at, tmp_dir)
+        assert out.columns == at.columns
+        at = materialize(out, name)
+        return sorted(((r["doc_id"], r["text"]) for r in at.collect()), key=str)
+
+    model = language_id.learn(rows(spark, [d for d in docs if d[0] is None or _learnable(d[0])]))
+    state = [(d, t) for d, t in state if t and re.search(r"[^\W\d_]", t)
+             and language_id.infer(t, model[1])[1] >= language_id.MIN_SCORE]
+    assert after("language_id") == sorted(state, key=str)
+    best = {}
+    for d, t in state:
+        k = normal(t)
+        if k not in best or (d is not None and (best[k][0] is None or d < best[k][0])):
+            best[k] = (d, t)
+    got = after("exact_dedup")
+    assert sorted((str(d), normal(t)) for d, t in got) == sorted((str(d), normal(t)) for d, t in best.values())
+    keep = {c for _, _, c in slow_components(got)}
+    state = [(d, t) for d, t in got if d in keep]
+    assert len(state) < len(got)
+    assert after("simhash_near_dedup") == sorted(state, key=str)
+    bad = {d for d, _ in brute(state, bench)}
+    assert bad == {120}
+    state = [x for x in state if x[0] not in bad]
+    assert after("benchmark_decontamination") == sorted(state, key=str)
+    packed = corpus_pipeline.pack_sequences(spark, at, tmp_dir).collect()
+    assert sorted(str(r["doc_id"]) for r in packed if r["piece"] == 0) == sorted(str(d) for d, _ in state)
+
+
+def _learnable(doc_id):
+    import zlib
+    return zlib.crc32(str(doc_id).encode()) % 4 != 2
+
+
+def test_run_reads_documents_and_keeps_clean_ones(spark):
+    sf = "/root/testdata/sf0.01"
+    out = corpus_pipeline.run(spark, sf).collect()
+    ids = {r["doc_id"] for r in out}
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    leaks = {r["doc_id"] for r in decontaminate.leaks(
+        spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")).collect()}
+    assert not ids & leaks
+    first = {d for d, _, c in slow_components(list(docs.items())) if d == c}
+    assert len(first - leaks - ids) <= 0.01 * len(docs)
+
+
+def test_empty_documents(spark, tmp_dir):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, tmp_dir).count() == 0

@@ -1,0 +1,71 @@
+import pytest
+
+from tenderlake.llm import html_text
+
+ARTICLE = """<article class="post"><header><h1>Title &amp; more</h1></header>
+<p>First  paragraph <b>bold</b>&nbsp;end<br>after break.
+<p>Second &lt;tag&gt; &#233;t&eacute;.<script>var t="</p>";</script></p>
+<div class="share social">Share this</div><blockquote><p>Quote</p></blockquote>
+<ul><li>one<li>two</ul><aside>Related</aside><pre>a
+  b</pre><form>Sign up <input name=x></form><table><tr><td>c1</td><td>c2</td></tr></table>
+<section id="comments"><h2>2 comments</h2><article class="comment"><p>Nice!</p></article></section></article>"""
+TEXT = "\n".join(["Title & more", "First paragraph bold end after break.", "Second <tag> été.", "Quote", "one", "two",
+                  "a b", "c1", "c2"])
+FRAME = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>if (a<b) x="<p>";</script></head>
+<body class="has-sidebar"><!-- <p>commented</p> --><header>Site</header><nav><ul><li><a href="/">Home</a></li></ul></nav>
+<div class="cookie-notice">We use cookies</div><div class="ad">Buy</div>{}<div id="sidebar"><p>Side</p></div>
+<div style="display:none">hidden</div><noscript>enable</noscript><footer>&copy; us</footer></body></html>"""
+
+
+def test_article_without_its_surroundings():
+    assert html_text.main_text(FRAME.format(ARTICLE)) == TEXT
+    assert html_text.main_text(FRAME.format(f"<main>{ARTICLE}</main>")) == TEXT
+
+
+def test_unmarked_page_by_line_blocks():
+    body = "".join(f"<div>{'word ' * 40}{i}</div>" for i in range(6)) + "<div>It.</div>" + f"<div>{'tail ' * 30}</div>"
+    menu = "".join(f"<div><a href='/{i}'>Entry number {i} of a menu</a></div>" for i in range(12))
+    page = f"<html><body>{menu}<h1>Headline</h1>{body}{menu}</body></html>"
+    got = html_text.main_text(page).split("\n")
+    assert got[-9:] == ["Headline"] + [f"{'word ' * 40}{i}" for i in range(6)] + ["It.", ("tail " * 30).strip()][:2]
+    assert len([x for x in got if "menu" in x]) <= 2
+
+
+def test_line_block_function():
+    assert html_text.block_stretch([0, 0, 5, 0, 0, 0, 40, 50, 0, 60, 0, 0, 0, 9], 3, 30) == (6, 10)
+    assert html_text.block_stretch([], 3, 30) == (0, 0)
+
+
+@pytest.mark.parametrize("page, want", [
+    ("", ""), ("   ", ""), ("plain text", "plain text"), ("<p>open <b>never closed", "open never closed"),
+    ("<article><p>a<p>b</article", "a\nb"), ("<p>a < b and c > d</p>", "a < b and c > d"),
+    ("<article>x<p title='a>b'>y</p></article>", "x\ny"), ("<script>only</script>", ""), ("<!-- never closed", ""),
+    ('<p title="open quote>text</p>', "text")])
+def test_broken_and_small_pages(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_table_keeps_rows(spark):
+    df = spark.createDataFrame([(1, "u", None, "t", 3), (1, "u", None, "t", 3), (None, None, "<p>x</p>", "t", 1),
+                                (2, "v", "<article>" + "<p>long text</p>" * 20_000 + "</article>", None, None)],
+                               "page_id long, url string, html string, text string, n_chars long")
+    got = sorted(((r["page_id"], r["url"], r["n_chars"]) for r in html_text.extract(df).collect()), key=str)
+    assert got == sorted([(1, "u", 0), (1, "u", 0), (None, None, 1), (2, "v", 20_000 * 10 - 1)], key=str)
+    assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_query_against_a_plain_reading_of_its_pages(spark):
+    """The given pages hold the text in one article of h1 and p: read that with patterns alone."""
+    import html
+    import re
+
+    from tenderlake.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.01"
+    got = {r["page_id"]: r for r in QUERIES["op8_html_extraction"](spark, sf).collect()}
+    for p in spark.read.parquet(f"{sf}/pages.parquet").collect():
+        inner = re.search(r"(?s)<article>(.*?)</article>", p["html"])[1]
+        blocks = [re.sub(r"\s+", " ", html.unescape(re.sub("<[^>]*>", " " if "<br" in x else "", x))).strip()
+                  for x in re.split(r"</?(?:h1|p)>", inner)]
+        want = "\n".join(b for b in blocks if b)
+        assert got[p["page_id"]]["text"] == want
+        assert got[p["page_id"]]["n_chars"] == len(want)

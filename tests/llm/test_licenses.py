@@ -1,0 +1,73 @@
+import re
+
+import pytest
+
+from tenderlake.llm import licenses
+from tests.llm.helpers import rows
+
+BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
+
+
+def slow_base(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    ws = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    hits = [(i, label) for i in range(len(ws)) for p, label in BASE.items() if ws[i:i + len(p.split())] == p.split()]
+    return (len(ws), len(hits), min((i for i, _ in hits), default=None), max((i for i, _ in hits), default=None),
+            ",".join(sorted({x for _, x in hits})))
+
+
+CASES = [None, "", "   ", "MIT License", "the mit, license; mit license", "mit licenses", "mit  LICENSE apache\nlicense",
+         "GNU Lesser General Public License v2", "émit license mit license", "permit license",
+         "mit license " * 3000 + "x " * 50_000, "Mit-License mit_license mit.license 0mit license",
+         "general public license general public license", "İ mit license", "日本 mit license 語"]
+
+
+def test_base_counts_match_brute_force(spark):
+    docs = list(enumerate(CASES)) + [(3, "MIT License"), (None, "apache license")]
+    got = licenses.scan_licenses(rows(spark, docs)).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"])
+                   for r in got), key=str) == sorted(((d, *slow_base(t)) for d, t in docs), key=str)
+    for r in got:
+        assert set(filter(None, r["base_labels"].split(","))) <= set(filter(None, r["labels"].split(",")))
+        assert 0 <= r["score"] <= 1
+    assert licenses.scan_licenses(rows(spark, [])).count() == 0
+
+
+def test_query_matches_brute_force(spark):
+    from tenderlake.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    got = {r["doc_id"]: r for r in QUERIES["op5_license_scan"](spark, sf).collect()}
+    for d in docs:
+        r = got[d["doc_id"]]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == slow_base(d["text"])
+
+
+@pytest.mark.parametrize("text, want", [
+    ("MIT", ["MIT"]),
+    ("MIT OR Apache-2.0 AND BSD-3-Clause", ["MIT", "Apache-2.0", "BSD-3-Clause", "and", "or"]),
+    ("(MIT OR Apache-2.0) AND BSD-3-Clause", ["MIT", "Apache-2.0", "or", "BSD-3-Clause", "and"]),
+    ("GPL-2.0 WITH Classpath-exception-2.0 OR MIT", ["GPL-2.0", "Classpath-exception-2.0", "with", "MIT", "or"]),
+    ("MIT this file is", ["MIT"]),
+    ("", None), ("OR MIT", None), ("(MIT", None), ("MIT)", None), ("MIT AND", None), ("()", None)])
+def test_shunting_yard(text, want):
+    assert licenses.postfix(text) == want
+
+
+def test_expressions_are_evaluated():
+    def value(text):
+        return licenses.evaluate(licenses.postfix(text))
+
+    assert value("MIT OR GPL-3.0-only") == (1.0, {"mit", "gpl"})
+    assert value("MIT AND GPL-3.0-only") == (0.3, {"mit", "gpl"})
+    assert value("GPL-2.0 WITH Classpath-exception-2.0") == (0.65, {"gpl"})
+    assert value("LicenseRef-own") == (0.0, {"licenseref-own"})
+
+
+def test_tags_and_longest_notice():
+    machine = licenses.automaton()
+    got = licenses.scan("// SPDX-License-Identifier: (Apache-2.0 OR MIT) AND CC-BY-NC-4.0\nrest", machine)
+    assert got[4:] == ("", "apache,cc-by-nc,mit", 0.1)
+    assert licenses.scan("under CC BY NC 4.0 terms", machine)[5] == "cc-by-nc"
+    assert licenses.scan("GNU Affero General Public License", machine)[4:6] == ("gpl", "agpl,gpl")
+    assert licenses.scan("SPDX-License-Identifier: (broken", machine)[5:] == ("", 0.0)

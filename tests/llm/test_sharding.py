@@ -1,0 +1,64 @@
+import zlib
+from collections import Counter
+
+from tenderlake.llm import sharding
+from tests.llm.helpers import rows
+
+
+def place(spark, docs, shards=24):
+    owners = sharding.initial_map(shards)
+    maps = [spark.createDataFrame(list(enumerate(m)), "vslot int, shard int") for m in (owners, sharding.grown(owners))]
+    return sharding.assign_shards(sharding.records(rows(spark, docs)), *maps).collect()
+
+
+def test_maps_are_even_and_growth_only_fills_the_new_shard():
+    for n in (1, 2, 5, 24):
+        m = sharding.initial_map(n)
+        counts = Counter(m)
+        assert sorted(counts) == list(range(n)) and max(counts.values()) - min(counts.values()) <= n
+        assert all(a == b or b == n for a, b in zip(m, sharding.grown(m)))
+        assert sharding.grown(m) == sharding.initial_map(n + 1)
+
+
+def test_rebalancing_evens_out_bytes_with_few_moves():
+    m = sharding.initial_map(4, 400)
+    weight = {s: 1 + (100 if sh == 2 else 0) for s, sh in enumerate(m)}
+    new = sharding.rebalanced(m, weight)
+    load = [sum(weight[s] for s in weight if new[s] == k) for k in range(4)]
+    assert max(load) - min(load) <= 101
+    assert all(a == 2 for a, b in zip(m, new) if a != b and weight[m.index(a)] > 50)
+    assert sharding.rebalanced(m, {}) == m
+
+
+def test_rows_places_and_laws(spark):
+    docs = [(i, "é" * (i % 7)) for i in range(500)] + [(None, "n"), (None, None), (7, "other"), (3, None)] + [(9, "r")] * 50
+    got = place(spark, docs)
+    want = sorted(((d, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in docs), key=str)
+    assert sorted(((r["doc_id"], r["size"], r["text_crc32"]) for r in got), key=str) == want
+    by_shard, owner = {}, {}
+    for r in got:
+        by_shard.setdefault(r["shard"], []).append(r["slot"])
+        assert owner.setdefault(r["doc_id"], r["shard"]) == r["shard"]
+        assert r["grown_shard"] in (r["shard"], 24)
+    assert all(sorted(s) == list(range(len(s))) for s in by_shard.values())
+    # the same id goes to the same shard whatever else is there
+    alone = place(spark, [(5, "x"), (400, "y")])
+    assert {r["doc_id"]: r["shard"] for r in alone} == {k: owner[k] for k in (5, 400)}
+    assert place(spark, []) == []
+
+
+def test_versions_are_stored_and_never_overwritten(spark, tmp_dir):
+    import pytest
+    m = sharding.initial_map(3, 64)
+    sharding.store_map(spark, m, f"{tmp_dir}/map", 0)
+    sharding.store_map(spark, sharding.grown(m), f"{tmp_dir}/map", 1)
+    with pytest.raises(Exception, match="ALREADY_EXISTS|already exists"):
+        sharding.store_map(spark, m, f"{tmp_dir}/map", 0)
+    back = {r["vslot"]: r["shard"] for r in sharding.load_map(spark, f"{tmp_dir}/map", 1).collect()}
+    assert back == dict(enumerate(sharding.grown(m)))
+
+
+def test_bytes_per_slot_cover_all_rows(spark):
+    recs = sharding.records(rows(spark, [(i, "abc") for i in range(100)]))
+    got = sharding.bytes_per_slot(recs).collect()
+    assert sum(r["bytes"] for r in got) == 1100 and sum(r["rows"] for r in got) == 100

@@ -1,0 +1,79 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tenderlake.llm import url_filter as uf
+from tenderlake.llm.queries import RULES
+
+PAGES = "page_id long, url string, html string, node string, rule string, verdict string, host string"
+
+
+def judge(spark, pages, rules=RULES, **kw):
+    df = spark.createDataFrame([(*p, "a", "b", "c", "d") for p in pages], PAGES)
+    return {r["page_id"]: r for r in uf.judge(df, rules, **kw).collect()}
+
+
+def slow(url):
+    url = url or ""
+    if "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    cut = min((rest.index(c) for c in "/?#" if c in rest), default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+    path = rest[cut:]
+    path = path[:min((path.index(c) for c in "?#" if c in path), default=len(path))]
+    fits = [r for r in RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return host, path, max(fits, key=lambda r: len(r.name), default=None)
+
+
+URLS = ["https://a.example.org/es/1", "http://EXAMPLE.org/en/12?x=1", "http://example.org/en/2", "http://xexample.org/es/",
+        "http://b.com/fr/", "http://b.com/de/x#y", "http://b.com", "http://b.com?de/", "http://b.net/de/", "no scheme",
+        "", None, "://h.org/x", "http://h.ORG/?q=http://z.com/de/", "http://example.org#/es/", "HTTP://É.org/a",
+        "http://u:p@q.example.org:80/es/", "http:///es/", "http://b.com/fr/\nnext"]
+
+
+def test_rules_match_brute_force(spark):
+    got = judge(spark, [(i, u, None) for i, u in enumerate(URLS)])
+    for i, u in enumerate(URLS):
+        host, path, rule = slow(u)
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, rule.name if rule else None), u
+        assert got[i]["verdict"] == (rule.verdict if rule else "allow")
+
+
+def test_aliases_take_block_and_explicit_allow_wins(spark):
+    def canonical(to, quote='"'):
+        return f"<head><LINK href={quote}{to}{quote} rel=canonical></head>"
+
+    pages = [
+        (1, "http://x.net/1", canonical("http://b.com/de/1")),                       # alias of a blocked URL not in the table
+        (2, "http://x.net/2#frag", '<meta content="0; url=/1" http-equiv="refresh">'),   # relative redirect to page 1
+        (3, "http://x.net/3", canonical("//b.com/fr/3", "'")),                       # alias of an allowed one
+        (4, "http://x.net/4", canonical("http://b.com/de/4") + '<meta http-equiv=refresh content="1;URL=http://h.org/4">'),
+        (5, "http://x.net/5", "<link rel='stylesheet' href='http://b.com/de/5'>"),
+        (6, "http://h.org/6", canonical("http://b.com/de/6")),                       # own rule beats aliases
+        (7, "http://x.net/7", canonical("")), (8, None, canonical("http://b.com/de/")), (9, "http://x.net/9", None),
+        (10, "http://x.net/10", "x"), (11, "http://x.net/d/11", canonical("../de"))]
+    log = spark.createDataFrame([("http://x.net/9", "http://x.net/10"), ("http://x.net/10", "http://x.net/1"),
+                                 (None, "http://b.com/de/z"), ("bad", "http://b.com/de/z")], "src string, dst string")
+    got = judge(spark, pages, redirects=log)
+    assert {i: (r["verdict"], r["decided_by"]) for i, r in got.items()} == {
+        1: ("block", "alias"), 2: ("block", "alias"), 3: ("allow", "alias"), 4: ("allow", "alias"),
+        5: ("allow", "default"), 6: ("allow", "rule"), 7: ("allow", "default"), 8: ("allow", "default"),
+        9: ("block", "alias"), 10: ("block", "alias"), 11: ("allow", "default")}
+    assert judge(spark, []) == {}
+
+
+def test_longest_rule_then_allow(spark):
+    rules = [uf.Rule("block", "a.net", "/x"), uf.Rule("allow", "a.net", "/y"), uf.Rule("allow", "a.net", "/x"),
+             uf.Rule("block", "net", "/")]
+    got = judge(spark, [(1, "http://a.net/x", ""), (2, "http://a.net/z", ""), (3, "http://b.a.net/y", "")], rules)
+    assert [got[i]["verdict"] for i in (1, 2, 3)] == ["allow", "block", "allow"]
+
+
+@pytest.mark.parametrize("link, want", [
+    ("http://q.net/a", "http://q.net/a"), ("//q.net/a", "http://q.net/a"), ("/a", "http://s.net/a"),
+    ("a", "http://s.net/d/a"), ("", None)])
+def test_links_resolve(spark, link, want):
+    got = spark.range(1).select(uf.absolute(F.lit(link), F.lit("http://s.net/d/e?f")).alias("x")).first()["x"]
+    assert got == want
+    bare = spark.range(1).select(uf.absolute(F.lit("a"), F.lit("http://s.net")).alias("x")).first()["x"]
+    assert bare == "http://s.net/a"
