@@ -4,10 +4,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A leading day: ten characters with any tail, or one-digit month / day ended by a blank, a T or the end.
+LEADING_DAY = r"^(\d{4}-\d{2}-\d{2}|\d{4}-\d{1,2}-\d{1,2}(?=$|[T\s]))"
+
+
 def lenient_date(text: Column) -> Column:
-    """ISO-ish text to DATE: first 10 characters, 1- or 2-digit month/day;
-    anything unparsable (``2001-02-31``, junk) becomes NULL."""
-    return F.try_to_date(F.substring(text, 1, 10), "yyyy-M-d")
+    """ISO-ish text to DATE: the leading year-month-day, 1- or 2-digit month
+    and day, whatever time follows; anything unparsable (``2001-02-31``,
+    junk) becomes NULL."""
+    return F.try_to_date(F.nullif(F.regexp_extract(text, LEADING_DAY, 1), F.lit("")), "yyyy-M-d")
 
 
 def year_month(d: Column) -> Column:

@@ -1,6 +1,8 @@
 """Declared schemas of every landed and typed table (never inferred)."""
 
-from pyspark.sql.types import (ArrayType, DateType, DoubleType, IntegerType,
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, DateType, DoubleType, IntegerType, LongType,
                                StringType, StructField, StructType)
 
 
@@ -39,6 +41,12 @@ CONTRACT = StructType([
 
 CONTRACT_DOCUMENT = StructType([StructField("marches", ArrayType(CONTRACT))])
 
+# The same element as landed: every value as text (lists and objects as their
+# JSON), so that one odd value never hides the rest of its document.
+LANDED_CONTRACT = _strings(*CONTRACT.fieldNames())
+LANDED_DOCUMENT = StructType([StructField("marches", ArrayType(LANDED_CONTRACT))])
+CORRUPT = "_corrupt_record"
+
 STAGING_MARCHES = StructType([
     StructField("decp_uid", StringType()),
     StructField("source", StringType()),
@@ -134,5 +142,24 @@ CPV_WIDTHS = {"codecpv": 8}
 FACT_PER_SUPPLIERNAME = StructType([
     StructField("sirenname", StringType()),
     StructField("total_amount", DoubleType()),
-    StructField("n_contract", IntegerType()),
+    StructField("n_contract", LongType()),
 ])
+
+FACT_PER_ESS = StructType([StructField("ess", StringType()), *FACT_PER_SUPPLIERNAME.fields[1:]])
+
+CONTRACTS_YEAR_MONTH = StructType([
+    StructField("year", IntegerType()),
+    StructField("year_month", StringType()),
+    StructField("n_contracts", LongType()),
+])
+
+
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with exactly the columns and types of a target table, by name.
+
+    Raises on a column the table doesn't have or the frame lacks; values are
+    cast with the session's (strict) rules.
+    """
+    if set(df.columns) != set(schema.fieldNames()):
+        raise ValueError(f"columns {sorted(df.columns)} instead of {sorted(schema.fieldNames())}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

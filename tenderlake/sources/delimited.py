@@ -2,9 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tenderlake.schemas import CORRUPT
+
+
+def _shape_error(line: Column, sep: str, fields: int, fill_missing: bool) -> Column:
+    """What is wrong with a record's shape, NULL when nothing is.
+
+    Quoted fields are taken out first; separators left over are real ones, and
+    a field that still starts with a quote was never closed.
+    """
+    d = re.escape(sep)
+    bare = F.regexp_replace(line, rf'(^|{d})"[^"]*+(?:""[^"]*+)*+"(?={d}|$)', "$1")
+    found = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+    wrong = found > fields if fill_missing else found != fields
+    return (F.when(bare.rlike(rf'(^|{d})"'), F.lit("open quote"))
+            .when(wrong, F.concat(found.cast("string"), F.lit(f" fields instead of {fields}"))))
+
+
+def _checked(record: Column, line: Column, error: Column) -> Column:
+    return F.when(error.isNotNull(), F.raise_error(F.concat(F.lit("malformed record, "), error, F.lit(": "), line))
+                  ).otherwise(record)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = ",", header: bool = True,
@@ -12,18 +35,32 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str
     """SRC-6: CSV with a declared all-text schema.
 
     Only the first character of ``sep`` is used.  Loads are fail-fast: a row
-    with missing fields aborts the job unless ``fill_missing`` is set, in
-    which case the missing trailing fields read as NULL.  Quoted fields may
-    hold the delimiter and doubled quotes.  Plain (single-line) records keep
-    the file splittable; ``multi_line`` allows newlines inside quotes at the
-    price of one task per file.
+    with missing or surplus fields or with a quote that is never closed aborts
+    the job.  ``fill_missing`` lets missing trailing fields read as NULL and
+    forgives nothing else.  Quoted fields may hold the delimiter and doubled
+    quotes.  Plain (single-line) records keep the file splittable;
+    ``multi_line`` allows newlines inside quotes at the price of one task per
+    file.
     """
-    return (spark.read.schema(schema)
-            .option("sep", sep[0]).option("header", header)
-            .option("quote", '"').option("escape", '"')
-            .option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE" if fill_missing else "FAILFAST")
-            .csv(path))
+    sep = sep[0]
+    options = {"sep": sep, "quote": '"', "escape": '"'}
+    if multi_line:
+        mode = "PERMISSIVE" if fill_missing else "FAILFAST"
+        full = StructType([*schema.fields, StructField(CORRUPT, StringType())]) if fill_missing else schema
+        rows = (spark.read.schema(full).options(**options).option("header", header).option("multiLine", True)
+                .option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+        if not fill_missing:
+            return rows
+        error = _shape_error(F.col(CORRUPT), sep, len(schema.fields), True)
+        return (rows.withColumn("_record", _checked(F.struct(*schema.fieldNames()), F.col(CORRUPT), error))
+                .select("_record.*"))
+    # whole lines first (a reader without quotes and with a separator no text file has), so that
+    # every line's shape can be checked
+    lines = (spark.read.schema("line string").option("header", header).option("enforceSchema", True)
+             .option("sep", "\u0001").option("quote", "").csv(path))
+    error = _shape_error(F.col("line"), sep, len(schema.fields), fill_missing)
+    record = F.from_csv(F.col("line"), schema.simpleString()[len("struct<"):-1].replace(":", " "), options)
+    return lines.select(_checked(record, F.col("line"), error).alias("_record")).select("_record.*")
 
 
 def csv_header_scan(spark: SparkSession, path: str) -> DataFrame:

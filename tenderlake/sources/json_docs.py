@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tenderlake import schemas
 from tenderlake.functions import strip_control
 
 
-def read_contracts(spark: SparkSession, path: str, multi_line: bool = False,
-                   partitions: int | None = None) -> DataFrame:
-    """SRC-1: one row per element of ``.marches[]`` of every document.
+def landed_contracts(spark: SparkSession, path: str, multi_line: bool = False, partitions: int | None = None,
+                     tolerant: bool = False) -> DataFrame:
+    """One row per element of ``.marches[]`` of every document, values as text.
+
+    A malformed document (truncated, not JSON, no object) stops the load;
+    with ``tolerant`` it is left out here and listed by
+    :func:`rejected_documents`.
 
     Documents written one per line are split across tasks like any JSON-lines
     input.  A pretty-printed document (``multi_line=True``) can only be parsed
     by one task per file, so the exploded rows are spread over ``partitions``
     (default: the shuffle partition count) before any further work.
     """
-    docs = spark.read.schema(schemas.CONTRACT_DOCUMENT).option("multiLine", multi_line).json(path)
+    docs = (spark.read.schema(schemas.LANDED_DOCUMENT).option("multiLine", multi_line)
+            .option("mode", "PERMISSIVE" if tolerant else "FAILFAST").json(path))
     rows = docs.select(F.explode("marches").alias("m")).select("m.*")
     if multi_line:
         n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -27,6 +32,55 @@ def read_contracts(spark: SparkSession, path: str, multi_line: bool = False,
     return rows
 
 
+def rejected_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """(document, file) of every document a tolerant load leaves out."""
+    schema = StructType([*schemas.LANDED_DOCUMENT.fields, StructField(schemas.CORRUPT, StringType())])
+    docs = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", schemas.CORRUPT).json(path))
+    # the reader refuses queries that need the corrupt column only
+    parsed = F.coalesce(F.size("marches"), F.lit(0)) >= 0
+    return (docs.where(F.col(schemas.CORRUPT).isNotNull() & parsed)
+            .select(F.col(schemas.CORRUPT).alias("document"), F.input_file_name().alias("file")))
+
+
+def _is_object(element: Column) -> Column:
+    return element.isNull() | F.ltrim(element).startswith("{")
+
+
+def typed_contracts(landed: DataFrame) -> DataFrame:
+    """Landed text to the declared contract types.
+
+    A non-numeric amount or duration becomes NULL, an element of a supplier
+    list that is no object is left out; :func:`value_defects` counts both.
+    A supplier list that is no list reads as NULL.
+    """
+    def cast(f):
+        c = F.col(f.name)
+        if f.name == "titulaires":
+            elements = F.from_json(c, "array<string>")
+            return F.transform(F.filter(elements, _is_object),
+                               lambda e: F.from_json(e, schemas.AWARDEE)).alias(f.name)
+        if f.dataType.typeName() == "struct":
+            return F.from_json(c, f.dataType).alias(f.name)
+        return (c if f.dataType.typeName() == "string" else c.try_cast(f.dataType)).alias(f.name)
+    return landed.select(*[cast(f) for f in schemas.CONTRACT.fields])
+
+
+def value_defects() -> list[Column]:
+    """Aggregates over landed contracts: values that typing turns into NULL or leaves out."""
+    elements = F.from_json("titulaires", "array<string>")
+    return [
+        F.count_if(F.col("montant").isNotNull() & F.col("montant").try_cast("double").isNull()).alias("bad_amounts"),
+        F.count_if(F.col("dureeMois").isNotNull() & F.col("dureeMois").try_cast("int").isNull()).alias("bad_durations"),
+        F.coalesce(F.sum(F.size(F.filter(elements, lambda e: ~_is_object(e)))), F.lit(0)).alias("bad_list_elements")]
+
+
+def read_contracts(spark: SparkSession, path: str, multi_line: bool = False, partitions: int | None = None,
+                   tolerant: bool = False) -> DataFrame:
+    """SRC-1: contracts of every document in their declared types (see :func:`landed_contracts`)."""
+    return typed_contracts(landed_contracts(spark, path, multi_line, partitions, tolerant))
+
+
 def strip_escapes(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """SRC-2: remove tab and newline characters from the given (default: all
     top-level string) columns after parsing."""
@@ -55,10 +109,24 @@ def award_rows(contracts: DataFrame) -> DataFrame:
                     F.col("t.typeIdentifiant").alias("titulaire_typeidentifiant")))
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str, schema: StructType, tolerant: bool = False) -> DataFrame:
     """SRC-5: JSON lines matched to columns by key name: a missing key reads
-    as NULL, keys not in ``schema`` are ignored."""
-    return spark.read.schema(schema).json(path)
+    as NULL, keys not in ``schema`` are ignored.  A malformed line stops the
+    load; with ``tolerant`` it is left out and listed by
+    :func:`rejected_lines`."""
+    if not tolerant:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+
+
+def rejected_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """(line, file) of every line a tolerant load leaves out."""
+    full = StructType([*schema.fields, StructField(schemas.CORRUPT, StringType())])
+    lines = (spark.read.schema(full).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", schemas.CORRUPT).json(path))
+    parsed = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in schema.fieldNames()])) >= 0
+    return (lines.where(F.col(schemas.CORRUPT).isNotNull() & parsed)
+            .select(F.col(schemas.CORRUPT).alias("line"), F.input_file_name().alias("file")))
 
 
 def json_fields(df: DataFrame, column: str, schema: StructType, keep: list[str] | None = None) -> DataFrame:
