@@ -6,6 +6,7 @@ Every profile is one or two aggregation passes; results are small frames
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -55,7 +56,7 @@ def numeric_summary(df: DataFrame, column: str) -> DataFrame:
     c = F.col(column)
     base = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
                   F.min(c).alias("min"), F.max(c).alias("max")).first()
-    q = exact_quantiles(df, column, QUARTILES, total=base["n"])
+    q = exact_quantiles(df, column, QUARTILES)
     return df.sparkSession.createDataFrame(
         [(base["n"], base["mean"], base["std"], _f(base["min"]), q[0], q[1], q[2], _f(base["max"]))],
         "n long, mean double, std double, min double, p25 double, p50 double, p75 double, max double")
@@ -107,7 +108,7 @@ def date_summary(df: DataFrame, column: str) -> DataFrame:
     days = df.select(F.unix_date(F.col(column)).alias("d"))
     base = days.agg(F.count("d").alias("n"), F.avg("d").alias("mean_day"), F.min("d").alias("lo"),
                     F.max("d").alias("hi")).first()
-    q = exact_quantiles(days, "d", QUARTILES, total=base["n"])
+    q = exact_quantiles(days, "d", QUARTILES)
     row = [(base["n"], base["mean_day"], base["lo"], q[0], q[1], q[2], base["hi"])]
     out = df.sparkSession.createDataFrame(
         row, "n long, mean_day double, lo int, q1 double, q2 double, q3 double, hi int")
@@ -117,8 +118,8 @@ def date_summary(df: DataFrame, column: str) -> DataFrame:
 
 
 def future_dates(df: DataFrame, column: str, after_year: int = LAST_EXPECTED_YEAR) -> DataFrame:
-    """PRF-10: rows dated after ``after_year``."""
-    return df.where(F.year(F.col(column)) > after_year)
+    """PRF-10: rows dated after ``after_year`` (a date bound, so it reaches the scan)."""
+    return df.where(F.col(column) >= datetime.date(after_year + 1, 1, 1))
 
 
 def monthly_histogram(df: DataFrame, column: str, first_year: int | None = None,
@@ -127,9 +128,9 @@ def monthly_histogram(df: DataFrame, column: str, first_year: int | None = None,
     d = F.col(column)
     rows = df.where(d.isNotNull())
     if first_year is not None:
-        rows = rows.where(F.year(d) >= first_year)
+        rows = rows.where(d >= datetime.date(first_year, 1, 1))
     if last_year is not None:
-        rows = rows.where(F.year(d) <= last_year)
+        rows = rows.where(d < datetime.date(last_year + 1, 1, 1))
     return (rows.groupBy(year_month(d).alias("year_month")).agg(F.count(F.lit(1)).alias("n"))
             .orderBy("year_month"))
 
@@ -149,27 +150,35 @@ def null_share_by_category(df: DataFrame, category: str, measure: str) -> DataFr
             .orderBy(category))
 
 
-def decade_histogram(df: DataFrame, column: str, k: int = 20) -> DataFrame:
+def decade_histogram(df: DataFrame, column: str) -> DataFrame:
     """PRF-15: rows per founding decade 1900 + 10*floor((year-1900)/10),
-    in decade order (missing decade first), first ``k`` decades."""
+    in decade order (missing decade first)."""
     year = F.year(F.try_to_date(F.col(column).cast("string")))
     decade = (F.lit(DECADE_ORIGIN) + F.lit(10) * F.floor((year - DECADE_ORIGIN) / 10)).cast("bigint")
     return (df.groupBy(decade.alias("decade")).agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.col("decade").asc_nulls_first()).limit(k))
+            .orderBy(F.col("decade").asc_nulls_first()))
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """PRF-16: ``n`` pseudo-random rows, reproducible for a seed: rows ordered
     by an md5 of ``key || '#' || seed`` (NULL key hashed as ''), then by key.
 
-    Planned as ``TakeOrderedAndProject``: each task keeps its own ``n`` best
-    rows and only ``n`` per task reach the final merge, so no full sort and no
-    shuffle of the table.  md5 (not xxhash64) so any SQL engine can name the
-    same sample."""
+    A first pass counts rows per leading four hex digits (65,536 at most) and
+    gives the digits up to which at least ``n`` rows lie; the sample is the
+    top ``n`` of those, so the final merge sees about ``n`` rows and not ``n``
+    per task.  md5 (not xxhash64) so any SQL engine can name the same
+    sample."""
     h = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"#{int(seed)}")))
-    return df.orderBy(h, F.col(key).asc_nulls_last()).limit(n)
+    lead = F.substring(h, 1, 4)
+    seen, last = 0, "ffff"
+    for row in sorted(df.groupBy(lead.alias("lead")).agg(F.count("*").alias("n")).collect()):
+        seen += row["n"]
+        if seen >= n:
+            last = row["lead"]
+            break
+    return df.where(lead <= last).orderBy(h, F.col(key).asc_nulls_last()).limit(n)
 
 
 def first_rows(df: DataFrame, n: int = 1000) -> DataFrame:
-    """PRF-16: the first ``n`` rows, kept for repeated exploration."""
-    return df.limit(n).cache()
+    """PRF-16: ``n`` rows to look at, whichever come first."""
+    return df.limit(n)

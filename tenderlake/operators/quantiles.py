@@ -1,127 +1,69 @@
 """Exact quantiles without gathering a column into one task.
 
 ``percentile`` is exact but buffers every value of the group in one
-aggregation buffer, which does not survive a global group at scale.  Here the
-k-th smallest values are found by narrowing a value range:
+aggregation buffer, which does not survive a global group at scale.  Here
 
-1. ``percentile_approx`` (a mergeable sketch, bounded memory per task) gives
-   a bracket of values around the wanted ranks;
-2. one counting pass checks that the bracket really holds those ranks and
-   gives the number of values below it;
-3. once a bracket holds at most ``local_limit`` rows (or a single value),
-   those rows are grouped per value and a running count over them picks the
-   exact values.  Only that bounded remainder meets in one task.
+1. one pass counts every distinct value (map-side combined, so a value that
+   half of all rows share is one row per task) and writes the counts,
+   range-partitioned by value, to the shared folder;
+2. the totals per partition go to the driver (one row per shuffle partition)
+   and tell which partition holds which rank;
+3. a running count inside just those partitions picks the values.
 
-Each round shrinks the candidate range by about the sketch accuracy, so a
-trillion rows need two or three rounds.  The driver only sees a handful of
-numbers per round.
+The number of jobs is fixed, whatever the values are.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from bisect import bisect_right
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
-LOCAL_LIMIT = 200_000
-
-
-@dataclass
-class _Range:
-    lo: object  # inclusive lower value bound, None = unbounded
-    hi: object  # inclusive upper value bound, None = unbounded
-    below: int  # number of values smaller than every value in the range
-    rows: int   # number of values inside the range
-    ranks: list[int]
-
-
-def _inside(v: Column, r: _Range) -> Column:
-    cond = F.lit(True)
-    if r.lo is not None:
-        cond = cond & (v >= F.lit(r.lo))
-    if r.hi is not None:
-        cond = cond & (v <= F.lit(r.hi))
-    return cond
-
-
-def _resolve_locally(vals: DataFrame, r: _Range) -> dict[int, object]:
-    v = F.col("v")
-    per_value = vals.where(_inside(v, r)).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = per_value.withColumn("upto", F.sum("c").over(w) + F.lit(r.below))
-    cum = cum.withColumn("from", F.col("upto") - F.col("c"))
-    wanted = F.array(*[F.lit(k) for k in r.ranks])
-    hits = (cum.select("v", "from", "upto", F.explode(wanted).alias("rank"))
-            .where((F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("upto")))
-            .select("rank", "v"))
-    return {row["rank"]: row["v"] for row in hits.collect()}
-
-
-def select_ranks(values: DataFrame, column: str, ranks: list[int], total: int | None = None,
-                 local_limit: int = LOCAL_LIMIT, accuracy: int = ACCURACY) -> dict[int, object]:
-    """Exact values at the given 0-based ranks among the non-NULL values."""
-    vals = values.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-    if total is None:
-        total = vals.count()
-    ranks = sorted({k for k in ranks if 0 <= k < total})
-    if not ranks:
-        return {}
-    v = F.col("v")
-    pending = [_Range(None, None, 0, total, ranks)]
-    found: dict[int, object] = {}
-    margin = 4.0 / accuracy
-    while pending:
-        r = pending.pop()
-        if r.rows <= local_limit or (r.lo is not None and r.lo == r.hi):
-            if r.lo is not None and r.lo == r.hi:
-                found.update({k: r.lo for k in r.ranks})
-            else:
-                found.update(_resolve_locally(vals, r))
-            continue
-        f_lo = max((r.ranks[0] - r.below) / r.rows - margin, 0.0)
-        f_hi = min((r.ranks[-1] - r.below + 1) / r.rows + margin, 1.0)
-        a_lo, a_hi = vals.where(_inside(v, r)).agg(
-            F.percentile_approx("v", [f_lo, f_hi], accuracy).alias("p")).first()["p"]
-        cand = _Range(a_lo, a_hi, 0, 0, r.ranks)
-        counts = vals.where(_inside(v, r)).agg(
-            F.count_if(v < F.lit(a_lo)).alias("lt"), F.count_if(_inside(v, cand)).alias("mid")).first()
-        below, mid = r.below + counts["lt"], counts["mid"]
-        if below <= r.ranks[0] and r.ranks[-1] < below + mid and mid < r.rows:
-            pending.append(_Range(a_lo, a_hi, below, mid, r.ranks))
-        elif len(r.ranks) > 1:
-            # bracket missed: split the ranks and try each on its own
-            half = len(r.ranks) // 2
-            pending.append(_Range(r.lo, r.hi, r.below, r.rows, r.ranks[:half]))
-            pending.append(_Range(r.lo, r.hi, r.below, r.rows, r.ranks[half:]))
-        else:
-            margin *= 4
-            if margin > 1:
-                found.update(_resolve_locally(vals, r))
-            else:
-                pending.append(r)
-    return found
+from tenderlake.session import drop_scratch, materialize, scratch_path
+
+
+def select_ranks(values: DataFrame, column: str, probs: list[float]) -> tuple[int, dict[int, object]]:
+    """(number of non-NULL values, exact value at each 0-based rank the quantiles need)."""
+    spark = values.sparkSession
+    path = scratch_path(spark, "value-counts")
+    try:
+        counts = (values.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+                  .groupBy("v").agg(F.count("*").alias("c"))
+                  .repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+        stored = materialize(counts, "value-counts", path)
+        parts = sorted(stored.groupBy("part").agg(F.sum("c").alias("c"), F.min("v").alias("lo")).collect(),
+                       key=lambda r: r["lo"])
+        starts = [0, *accumulate(r["c"] for r in parts)]
+        total = starts[-1]
+        wanted: dict[int, list[int]] = {}
+        for rank in sorted(set(interpolation_ranks(total, probs))) if total else []:
+            wanted.setdefault(bisect_right(starts, rank) - 1, []).append(rank)
+        if not wanted:
+            return total, {}
+        # ranks relative to their partition; a running count in each partition that holds one
+        asked = spark.createDataFrame([(parts[i]["part"], k - starts[i], k) for i, ks in wanted.items() for k in ks],
+                                      "part int, at long, rank long")
+        w = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        held = stored.where(F.col("part").isin([parts[i]["part"] for i in wanted])).withColumn("upto", F.sum("c").over(w))
+        hits = held.join(asked, "part").where((F.col("at") >= F.col("upto") - F.col("c")) & (F.col("at") < F.col("upto")))
+        return total, {r["rank"]: r["v"] for r in hits.select("rank", "v").collect()}
+    finally:
+        drop_scratch(spark, path)
 
 
 def interpolation_ranks(n: int, probs: list[float]) -> list[int]:
-    out = []
-    for p in probs:
-        pos = p * (n - 1)
-        out += [math.floor(pos), math.ceil(pos)]
-    return out
+    return [k for p in probs for k in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
 
 
-def exact_quantiles(values: DataFrame, column: str, probs: list[float], total: int | None = None,
-                    local_limit: int = LOCAL_LIMIT) -> list[float | None]:
+def exact_quantiles(values: DataFrame, column: str, probs: list[float]) -> list[float | None]:
     """Linear-interpolated quantiles (the same definition as Spark's
     ``percentile`` and SQL ``quantile_cont``) of the non-NULL values."""
-    if total is None:
-        total = values.where(F.col(column).isNotNull()).count()
+    total, picked = select_ranks(values, column, probs)
     if total == 0:
         return [None for _ in probs]
-    picked = select_ranks(values, column, interpolation_ranks(total, probs), total, local_limit)
     out = []
     for p in probs:
         pos = p * (total - 1)

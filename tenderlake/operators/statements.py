@@ -12,10 +12,10 @@ from tenderlake.operators.dedup import latest_per_key
 LONG_COLUMNS = ["millesime", "date_de_cloture", "duree", "tranche_ca_millesime", "ca", "resultat", "effectif"]
 
 
-def statements_unpivot(staging: DataFrame) -> DataFrame:
+def statements_long(staging: DataFrame) -> DataFrame:
     """One row per (company, fiscal year) in a single scan: both year blocks
     become an array of same-named structs, ``inline`` expands it; rows whose
-    year text is not 4 characters are dropped, exact duplicates removed."""
+    year text is not 4 characters are dropped."""
     def block(i: int):
         return F.struct(
             F.col(f"millesime_{i}").alias("millesime"),
@@ -26,8 +26,12 @@ def statements_unpivot(staging: DataFrame) -> DataFrame:
             F.col(f"resultat_{i}").alias("resultat"),
             F.col(f"effectif_{i}").alias("effectif"))
     return (staging.select("siren", F.inline(F.array(block(1), block(2))))
-            .where(F.length("millesime") == 4)
-            .distinct())
+            .where(F.length("millesime") == 4))
+
+
+def statements_unpivot(staging: DataFrame) -> DataFrame:
+    """The long form without exact duplicates."""
+    return statements_long(staging).distinct()
 
 
 def statements_normalized(long: DataFrame) -> DataFrame:
@@ -57,7 +61,8 @@ def statements_unique(normalized: DataFrame) -> DataFrame:
 
 
 def datalake_statements(staging: DataFrame) -> DataFrame:
-    return statements_unique(statements_normalized(statements_unpivot(staging)))
+    """Keep-one per key needs no distinct before it (a shuffle of whole rows saved)."""
+    return statements_unique(statements_normalized(statements_long(staging)))
 
 
 def statements_per_year(statements: DataFrame) -> DataFrame:
