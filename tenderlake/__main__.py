@@ -20,7 +20,7 @@ import json
 
 from tenderlake.operators import profile
 from tenderlake.plans.pipeline import Pipeline
-from tenderlake.session import build_session, cluster_conf
+from tenderlake.session import build_session, cluster_conf, drop_scratch
 from tenderlake.sinks.warehouse import Warehouse
 
 
@@ -33,8 +33,10 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("load-contracts", "load-registry", "load-statements", "load-codes"):
         p = sub.add_parser(name)
         p.add_argument("path")
+        p.add_argument("--multi-line", action="store_true",
+                       help="pretty-printed documents / newlines inside quoted fields")
         if name == "load-contracts":
-            p.add_argument("--multi-line", action="store_true", help="pretty-printed documents")
+            p.add_argument("--tolerant", action="store_true", help="keep and count malformed documents, go on")
         if name == "load-statements":
             p.add_argument("--no-header", action="store_true")
     for name in ("refresh-contracts", "refresh-registry", "refresh-statements", "refresh-codes", "reports"):
@@ -52,20 +54,23 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master, conf=conf)
     pipe = Pipeline(spark, Warehouse(spark, args.warehouse))
     steps = {
-        "load-contracts": lambda: pipe.load_contracts(args.path, multi_line=args.multi_line),
+        "load-contracts": lambda: pipe.load_contracts(args.path, multi_line=args.multi_line, tolerant=args.tolerant),
         "refresh-contracts": pipe.refresh_contracts,
-        "load-registry": lambda: pipe.load_registry(args.path),
+        "load-registry": lambda: pipe.load_registry(args.path, multi_line=args.multi_line),
         "refresh-registry": pipe.refresh_registry,
-        "load-statements": lambda: pipe.load_statements(args.path, header=not getattr(args, "no_header", False)),
+        "load-statements": lambda: pipe.load_statements(args.path, header=not args.no_header,
+                                                        multi_line=args.multi_line),
         "refresh-statements": pipe.refresh_statements,
-        "load-codes": lambda: pipe.load_codes(args.path),
+        "load-codes": lambda: pipe.load_codes(args.path, multi_line=args.multi_line),
         "refresh-codes": pipe.refresh_codes,
         "reports": pipe.refresh_reports,
     }
     if args.cmd in steps:
         report = steps[args.cmd]()
         print(json.dumps({"step": report.step, "checks": report.checks,
+                          "notes": report.notes,
                           "upserts": {k: vars(v) for k, v in report.upserts.items()}}, default=str))
+        drop_scratch(spark)
         return
     layer, table = args.table.split(".", 1)
     df = pipe.wh.read(layer, table)

@@ -1,23 +1,25 @@
 """End-to-end jobs: land -> datalake (upsert) -> dwh (refresh) -> reports.
 
-Each step reads committed tables and writes a new table version, so lineage
-never spans more than one step and a lost executor only recomputes work of
-the running step.  Quality checks run on every keyed table a step writes.
+Each step reads published tables and stages new versions, so lineage never
+spans more than one step and a lost executor only recomputes work of the
+running step.  Quality checks run on every keyed table a step staged, before
+it is published.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tenderlake import schemas
 from tenderlake.operators import codes, companies, contracts, quality, reports, statements
-from tenderlake.sinks.warehouse import UpsertResult, Warehouse
-from tenderlake.sources import (award_rows, clean_loaded, contract_rows, read_contracts, read_delimited,
-                                strip_escapes)
+from tenderlake.session import drop_scratch, materialize, scratch_path
+from tenderlake.sinks.warehouse import Staged, UpsertResult, Warehouse
+from tenderlake.sources import (award_rows, clean_loaded, contract_rows, landed_contracts, read_delimited,
+                                rejected_documents, strip_escapes, typed_contracts, value_defects)
 
 # Declared widths of the registry landing table (every column 256 bytes).
 REGISTRY_WIDTHS = {c: 256 for c in schemas.REGISTRY_COLUMNS}
@@ -32,8 +34,13 @@ class StepReport:
 
 
 class Pipeline:
-    """``keep_versions``: after a step's checks pass, delete all but that many
-    newest versions of every table the step wrote (default: keep all)."""
+    """A step stages its tables, checks the staged rows and only then
+    publishes them: a table that fails its check never becomes current.
+
+    Rows without a key go to ``rejects.<table>`` before anything else looks at
+    them, and their number to the step's report.  ``keep_versions``: after a
+    step is published, delete all but that many newest versions of every table
+    it wrote (default: keep all)."""
 
     def __init__(self, spark: SparkSession, warehouse: Warehouse, check: bool = True,
                  keep_versions: int | None = None):
@@ -41,67 +48,89 @@ class Pipeline:
         self.wh = warehouse
         self.check = check
         self.keep_versions = keep_versions
-        self._written: set[tuple[str, str]] = set()
-
-    def _overwrite(self, df: DataFrame, layer: str, table: str) -> int:
-        self._written.add((layer, table))
-        return self.wh.overwrite(df, layer, table)
-
-    def _upsert(self, df: DataFrame, layer: str, table: str, key: str, distinct: bool = True) -> UpsertResult:
-        self._written.add((layer, table))
-        return self.wh.upsert(df, layer, table, key, distinct=distinct)
-
-    def _checks(self, step: StepReport, tables: dict[str, tuple[str, str, str]]) -> None:
-        if self.check:
-            frames = {name: (self.wh.read(layer, table), key) for name, (layer, table, key) in tables.items()}
+        self._staged: list[tuple[Staged, str | None]] = []
+
+    def _overwrite(self, df: DataFrame, layer: str, table: str, schema: StructType, key: str | None = None) -> None:
+        """Stage a whole table; with ``key`` it is checked before it is published."""
+        self._staged.append((self.wh.stage(schemas.conform(df, schema), layer, table), key))
+
+    def _upsert(self, step: StepReport, df: DataFrame, layer: str, table: str, key: str, schema: StructType,
+                distinct: bool = True, rejected: int = 0) -> None:
+        staged = self.wh.stage_upsert(schemas.conform(df, schema), layer, table, key, distinct=distinct)
+        staged.result.null_keys_rejected += rejected
+        step.upserts[table] = staged.result
+        self._staged.append((staged, key))
+
+    def _keyed(self, step: StepReport, df: DataFrame, table: str, key: str) -> tuple[DataFrame, int]:
+        """(rows that have a key, number of those that don't); the latter are kept in ``rejects.<table>``."""
+        self.wh.overwrite(df.where(F.col(key).isNull()), "rejects", table)
+        rejected = self.wh.read("rejects", table).count()
+        step.notes[f"{table}_without_key"] = rejected
+        return df.where(F.col(key).isNotNull()), rejected
+
+    def _commit(self, step: StepReport) -> StepReport:
+        staged, self._staged = self._staged, []
+        frames = {f"{s.layer}.{s.table}": (self.wh.preview(s), key) for s, key in staged if key}
+        if self.check and frames:
             step.checks = quality.assert_quality(quality.quality_report(frames))
-        self._retain()
-
-    def _retain(self) -> None:
+        for s, _ in staged:
+            self.wh.publish(s)
         if self.keep_versions:
-            for layer, table in sorted(self._written):
-                self.wh.vacuum(layer, table, keep=self.keep_versions)
-        self._written.clear()
+            for s, _ in staged:
+                self.wh.vacuum(s.layer, s.table, keep=self.keep_versions)
+        return step
 
     # -- Entry A: contracts ------------------------------------------------------
-    def load_contracts(self, path: str, multi_line: bool = False,
-                       widths: dict[str, int] | None = None) -> StepReport:
+    def load_contracts(self, path: str, multi_line: bool = False, widths: dict[str, int] | None = None,
+                       tolerant: bool = False) -> StepReport:
         """Parse the documents once into a columnar staging table, then derive
-        contract and award rows from it (each reads only its columns)."""
+        contract and award rows from it (each reads only its columns).
+
+        A malformed document stops the load; with ``tolerant`` such documents
+        are kept in ``rejects.decp_documents`` and counted.  Values that don't
+        fit their type are counted while the staging table is written."""
         step = StepReport("load_contracts")
-        self._overwrite(read_contracts(self.spark, path, multi_line), "staging", "decp_contracts")
+        if tolerant:
+            self.wh.overwrite(rejected_documents(self.spark, path, multi_line), "rejects", "decp_documents")
+            step.notes["documents_rejected"] = self.wh.read("rejects", "decp_documents").count()
+        seen = Observation("load_contracts")
+        landed = landed_contracts(self.spark, path, multi_line, tolerant=tolerant)
+        counted = landed.observe(seen, *value_defects())
+        self.wh.overwrite(typed_contracts(counted), "staging", "decp_contracts")
+        step.notes.update({k: int(v or 0) for k, v in seen.get.items()})
         nested = self.wh.read("staging", "decp_contracts")
-        marches = clean_loaded(strip_escapes(contract_rows(nested)), widths)
+        marches, rejected = self._keyed(step, contracts.marches_typed(
+            clean_loaded(strip_escapes(contract_rows(nested)), widths)), "decp_marches", "decp_uid")
         awards = clean_loaded(strip_escapes(award_rows(nested)), widths)
         # both batches are already one row per key: no whole-row distinct
-        step.upserts["decp_marches"] = self._upsert(contracts.marches_unique(marches), "datalake",
-                                                      "decp_marches", "decp_uid", distinct=False)
-        step.upserts["decp_titulaires"] = self._upsert(contracts.titulaires_unique(awards), "datalake",
-                                                         "decp_titulaires", "decp_bridge_uid", distinct=False)
-        self._checks(step, {"datalake.decp_marches": ("datalake", "decp_marches", "decp_uid"),
-                            "datalake.decp_titulaires": ("datalake", "decp_titulaires", "decp_bridge_uid")})
-        return step
+        self._upsert(step, contracts.newest_marches(marches).drop("publication_text"), "datalake", "decp_marches",
+                     "decp_uid", schemas.DATALAKE_MARCHES, distinct=False, rejected=rejected)
+        self._upsert(step, contracts.titulaires_unique(awards), "datalake", "decp_titulaires", "decp_bridge_uid",
+                     schemas.DATALAKE_TITULAIRES, distinct=False)
+        return self._commit(step)
 
     # -- Entry B: contracts warehouse layer ----------------------------------------
     def refresh_contracts(self) -> StepReport:
         step = StepReport("refresh_contracts")
         wh = self.wh
-        self._overwrite(contracts.dwh_titulaires(wh.read("datalake", "decp_titulaires")), "dwh", "decp_titulaires")
-        self._overwrite(contracts.marches_prepared(wh.read("datalake", "decp_marches")), "dwh", "decp_marches")
-        self._overwrite(contracts.siren_used(wh.read("dwh", "decp_titulaires")), "dwh", "decp_siren_used")
-        self._overwrite(contracts.time_dimension(wh.read("dwh", "decp_marches")), "dwh", "time")
-        self._checks(step, {"dwh.decp_marches": ("dwh", "decp_marches", "decp_uid"),
-                            "dwh.decp_titulaires": ("dwh", "decp_titulaires", "decp_bridge_uid")})
-        return step
+        self._overwrite(contracts.dwh_titulaires(wh.read("datalake", "decp_titulaires")), "dwh", "decp_titulaires",
+                        schemas.DWH_TITULAIRES, "decp_bridge_uid")
+        titulaires = wh.preview(self._staged[-1][0])
+        self._overwrite(contracts.marches_prepared(wh.read("datalake", "decp_marches")), "dwh", "decp_marches",
+                        schemas.DWH_MARCHES, "decp_uid")
+        marches = wh.preview(self._staged[-1][0])
+        self._overwrite(contracts.siren_used(titulaires), "dwh", "decp_siren_used", schemas.SIREN_USED)
+        self._overwrite(contracts.time_dimension(marches), "dwh", "time", schemas.TIME)
+        return self._commit(step)
 
     # -- company registry ---------------------------------------------------------
-    def load_registry(self, path: str) -> StepReport:
+    def load_registry(self, path: str, widths: dict[str, int] | None = None, multi_line: bool = False) -> StepReport:
         step = StepReport("load_registry")
-        reg = clean_loaded(read_delimited(self.spark, path, schemas.REGISTRY, sep=",", header=True),
-                           REGISTRY_WIDTHS)
-        step.upserts["siren_attributes"] = self._upsert(reg, "datalake", "siren_attributes", "siren")
-        self._checks(step, {"datalake.siren_attributes": ("datalake", "siren_attributes", "siren")})
-        return step
+        reg = clean_loaded(read_delimited(self.spark, path, schemas.REGISTRY, sep=",", header=True,
+                                          multi_line=multi_line), REGISTRY_WIDTHS if widths is None else widths)
+        keyed, rejected = self._keyed(step, reg, "siren_attributes", "siren")
+        self._upsert(step, keyed, "datalake", "siren_attributes", "siren", schemas.REGISTRY, rejected=rejected)
+        return self._commit(step)
 
     def refresh_registry(self) -> StepReport:
         """Companies whose siren is not a number get a NULL VAT number instead
@@ -111,44 +140,42 @@ class Pipeline:
         out = companies.siren_of_interest(std, self.wh.read("dwh", "decp_siren_used"))
         obs = Observation("refresh_registry")
         out = out.observe(obs, F.count_if(F.col("euvat").isNull() & F.col("siren").isNotNull()).alias("n"))
-        self._overwrite(out, "dwh", "siren_attributes")
+        self._overwrite(out, "dwh", "siren_attributes", schemas.DWH_SIREN, "siren")
         step.notes["siren_without_vat"] = int(obs.get.get("n", 0) or 0)
-        self._checks(step, {"dwh.siren_attributes": ("dwh", "siren_attributes", "siren")})
-        return step
+        return self._commit(step)
 
     # -- financial statements -------------------------------------------------------
-    def load_statements(self, path: str, header: bool = True) -> StepReport:
+    def load_statements(self, path: str, header: bool = True, multi_line: bool = False) -> StepReport:
         step = StepReport("load_statements")
         raw = clean_loaded(read_delimited(self.spark, path, schemas.STAGING_STATEMENTS, sep=";", header=header,
-                                          fill_missing=True))
-        step.upserts["infogreffe_attributes"] = self._upsert(statements.datalake_statements(raw), "datalake",
-                                                               "infogreffe_attributes", "infogreffe_uid",
-                                                               distinct=False)
-        self._checks(step, {"datalake.infogreffe_attributes": ("datalake", "infogreffe_attributes",
-                                                               "infogreffe_uid")})
-        return step
+                                          fill_missing=True, multi_line=multi_line))
+        normal = statements.statements_normalized(statements.statements_long(raw))
+        keyed, rejected = self._keyed(step, normal, "infogreffe_attributes", "infogreffe_uid")
+        self._upsert(step, statements.statements_unique(keyed), "datalake", "infogreffe_attributes", "infogreffe_uid",
+                     schemas.DATALAKE_STATEMENTS, distinct=False, rejected=rejected)
+        return self._commit(step)
 
     def refresh_statements(self) -> StepReport:
         step = StepReport("refresh_statements")
         std = statements.dwh_statements(self.wh.read("datalake", "infogreffe_attributes"))
         self._overwrite(statements.statements_of_interest(std, self.wh.read("dwh", "decp_siren_used")),
-                        "dwh", "infogreffe_attributes")
-        self._checks(step, {"dwh.infogreffe_attributes": ("dwh", "infogreffe_attributes", "infogreffe_uid")})
-        return step
+                        "dwh", "infogreffe_attributes", schemas.DWH_STATEMENTS, "infogreffe_uid")
+        return self._commit(step)
 
     # -- goods / services codes -------------------------------------------------------
-    def load_codes(self, path: str) -> StepReport:
+    def load_codes(self, path: str, multi_line: bool = False) -> StepReport:
         step = StepReport("load_codes")
-        raw = clean_loaded(read_delimited(self.spark, path, schemas.CPV, sep="|", header=True), schemas.CPV_WIDTHS)
-        step.upserts["cpv_attributes"] = self._upsert(raw, "datalake", "cpv_attributes", "codecpv")
-        self._checks(step, {"datalake.cpv_attributes": ("datalake", "cpv_attributes", "codecpv")})
-        return step
+        raw = clean_loaded(read_delimited(self.spark, path, schemas.CPV, sep="|", header=True, multi_line=multi_line),
+                           schemas.CPV_WIDTHS)
+        keyed, rejected = self._keyed(step, raw, "cpv_attributes", "codecpv")
+        self._upsert(step, keyed, "datalake", "cpv_attributes", "codecpv", schemas.CPV, rejected=rejected)
+        return self._commit(step)
 
     def refresh_codes(self) -> StepReport:
         step = StepReport("refresh_codes")
-        self._overwrite(codes.cpv_refresh(self.wh.read("datalake", "cpv_attributes")), "dwh", "cpv_attributes")
-        self._checks(step, {"dwh.cpv_attributes": ("dwh", "cpv_attributes", "codecpv")})
-        return step
+        self._overwrite(codes.cpv_refresh(self.wh.read("datalake", "cpv_attributes")), "dwh", "cpv_attributes",
+                        schemas.CPV, "codecpv")
+        return self._commit(step)
 
     # -- Entry C: reports -------------------------------------------------------------
     def refresh_reports(self) -> StepReport:
@@ -158,19 +185,19 @@ class Pipeline:
         step = StepReport("refresh_reports")
         wh = self.wh
         marches = wh.read("dwh", "decp_marches")
-        totals = reports.siren_totals(marches, wh.read("dwh", "decp_titulaires")).persist(
-            StorageLevel.MEMORY_AND_DISK)
+        scratch = scratch_path(self.spark, "siren-totals")
+        totals = materialize(reports.siren_totals(marches, wh.read("dwh", "decp_titulaires")), "siren-totals", scratch)
         try:
             names = wh.read("dwh", "siren_attributes")
             self._overwrite(reports.fact_per_suppliername(totals, names, ordered=False),
-                            "dwh", "fact_per_suppliername")
-            self._overwrite(reports.fact_per_ess(totals, names, ordered=False), "dwh", "fact_per_ess")
+                            "dwh", "fact_per_suppliername", schemas.FACT_PER_SUPPLIERNAME)
+            self._overwrite(reports.fact_per_ess(totals, names, ordered=False), "dwh", "fact_per_ess",
+                            schemas.FACT_PER_ESS)
         finally:
-            totals.unpersist()
+            drop_scratch(self.spark, scratch)
         self._overwrite(reports.contracts_year_month(marches, wh.read("dwh", "time"), ordered=False),
-                        "dwh", "contracts_year_month")
-        self._retain()
-        return step
+                        "dwh", "contracts_year_month", schemas.CONTRACTS_YEAR_MONTH)
+        return self._commit(step)
 
     def report(self, name: str) -> DataFrame:
         """A stored report in its published order."""

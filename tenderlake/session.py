@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC so dates never shift, AQE so join
 # strategy and partition counts follow runtime sizes, skew-join splitting for
@@ -38,18 +38,17 @@ def build_session(master: str | None = None, app_name: str = "tenderlake",
     return spark
 
 
-def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, min_partitions: int = 8,
-                 max_partitions: int = 100_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, min_partitions: int = 8) -> dict[str, str]:
     """Shuffle sizing for a cluster run over ``input_bytes`` of landed data.
 
-    AQE starts every shuffle with enough partitions for ~``partition_bytes``
-    of input each (so no reducer spills at full scale) and coalesces them at
-    runtime down to its 64 MB advisory size when a stage is smaller, e.g.
-    after a de-dup or a per-company aggregate.  Scans split files at 128 MB.
-    The count is capped (map-output tracking grows with it); beyond the cap
-    AQE's skew handling still splits oversized reducer partitions.
+    AQE starts every shuffle with a partition for each ``partition_bytes`` of
+    input and coalesces them at runtime down to its 64 MB advisory size when a
+    stage is smaller, e.g. after a de-dup or a per-company aggregate.  Scans
+    split files at 128 MB.  At 100 TB that is some 400,000 partitions; where
+    the driver can't track so many, raise ``partition_bytes`` (reducers then
+    sort and spill larger partitions, with the same results).
     """
-    n = min(max_partitions, max(min_partitions, -(-input_bytes // partition_bytes)))
+    n = max(min_partitions, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
@@ -61,27 +60,64 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, min_partiti
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a distributed folder and is used as is.
-    Only where it is unset (local tests) a private folder is created.
+    On a cluster the setting must name a distributed folder and is used as
+    is; without it the call fails, because no machine's own folder is seen by
+    the other machines.  Only a local session (tests) gets a private folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         path = tempfile.mkdtemp(prefix="tenderlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark)
+    shared_dir(spark)
+    return f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused sub-folder of the shared folder."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused sub-folder of the application's scratch folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the JVM for a path of any store Spark knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
 
+def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
+    """Delete one scratch folder, by default all of this application's.
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+    Frames returned by queries read their scratch lazily, so whoever uses
+    their rows calls this when done (the command line, the bench and the test
+    session do).
+    """
+    root = _scratch_root(spark)
+    if path is not None and not path.startswith(root + "/"):
+        raise ValueError(f"{path} is no scratch folder")
+    fs, p = hadoop_path(spark, path or root)
+    fs.delete(p, True)
+
+
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    Cuts lineage recoverably: a lost executor loses nothing, and everything
+    computed from the rows sees the same rows.
+    """
+    path = path or scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["build_session", "cluster_conf", "shared_dir", "scratch_path", "local_path", "DEFAULT_CONF"]
+__all__ = ["build_session", "cluster_conf", "shared_dir", "scratch_path", "drop_scratch", "materialize",
+           "hadoop_path", "DEFAULT_CONF"]

@@ -1,26 +1,40 @@
-"""Keyed parquet tables with snapshot replacement.
-
-A table is a folder ``<root>/<layer>/<table>/`` holding one sub-folder per
-version (``v=000001``...).  A version is visible once Spark's commit wrote
-its ``_SUCCESS`` marker; readers take the newest visible one.  Overwrite and
-upsert build a whole new version next to the current one, so a failed or
-interrupted job leaves the previous version readable and a re-run starts
-over cleanly (no table ever reads and overwrites itself).
+"""Keyed parquet tables as immutable folders and published versions.
+
+A table is a folder ``<root>/<layer>/<table>/``:
+
+* ``data/<id>/`` holds files that one job wrote and nothing ever changes;
+  tables written with a key have a sub-folder ``_bucket=<n>`` per hash bucket
+  of the key (NULL keys in a bucket of their own).
+* ``versions/<number>`` is a small text file that lists the folders a version
+  consists of.  A version exists once this file does; it is written by the
+  driver after the job has returned, in one create call.
+
+Every write stages new folders first and publishes later, so checks can run
+on rows nobody sees yet, and a failed or interrupted job leaves the current
+version as it was.  An append adds a folder to the list.  An upsert reads and
+rewrites only the buckets its batch falls into and carries all other folders
+over by reference.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-_PREFIX = "v="
+from tenderlake.session import drop_scratch, hadoop_path, materialize, scratch_path
+
+BUCKET = "_bucket"
+NULL_BUCKET = -1
 
-# Largest measured key set broadcast to the upsert anti-join (bytes).
-BROADCAST_KEYS_LIMIT = 64 << 20
+#: Hash buckets of a keyed table.  Choose it so that a usual batch touches few
+#: of them and one bucket is a few files: the table's gigabytes, roughly.
+BUCKETS = 64
 
 
 @dataclass
@@ -28,150 +42,216 @@ class UpsertResult:
     version: int
     rows_in_batch: int
     null_keys_rejected: int
+    buckets_rewritten: int = 0
+
+
+@dataclass
+class Staged:
+    """Rows written but not yet visible; ``parts`` are [bucket or None, folder] pairs."""
+    layer: str
+    table: str
+    schema: StructType
+    key: str | None
+    buckets: int
+    parts: list[list]
+    result: UpsertResult = field(default_factory=lambda: UpsertResult(-1, -1, 0))
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    k = F.col(key)
+    return F.when(k.isNull(), NULL_BUCKET).otherwise(F.pmod(F.xxhash64(k), F.lit(buckets))).cast("int")
 
 
-def upsert_frame(target: DataFrame, batch: DataFrame, key: str, insert: DataFrame | None = None,
-                 distinct: bool = True, broadcast_keys: bool = False) -> DataFrame:
+def upsert_frame(target: DataFrame, batch: DataFrame, key: str, distinct: bool = True) -> DataFrame:
     """Target rows whose key is not in the batch, plus the distinct batch rows.
 
     Batch rows with a NULL key are left out: a NULL key never matches the
     delete, so inserting it would add one more NULL-key row per run.  Target
-    rows with a NULL key are kept (NULL never equals a batch key).  Columns
-    are matched by name; the result has the target's column order.
-    ``insert`` is the same batch with observation metrics attached (kept off
-    the key branch so metrics are counted once).  ``distinct=False`` skips
-    the whole-row de-duplication (a shuffle of the batch) for batches that
-    are already one row per key.
-    NULL-key target rows bypass the join: they can never match, and in a
-    sort-merge anti-join they would all hash to one reducer.
-    ``broadcast_keys`` is only for a batch whose key set was measured to be
-    small: the target is then filtered map-side, without being shuffled.
+    rows with a NULL key are kept (NULL never equals a batch key) and bypass
+    the join, where they would all hash to one reducer.  Columns are matched
+    by name; the result has the target's column order.  ``distinct=False``
+    skips the whole-row de-duplication (a shuffle of the batch) for batches
+    that are already one row per key.
     """
     k = F.col(key)
-    insert = (batch if insert is None else insert).select(*target.columns).where(k.isNotNull())
-    keys = batch.select(key).where(k.isNotNull())
-    keys = F.broadcast(keys) if broadcast_keys else keys
-    kept = target.where(k.isNotNull()).join(keys, on=key, how="left_anti")
-    return (target.where(k.isNull()).unionByName(kept.select(*target.columns))
+    insert = batch.select(*target.columns).where(k.isNotNull())
+    kept = target.where(k.isNotNull()).join(insert.select(key), on=key, how="left_anti").select(*target.columns)
+    return (target.where(k.isNull()).unionByName(kept)
             .unionByName(insert.distinct() if distinct else insert))
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     # -- paths and versions ------------------------------------------------
     def location(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+    def _names(self, path: str) -> list[str]:
+        fs, p = hadoop_path(self.spark, path)
+        return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
     def versions(self, layer: str, table: str) -> list[int]:
-        fs, p = self._fs(self.location(layer, table))
-        if not fs.exists(p):
-            return []
-        jvm = self.spark.sparkContext._jvm
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith(_PREFIX) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[len(_PREFIX):]))
-        return sorted(out)
+        return [int(n) for n in self._names(f"{self.location(layer, table)}/versions") if n.isdigit()]
 
     def current(self, layer: str, table: str) -> int | None:
         v = self.versions(layer, table)
         return v[-1] if v else None
 
-    def _version_path(self, layer: str, table: str, version: int) -> str:
-        return f"{self.location(layer, table)}/{_PREFIX}{version:06d}"
-
     def exists(self, layer: str, table: str) -> bool:
         return self.current(layer, table) is not None
 
+    def _manifest(self, layer: str, table: str, version: int) -> Staged:
+        fs, p = hadoop_path(self.spark, f"{self.location(layer, table)}/versions/{version:06d}")
+        stream = fs.open(p)
+        try:
+            text = bytes(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        finally:
+            stream.close()
+        m = json.loads(text)
+        return Staged(layer, table, StructType.fromJson(m["schema"]), m["key"], m["buckets"], m["parts"])
+
+    def publish(self, staged: Staged) -> int:
+        """Make staged rows the table's current version; fails if another writer was faster."""
+        v = (self.current(staged.layer, staged.table) or 0) + 1
+        text = json.dumps({"schema": staged.schema.jsonValue(), "key": staged.key, "buckets": staged.buckets,
+                           "parts": staged.parts})
+        fs, p = hadoop_path(self.spark, f"{self.location(staged.layer, staged.table)}/versions/{v:06d}")
+        out = fs.create(p, False)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        staged.result.version = v
+        return v
+
     # -- read ----------------------------------------------------------------
+    def _rows(self, layer: str, table: str, schema: StructType, parts: list[list]) -> DataFrame:
+        base = f"{self.location(layer, table)}/data"
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{base}/{folder}" for _, folder in parts])
+
+    def preview(self, staged: Staged) -> DataFrame:
+        """What the table will hold once ``staged`` is published."""
+        return self._rows(staged.layer, staged.table, staged.schema, staged.parts)
+
     def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
         """SRC-9: the current version of a table (empty with ``schema`` if none)."""
         v = self.current(layer, table)
         if v is None:
             if schema is None:
-                raise FileNotFoundError(f"{layer}.{table} has no committed version")
+                raise FileNotFoundError(f"{layer}.{table} has no published version")
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(self._version_path(layer, table, v))
+        return self.preview(self._manifest(layer, table, v))
 
     # -- write ---------------------------------------------------------------
-    def _next(self, layer: str, table: str) -> int:
-        fs, p = self._fs(self.location(layer, table))
-        seen = [0]
-        if fs.exists(p):
-            for st in fs.listStatus(p):
-                name = st.getPath().getName()
-                if name.startswith(_PREFIX):
-                    seen.append(int(name[len(_PREFIX):]))
-        return max(seen) + 1
-
-    def overwrite(self, df: DataFrame, layer: str, table: str) -> int:
+    def _write(self, df: DataFrame, layer: str, table: str, key: str | None, buckets: int) -> list[list]:
+        """Write rows to a new folder; its parts."""
+        new = uuid.uuid4().hex
+        path = f"{self.location(layer, table)}/data/{new}"
+        if key is None:
+            df.write.mode("errorifexists").parquet(path)
+            return [[None, new]]
+        # rebalancing by bucket gives few files per bucket and splits a bucket that is large
+        (df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET)
+         .write.mode("errorifexists").partitionBy(BUCKET).parquet(path))
+        folders = [n for n in self._names(path) if n.startswith(f"{BUCKET}=")]
+        return [[int(n.split("=")[1]), f"{new}/{n}"] for n in folders]
+
+    def stage(self, df: DataFrame, layer: str, table: str, key: str | None = None) -> Staged:
+        """Write a whole new content for a table, in buckets of ``key`` if given."""
+        return Staged(layer, table, df.schema, key, self.buckets, self._write(df, layer, table, key, self.buckets))
+
+    def overwrite(self, df: DataFrame, layer: str, table: str, key: str | None = None) -> int:
         """SNK-1: replace the table's content with ``df`` (new version)."""
-        v = self._next(layer, table)
-        df.write.mode("errorifexists").parquet(self._version_path(layer, table, v))
-        return v
+        return self.publish(self.stage(df, layer, table, key))
 
-    def append(self, df: DataFrame, layer: str, table: str) -> int:
-        """SNK-4: add rows to the current version, columns matched by name in
-        the table's order (never by position)."""
+    def stage_append(self, df: DataFrame, layer: str, table: str) -> Staged:
         v = self.current(layer, table)
         if v is None:
-            return self.overwrite(df, layer, table)
-        cols = self.read(layer, table).columns
-        missing = set(cols) - set(df.columns)
+            return self.stage(df, layer, table)
+        old = self._manifest(layer, table, v)
+        missing = set(old.schema.fieldNames()) - set(df.columns)
         if missing:
             raise ValueError(f"append to {layer}.{table}: batch lacks columns {sorted(missing)}")
-        df.select(*cols).write.mode("append").parquet(self._version_path(layer, table, v))
-        return v
+        new = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in old.schema.fields])
+        return Staged(layer, table, old.schema, old.key, old.buckets,
+                      old.parts + self._write(new, layer, table, old.key, old.buckets))
 
-    def upsert(self, batch: DataFrame, layer: str, table: str, key: str, distinct: bool = True,
-               count: bool = True) -> UpsertResult:
-        """SNK-2: delete target rows whose key is in the batch, insert the
-        distinct batch rows, as one new version.  Batch counts come from an
-        ``Observation`` on the write, so no extra pass over the data
-        (``count=False`` inside streaming micro-batches, where the metrics are
-        not delivered to the observation; counts are then -1)."""
-        if not self.exists(layer, table):
-            obs = Observation(f"upsert_{layer}_{table}") if count else None
-            new = batch.observe(obs, F.count(F.lit(1)).alias("rows"),
-                                F.count_if(F.col(key).isNull()).alias("null_keys")) if count else batch
-            new = new.where(F.col(key).isNotNull())
-            v = self.overwrite(new.distinct() if distinct else new, layer, table)
-            return self._result(v, obs)
-        # The batch is measured once (exact key bytes) and kept for the write:
-        # a key set under BROADCAST_KEYS_LIMIT is broadcast so the (large)
-        # target is never shuffled; above it the anti-join is a sort-merge join.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    def append(self, df: DataFrame, layer: str, table: str) -> int:
+        """SNK-4: add rows as a new version of the old folders and one more,
+        columns matched by name (never by position)."""
+        return self.publish(self.stage_append(df, layer, table))
+
+    def stage_upsert(self, batch: DataFrame, layer: str, table: str, key: str, distinct: bool = True,
+                     merge: Callable[[DataFrame], DataFrame] | None = None) -> Staged:
+        """SNK-2: delete target rows whose key is in the batch and insert the
+        distinct batch rows, in the buckets the batch falls into.
+
+        ``merge`` decides instead between old and new rows of a key: it gets
+        the old and new rows of the touched buckets together and returns the
+        rows to keep.  NULL-key batch rows are rejected and counted.  A table
+        without buckets of this key is rewritten once, into buckets.
+        """
+        path = scratch_path(self.spark, f"upsert-{table}")
+        rows = materialize(batch, f"upsert-{table}", path)
         try:
-            m = batch.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("null_keys"),
-                          F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)).alias("b")).first()
-            small = m["b"] + 16 * m["rows"] <= BROADCAST_KEYS_LIMIT
-            new = upsert_frame(self.read(layer, table), batch, key, distinct=distinct, broadcast_keys=small)
-            v = self.overwrite(new, layer, table)
+            v = self.current(layer, table)
+            old = self._manifest(layer, table, v) if v is not None else \
+                Staged(layer, table, batch.schema, key, self.buckets, [])
+            buckets = old.buckets
+            # at most one row per bucket reaches the driver
+            counts = {r[BUCKET]: r["n"] for r in
+                      rows.groupBy(bucket_of(key, buckets).alias(BUCKET)).agg(F.count("*").alias("n")).collect()}
+            rejected = counts.pop(NULL_BUCKET, 0)
+            bucketed = old.key == key
+            touched = [p for p in old.parts if not bucketed or p[0] in counts]
+            carried = [p for p in old.parts if p not in touched]
+            target = self._rows(layer, table, old.schema, touched)
+            fresh = rows.where(F.col(key).isNotNull())
+            if merge is not None:
+                keep_null = target.where(F.col(key).isNull())
+                new = keep_null.unionByName(merge(target.where(F.col(key).isNotNull())
+                                                  .unionByName(fresh.select(*target.columns))))
+            elif touched:
+                new = upsert_frame(target, fresh, key, distinct)
+            else:
+                new = fresh.distinct() if distinct else fresh
+            parts = carried + (self._write(new, layer, table, key, buckets) if counts or touched else [])
+            result = UpsertResult(-1, sum(counts.values()) + rejected, rejected, len(counts))
+            return Staged(layer, table, old.schema, key, buckets, parts, result)
         finally:
-            batch.unpersist()
-        return UpsertResult(v, int(m["rows"]), int(m["null_keys"]))
+            drop_scratch(self.spark, path)
 
-    @staticmethod
-    def _result(v: int, obs: Observation | None) -> UpsertResult:
-        if obs is None:
-            return UpsertResult(v, -1, -1)
-        m = obs.get
-        return UpsertResult(v, int(m.get("rows", 0) or 0), int(m.get("null_keys", 0) or 0))
+    def upsert(self, batch: DataFrame, layer: str, table: str, key: str, distinct: bool = True,
+               merge: Callable[[DataFrame], DataFrame] | None = None) -> UpsertResult:
+        staged = self.stage_upsert(batch, layer, table, key, distinct, merge)
+        self.publish(staged)
+        return staged.result
 
     def vacuum(self, layer: str, table: str, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` committed versions."""
+        """Delete all but the newest ``keep`` versions and every data folder no
+        kept version lists (those of failed writes included).  Not to be run
+        while another job writes the table."""
         vs = self.versions(layer, table)
-        drop = vs[:-keep] if keep > 0 else vs
-        for v in drop:
-            fs, p = self._fs(self._version_path(layer, table, v))
-            fs.delete(p, True)
-        return drop
+        kept = vs[-keep:] if keep > 0 else []
+        gone = [v for v in vs if v not in kept]
+        base = self.location(layer, table)
+        for v in gone:
+            fs, p = hadoop_path(self.spark, f"{base}/versions/{v:06d}")
+            fs.delete(p, False)
+        used = {folder for v in kept for _, folder in self._manifest(layer, table, v).parts}
+        for name in self._names(f"{base}/data"):
+            if not any(u == name or u.startswith(f"{name}/") for u in used):
+                fs, p = hadoop_path(self.spark, f"{base}/data/{name}")
+                fs.delete(p, True)
+                continue
+            for sub in self._names(f"{base}/data/{name}"):
+                if sub.startswith(f"{BUCKET}=") and f"{name}/{sub}" not in used:
+                    fs, p = hadoop_path(self.spark, f"{base}/data/{name}/{sub}")
+                    fs.delete(p, True)
+        return gone

@@ -2,43 +2,50 @@
 
 The batch job re-reads a whole landing folder; here the file source tracks
 which files were already ingested (in the checkpoint), so each run only
-parses new documents.  Every micro-batch goes through the same
-de-duplication and upsert as the batch load.  ``foreachBatch`` is
-at-least-once; the upsert is idempotent (re-applying a batch leaves the same
-table), so a batch replayed after a failure changes nothing.
+parses new documents.  A micro-batch is merged with the rows its buckets
+already hold and the newest publication of each key is kept, so the tables
+don't depend on how files fall into batches or in which order they arrive.
+Publications are compared by their landed text, as in the batch load; the
+table ``staging.decp_marches_newest`` keeps that text next to the typed row.
+``foreachBatch`` is at-least-once; the merge is idempotent, so a batch
+replayed after a failure changes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tenderlake import schemas
 from tenderlake.operators import contracts
+from tenderlake.session import materialize
 from tenderlake.sinks.warehouse import Warehouse
-from tenderlake.sources import award_rows, clean_loaded, contract_rows, strip_escapes
+from tenderlake.sources import award_rows, clean_loaded, contract_rows, strip_escapes, typed_contracts
 
 
 def contract_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming frame of contracts (one row per ``.marches[]`` element)
     from JSON documents landing in ``landing_dir``, one document per line."""
-    reader = spark.readStream.schema(schemas.CONTRACT_DOCUMENT)
+    reader = spark.readStream.schema(schemas.LANDED_DOCUMENT).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landing_dir).select(F.explode("marches").alias("m")).select("m.*")
+    landed = reader.json(landing_dir).select(F.explode("marches").alias("m")).select("m.*")
+    return typed_contracts(landed)
 
 
-def _apply(wh: Warehouse, batch: DataFrame, epoch_id: int) -> None:
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        marches = contracts.marches_unique(clean_loaded(strip_escapes(contract_rows(batch))))
-        awards = contracts.titulaires_unique(clean_loaded(strip_escapes(award_rows(batch))))
-        wh.upsert(marches, "datalake", "decp_marches", "decp_uid", distinct=False, count=False)
-        wh.upsert(awards, "datalake", "decp_titulaires", "decp_bridge_uid", distinct=False, count=False)
-    finally:
-        batch.unpersist()
+def _apply(wh: Warehouse, batch: DataFrame) -> None:
+    rows = materialize(batch, "stream-batch")
+    marches = contracts.marches_typed(clean_loaded(strip_escapes(contract_rows(rows))))
+    awards = contracts.award_uid(clean_loaded(strip_escapes(award_rows(rows))))
+    wh.upsert(contracts.newest_marches(marches), "staging", "decp_marches_newest", "decp_uid", distinct=False,
+              merge=contracts.newest_marches)
+    # the published table takes the same keys from the merged state
+    touched = marches.select("decp_uid").where(F.col("decp_uid").isNotNull()).distinct()
+    state = wh.read("staging", "decp_marches_newest").join(touched, "decp_uid", "left_semi")
+    wh.upsert(state.select(*contracts.MARCHES_COLUMNS), "datalake", "decp_marches", "decp_uid", distinct=False)
+    wh.upsert(contracts.longest_named(awards), "datalake", "decp_titulaires", "decp_bridge_uid", distinct=False,
+              merge=contracts.longest_named)
 
 
 def ingest_contracts(spark: SparkSession, landing_dir: str, warehouse: Warehouse, checkpoint: str,
@@ -46,7 +53,7 @@ def ingest_contracts(spark: SparkSession, landing_dir: str, warehouse: Warehouse
     """Start the ingestion; with ``available_now`` it processes every file
     present and stops (a scheduled incremental run)."""
     writer = (contract_stream(spark, landing_dir, max_files_per_trigger).writeStream
-              .foreachBatch(lambda df, epoch: _apply(warehouse, df, epoch))
+              .foreachBatch(lambda df, _epoch: _apply(warehouse, df))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -18,6 +18,8 @@ def spark():
     s = build_session("local[*]", "tenderlake-tests", shuffle_partitions=8,
                       conf={"spark.checkpoint.dir": f"{scratch}/ckpt"})
     yield s
+    from tenderlake.session import drop_scratch
+    drop_scratch(s)
     s.stop()
 
 

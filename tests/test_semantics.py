@@ -167,14 +167,34 @@ def test_truncate_matches_brute_force(spark):
         assert got == exp, w
 
 
-@pytest.mark.parametrize("local_limit", [5, 50, 10_000])
-def test_exact_quantiles_multi_round(spark, local_limit):
-    rnd = np.random.default_rng(3)
-    vals = np.concatenate([rnd.normal(0, 100, 3000), np.full(1500, 42.0), rnd.integers(0, 5, 500)])
+QUANTILE_COLUMNS = {
+    "mixed": lambda rnd: np.concatenate([rnd.normal(0, 100, 3000), np.full(1500, 42.0), rnd.integers(0, 5, 500)]),
+    "constant": lambda rnd: np.full(2000, 7.0),
+    "two values": lambda rnd: np.repeat([1.0, 9.0], [700, 1300]),
+    "half zero": lambda rnd: np.concatenate([np.zeros(2000), rnd.normal(50, 9, 2000)]),
+    "quarter zero": lambda rnd: np.concatenate([np.zeros(1000), rnd.normal(50, 9, 3000)]),
+    "one row": lambda rnd: np.array([3.0]),
+}
+
+
+@pytest.mark.parametrize("shape", QUANTILE_COLUMNS)
+def test_exact_quantiles_in_a_fixed_number_of_jobs(spark, shape):
+    vals = QUANTILE_COLUMNS[shape](np.random.default_rng(3))
     df = spark.createDataFrame([(float(v),) for v in vals] + [(None,)], "x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = quantiles.exact_quantiles(df, "x", probs, local_limit=local_limit)
+    tag = f"quantiles-{shape}"
+    spark.sparkContext.addJobTag(tag)
+    try:
+        got = quantiles.exact_quantiles(df, "x", probs)
+    finally:
+        spark.sparkContext.removeJobTag(tag)
     assert np.allclose(got, np.quantile(vals, probs), rtol=0, atol=1e-9)
+    jobs = spark.sparkContext._jsc.sc().statusTracker().getJobIdsForTag(tag)
+    assert 0 < len(jobs) <= 12
+
+
+def test_no_values_no_quantiles(spark):
+    assert quantiles.exact_quantiles(spark.createDataFrame([(None,)], "x double"), "x", [0.5]) == [None]
 
 
 def test_box_and_summary_on_small_frame(spark):
@@ -194,13 +214,77 @@ def test_decade_histogram_tolerates_bad_dates(spark):
 def test_failed_write_leaves_previous_version(spark, tmp_dir):
     wh = Warehouse(spark, tmp_dir)
     wh.overwrite(spark.createDataFrame([("1",)], "k string"), "dwh", "t")
-    # a job that died mid-write: version folder without the commit marker
-    spark.createDataFrame([("junk",)], "k string").write.parquet(f"{tmp_dir}/dwh/t/v=000002")
-    import os
-    os.remove(f"{tmp_dir}/dwh/t/v=000002/_SUCCESS")
-    assert [r.k for r in wh.read("dwh", "t").collect()] == ["1"]
+    # a job that died after writing, and one that died while writing an append
+    wh.stage(spark.createDataFrame([("junk",)], "k string"), "dwh", "t")
+    wh.stage_append(spark.createDataFrame([("more",)], "k string"), "dwh", "t")
+    broken = spark.range(3).select(F.raise_error(F.lit("lost")).cast("string").alias("k"))
+    for write in (wh.append, wh.overwrite, lambda df, *t: wh.upsert(df, *t, "k")):
+        with pytest.raises(Exception, match="lost"):
+            write(broken, "dwh", "t")
+    assert wh.versions("dwh", "t") == [1] and [r.k for r in wh.read("dwh", "t").collect()] == ["1"]
     v = wh.overwrite(spark.createDataFrame([("2",)], "k string"), "dwh", "t")
-    assert v == 3 and [r.k for r in wh.read("dwh", "t").collect()] == ["2"]
+    assert v == 2 and [r.k for r in wh.read("dwh", "t").collect()] == ["2"]
+    # vacuum also removes what never became a version
+    assert wh.vacuum("dwh", "t", keep=1) == [1]
+    assert len(wh._names(f"{tmp_dir}/dwh/t/data")) == 1 and wh.read("dwh", "t").count() == 1
+
+
+def test_versions_do_not_need_success_markers(spark, tmp_dir):
+    wh = Warehouse(spark, tmp_dir)
+    marker = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(marker, "false")
+    try:
+        wh.overwrite(spark.createDataFrame([("1",)], "k string"), "dwh", "t", key="k")
+        wh.append(spark.createDataFrame([("2",)], "k string"), "dwh", "t")
+    finally:
+        conf.unset(marker)
+    assert sorted(r.k for r in wh.read("dwh", "t").collect()) == ["1", "2"]
+
+
+def _files(wh, layer, table):
+    m = wh._manifest(layer, table, wh.current(layer, table))
+    return {bucket: folder for bucket, folder in m.parts}
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_dir):
+    wh = Warehouse(spark, tmp_dir, buckets=16)
+    old = [(str(i), "old") for i in range(400)] + [(None, "null key")]
+    wh.overwrite(spark.createDataFrame(old, "k string, v string"), "datalake", "t", key="k")
+    before = _files(wh, "datalake", "t")
+    res = wh.upsert(spark.createDataFrame([("7", "new"), ("new", "new"), (None, "x")], "k string, v string"),
+                    "datalake", "t", "k")
+    after = _files(wh, "datalake", "t")
+    moved = {b for b in after if after[b] != before.get(b)}
+    assert 1 <= len(moved) <= 2 == res.buckets_rewritten or len(moved) == res.buckets_rewritten == 1
+    assert -1 not in moved and res.null_keys_rejected == 1
+    got = dict(wh.read("datalake", "t").collect())
+    assert len(got) == 402 and got["7"] == got["new"] == "new" and got[None] == "null key" and got["8"] == "old"
+    # appended rows land in their buckets, so a later upsert finds them
+    wh.append(spark.createDataFrame([("x", "app")], "v string, k string"), "datalake", "t")
+    wh.upsert(spark.createDataFrame([("app", "y")], "k string, v string"), "datalake", "t", "k")
+    assert [r.v for r in wh.read("datalake", "t").where("k = 'app'").collect()] == ["y"]
+
+
+def test_failed_check_leaves_the_old_version_current(spark, tmp_dir):
+    from tenderlake.operators.quality import QualityError
+    from tenderlake.plans.pipeline import Pipeline
+    wh = Warehouse(spark, tmp_dir)
+    codes = spark.createDataFrame([("1", "a")], schemas.CPV)
+    wh.overwrite(codes, "datalake", "cpv_attributes")
+    pipe = Pipeline(spark, wh)
+    pipe.refresh_codes()
+    wh.overwrite(codes.unionByName(codes), "datalake", "cpv_attributes")
+    with pytest.raises(QualityError):
+        pipe.refresh_codes()
+    assert wh.versions("dwh", "cpv_attributes") == [1] and wh.read("dwh", "cpv_attributes").count() == 1
+
+
+def test_target_schemas_are_enforced(spark):
+    df = spark.createDataFrame([(1, "d")], "codecpv int, description string")
+    assert schemas.conform(df, schemas.CPV).schema == schemas.CPV
+    with pytest.raises(ValueError):
+        schemas.conform(df.withColumn("more", F.lit(1)), schemas.CPV)
 
 
 def test_registry_refresh_counts_non_numeric_siren(spark, tmp_dir):

@@ -13,8 +13,8 @@ def _doc(path, contracts):
         f.write(json.dumps({"marches": contracts}) + "\n")
 
 
-def _run(spark, landing, wh, ckpt):
-    q = ingest_contracts(spark, landing, wh, ckpt)
+def _run(spark, landing, wh, ckpt, files=None):
+    q = ingest_contracts(spark, landing, wh, ckpt, max_files_per_trigger=files)
     finished = q.awaitTermination(180)
     if not finished:
         q.stop()
@@ -39,3 +39,22 @@ def test_incremental_runs(spark, tmp_dir):
     got = {r["decp_uid"]: r["objet"] for r in wh.read("datalake", "decp_marches").collect()}
     assert got == {"1": "first", "2": "second v2", "3": "third"}
     assert wh.read("datalake", "decp_titulaires").count() == 1
+
+
+def test_older_publication_in_a_later_batch_changes_nothing(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    award = {"id": "123456789", "typeIdentifiant": "SIRET"}
+    for i, (day, name) in enumerate([("2020-01-01", "MID"), ("2021-01-01", "NEWEST"), ("2019-01-01", "OLD")]):
+        _doc(f"{landing}/{i}.json", [
+            {"uid": "1", "objet": name, "datePublicationDonnees": day,
+             "titulaires": [{**award, "denominationSociale": name}]},
+            {"uid": None, "objet": "no key"}])
+        os.utime(f"{landing}/{i}.json", (1_600_000_000 + i, 1_600_000_000 + i))
+    got = []
+    for files in (None, 1):
+        wh = Warehouse(spark, f"{tmp_dir}/wh{files}")
+        _run(spark, landing, wh, f"{tmp_dir}/ckpt{files}", files)
+        got.append([sorted(map(tuple, wh.read("datalake", t).collect()), key=str)
+                    for t in ("decp_marches", "decp_titulaires")])
+    assert got[0] == got[1]
+    assert [r[6] for r in got[0][0]] == ["NEWEST"] and [r[3] for r in got[0][1]] == ["NEWEST"]
