@@ -20,7 +20,7 @@ from tenderlake.operators import codes, companies, contracts, profile, quality,
 from tenderlake.plans import landing
 from tenderlake.plans.fixtures import fixture, read_table
 from tenderlake.plans.oracle import sql_with
-from tenderlake.session import scratch_path
+from tenderlake.session import materialize, scratch_path
 from tenderlake.sinks import Warehouse
 from tenderlake.sources.delimited import row_count
 
@@ -183,26 +183,21 @@ def q_cpv_clean(spark, sf):
 
 # --- reports ---------------------------------------------------------------------
 
-_RPT_SUPPLIER = """
-SELECT sirenname, round(SUM(total_amount), 2) AS total_amount, CAST(SUM(n_contract) AS BIGINT) AS n_contract
-FROM siren_totals d LEFT JOIN (SELECT siren, sirenname FROM dwh_siren) e USING (siren)
-WHERE sirenname IS NOT NULL
-GROUP BY sirenname ORDER BY total_amount DESC
+_SPEND = "round(sum(total_amount), 2) AS total_amount, CAST(sum(n_contract) AS BIGINT) AS n_contract"
+
+_RPT_SUPPLIER = f"""
+SELECT sirenname, {_SPEND} FROM dwh_siren JOIN siren_totals USING (siren) WHERE sirenname IS NOT NULL GROUP BY ALL
 """
 
-_RPT_ESS = """
-SELECT ess, round(SUM(total_amount), 2) AS total_amount, CAST(SUM(n_contract) AS BIGINT) AS n_contract
-FROM siren_totals d
-LEFT JOIN (SELECT siren, economieSocialeSolidaireUniteLegale AS ess FROM dwh_siren) e USING (siren)
-GROUP BY ess ORDER BY total_amount DESC
+_RPT_ESS = f"""
+SELECT economieSocialeSolidaireUniteLegale AS ess, {_SPEND} FROM siren_totals LEFT JOIN dwh_siren USING (siren)
+GROUP BY ALL
 """
 
 _RPT_MONTH = """
-SELECT year, year_month, CAST(COUNT(*) AS BIGINT) AS n_contracts
-FROM (SELECT datenotification FROM dwh_marches WHERE datenotification IS NOT NULL) a
-JOIN (SELECT date, year, year_month FROM time_dim) b ON b.date = a.datenotification
-WHERE year >= 2018 AND year <= 2021
-GROUP BY year, year_month ORDER BY year_month
+SELECT CAST(year(datenotification) AS INTEGER) AS year, strftime(datenotification, '%Y-%m') AS year_month,
+       count(*) AS n_contracts
+FROM dwh_marches WHERE datenotification BETWEEN DATE '2018-01-01' AND DATE '2021-12-31' GROUP BY ALL
 """
 
 
@@ -235,9 +230,23 @@ def _landed_contracts(spark, sf):
     return sources.read_contracts(spark, path)
 
 
-@register("contracts_from_json")
+_CONTRACTS_ORACLE = """
+SELECT decp_uid AS uid, source, decp_id AS id, type AS _type, nature, procedure, objet, codecpv AS codeCPV,
+       CAST(dureemois AS INTEGER) AS dureeMois, datenotification AS dateNotification,
+       datepublicationdonnees AS datePublicationDonnees, CAST(montant AS DOUBLE) AS montant, formeprix AS formePrix,
+       acheteur_id, acheteur_name,
+       CAST(CASE WHEN ends_with(objet, ' v0') THEN n.n WHEN CAST(decp_id AS BIGINT) % 2 = 0 THEN 0 END AS INTEGER)
+         AS n_titulaires
+FROM fx_marches LEFT JOIN (SELECT decp_uid, count(*) AS n FROM fx_titulaires GROUP BY ALL) n USING (decp_uid)
+"""
+
+
+@register("contracts_from_json", _CONTRACTS_ORACLE)
 def q_contracts_from_json(spark, sf):
-    return _landed_contracts(spark, sf)
+    rows = _landed_contracts(spark, sf)
+    return rows.select(*[c for c in rows.columns if c not in ("acheteur", "titulaires")],
+                       F.col("acheteur.id").alias("acheteur_id"), F.col("acheteur.nom").alias("acheteur_name"),
+                       F.when(F.col("titulaires").isNotNull(), F.size("titulaires")).alias("n_titulaires"))
 
 
 @register("contract_rows", "SELECT * FROM fx_marches")
@@ -337,23 +346,22 @@ def q_overwrite_table(spark, sf):
     return wh.read("dwh", "decp_titulaires")
 
 
+# every code as the old content, then a batch of all odd codes and as many new ones
 _UPSERT_ORACLE = """
-SELECT * FROM (SELECT codecpv, description || ' old' AS description FROM fx_cpv
-               WHERE CAST(codecpv AS BIGINT) % 3 <> 0) t
-WHERE NOT EXISTS (SELECT 1 FROM fx_cpv b WHERE CAST(b.codecpv AS BIGINT) % 2 = 0 AND b.codecpv = t.codecpv)
-UNION ALL
-SELECT DISTINCT codecpv, description FROM fx_cpv WHERE CAST(codecpv AS BIGINT) % 2 = 0
+SELECT codecpv, if(CAST(codecpv AS BIGINT) % 2 = 0, description || ' old', description) AS description FROM fx_cpv
+UNION ALL SELECT 'N' || right(codecpv, 7), description FROM fx_cpv
 """
 
 
 @register("upsert", _UPSERT_ORACLE)
 def q_upsert(spark, sf):
     cpv = fixture(spark, sf, "fx_cpv")
-    n = F.col("codecpv").cast("bigint")
     wh = _warehouse(spark)
-    wh.overwrite(cpv.where(n % 3 != 0).select("codecpv", F.concat("description", F.lit(" old")).alias("description")),
-                 "datalake", "cpv_attributes")
-    wh.upsert(cpv.where(n % 2 == 0), "datalake", "cpv_attributes", "codecpv")
+    wh.overwrite(cpv.select("codecpv", F.concat("description", F.lit(" old")).alias("description")),
+                 "datalake", "cpv_attributes", key="codecpv")
+    new = cpv.select(F.concat(F.lit("N"), F.right("codecpv", F.lit(7))).alias("codecpv"), "description")
+    batch = cpv.where(F.col("codecpv").cast("bigint") % 2 != 0).unionByName(new)
+    wh.upsert(batch, "datalake", "cpv_attributes", "codecpv")
     return wh.read("datalake", "cpv_attributes")
 
 
@@ -389,36 +397,59 @@ def q_check_not_empty(spark, sf):
 
 
 @register("check_unique_key",
-          "SELECT CAST(max(n) AS BIGINT) AS max_rows_per_key FROM (SELECT decp_bridge_uid, count(*) AS n"
-          " FROM titulaires_keyed GROUP BY decp_bridge_uid) b")
+          "SELECT count(*) AS max_rows_per_key FROM titulaires_keyed GROUP BY decp_bridge_uid"
+          " ORDER BY max_rows_per_key DESC LIMIT 1")
 def q_check_unique_key(spark, sf):
     return quality.check_unique_key(contracts.award_uid(fixture(spark, sf, "fx_titulaires")), "decp_bridge_uid")
 
 
+#: Checked tables: key and DuckDB step of each.
+_KEYED = {
+    "staging.decp_titulaires": ("decp_bridge_uid", "titulaires_keyed"),
+    "datalake.decp_marches": ("decp_uid", "marches_unique"),
+    "datalake.decp_titulaires": ("decp_bridge_uid", "titulaires_unique"),
+    "dwh.decp_marches": ("decp_uid", "dwh_marches"),
+    "dwh.decp_titulaires": ("decp_bridge_uid", "dwh_titulaires"),
+    "dwh.decp_siren_used": ("siren", "siren_used"),
+    "datalake.siren_attributes": ("siren", "fx_siren"),
+    "dwh.siren_attributes": ("siren", "dwh_siren"),
+    "datalake.infogreffe_attributes": ("infogreffe_uid", "st_unique"),
+    "dwh.infogreffe_attributes": ("infogreffe_uid", "dwh_statements"),
+    "datalake.cpv_attributes": ("codecpv", "fx_cpv"),
+    "dwh.cpv_attributes": ("codecpv", "fx_cpv"),
+}
+
+
 def _keyed_tables(spark, sf):
-    return {
-        "datalake.decp_marches": (contracts.marches_unique(fixture(spark, sf, "fx_marches")), "decp_uid"),
-        "staging.decp_titulaires": (contracts.award_uid(fixture(spark, sf, "fx_titulaires")), "decp_bridge_uid"),
-        "dwh.decp_titulaires": (dwh_titulaires(spark, sf), "decp_bridge_uid"),
-        "dwh.decp_siren_used": (siren_used(spark, sf), "siren"),
-        "dwh.siren_attributes": (dwh_siren(spark, sf), "siren"),
-        "dwh.infogreffe_attributes": (statements.dwh_statements(datalake_statements(spark, sf)), "infogreffe_uid"),
-        "dwh.cpv_attributes": (fixture(spark, sf, "fx_cpv"), "codecpv"),
+    """The checked tables; those that others derive from are written once and read from there."""
+    marches = materialize(contracts.marches_unique(fixture(spark, sf, "fx_marches")), "decp_marches")
+    awards = materialize(datalake_titulaires(spark, sf), "decp_titulaires")
+    dwh_awards = materialize(contracts.dwh_titulaires(awards), "dwh_titulaires")
+    used = materialize(contracts.siren_used(dwh_awards), "siren_used")
+    filed = materialize(datalake_statements(spark, sf), "statements")
+    registry, codes_ = fixture(spark, sf, "fx_siren"), fixture(spark, sf, "fx_cpv")
+    frames = {
+        "staging.decp_titulaires": contracts.award_uid(fixture(spark, sf, "fx_titulaires")),
+        "datalake.decp_marches": marches,
+        "datalake.decp_titulaires": awards,
+        "dwh.decp_marches": contracts.marches_prepared(marches),
+        "dwh.decp_titulaires": dwh_awards,
+        "dwh.decp_siren_used": used,
+        "datalake.siren_attributes": registry,
+        "dwh.siren_attributes": companies.siren_of_interest(companies.siren_standardized(registry), used),
+        "datalake.infogreffe_attributes": filed,
+        "dwh.infogreffe_attributes": statements.statements_of_interest(statements.dwh_statements(filed), used),
+        "datalake.cpv_attributes": codes_,
+        "dwh.cpv_attributes": codes.cpv_refresh(codes_),
     }
+    return {name: (frames[name], key) for name, (key, _) in _KEYED.items()}
 
 
 _QUALITY_ORACLE = """
-SELECT table_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows, CAST(coalesce(max(n), 0) AS BIGINT)
-       AS max_rows_per_key, coalesce(sum(n), 0) > 0 AND coalesce(max(n), 0) <= 1 AS passed
-FROM (SELECT 'datalake.decp_marches' AS table_name, count(*) AS n FROM marches_unique GROUP BY decp_uid
-      UNION ALL SELECT 'staging.decp_titulaires', count(*) FROM titulaires_keyed GROUP BY decp_bridge_uid
-      UNION ALL SELECT 'dwh.decp_titulaires', count(*) FROM dwh_titulaires GROUP BY decp_bridge_uid
-      UNION ALL SELECT 'dwh.decp_siren_used', count(*) FROM siren_used GROUP BY siren
-      UNION ALL SELECT 'dwh.siren_attributes', count(*) FROM dwh_siren GROUP BY siren
-      UNION ALL SELECT 'dwh.infogreffe_attributes', count(*) FROM st_standardized GROUP BY infogreffe_uid
-      UNION ALL SELECT 'dwh.cpv_attributes', count(*) FROM fx_cpv GROUP BY codecpv) g
-GROUP BY table_name
-"""
+SELECT table_name, CAST(sum(n) AS BIGINT) AS n_rows, max(n) AS max_rows_per_key, max(n) <= 1 AS passed
+FROM ({}) per_key GROUP BY table_name
+""".format(" UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n FROM {step} GROUP BY {key}"
+                              for name, (key, step) in _KEYED.items()))
 
 
 @register("quality_report", _QUALITY_ORACLE)
@@ -457,8 +488,7 @@ def q_key_uniqueness(spark, sf):
 
 
 @register("max_rows_per_key",
-          "SELECT CAST(max(n) AS BIGINT) AS max_rows_per_key FROM (SELECT siren, count(*) AS n FROM fx_siren"
-          " GROUP BY siren) b")
+          "SELECT count(*) AS max_rows_per_key FROM fx_siren GROUP BY siren ORDER BY max_rows_per_key DESC LIMIT 1")
 def q_max_rows_per_key(spark, sf):
     return profile.max_rows_per_key(fixture(spark, sf, "fx_siren"), "siren")
 
@@ -569,9 +599,9 @@ def q_null_share_by_category(spark, sf):
 
 @register("decade_histogram",
           "SELECT CAST(1900 + 10 * floor((year(CAST(dateDebut AS DATE)) - 1900) / 10) AS BIGINT) AS decade,"
-          " CAST(count(*) AS BIGINT) AS n FROM fx_siren GROUP BY 1 ORDER BY 1 NULLS FIRST LIMIT 20")
+          " CAST(count(*) AS BIGINT) AS n FROM fx_siren GROUP BY 1 ORDER BY 1 NULLS FIRST")
 def q_decade_histogram(spark, sf):
-    return profile.decade_histogram(fixture(spark, sf, "fx_siren"), "dateDebut", 20)
+    return profile.decade_histogram(fixture(spark, sf, "fx_siren"), "dateDebut")
 
 
 @register("sample_rows",
@@ -581,6 +611,44 @@ def q_sample_rows(spark, sf):
     return profile.sample_rows(dwh_marches(spark, sf), 100, "decp_uid", seed=42)
 
 
+@register("first_rows", "SELECT least(1000, count(*)) AS n_rows FROM dwh_marches")
+def q_first_rows(spark, sf):
+    return profile.row_count(profile.first_rows(dwh_marches(spark, sf), 1000))
+
+
+# profiles the explorations ran on the other tables
+
+_STATEMENTS_PROFILED = ["infogreffe_uid", "siren", *statements.LONG_COLUMNS]
+
+
+@register("null_share_statements", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, avg(CAST({c} IS NULL AS INTEGER)) AS null_share FROM st_unique"
+    for c in _STATEMENTS_PROFILED))
+def q_null_share_statements(spark, sf):
+    return profile.null_share(datalake_statements(spark, sf), _STATEMENTS_PROFILED)
+
+
+@register("key_uniqueness_statements",
+          "SELECT count(DISTINCT infogreffe_uid) AS n_distinct, count(*) AS n_rows,"
+          " count(DISTINCT infogreffe_uid) / count(*) AS ratio, count(DISTINCT infogreffe_uid) = count(*) AS is_unique"
+          " FROM st_unique")
+def q_key_uniqueness_statements(spark, sf):
+    return profile.key_uniqueness(datalake_statements(spark, sf), "infogreffe_uid")
+
+
+@register("value_counts_revenue_band",
+          "SELECT tranche_ca_millesime AS value, count(*) AS n FROM st_unique WHERE value IS NOT NULL GROUP BY ALL"
+          " ORDER BY n DESC, value")
+def q_value_counts_revenue_band(spark, sf):
+    return profile.value_counts(datalake_statements(spark, sf), "tranche_ca_millesime")
+
+
+@register("value_counts_codes",
+          "SELECT codecpv AS value, count(*) AS n FROM fx_cpv WHERE codecpv IS NOT NULL GROUP BY ALL ORDER BY n DESC, value")
+def q_value_counts_codes(spark, sf):
+    return profile.value_counts(fixture(spark, sf, "fx_cpv"), "codecpv")
+
+
 # --- streaming ------------------------------------------------------------------------
 
 @register("stream_contract_ingest", "SELECT * FROM marches_unique")
@@ -588,7 +656,8 @@ def q_stream_contract_ingest(spark, sf):
     from tenderlake.streaming import ingest_contracts
     landed = landing.land_contracts(spark, sf, scratch_path(spark, "contracts-stream"))
     wh = _warehouse(spark)
-    q = ingest_contracts(spark, landed, wh, scratch_path(spark, "stream-ckpt"))
+    # several micro-batches, in whatever order the files come: the result must not depend on it
+    q = ingest_contracts(spark, landed, wh, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=4)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

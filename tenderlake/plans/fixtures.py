@@ -24,6 +24,8 @@ SELECT 'uid-' || CAST(k AS STRING) AS decp_uid, st AS source, CAST(k AS STRING)
  'Procedure ' || CAST(k % 4 AS STRING) AS procedure, 'objet ' || CAST(k AS STRING) || ' v' || CAST(ver AS STRING) AS objet,
  lpad(CAST(k % 2000 AS STRING), 8, '0') AS codecpv, CAST(k % 48 AS INT) AS dureemois,
  CASE WHEN k % 97 = 0 THEN NULL WHEN k % 499 = 1 THEN '2202-03-01'
+      WHEN k % 101 = 0 THEN CAST(CAST(date_part('year', d) AS INT) + 20 AS STRING) || '-' || CAST(CAST(date_part('month', d) AS INT) AS STRING)
+       || '-' || CAST(CAST(date_part('day', d) AS INT) AS STRING) || CASE WHEN k % 2 = 0 THEN 'T10:00:00' ELSE ' 00:00' END
       ELSE CAST(CAST(date_part('year', d) AS INT) + 20 AS STRING) || substring(CAST(d AS STRING), 5) END AS datenotification,
  CASE WHEN k % 14 = 0 AND ver = 0 THEN NULL
       ELSE CAST(CAST(CAST(CAST(date_part('year', d) AS INT) + 20 AS STRING) || substring(CAST(d AS STRING), 5) AS DATE) + CAST(30 * (1 + ver) AS INT) AS STRING) END AS datepublicationdonnees,
@@ -33,7 +35,7 @@ FROM v
 """
 
 FX_TITULAIRES = """
-WITH b AS (SELECT DISTINCT l_orderkey k, l_suppkey s, s_name n, CAST(500000000 + l_suppkey * 7919 AS STRING) sn, (l_orderkey + l_suppkey) % 9 m
+WITH b AS (SELECT DISTINCT l_orderkey k, l_suppkey s, s_name n, CAST(CASE WHEN l_suppkey % 10 = 9 THEN 400000000 ELSE 500000000 END + l_suppkey * 7919 AS STRING) sn, (l_orderkey + l_suppkey) % 9 m
            FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey),
 r AS (SELECT 'uid-' || CAST(k AS STRING) AS decp_uid,
  CASE m WHEN 0 THEN sn || '00012' WHEN 1 THEN sn
@@ -47,29 +49,35 @@ SELECT decp_uid, titulaire_id, '  ' || titulaire_name || ' SA ' AS titulaire_nam
 UNION ALL SELECT decp_uid, titulaire_id, titulaire_name, titulaire_typeidentifiant FROM r WHERE k % 5 = 0
 """
 
-FX_SIREN = """
-SELECT CAST(500000000 + s_suppkey * 7919 AS STRING) AS siren,
- CASE WHEN s_suppkey % 4 = 0 THEN 'Nom' || CAST(s_suppkey AS STRING) END AS nomUniteLegale,
- CASE WHEN s_suppkey % 8 = 0 THEN 'Usage' END AS nomUsageUniteLegale,
- CASE WHEN s_suppkey % 4 <> 0 AND s_suppkey % 11 <> 1 THEN 'Denom' || CAST(s_suppkey % 20 AS STRING) END AS denominationUniteLegale,
+# Companies: every supplier and every customer.  Awards of suppliers whose key
+# ends in 9 go to foreign companies that no registry lists.
+_COMPANIES = """c AS (SELECT CAST(s_suppkey AS BIGINT) AS k, 500000000 + s_suppkey * 7919 AS sn FROM {supplier}
+ UNION ALL SELECT CAST(c_custkey AS BIGINT), 600000000 + c_custkey FROM {customer})"""
+
+FX_SIREN = f"""
+WITH {_COMPANIES}
+SELECT CAST(sn AS STRING) AS siren,
+ CASE WHEN k % 4 = 0 THEN 'Nom' || CAST(k AS STRING) END AS nomUniteLegale,
+ CASE WHEN k % 8 = 0 THEN 'Usage' END AS nomUsageUniteLegale,
+ CASE WHEN k % 4 <> 0 AND k % 11 <> 1 THEN 'Denom' || CAST(k % 20 AS STRING) END AS denominationUniteLegale,
  CAST(NULL AS STRING) AS denominationUsuelle1UniteLegale,
- CASE s_suppkey % 3 WHEN 0 THEN 'O' WHEN 1 THEN 'N' END AS economieSocialeSolidaireUniteLegale,
- lpad(CAST(s_suppkey % 13 AS STRING), 2, '0') AS trancheEffectifsUniteLegale,
- CASE s_suppkey % 3 WHEN 0 THEN 'PME' WHEN 1 THEN 'ETI' ELSE 'GE' END AS categorieEntreprise,
- CAST(1895 + s_suppkey % 135 AS STRING) || '-06-01' AS dateDebut
-FROM {supplier} WHERE s_suppkey % 10 <> 9
+ CASE k % 3 WHEN 0 THEN 'O' WHEN 1 THEN 'N' END AS economieSocialeSolidaireUniteLegale,
+ lpad(CAST(k % 13 AS STRING), 2, '0') AS trancheEffectifsUniteLegale,
+ CASE k % 3 WHEN 0 THEN 'PME' WHEN 1 THEN 'ETI' ELSE 'GE' END AS categorieEntreprise,
+ CAST(1695 + k % 335 AS STRING) || '-06-01' AS dateDebut
+FROM c
 """
 
-FX_INFOGREFFE = """
-WITH y AS (SELECT 0 AS rev UNION ALL SELECT 1 AS rev)
-SELECT CAST(500000000 + s_suppkey * 7919 AS STRING) AS siren,
+FX_INFOGREFFE = f"""
+WITH {_COMPANIES}, r AS (SELECT k, sn, 0 AS rev FROM c UNION ALL SELECT k, sn, 1 AS rev FROM c)
+SELECT CAST(sn AS STRING) AS siren,
  '2019' AS millesime_1, CASE WHEN rev = 0 THEN '2019-12-31' ELSE '2019-06-30' END AS date_de_cloture_exercice_1,
- CASE WHEN s_suppkey % 6 = 0 AND rev = 1 THEN '6' ELSE '12' END AS duree_1, 'A' AS tranche_ca_millesime_1,
- CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE CAST(s_suppkey * 1000 AS STRING) END AS ca_1, CAST(s_suppkey * 10 AS STRING) AS resultat_1, CAST(s_suppkey AS STRING) AS effectif_1,
- CASE WHEN s_suppkey % 9 = 0 THEN '18' ELSE '2018' END AS millesime_2, '2018-12-31' AS date_de_cloture_exercice_2,
- CASE WHEN s_suppkey % 17 = 0 THEN NULL ELSE '12' END AS duree_2, 'B' AS tranche_ca_millesime_2,
- CAST(s_suppkey * 900 + rev AS STRING) AS ca_2, CAST(s_suppkey * 9 AS STRING) AS resultat_2, CAST(NULL AS STRING) AS effectif_2
-FROM {supplier}, y WHERE s_suppkey % 4 <> 3
+ CASE WHEN k % 6 = 0 AND rev = 1 THEN '6' ELSE '12' END AS duree_1, 'A' AS tranche_ca_millesime_1,
+ CASE WHEN k % 5 = 0 THEN NULL ELSE CAST(k * 1000 AS STRING) END AS ca_1, CAST(k * 10 AS STRING) AS resultat_1, CAST(k AS STRING) AS effectif_1,
+ CASE WHEN k % 9 = 0 THEN '18' ELSE '2018' END AS millesime_2, '2018-12-31' AS date_de_cloture_exercice_2,
+ CASE WHEN k % 17 = 0 THEN NULL ELSE '12' END AS duree_2, 'B' AS tranche_ca_millesime_2,
+ CAST(k * 900 + rev AS STRING) AS ca_2, CAST(k * 9 AS STRING) AS resultat_2, CAST(NULL AS STRING) AS effectif_2
+FROM r
 """
 
 FX_CPV = """

@@ -1,9 +1,9 @@
 """Physical-plan shape: the plans we want at scale, not just right answers."""
 
-from pyspark.sql import functions as F
+import pytest
 
-import __spark_entry__ as E
-from tenderlake.operators import contracts, reports, statements
+from tenderlake.operators import contracts, profile, reports, statements
+from tenderlake.plans.catalog import QUERIES as CATALOG
 from tenderlake.plans.fixtures import fixture
 from tests.conftest import SF_SMALL
 
@@ -21,18 +21,15 @@ def test_dedup_limits_rows_before_shuffle(spark):
     assert "WindowGroupLimit" in p
 
 
-def test_no_python_udf_anywhere(spark):
-    for name, q in E.queries().items():
-        p = plan(q(spark, SF_SMALL)) if name not in ("contracts_from_json", "contract_rows", "award_rows",
-                                                     "read_delimited", "read_delimited_fill", "csv_header_scan",
-                                                     "table_scan", "overwrite_table", "upsert", "write_delimited",
-                                                     "append_into", "numeric_summary", "box_stats",
-                                                     "date_summary") else ""
-        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+@pytest.mark.parametrize("name", sorted(CATALOG))
+def test_no_python_udf_anywhere(spark, name):
+    p = plan(CATALOG[name](spark, SF_SMALL))
+    assert "Python" not in p and "InPandas" not in p and "InArrow" not in p
 
 
-def test_unpivot_scans_once(spark):
-    df = statements.statements_unpivot(fixture(spark, SF_SMALL, "fx_infogreffe"))
+def test_unpivot_scans_once(spark, tmp_dir):
+    fixture(spark, SF_SMALL, "fx_infogreffe").write.parquet(f"{tmp_dir}/st")
+    df = statements.statements_unpivot(spark.read.parquet(f"{tmp_dir}/st"))
     assert optimized(df).count("] parquet") == 1
     assert "Generate inline" in plan(df)
 
@@ -47,12 +44,30 @@ def test_reports_aggregate_before_dimension_join(spark):
     assert "Aggregate [siren" in opt[join_at:]
 
 
-def test_filters_reach_the_scan(spark):
-    lineitem = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    df = lineitem.where(F.col("l_quantity") > 10).select("l_orderkey")
-    p = plan(df)
-    assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)]" in p
-    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in p
+def _formatted(spark, df) -> str:
+    return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def test_date_windows_of_profiles_reach_the_scan(spark, tmp_dir):
+    m = contracts.marches_prepared(contracts.marches_unique(fixture(spark, SF_SMALL, "fx_marches")))
+    m.write.parquet(f"{tmp_dir}/m")
+    m = spark.read.parquet(f"{tmp_dir}/m")
+    assert "GreaterThanOrEqual(datenotification,2022-01-01)" in _formatted(
+        spark, profile.future_dates(m, "datenotification", 2021))
+    p = _formatted(spark, profile.monthly_histogram(m, "datenotification", 2018, 2021))
+    assert "GreaterThanOrEqual(datenotification,2018-01-01), LessThan(datenotification,2022-01-01)" in p
+    assert "ReadSchema: struct<datenotification:date>" in p
+
+
+def test_statement_chain_shuffles_once(spark):
+    df = statements.datalake_statements(fixture(spark, SF_SMALL, "fx_infogreffe"))
+    assert plan(df).count("Exchange hashpartitioning") == 1
+
+
+def test_no_nested_loop_in_the_fixtures(spark):
+    for name in ("fx_infogreffe", "fx_siren", "fx_marches", "fx_titulaires"):
+        p = plan(fixture(spark, SF_SMALL, name))
+        assert "NestedLoop" not in p and "Cartesian" not in p
 
 
 def test_monthly_report_year_window_reaches_the_scan(spark, tmp_dir):
