@@ -49,6 +49,12 @@ class Pipeline:
         self.check = check
         self.keep_versions = keep_versions
         self._staged: list[tuple[Staged, str | None]] = []
+        self._scratch: list[str] = []
+
+    def _begin(self, name: str) -> StepReport:
+        """Forget what a step that failed half-way had staged: it is never published."""
+        self._staged, self._scratch = [], []
+        return StepReport(name)
 
     def _overwrite(self, df: DataFrame, layer: str, table: str, schema: StructType, key: str | None = None) -> None:
         """Stage a whole table; with ``key`` it is checked before it is published."""
@@ -62,14 +68,24 @@ class Pipeline:
         self._staged.append((staged, key))
 
     def _keyed(self, step: StepReport, df: DataFrame, table: str, key: str) -> tuple[DataFrame, int]:
-        """(rows that have a key, number of those that don't); the latter are kept in ``rejects.<table>``."""
-        self.wh.overwrite(df.where(F.col(key).isNull()), "rejects", table)
-        rejected = self.wh.read("rejects", table).count()
+        """(rows that have a key, number of those that don't); the latter are kept in ``rejects.<table>``.
+
+        ``df`` is evaluated once, into the scratch folder that the step drops at its end."""
+        path = scratch_path(self.spark, f"landed-{table}")
+        self._scratch.append(path)
+        df = materialize(df, f"landed-{table}", path)
+        without = df.where(F.col(key).isNull())
+        rejected = without.count()
+        if rejected or self.wh.exists("rejects", table):
+            self.wh.overwrite(without, "rejects", table)
         step.notes[f"{table}_without_key"] = rejected
         return df.where(F.col(key).isNotNull()), rejected
 
     def _commit(self, step: StepReport) -> StepReport:
         staged, self._staged = self._staged, []
+        scratch, self._scratch = self._scratch, []
+        for path in scratch:
+            drop_scratch(self.spark, path)
         frames = {f"{s.layer}.{s.table}": (self.wh.preview(s), key) for s, key in staged if key}
         if self.check and frames:
             step.checks = quality.assert_quality(quality.quality_report(frames))
@@ -89,7 +105,7 @@ class Pipeline:
         A malformed document stops the load; with ``tolerant`` such documents
         are kept in ``rejects.decp_documents`` and counted.  Values that don't
         fit their type are counted while the staging table is written."""
-        step = StepReport("load_contracts")
+        step = self._begin("load_contracts")
         if tolerant:
             self.wh.overwrite(rejected_documents(self.spark, path, multi_line), "rejects", "decp_documents")
             step.notes["documents_rejected"] = self.wh.read("rejects", "decp_documents").count()
@@ -111,7 +127,7 @@ class Pipeline:
 
     # -- Entry B: contracts warehouse layer ----------------------------------------
     def refresh_contracts(self) -> StepReport:
-        step = StepReport("refresh_contracts")
+        step = self._begin("refresh_contracts")
         wh = self.wh
         self._overwrite(contracts.dwh_titulaires(wh.read("datalake", "decp_titulaires")), "dwh", "decp_titulaires",
                         schemas.DWH_TITULAIRES, "decp_bridge_uid")
@@ -125,7 +141,7 @@ class Pipeline:
 
     # -- company registry ---------------------------------------------------------
     def load_registry(self, path: str, widths: dict[str, int] | None = None, multi_line: bool = False) -> StepReport:
-        step = StepReport("load_registry")
+        step = self._begin("load_registry")
         reg = clean_loaded(read_delimited(self.spark, path, schemas.REGISTRY, sep=",", header=True,
                                           multi_line=multi_line), REGISTRY_WIDTHS if widths is None else widths)
         keyed, rejected = self._keyed(step, reg, "siren_attributes", "siren")
@@ -135,7 +151,7 @@ class Pipeline:
     def refresh_registry(self) -> StepReport:
         """Companies whose siren is not a number get a NULL VAT number instead
         of failing the refresh; their count is observed during the write."""
-        step = StepReport("refresh_registry")
+        step = self._begin("refresh_registry")
         std = companies.siren_standardized(self.wh.read("datalake", "siren_attributes"))
         out = companies.siren_of_interest(std, self.wh.read("dwh", "decp_siren_used"))
         obs = Observation("refresh_registry")
@@ -146,7 +162,7 @@ class Pipeline:
 
     # -- financial statements -------------------------------------------------------
     def load_statements(self, path: str, header: bool = True, multi_line: bool = False) -> StepReport:
-        step = StepReport("load_statements")
+        step = self._begin("load_statements")
         raw = clean_loaded(read_delimited(self.spark, path, schemas.STAGING_STATEMENTS, sep=";", header=header,
                                           fill_missing=True, multi_line=multi_line))
         normal = statements.statements_normalized(statements.statements_long(raw))
@@ -156,7 +172,7 @@ class Pipeline:
         return self._commit(step)
 
     def refresh_statements(self) -> StepReport:
-        step = StepReport("refresh_statements")
+        step = self._begin("refresh_statements")
         std = statements.dwh_statements(self.wh.read("datalake", "infogreffe_attributes"))
         self._overwrite(statements.statements_of_interest(std, self.wh.read("dwh", "decp_siren_used")),
                         "dwh", "infogreffe_attributes", schemas.DWH_STATEMENTS, "infogreffe_uid")
@@ -164,7 +180,7 @@ class Pipeline:
 
     # -- goods / services codes -------------------------------------------------------
     def load_codes(self, path: str, multi_line: bool = False) -> StepReport:
-        step = StepReport("load_codes")
+        step = self._begin("load_codes")
         raw = clean_loaded(read_delimited(self.spark, path, schemas.CPV, sep="|", header=True, multi_line=multi_line),
                            schemas.CPV_WIDTHS)
         keyed, rejected = self._keyed(step, raw, "cpv_attributes", "codecpv")
@@ -172,7 +188,7 @@ class Pipeline:
         return self._commit(step)
 
     def refresh_codes(self) -> StepReport:
-        step = StepReport("refresh_codes")
+        step = self._begin("refresh_codes")
         self._overwrite(codes.cpv_refresh(self.wh.read("datalake", "cpv_attributes")), "dwh", "cpv_attributes",
                         schemas.CPV, "codecpv")
         return self._commit(step)
@@ -182,7 +198,7 @@ class Pipeline:
         """Per-company totals are computed once and feed both spend reports.
         Reports are stored unsorted (a table keeps no row order; ``report``
         sorts on read), which saves one range-partitioning shuffle each."""
-        step = StepReport("refresh_reports")
+        step = self._begin("refresh_reports")
         wh = self.wh
         marches = wh.read("dwh", "decp_marches")
         scratch = scratch_path(self.spark, "siren-totals")

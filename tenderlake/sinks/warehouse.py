@@ -23,7 +23,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,7 +34,7 @@ NULL_BUCKET = -1
 
 #: Hash buckets of a keyed table.  Choose it so that a usual batch touches few
 #: of them and one bucket is a few files: the table's gigabytes, roughly.
-BUCKETS = 64
+BUCKETS = 16
 
 
 @dataclass
@@ -197,12 +197,14 @@ class Warehouse:
         rows to keep.  NULL-key batch rows are rejected and counted.  A table
         without buckets of this key is rewritten once, into buckets.
         """
+        v = self.current(layer, table)
+        old = self._manifest(layer, table, v) if v is not None else \
+            Staged(layer, table, batch.schema, key, self.buckets, [])
+        if not old.parts:
+            return self._first_upsert(batch, layer, table, key, distinct, old.schema)
         path = scratch_path(self.spark, f"upsert-{table}")
         rows = materialize(batch, f"upsert-{table}", path)
         try:
-            v = self.current(layer, table)
-            old = self._manifest(layer, table, v) if v is not None else \
-                Staged(layer, table, batch.schema, key, self.buckets, [])
             buckets = old.buckets
             # at most one row per bucket reaches the driver
             counts = {r[BUCKET]: r["n"] for r in
@@ -217,16 +219,30 @@ class Warehouse:
                 keep_null = target.where(F.col(key).isNull())
                 new = keep_null.unionByName(merge(target.where(F.col(key).isNotNull())
                                                   .unionByName(fresh.select(*target.columns))))
-            elif touched:
-                new = upsert_frame(target, fresh, key, distinct)
             else:
-                new = fresh.distinct() if distinct else fresh
+                new = upsert_frame(target, fresh, key, distinct)
             parts = carried + (self._write(new, layer, table, key, buckets) if counts or touched else [])
             result = UpsertResult(-1, sum(counts.values()) + rejected, rejected, len(counts))
             return Staged(layer, table, old.schema, key, buckets, parts, result)
         finally:
             drop_scratch(self.spark, path)
 
+    def _first_upsert(self, batch: DataFrame, layer: str, table: str, key: str, distinct: bool,
+                      schema: StructType) -> Staged:
+        """Into an empty table: nothing to match, so the batch is written as it comes (counted on the way)."""
+        seen = Observation(f"{layer}.{table}")
+        counted = batch.select(*schema.fieldNames()).observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("rejected"))
+        fresh = counted.where(F.col(key).isNotNull())
+        parts = self._write(fresh.distinct() if distinct else fresh, layer, table, key, self.buckets)
+        # inside a stream's batch function the metrics don't reach the observation: -1
+        m = {} if self._in_stream() else seen.get
+        result = UpsertResult(-1, int(m.get("rows", -1)), int(m.get("rejected", -1)), len(parts))
+        return Staged(layer, table, schema, key, self.buckets, parts, result)
+
+    def _in_stream(self) -> bool:
+        return self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") is not None
+
     def upsert(self, batch: DataFrame, layer: str, table: str, key: str, distinct: bool = True,
                merge: Callable[[DataFrame], DataFrame] | None = None) -> UpsertResult:
         staged = self.stage_upsert(batch, layer, table, key, distinct, merge)

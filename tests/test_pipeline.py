@@ -49,6 +49,16 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     n_notified = pipe.wh.read("dwh", "decp_marches").where(F.col("datenotification").isNotNull()).count()
     assert pipe.wh.read("dwh", "contracts_year_month").agg(F.sum("n_contracts")).first()[0] <= n_notified
 
+    # statements without a full key are counted before the de-dup and kept
+    rejects = pipe.wh.read("rejects", "infogreffe_attributes")
+    normal = con.sql("SELECT count(*) FROM (" + E.oracle_sql()["statements_normalized"] + ") WHERE infogreffe_uid IS NULL")
+    load = next(x for x in steps if x.step == "load_statements")
+    assert rejects.count() == load.notes["infogreffe_attributes_without_key"] \
+        == load.upserts["infogreffe_attributes"].null_keys_rejected
+    assert rejects.distinct().count() <= normal.fetchall()[0][0] <= rejects.count() > 1
+    assert {k: v for k, v in steps[0].notes.items() if k.startswith("bad_")} == {
+        "bad_amounts": 0, "bad_durations": 0, "bad_list_elements": 0}
+
     # reports are stored unsorted; report() gives the published order
     months = [r["year_month"] for r in pipe.report("contracts_year_month").collect()]
     assert months == sorted(months) and months
@@ -71,3 +81,25 @@ def test_version_retention(spark, tmp_dir):
     pipe.refresh_codes()
     assert pipe.wh.versions("datalake", "cpv_attributes") == [2]
     assert pipe.wh.read("datalake", "cpv_attributes").count() == pipe.wh.read("dwh", "cpv_attributes").count() > 0
+
+
+def test_tolerant_load_counts_rejected_documents(spark, tmp_dir):
+    import json
+    import os
+    os.makedirs(f"{tmp_dir}/docs")
+    good = json.dumps({"marches": [{"uid": str(i), "montant": "x" if i == 1 else 5, "titulaires": [{"id": "9"}, 3]}
+                                   for i in range(3)] + [{"objet": "no uid"}] * 5})
+    with open(f"{tmp_dir}/docs/a.json", "w") as f:
+        f.write(good + "\n" + good[:40] + "\n")
+    pipe = Pipeline(spark, Warehouse(spark, f"{tmp_dir}/wh"))
+    try:
+        pipe.load_contracts(f"{tmp_dir}/docs")
+        raise AssertionError("a truncated document must stop the load")
+    except Exception as e:
+        assert not isinstance(e, AssertionError)
+    step = pipe.load_contracts(f"{tmp_dir}/docs", tolerant=True)
+    assert step.notes == {"documents_rejected": 1, "bad_amounts": 1, "bad_durations": 0, "bad_list_elements": 3,
+                          "decp_marches_without_key": 5}
+    assert step.upserts["decp_marches"].null_keys_rejected == 5
+    assert pipe.wh.read("datalake", "decp_marches").count() == 3
+    assert pipe.wh.read("rejects", "decp_documents").count() == 1
