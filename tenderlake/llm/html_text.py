@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import text_or_empty
+from tenderlake.llm.common import map_arrow, text_or_empty
 
 WINDOW_LINES = 3
 SURGE_CHARS = 80
@@ -211,6 +211,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    return (pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
-                         text_or_empty(html_col).alias("html"))
-            .mapInArrow(run, "page_id long, url string, text string, n_chars long"))
+    wanted = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
+                          text_or_empty(html_col).alias("html"))
+    return map_arrow(wanted, run, "page_id long, url string, text string, n_chars long")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import crc_fold, free_name, text_or_empty
+from tenderlake.llm.common import crc_fold, free_name, map_arrow, ship, text_or_empty
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
@@ -70,7 +70,7 @@ def trigram_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
 
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL")
-    return (rows.mapInArrow(run, "lang string, bucket int, n long")
+    return (map_arrow(rows, run, "lang string, bucket int, n long")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
 
 
@@ -137,6 +137,7 @@ def _counted(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def predict_column(docs: DataFrame, model: tuple[list[str], np.ndarray], text: Column) -> Column:
     """struct(lang, score) of a text column."""
     langs, p = model
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((langs, p))
 
     @F.pandas_udf("lang string, score double")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import text_or_empty
+from tenderlake.llm.common import map_arrow, text_or_empty
 
 # Phrases of the result's contract, with their labels.
 BASE_PHRASES = (
@@ -212,5 +212,5 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, t) for c, t in zip(cols, kinds)]],
                                              names=[f.split()[0] for f in SCHEMA.split(", ")])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       text_or_empty(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    wanted = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    return map_arrow(wanted, run, SCHEMA)

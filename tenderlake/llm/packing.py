@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tenderlake.llm.common import materialize, text_or_empty
+from tenderlake.llm.common import map_arrow, materialize, text_or_empty
 
 WIDTH = 2048
 LANES = 512
@@ -85,8 +85,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, lanes
                 [pa.array(c, t) for c, t in zip(cols, kinds)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "lane"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       text_or_empty(text_col).alias("text")).mapInArrow(run, PIECE_SCHEMA)
+    wanted = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    return map_arrow(wanted, run, PIECE_SCHEMA)
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -184,5 +184,5 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, lanes: int =
             yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(seq), pa.array(offset)],
                                              names=[*b.schema.names[:5], "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, "
+    return map_arrow(ranked, place, "doc_id long, piece int, start long, length long, ids_crc32 long, "
                                     "sequence_id long, offset long")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tenderlake.llm.common import cut, free_name, materialize, text_or_empty
+from tenderlake.llm.common import cut, free_name, map_arrow, materialize, text_or_empty
 from tenderlake.llm.components import connected_components
 
 BITS = 64
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text_col: str = "text"
                                              names=[*b.schema.names[:-1], "fp"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema.fields[:-1]]
-    return wanted.mapInArrow(run, ", ".join([*fields, "fp long"]))
+    return map_arrow(wanted, run, ", ".join([*fields, "fp long"]))
 
 
 def bit_moments(points: DataFrame) -> tuple[int, np.ndarray]:
@@ -94,7 +94,7 @@ def bit_moments(points: DataFrame) -> tuple[int, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cells), dtype=np.int32)), pa.array(cells)],
                                          names=["cell", "n"])
 
-    rows = (points.select("fp").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect())
+    rows = map_arrow(points.select("fp"), run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     cells = np.zeros(BITS * BITS + 1, dtype=np.int64)
     for r in rows:
         cells[r["cell"]] = r["n"]
@@ -196,7 +196,7 @@ def filed(points: DataFrame, parts: list[tuple[list[int], int]]) -> DataFrame:
                         [pa.array(keys.view(np.int64)), pa.array(np.repeat(fp, len(flips)).view(np.int64))],
                         names=["key", "fp"])
 
-    return points.select("fp").mapInArrow(run, "key long, fp long")
+    return map_arrow(points.select("fp"), run, "key long, fp long")
 
 
 def forest(fp: np.ndarray, max_distance: int) -> list[tuple[int, int]]:
@@ -257,8 +257,8 @@ def links(points: DataFrame, max_distance: int = MAX_DISTANCE, bucket: int = BUC
     crowded = not big.isEmpty()
     if crowded:
         small = keyed.join(big, "key", "left_anti")
-    edges = (small.repartition("key").sortWithinPartitions("key")
-             .mapInArrow(_links_in_runs(max_distance), "src long, dst long"))
+    edges = map_arrow(small.repartition("key").sortWithinPartitions("key"), _links_in_runs(max_distance),
+                      "src long, dst long")
     if crowded:
         edges = edges.unionByName(_links_by_midpoint(keyed.join(big, "key", "left_semi").select("fp").distinct(),
                                                      max_distance))
@@ -285,7 +285,7 @@ def _links_by_midpoint(points: DataFrame, max_distance: int) -> DataFrame:
                     [pa.array((fp[:, None] ^ flips).ravel().view(np.int64)),
                      pa.array(np.repeat(fp, len(flips)).view(np.int64))], names=["mid", "fp"])
 
-    mids = points.mapInArrow(run, "mid long, fp long")
+    mids = map_arrow(points, run, "mid long, fp long")
     centre = mids.groupBy("mid").agg(F.min("fp").alias("src"), F.count("*").alias("n")).where(F.col("n") > 1)
     return (mids.join(centre, "mid").where(F.col("fp") != F.col("src"))
             .select("src", F.col("fp").alias("dst")).distinct())

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import crc_fold, text_or_empty
+from tenderlake.llm.common import crc_fold, map_arrow, text_or_empty
 
 #: At most this many labelled rows are learned from (the smallest by hash of
 #: the id): a fixed-size model needs no more, and the sample fits the driver.
@@ -92,7 +92,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, learnable: Column, rows: i
                 [b.column(0), pa.array(x, pa.binary()), pa.array(swaps, pa.list_(pa.binary()))],
                 names=["y", "x", "swaps"])
 
-    return texts.mapInArrow(run, "y int, x binary, swaps array<binary>")
+    return map_arrow(texts, run, "y int, x binary, swaps array<binary>")
 
 
 def _select(xs: list[np.ndarray], y: np.ndarray, size: int, min_rows: int) -> np.ndarray:
@@ -209,8 +209,8 @@ def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFra
                 [b.column(0), pa.array(s, pa.float64()), pa.array([int(x >= threshold) for x in s], pa.int32())],
                 names=["doc_id", "score", "predicted"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-            .mapInArrow(run, "doc_id long, score double, predicted int"))
+    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return map_arrow(wanted, run, "doc_id long, score double, predicted int")
 
 
 def held_out(id_col: str = "doc_id", folds: int = 3, fold: int = 1) -> Column:
