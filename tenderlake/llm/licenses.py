@@ -76,7 +76,7 @@ _RANK = {"or": 1, "and": 2, "with": 3}
 
 def family(identifier: str) -> str:
     """Licence family of an identifier; an unknown one stands for itself."""
-    name = identifier.lower()
+    name = identifier.lower().rstrip(".:-")  # punctuation of a sentence that ends with the tag
     return next((label for prefix, label in ID_PREFIXES if name == prefix or name.startswith(prefix + "-")
                  or name.startswith(prefix + "+")), name)
 

@@ -71,3 +71,9 @@ def test_tags_and_longest_notice():
     assert licenses.scan("under CC BY NC 4.0 terms", machine)[5] == "cc-by-nc"
     assert licenses.scan("GNU Affero General Public License", machine)[4:6] == ("gpl", "agpl,gpl")
     assert licenses.scan("SPDX-License-Identifier: (broken", machine)[5:] == ("", 0.0)
+
+
+def test_punctuation_after_a_tag_is_no_part_of_the_identifier():
+    machine = licenses.automaton()
+    assert licenses.scan("SPDX-License-Identifier: MIT. See the file.", machine)[5:] == ("mit", 1.0)
+    assert licenses.scan("SPDX-License-Identifier: MIT OR GPL-2.0+.", machine)[5:] == ("gpl,mit", 1.0)
