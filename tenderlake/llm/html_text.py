@@ -6,8 +6,8 @@ yield lines of no length.  The line-block function sums text lengths over a
 sliding window of lines; text surges where a window first exceeds the
 threshold and dives where the sums fall to zero.  The stretch with the most
 text between a surge and a dive is kept, every line of it.  Where the page
-marks its article (``article``, ``main``), lines outside have no length and
-any text in it surges.
+marks its article (``article``, ``main``), lines outside have no length; a
+check after the method adds the article's lines that the stretch misses.
 """
 
 from __future__ import annotations
@@ -184,6 +184,13 @@ def block_stretch(lengths: list[int], window: int, threshold: int) -> tuple[int,
     return -best[1], best[2]
 
 
+def text_stretch(found: list[tuple[str, int, int]], chosen: int, window: int = WINDOW_LINES,
+                 threshold: int = SURGE_CHARS) -> tuple[int, int]:
+    """``block_stretch`` of a page's lines, of which those outside the chosen article have no length."""
+    lengths = [n if article == chosen else 0 for _, n, article in found]
+    return block_stretch(lengths, window, min(threshold, max(lengths))) if any(lengths) else (0, 0)
+
+
 def main_text(page: str, window: int = WINDOW_LINES, threshold: int = SURGE_CHARS) -> str:
     """The article's lines in page order, joined by newlines; empty when the page has none."""
     found = lines(page)
@@ -191,14 +198,12 @@ def main_text(page: str, window: int = WINDOW_LINES, threshold: int = SURGE_CHAR
     for text, _, article in found:
         chars[article] = chars.get(article, 0) + len(text)
     marked = {a: n for a, n in chars.items() if a and n}
-    if marked:  # every line of the article surges, everything outside has no length
-        chosen = max(marked, key=lambda a: (marked[a], -a))
-        return "\n".join(t for t, _, a in found if t and a == chosen)
-    lengths = [n for _, n, _ in found]
-    if not any(lengths):
-        return ""
-    start, end = block_stretch(lengths, window, min(threshold, max(lengths)))
-    return "\n".join(t for t, _, _ in found[start:end] if t)
+    chosen = max(marked, key=lambda a: (marked[a], -a), default=0)
+    start, end = text_stretch(found, chosen, window, threshold)
+    if chosen:  # the check after the method: article lines too short to surge, or all link text, are text as well
+        at = [i for i, (text, _, article) in enumerate(found) if text and article == chosen]
+        start, end = min(start, at[0]), max(end, at[-1] + 1)
+    return "\n".join(t for t, _, a in found[start:end] if t and a == chosen)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

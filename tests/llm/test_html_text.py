@@ -36,6 +36,26 @@ def test_line_block_function():
     assert html_text.block_stretch([], 3, 30) == (0, 0)
 
 
+def test_line_blocks_are_computed_on_marked_pages_too(monkeypatch):
+    seen, method = [], html_text.block_stretch
+    monkeypatch.setattr(html_text, "block_stretch", lambda *a: seen.append((a[0], method(*a))) or seen[-1][1])
+    body = "".join(f"<p>{'word ' * 40}{i}</p>" for i in range(3))
+    page = f"<div>{'outside ' * 30}</div><article>{body}<p><a href='/'>More</a></p></article><div>{'after ' * 90}</div>"
+    text = html_text.main_text(page)
+    assert seen == [([0, 201, 201, 201, 0, 0], (1, 4))]
+    # the check after the method adds the last line, which is link text only
+    assert text.split("\n") == [f"{'word ' * 40}{i}" for i in range(3)] + ["More"]
+
+
+def test_line_blocks_alone_find_the_text_of_most_given_pages(spark):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    found = [html_text.lines(p) for p in pages]
+    marked = [max(a for *_, a in f) for f in found]
+    spans = [html_text.text_stretch(f, a) for f, a in zip(found, marked)]
+    alone = ["\n".join(t for t, _, x in f[i:j] if t and x == a) for f, a, (i, j) in zip(found, marked, spans)]
+    assert all(alone) and sum(x == html_text.main_text(p) for x, p in zip(alone, pages)) >= 240
+
+
 @pytest.mark.parametrize("page, want", [
     ("", ""), ("   ", ""), ("plain text", "plain text"), ("<p>open <b>never closed", "open never closed"),
     ("<article><p>a<p>b</article", "a\nb"), ("<p>a < b and c > d</p>", "a < b and c > d"),
