@@ -4,10 +4,10 @@ Markup is stripped into lines, one per block element.  Scripts, styles, forms,
 navigation, headers, footers, sidebars, adverts, notices and comment sections
 yield lines of no length.  The line-block function sums text lengths over a
 sliding window of lines; text surges where a window first exceeds the
-threshold and dives where the sums fall to zero.  The stretch with the most
-text between a surge and a dive is kept, every line of it.  Where the page
-marks its article (``article``, ``main``), lines outside have no length; a
-check after the method adds the article's lines that the stretch misses.
+threshold and dives where the sums fall to zero.  Every line from the first
+surge to the last dive is kept.  Where the page marks its article (``article``,
+``main``; all such parts count), lines outside have no length; a check after
+the method adds the article's lines that the stretch misses.
 """
 
 from __future__ import annotations
@@ -81,8 +81,12 @@ def _is_furniture(attributes: str, in_article: bool) -> bool:
     return not FURNITURE.isdisjoint(named)
 
 
+#: Where a line lies: outside, in an article that is named like page furniture, in any other article or main part.
+OUTSIDE, NAMED, MARKED = 0, 1, 2
+
+
 def lines(page: str) -> list[tuple[str, int, int]]:
-    """(text, length, article number) of every line; article 0: in no article.
+    """(text, length, place) of every line.
 
     Lines of page furniture have no text; the length leaves link text out.
     Inside an article a ``header`` keeps its text (it holds the title);
@@ -91,15 +95,15 @@ def lines(page: str) -> list[tuple[str, int, int]]:
     out: list[tuple[str, int, int]] = []
     buffer: list[str] = []
     linked = 0  # characters of the buffer that are link text
-    stack: list[tuple[str, bool, int, bool]] = []  # element, inside furniture, article number, inside a link
-    articles, at = 0, 0
+    stack: list[tuple[str, bool, int, bool]] = []  # element, inside furniture, place, inside a link
+    at = 0
 
     def flush() -> None:
         nonlocal linked
-        _, hidden, article, _ = stack[-1] if stack else ("", False, 0, False)
+        _, hidden, place, _ = stack[-1] if stack else ("", False, OUTSIDE, False)
         text = _SPACE.sub(" ", html_lib.unescape("".join(buffer))).strip()
         if text:
-            out.append(("", 0, article) if hidden else (text, max(0, len(text) - linked), article))
+            out.append(("", 0, place) if hidden else (text, max(0, len(text) - linked), place))
         buffer.clear()
         linked = 0
 
@@ -152,58 +156,51 @@ def lines(page: str) -> list[tuple[str, int, int]]:
                     break
                 if stack[i][0] in BLOCK:
                     break
-        _, hidden, article, link = stack[-1] if stack else ("", False, 0, False)
+        _, hidden, place, link = stack[-1] if stack else ("", False, OUTSIDE, False)
         if not hidden:
-            furniture = name in BOILERPLATE and not (name == "header" and article)
+            furniture = name in BOILERPLATE and not (name == "header" and place)
             page_level = name in ("html", "body", "main", "article")
-            hidden = furniture or (not page_level and _is_furniture(attributes, article > 0)) \
-                or (name == "article" and article > 0 and _is_furniture(attributes, True))
-            if name in ("article", "main") and not hidden and (not article or name == "article" and stack
-                                                               and stack[-1][0] == "main"):
-                articles += 1
-                article = articles
-        stack.append((name, hidden, article, link or name == "a"))
+            hidden = furniture or (not page_level and _is_furniture(attributes, place > OUTSIDE)) \
+                or (name == "article" and place > OUTSIDE and _is_furniture(attributes, True))
+            if name in ("article", "main") and not hidden and not place:
+                place = NAMED if name == "article" and _is_furniture(attributes, True) else MARKED
+        stack.append((name, hidden, place, link or name == "a"))
     flush()
     return out
 
 
 def block_stretch(lengths: list[int], window: int, threshold: int) -> tuple[int, int]:
-    """[start, end) of the stretch with the most text between a surge and a dive of the windowed sums."""
+    """[start, end) from the first surge to the last dive of the windowed sums."""
     n = len(lengths)
     sums = np.convolve(np.array(lengths), np.ones(window, dtype=np.int64))[window - 1:] if n else np.zeros(0)
-    best, i = (0, 0, 0), 0
+    start, end, i = None, 0, 0
     while i < n:
         if sums[i] < threshold or not lengths[i]:
             i += 1
             continue
-        j = i
-        while j < n and sums[j] > 0:
-            j += 1
-        best = max(best, (sum(lengths[i:j]), -i, j))
-        i = j
-    return -best[1], best[2]
+        start = i if start is None else start
+        while i < n and sums[i] > 0:
+            i += 1
+        end = i
+    return start or 0, end
 
 
 def text_stretch(found: list[tuple[str, int, int]], chosen: int, window: int = WINDOW_LINES,
                  threshold: int = SURGE_CHARS) -> tuple[int, int]:
-    """``block_stretch`` of a page's lines, of which those outside the chosen article have no length."""
-    lengths = [n if article == chosen else 0 for _, n, article in found]
+    """``block_stretch`` of a page's lines, of which those at other places than the chosen one have no length."""
+    lengths = [n if place == chosen else 0 for _, n, place in found]
     return block_stretch(lengths, window, min(threshold, max(lengths))) if any(lengths) else (0, 0)
 
 
 def main_text(page: str, window: int = WINDOW_LINES, threshold: int = SURGE_CHARS) -> str:
     """The article's lines in page order, joined by newlines; empty when the page has none."""
     found = lines(page)
-    chars: dict[int, int] = {}
-    for text, _, article in found:
-        chars[article] = chars.get(article, 0) + len(text)
-    marked = {a: n for a, n in chars.items() if a and n}
-    chosen = max(marked, key=lambda a: (marked[a], -a), default=0)
+    chosen = max((place for text, _, place in found if text), default=OUTSIDE)
     start, end = text_stretch(found, chosen, window, threshold)
     if chosen:  # the check after the method: article lines too short to surge, or all link text, are text as well
-        at = [i for i, (text, _, article) in enumerate(found) if text and article == chosen]
+        at = [i for i, (text, _, place) in enumerate(found) if text and place == chosen]
         start, end = min(start, at[0]), max(end, at[-1] + 1)
-    return "\n".join(t for t, _, a in found[start:end] if t and a == chosen)
+    return "\n".join(t for t, _, place in found[start:end] if t and place == chosen)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

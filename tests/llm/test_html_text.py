@@ -36,6 +36,29 @@ def test_line_block_function():
     assert html_text.block_stretch([], 3, 30) == (0, 0)
 
 
+def test_all_stretches_between_first_surge_and_last_dive_stay():
+    assert html_text.block_stretch([200] * 5 + [0] * 3 + [200] * 4, 3, 80) == (0, 12)
+    assert html_text.block_stretch([0, 200] + [0] * 3 + [9] + [0] * 3 + [200, 0, 0, 0, 9], 3, 80) == (1, 10)
+    parts = [f"{'word ' * 40}{i}" for i in range(9)]
+    ads = "<div class='ad'>Buy</div>" * 3
+    links = "".join(f"<li><a href='/{i}'>Link {i}</a></li>" for i in range(3))
+    head, tail = ("".join(f"<div>{p}</div>" for p in ps) for ps in (parts[:5], parts[5:]))
+    assert html_text.main_text(f"<body>{head}{ads}{tail}</body>").split("\n") == parts
+    assert html_text.main_text(f"<body>{head}<ul>{links}</ul>{tail}</body>").split("\n") == \
+        parts[:5] + ["Link 0", "Link 1", "Link 2"] + parts[5:]
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<main><h1>Title</h1><article><p>body of it</p></article></main>", "Title\nbody of it"),
+    ("<main><article>first part</article><article>two</article></main>", "first part\ntwo"),
+    ("<article>first part</article><div>between</div><article>two</article>", "first part\ntwo"),
+    ("<main>lead</main><article>body of it</article>", "lead\nbody of it"),
+    ("<article>body</article><article class='comment'>a longer comment</article>", "body"),
+    ("<article class='notice'>the only article</article><div>x</div>", "the only article")])
+def test_all_marked_parts_stay(page, want):
+    assert html_text.main_text(page) == want
+
+
 def test_line_blocks_are_computed_on_marked_pages_too(monkeypatch):
     seen, method = [], html_text.block_stretch
     monkeypatch.setattr(html_text, "block_stretch", lambda *a: seen.append((a[0], method(*a))) or seen[-1][1])
