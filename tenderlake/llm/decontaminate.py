@@ -50,18 +50,20 @@ def _hashes(ws: str, at: str) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """hash, item_id, item_at of every masked window, with the item words around its block.
+    """hash, item_id, item_key, item_at of every masked window, with the item words around its block.
 
     Windows are blocked by ``STEP`` start positions; the words around a block
     reach far enough for any verification window around any of its hits.
+    ``item_key`` tells apart texts that share an id.
     """
-    items = benchmark.select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("ws")).distinct()
+    items = benchmark.select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("ws")).distinct() \
+        .withColumn("item_key", F.xxhash64("ws"))
     block = F.floor(F.col("item_at") / STEP).cast("int")
     start = F.greatest(F.lit(0), F.col("block") * STEP - (WINDOW - SPAN))
     stop = F.least(F.size("ws"), (F.col("block") + 1) * STEP + WINDOW)
-    return (items.select("item_id", "ws", _positions("ws").alias("item_at"))
-            .select("item_id", "ws", "item_at", _hashes("ws", "item_at").alias("hash"), block.alias("block"))
-            .select("hash", "item_id", "item_at", "block", F.size("ws").alias("item_size"), start.alias("start"),
+    return (items.select("item_id", "item_key", "ws", _positions("ws").alias("item_at"))
+            .select("item_id", "item_key", "ws", "item_at", _hashes("ws", "item_at").alias("hash"), block.alias("block"))
+            .select("hash", "item_id", "item_key", "item_at", "block", F.size("ws").alias("item_size"), start.alias("start"),
                     F.slice("ws", start + 1, stop - start).alias("item_part")))
 
 
@@ -84,14 +86,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE, b
 
     Hits carry only the words around them, once per document, item, diagonal
     and block; whole texts are never shuffled.  Rows of ``docs`` with equal
-    keys are reported once with their best overlap.  NULL and empty texts
+    keys, and items of equal ids, are reported once with their best overlap.  NULL and empty texts
     never leak; neither does anything when the benchmark is empty.
     """
     seeds = benchmark_windows(benchmark, item_id_col, item_text_col)
     blocks = max(1, -(-seeds.count() // block_windows))
     at = (docs.select(*key_cols, words(F.col(text_col)).alias("ws"))
-          .select(*key_cols, "ws", _positions("ws").alias("doc_at"))
-          .select(*key_cols, "ws", "doc_at", _hashes("ws", "doc_at").alias("hash")))
+          .select(*key_cols, "ws", F.xxhash64("ws").alias("doc_key"), _positions("ws").alias("doc_at"))
+          .select(*key_cols, "ws", "doc_key", "doc_at", _hashes("ws", "doc_at").alias("hash")))
     shift = F.col("doc_at") - F.col("item_at")
     first = F.greatest(F.lit(0), F.col("start") + shift)
     last = F.least(F.size("ws"), F.col("start") + shift + F.size("item_part"))
@@ -99,18 +101,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE, b
     def against(k: int) -> DataFrame:
         some = seeds.where(F.pmod(F.xxhash64("item_id", "item_at"), F.lit(blocks)) == k)
         return at.join(F.broadcast(some), "hash").select(
-            *key_cols, "item_id", "block", shift.alias("shift"), "item_size", "item_part",
+            *key_cols, "doc_key", "item_id", "item_key", "block", shift.alias("shift"), "item_size", "item_part",
             (first - F.col("start") - shift).alias("missing"), F.slice("ws", first + 1, last - first).alias("doc_part"))
 
     hits = reduce(DataFrame.unionByName, map(against, range(blocks)))
-    # ``first``: the parts are the same in all hits of a group, and as aggregates they keep the
-    # verification (lambda functions, not compiled) out of the compiled probe
-    once = hits.groupBy(*key_cols, "item_id", "shift", "block").agg(
+    # ``first``: the parts are the same in all hits of a group (the hashes of the words tell texts with
+    # equal ids apart), and as aggregates they keep the verification (lambda functions, not compiled) out
+    # of the compiled probe
+    once = hits.groupBy(*key_cols, "doc_key", "item_id", "item_key", "shift", "block").agg(
         *[F.first(c).alias(c) for c in ("item_size", "item_part", "missing", "doc_part")])
     window = F.least(F.lit(WINDOW), F.col("item_size"))
     return (once.select(*key_cols, "item_id", _best_overlap(WINDOW).alias("overlap"), window.alias("window_words"))
             .where(F.col("overlap") >= F.ceil(F.lit(min_share) * F.col("window_words")))
-            .groupBy(*key_cols, "item_id", "window_words").agg(F.max("overlap").alias("overlap")))
+            .groupBy(*key_cols, "item_id")
+            .agg(F.max(F.struct("overlap", (-F.col("window_words")).alias("shorter"))).alias("best"))
+            .select(*key_cols, "item_id", (-F.col("best.shorter")).alias("window_words"), F.col("best.overlap")))
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **kw) -> DataFrame:

@@ -100,3 +100,15 @@ def test_nulls_empties_repeats(spark):
     kept = dec.drop_leaking(df, bench)
     assert kept.columns == df.columns
     assert sorted((r["doc_id"], r["text"] or "") for r in kept.collect()) == [(1, ""), (2, ""), (3, "q0 q1"), (5, "clean")]
+
+
+def test_repeated_ids_of_different_texts_hide_no_leak(spark):
+    ws = [f"q{k}" for k in range(18)]
+    item = " ".join(ws)
+    part = " ".join(w if k < 9 else f"other{k}" for k, w in enumerate(ws))  # a seed's hit, but no leak
+    parts = [f"{part} {k}" for k in range(10)]
+    docs = [(key, t) for key in (7, None) for t in [*parts, item, *parts]] + [(8, part)]
+    assert found(spark, docs, [(1, item)]) == {(7, 1): 18, (None, 1): 18}
+    items = [(key, t) for key in (5, None) for t in [*parts, item, *parts]]
+    # items of one id and different sizes: one row
+    assert found(spark, [(1, item)], [*items, (5, " ".join(ws[:12]))]) == {(1, 5): 18, (1, None): 18}
