@@ -9,8 +9,10 @@ same diagonal are compared one by one.
 
 A document leaks an item when some window of 20 consecutive item words (the
 whole item when it is shorter), near a hit and on its diagonal, agrees with
-the document in at least ``min_share`` of its positions.  Items of fewer words
-than a mask spans carry too little evidence and never match.
+the document in at least ``min_share`` of its positions.  Items of fewer than 16
+words have one more mask: with it no alteration within the default share is
+missed at any size (checked exhaustively in the tests).  Items of fewer words
+than a mask spans carry little evidence and match verbatim only.
 """
 
 from __future__ import annotations
@@ -22,6 +24,9 @@ from pyspark.sql import functions as F
 
 MASKS = ((0, 5, 6, 7, 8), (0, 2, 4, 5, 8), (0, 3, 5, 7, 8))
 SPAN = 9
+#: A further mask of items with fewer than ``SHORT`` words.
+SHORT_MASK = (0, 2, 3, 4, 7)
+SHORT = 16
 WINDOW = 20
 STEP = 10
 MIN_SHARE = 0.8
@@ -38,15 +43,29 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS, -1), "")
 
 
-def _positions(ws: str) -> Column:
+def _positions(ws: str, span: int = SPAN) -> Column:
     n = F.size(ws)
-    return F.explode(F.when(n >= SPAN, F.sequence(F.lit(0), n - SPAN)))
+    return F.explode(F.when(n >= span, F.sequence(F.lit(0), n - span)))
 
 
-def _hashes(ws: str, at: str) -> Column:
-    """One hash per mask at word ``at``; the mask's number keeps masks apart."""
-    return F.explode(F.array(*[
-        F.xxhash64(F.lit(k), *[F.col(ws)[F.col(at) + o] for o in mask]) for k, mask in enumerate(MASKS)]))
+def _hash(ws: str, at: str, k: int, mask: tuple[int, ...]) -> Column:
+    """The mask's number keeps masks apart."""
+    return F.xxhash64(F.lit(k), *[F.get(F.col(ws), F.col(at) + o) for o in mask])
+
+
+def _hashes(ws: str, at: str, short: Column | bool) -> Column:
+    """One hash per mask that fits at word ``at``, the short items' mask where ``short`` says so."""
+    room = F.size(ws) - F.col(at)
+    masks = F.when(room >= SPAN, F.array(*[_hash(ws, at, k, mask) for k, mask in enumerate(MASKS)]))
+    if short is False:
+        return F.explode(masks)
+    one = F.when((room > SHORT_MASK[-1]) & short, F.array(_hash(ws, at, len(MASKS), SHORT_MASK)))
+    none = F.array().cast("array<bigint>")
+    return F.explode(F.concat(F.coalesce(masks, none), F.coalesce(one, none)))
+
+
+def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return benchmark.select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("ws")).distinct()
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -56,15 +75,16 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     reach far enough for any verification window around any of its hits.
     ``item_key`` tells apart texts that share an id.
     """
-    items = benchmark.select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("ws")).distinct() \
-        .withColumn("item_key", F.xxhash64("ws"))
+    items = _items(benchmark, id_col, text_col).withColumn("item_key", F.xxhash64("ws"))
     block = F.floor(F.col("item_at") / STEP).cast("int")
     start = F.greatest(F.lit(0), F.col("block") * STEP - (WINDOW - SPAN))
     stop = F.least(F.size("ws"), (F.col("block") + 1) * STEP + WINDOW)
-    return (items.select("item_id", "item_key", "ws", _positions("ws").alias("item_at"))
-            .select("item_id", "item_key", "ws", "item_at", _hashes("ws", "item_at").alias("hash"), block.alias("block"))
-            .select("hash", "item_id", "item_key", "item_at", "block", F.size("ws").alias("item_size"), start.alias("start"),
-                    F.slice("ws", start + 1, stop - start).alias("item_part")))
+    return (items.where(F.size("ws") >= SPAN)
+            .select("item_id", "item_key", "ws", _positions("ws", SHORT_MASK[-1] + 1).alias("item_at"))
+            .select("item_id", "item_key", "ws", "item_at", block.alias("block"),
+                    _hashes("ws", "item_at", F.size("ws") < SHORT).alias("hash"))
+            .select("hash", "item_id", "item_key", "item_at", "block", F.size("ws").alias("item_size"),
+                    start.alias("start"), F.slice("ws", start + 1, stop - start).alias("item_part")))
 
 
 def _best_overlap(window: int) -> Column:
@@ -79,6 +99,24 @@ def _best_overlap(window: int) -> Column:
         lambda s: F.aggregate(F.slice(agree, s, window), F.lit(0), lambda a, x: a + x)))
 
 
+def _verbatim(text: DataFrame, items: DataFrame, sizes: list[int], key_cols: tuple[str, ...],
+              block_items: int) -> DataFrame:
+    """Rows of ``leaks`` for items of the given sizes that occur word by word."""
+    n = F.size("run")
+    some = (items.where(F.size("ws").isin(sizes)).select("item_id", F.col("ws").alias("run"))
+            .withColumn("hash", F.xxhash64(n, "run")))
+    blocks = max(1, -(-some.count() // block_items))
+    hashes = F.array(*[F.when(F.size("ws") - F.col("at") >= k, F.xxhash64(F.lit(k), F.slice("ws", F.col("at") + 1, k)))
+                       for k in sizes])
+    at = (text.select(*key_cols, "ws", _positions("ws", 1).alias("at"))
+          .select(*key_cols, "ws", "at", F.explode(hashes).alias("hash")))
+    hits = reduce(DataFrame.unionByName, [
+        at.join(F.broadcast(some.where(F.pmod("hash", F.lit(blocks)) == k)), "hash")
+        .where(F.slice("ws", F.col("at") + 1, n) == F.col("run")).select(*key_cols, "item_id", n.alias("window_words"))
+        for k in range(blocks)])
+    return hits.select(*key_cols, "item_id", F.col("window_words").alias("overlap"), "window_words")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE, block_windows: int = BLOCK_WINDOWS,
           key_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text",
           item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -91,9 +129,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE, b
     """
     seeds = benchmark_windows(benchmark, item_id_col, item_text_col)
     blocks = max(1, -(-seeds.count() // block_windows))
-    at = (docs.select(*key_cols, words(F.col(text_col)).alias("ws"))
-          .select(*key_cols, "ws", F.xxhash64("ws").alias("doc_key"), _positions("ws").alias("doc_at"))
-          .select(*key_cols, "ws", "doc_key", "doc_at", _hashes("ws", "doc_at").alias("hash")))
+    items = _items(benchmark, item_id_col, item_text_col)
+    sizes = sorted(r[0] for r in items.select(F.size("ws").alias("n")).where((F.col("n") > 0) & (F.col("n") < SHORT))
+                   .distinct().collect())  # at most ``SHORT`` numbers
+    short = any(n >= SPAN for n in sizes)
+    text = docs.select(*key_cols, words(F.col(text_col)).alias("ws"))
+    at = (text.select(*key_cols, "ws", F.xxhash64("ws").alias("doc_key"),
+                      _positions("ws", SHORT_MASK[-1] + 1 if short else SPAN).alias("doc_at"))
+          .select(*key_cols, "ws", "doc_key", "doc_at", _hashes("ws", "doc_at", F.lit(True) if short else False)
+                  .alias("hash")))
     shift = F.col("doc_at") - F.col("item_at")
     first = F.greatest(F.lit(0), F.col("start") + shift)
     last = F.least(F.size("ws"), F.col("start") + shift + F.size("item_part"))
@@ -111,9 +155,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE, b
     once = hits.groupBy(*key_cols, "doc_key", "item_id", "item_key", "shift", "block").agg(
         *[F.first(c).alias(c) for c in ("item_size", "item_part", "missing", "doc_part")])
     window = F.least(F.lit(WINDOW), F.col("item_size"))
-    return (once.select(*key_cols, "item_id", _best_overlap(WINDOW).alias("overlap"), window.alias("window_words"))
-            .where(F.col("overlap") >= F.ceil(F.lit(min_share) * F.col("window_words")))
-            .groupBy(*key_cols, "item_id")
+    found = (once.select(*key_cols, "item_id", _best_overlap(WINDOW).alias("overlap"), window.alias("window_words"))
+             .where(F.col("overlap") >= F.ceil(F.lit(min_share) * F.col("window_words"))))
+    tiny = [n for n in sizes if n < SPAN]
+    if tiny:
+        found = found.unionByName(_verbatim(text, items, tiny, key_cols, block_windows))
+    return (found.groupBy(*key_cols, "item_id")
             .agg(F.max(F.struct("overlap", (-F.col("window_words")).alias("shorter"))).alias("best"))
             .select(*key_cols, "item_id", (-F.col("best.shorter")).alias("window_words"), F.col("best.overlap")))
 

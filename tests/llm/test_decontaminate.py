@@ -112,3 +112,62 @@ def test_repeated_ids_of_different_texts_hide_no_leak(spark):
     items = [(key, t) for key in (5, None) for t in [*parts, item, *parts]]
     # items of one id and different sizes: one row
     assert found(spark, [(1, item)], [*items, (5, " ".join(ws[:12]))]) == {(1, 5): 18, (1, None): 18}
+
+
+def test_masks_hit_every_altered_copy_of_shorter_items():
+    for n in range(dec.SPAN, dec.WINDOW):
+        masks = dec.MASKS + ((dec.SHORT_MASK,) if n < dec.SHORT else ())
+        for bad in itertools.combinations(range(n), n // 5):
+            gone = set(bad)
+            assert any(not gone & {o + m for m in mask} for mask in masks for o in range(n - mask[-1]))
+
+
+def test_altered_copies_of_short_items_are_found(spark):
+    docs, items = [], []
+    for i, n in enumerate((9, 10, 15)):
+        ws = [f"i{i}x{k}" for k in range(n)]
+        items.append((i, " ".join(ws)))
+        for bad in itertools.combinations(range(n), n // 5):
+            docs.append((len(docs), " ".join("zz" if k in bad else w for k, w in enumerate(ws))))
+    got, want = found(spark, docs, items), brute(docs, items)
+    assert len(got) == 9 + 45 + 455 and got == want
+    # the longest item alone has no need of the mask; other items' masks change nothing
+    assert found(spark, docs[:60], items[:1]) == brute(docs[:60], items[:1])
+
+
+def test_items_under_nine_words_match_verbatim(spark):
+    items = [(1, "One two three"), (2, "a b c d e f g h"), (3, "solo"), (None, "one two three"), (4, "")]
+    docs = [(1, "x one, two three y one two three"), (2, "one two four three"), (3, "a b c d e f g h"),
+            (4, "a b c d e f g x"), (5, "SOLO"), (6, None), (6, "one two three")]
+    assert found(spark, docs, items) == {(1, 1): 3, (1, None): 3, (3, 2): 8, (5, 3): 1, (6, 1): 3, (6, None): 3}
+    assert found(spark, docs, items, block_windows=1) == found(spark, docs, items)
+    long_item = " ".join(f"q{k}" for k in range(24))
+    assert found(spark, [(1, f"{long_item} solo")], [(7, long_item), (8, "solo")]) == {(1, 7): 20, (1, 8): 1}
+
+
+def test_query_matches_brute_force_on_every_document(spark):
+    import numpy as np
+
+    from tenderlake.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    numbers: dict[str, int] = {}
+
+    def coded(name, key):
+        return [(r[0], np.array([numbers.setdefault(w, len(numbers)) for w in word_list(r[1])]))
+                for r in spark.read.parquet(f"{sf}/{name}.parquet").select(key, "text").collect()]
+
+    docs, items, want = coded("documents", "doc_id"), coded("benchmark", "item_id"), {}
+    for d, ws in docs:
+        for i, it in items:
+            if not len(np.intersect1d(ws, it)):
+                continue
+            v, pad = min(dec.WINDOW, len(it)), np.full(len(it) - 1, -1)
+            around = np.concatenate([pad, ws, pad])
+            eq = np.lib.stride_tricks.sliding_window_view(around, len(it)) == it
+            total = np.concatenate([np.zeros((len(eq), 1), int), np.cumsum(eq, axis=1)], axis=1)
+            best = int((total[:, v:] - total[:, :-v]).max())
+            if best >= -(-v * 8 // 10):
+                want[d, i] = best
+    assert any(len(ws) > 200 for _, ws in docs) and want
+    got = QUERIES["op2_benchmark_decontamination"](spark, sf).collect()
+    assert {(r["doc_id"], r["item_id"]): r["overlap"] for r in got} == want
