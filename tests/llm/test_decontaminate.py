@@ -19,7 +19,7 @@ def brute(docs, items):
         ws = word_list(text)
         for i, item in items:
             it = word_list(item)
-            if len(it) < dec.SPAN or len(ws) < dec.SPAN:
+            if not it or not ws:
                 continue
             v = min(dec.WINDOW, len(it))
             best = 0
@@ -71,9 +71,9 @@ def test_matches_brute_force_over_all_positions(spark):
     assert all(k in got for k, v in want.items() if v >= min(dec.WINDOW, len(items[k[1]][1].split())) - 1)
 
 
-def test_blocks_of_the_benchmark_change_nothing(spark):
+def test_a_large_benchmark_is_shuffled_with_the_same_result(spark):
     docs, items = cases()
-    assert found(spark, docs, items, block_windows=100) == found(spark, docs, items)
+    assert found(spark, docs, items, broadcast_windows=100) == found(spark, docs, items)
 
 
 def test_query_matches_brute_force(spark):
@@ -115,11 +115,12 @@ def test_repeated_ids_of_different_texts_hide_no_leak(spark):
 
 
 def test_masks_hit_every_altered_copy_of_shorter_items():
-    for n in range(dec.SPAN, dec.WINDOW):
-        masks = dec.MASKS + ((dec.SHORT_MASK,) if n < dec.SHORT else ())
+    for n in range(1, dec.WINDOW):
+        laid = [{o + m for m in dec.ALL_MASKS[k]} for k, places in dec.masks_of(n)
+                for o in (range(n - dec.ALL_MASKS[k][-1]) if places is None else places)]
+        assert all(max(x) < n for x in laid)
         for bad in itertools.combinations(range(n), n // 5):
-            gone = set(bad)
-            assert any(not gone & {o + m for m in mask} for mask in masks for o in range(n - mask[-1]))
+            assert any(not set(bad) & x for x in laid)
 
 
 def test_altered_copies_of_short_items_are_found(spark):
@@ -135,16 +136,40 @@ def test_altered_copies_of_short_items_are_found(spark):
     assert found(spark, docs[:60], items[:1]) == brute(docs[:60], items[:1])
 
 
-def test_items_under_nine_words_match_verbatim(spark):
-    items = [(1, "One two three"), (2, "a b c d e f g h"), (3, "solo"), (None, "one two three"), (4, "")]
+def test_items_under_nine_words(spark):
+    items = [(1, "One two three"), (2, "a b c d e f g h"), (3, "solo"), (None, "one two three"), (4, ""),
+             (5, "k l m n o")]
     docs = [(1, "x one, two three y one two three"), (2, "one two four three"), (3, "a b c d e f g h"),
-            (4, "a b c d e f g x"), (5, "SOLO"), (6, None), (6, "one two three")]
-    assert found(spark, docs, items) == {(1, 1): 3, (1, None): 3, (3, 2): 8, (5, 3): 1, (6, 1): 3, (6, None): 3}
-    assert found(spark, docs, items, block_windows=1) == found(spark, docs, items)
+            (4, "a b c d e f g x"), (5, "SOLO"), (6, None), (6, "one two three"), (7, "a b x d e f x h"),
+            (8, "k l m x o"), (9, "x x m n o"), (10, "l m n o")]
+    want = {(1, 1): 3, (1, None): 3, (3, 2): 8, (4, 2): 7, (5, 3): 1, (6, 1): 3, (6, None): 3, (8, 5): 4, (10, 5): 4}
+    assert found(spark, docs, items) == want == brute(docs, items)
+    assert found(spark, docs, items, broadcast_windows=1) == want
     long_item = " ".join(f"q{k}" for k in range(24))
     assert found(spark, [(1, f"{long_item} solo")], [(7, long_item), (8, "solo")]) == {(1, 7): 20, (1, 8): 1}
 
 
+def test_time_grows_with_the_length_of_a_text(spark):
+    import time
+    item = " ".join(f"q{k}" for k in range(24))
+    took = {}
+    for n in (500, 5_000, 40_000):
+        text = " ".join(f"w{k % 997}" for k in range(n))
+        began = time.time()
+        assert found(spark, [(1, f"{text} {item} {text}"), (2, text)], [(1, item)]) == {(1, 1): 20}
+        took[n] = time.time() - began
+    assert took[40_000] < 10 * max(took[5_000], 1.0)
+
+
+def test_shuffled_search_with_nulls_and_repeats(spark):
+    item = " ".join(f"q{k}" for k in range(24))
+    docs = [(1, None), (2, ""), (3, "q0 q1"), (None, f"x {item}"), (5, "clean")] + [(4, f"a {item} b")] * 3
+    bench = [(1, item), (1, item), (2, None), (3, ""), (None, item)]
+    assert found(spark, docs, bench, broadcast_windows=0) == found(spark, docs, bench) == {
+        (4, 1): 20, (4, None): 20, (None, 1): 20, (None, None): 20}
+    assert found(spark, docs, [], broadcast_windows=0) == {}
+
+
 def test_query_matches_brute_force_on_every_document(spark):
     import numpy as np
 
