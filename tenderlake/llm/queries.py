@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import (decontaminate, exact_dedup, html_text, language_id, licenses, packing, sharding, simhash,
-                            toxicity, url_filter)
+from tenderlake.llm import (conversation_repair, decontaminate, exact_dedup, html_text, language_id, licenses, line_dedup,
+                            packing, sharding, simhash, toxicity, url_filter)
 from tenderlake.llm.common import table
 from tenderlake.session import scratch_path
 
@@ -139,6 +139,34 @@ def language_id_query(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@register("op12_line_dedup", oracle=r"""
+    WITH line AS (
+        SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS place
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+    keyed AS (
+        SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM line),
+    repeated AS (
+        SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 20
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+    judged AS (
+        SELECT keyed.*, repeated.key IS NOT NULL AND doc_id <> top AS dropped FROM keyed LEFT JOIN repeated USING (key))
+    SELECT doc_id, count(*) AS n_lines, CAST(count_if(dropped) AS BIGINT) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+    FROM judged GROUP BY doc_id
+""")
+def line_dedup_query(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register("op13_conversation_structure_repair")
+def conversation_repair_query(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations")
+    return conversation_repair.report(rows, conversation_repair.damaged(rows))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf)
