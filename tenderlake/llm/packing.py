@@ -13,8 +13,10 @@ parallel lanes, so a length that a third of all pieces have is no hot group.
 from __future__ import annotations
 
 import base64
+import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,34 +28,52 @@ from pyspark.sql.window import Window
 from tenderlake.llm.common import map_arrow, materialize, text_or_empty
 
 WIDTH = 2048
-LANES = 512
+#: Pieces of one length that are ranked in one group, about, when a length holds them all.
+LANE_ROWS = 100_000
 END_ID = 0
-SPECIAL = {"<|endoftext|>": 50256}
 
-PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, lane int"
+PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, nth long"
 _ENCODERS: dict = {}
 
+#: Longest run of blanks, or of anything else, that the rank-file encoder gets: its pattern engine overflows
+#: its stack on some hundred thousand blanks, which ends the Python worker.
+LONG_RUN = 10_000
+_RUNS = re.compile(r"\s+|\S+")
 
-def encoder(path: str):
-    """The vocabulary at ``path`` (rank file); one copy per Python worker.
 
-    Gives the ids that the JSON form of the same vocabulary gives, about four
-    times as fast.
+def byte_level_ids(path: str, special: bool = True) -> Callable[[str], list[int]]:
+    """Encoder of the JSON vocabulary at ``path``, without added tokens; one copy per Python worker.
+
+    Where the rank-file form of the vocabulary (``.tiktoken``) lies next to
+    it, ordinary texts are encoded with that, about four times as fast and
+    with the same ids; texts with very long runs or special tokens never are.
+    ``special=False``: the strings of special tokens are plain text.
     """
-    if path not in _ENCODERS:
-        import public_tokenizers
-        import tiktoken
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _ENCODERS[path] = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                            special_tokens=SPECIAL)
-    return _ENCODERS[path]
+    if (path, special) not in _ENCODERS:
+        from tokenizers import Tokenizer
+        exact = Tokenizer.from_file(path)
+        marks = [t.content for t in exact.get_added_tokens_decoder().values()] if special else []
+        exact.encode_special_tokens = not special
+        fast = _rank_encoder(path.removesuffix(".json") + ".tiktoken")
+
+        def ids(text: str) -> list[int]:
+            long = len(text) > LONG_RUN and any(m.end() - m.start() > LONG_RUN for m in _RUNS.finditer(text))
+            if fast is None or long or any(m in text for m in marks):
+                return exact.encode(text, add_special_tokens=False).ids
+            return fast.encode_ordinary(text)
+
+        _ENCODERS[path, special] = ids
+    return _ENCODERS[path, special]
 
 
-def encode(enc, text: str) -> list[int]:
-    if any(s in text for s in SPECIAL):
-        return enc.encode(text, allowed_special="all")
-    return enc.encode_ordinary(text)
+def _rank_encoder(path: str):
+    import public_tokenizers
+    import tiktoken
+    if not os.path.exists(path):
+        return None
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def cut_points(n: int, width: int) -> list[tuple[int, int]]:
@@ -62,7 +82,7 @@ def cut_points(n: int, width: int) -> list[tuple[int, int]]:
     return [(0, min(first, n))] + [(s, width) for s in range(first, n, width)]
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, lanes: int = LANES,
+def token_pieces(docs: DataFrame, tokenizer_path: str, width: int = WIDTH,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of every document: its ids, then ``END_ID``, cut only when longer than ``width``.
 
@@ -70,20 +90,20 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, lanes
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
-        at = TaskContext.get().partitionId() * 7919
+        encode = byte_level_ids(tokenizer_path)
+        at = TaskContext.get().partitionId() * 7919  # a running number that deals pieces to lanes
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.array([*encode(enc, text), END_ID], dtype="<u4")
+                ids = np.array([*encode(text), END_ID], dtype="<u4")
                 for k, (s, n) in enumerate(cut_points(len(ids), width)):
-                    out.append((doc, k, s, n, zlib.crc32(ids[s:s + n].tobytes()), at % lanes))
+                    out.append((doc, k, s, n, zlib.crc32(ids[s:s + n].tobytes()), at))
                     at += 1
             cols = list(zip(*out)) if out else [()] * 6
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, kinds)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "lane"])
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "nth"])
 
     wanted = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     return map_arrow(wanted, run, PIECE_SCHEMA)
@@ -153,14 +173,16 @@ def intervals(plan: list[tuple[int, dict[int, int]]]) -> dict[str, np.ndarray]:
     return dict(zip(("length", "first", "copies", "seq", "offset"), cols))
 
 
-def pack(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, lanes: int = LANES,
+def pack(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, lane_rows: int = LANE_ROWS,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece.
 
     Repeated rows are packed once each; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    pieces = materialize(token_pieces(docs, tokenizer_path, width, lanes, id_col, text_col), "pieces")
+    pieces = materialize(token_pieces(docs, tokenizer_path, width, id_col, text_col), "pieces")
+    lanes = max(1, -(-pieces.count() // lane_rows))
+    pieces = pieces.withColumn("lane", F.col("nth") % lanes)
     cells = pieces.groupBy("length", "lane").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     where = spark.sparkContext.broadcast(intervals(plan_bins(histogram, width)))

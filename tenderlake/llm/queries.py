@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.llm import (conversation_repair, decontaminate, exact_dedup, html_text, language_id, licenses, line_dedup,
-                            packing, sharding, simhash, toxicity, url_filter)
+                            packing, sharding, simhash, token_alignment, toxicity, url_filter)
 from tenderlake.llm.common import table
 from tenderlake.session import scratch_path
 
@@ -29,7 +29,7 @@ RULES = (
 
 def tokenizer_path() -> str:
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def register(name: str, oracle: str | None = None):
@@ -139,6 +139,14 @@ def language_id_query(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@register("op11_cross_tokenizer_alignment")
+def token_alignment_query(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+    rows, _ = token_alignment.align(table(spark, sf, "documents"), tokenizer_path(),
+                                    public_tokenizers.path("piece_bpe_32k.model"))
+    return rows
+
+
 @register("op12_line_dedup", oracle=r"""
     WITH line AS (
         SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS place

@@ -21,10 +21,32 @@ def reference():
 
 
 def test_ids_are_those_of_the_json_vocabulary(spark, reference):
-    enc = packing.encoder(tokenizer_path())
+    encode = packing.byte_level_ids(tokenizer_path())
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for t in TEXTS + [r["text"] or "" for r in docs.select("text").collect()]:
-        assert packing.encode(enc, t) == reference.encode(t, add_special_tokens=False).ids
+        assert encode(t) == reference.encode(t, add_special_tokens=False).ids
+
+
+LONG = [" " * 1_000_000, "\n" * 1_000_000, "a" * 1_000_000, "x " + "\t" * 400_000 + "y" * 400_000, "?" * 300_000,
+        "é" * 300_000, "ab " * 300_000]
+
+
+def test_very_long_runs_have_the_ids_of_the_json_vocabulary(spark, reference):
+    """The rank-file encoder ends its process on some of these."""
+    encode = packing.byte_level_ids(tokenizer_path())
+    for t in LONG:
+        assert encode(t) == reference.encode(t, add_special_tokens=False).ids
+    texts = list(enumerate(LONG[:4]))
+    check(packing.pack(rows(spark, texts), tokenizer_path()).collect(), texts, 2048, reference)
+
+
+def test_without_the_rank_file_ids_are_the_same(tmp_path, reference):
+    import shutil
+    path = shutil.copy(tokenizer_path(), tmp_path / "v.json")
+    encode, plain = packing.byte_level_ids(str(path)), packing.byte_level_ids(str(path), special=False)
+    for t in TEXTS:
+        assert encode(t) == reference.encode(t, add_special_tokens=False).ids
+        assert (plain(t) == encode(t)) == ("<|endoftext|>" not in t)
 
 
 def test_fullest_matches_brute_force():
@@ -99,11 +121,11 @@ def check(got, texts, width, reference):
     return len(by_seq), sum(w[3] for w in want)
 
 
-@pytest.mark.parametrize("lanes", [1, 7])
-def test_pack_round_trip_with_awkward_rows(spark, reference, lanes):
+@pytest.mark.parametrize("lane_rows", [100_000, 5])
+def test_pack_round_trip_with_awkward_rows(spark, reference, lane_rows):
     texts = [(i, t) for i, t in enumerate(TEXTS)] + [(3, None), (3, None), (None, "nul id"), (7, "x" * 9000),
                                                      (7, "x" * 9000), (8, "word " * 64)] + [(9, "same text")] * 20
-    got = packing.pack(rows(spark, texts).repartition(3), tokenizer_path(), width=64, lanes=lanes).collect()
+    got = packing.pack(rows(spark, texts).repartition(3), tokenizer_path(), width=64, lane_rows=lane_rows).collect()
     n, total = check(got, texts, 64, reference)
     assert n <= -(-total // 64) + 2
 

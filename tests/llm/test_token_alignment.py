@@ -1,0 +1,130 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tenderlake.llm import token_alignment as ta
+from tenderlake.llm.queries import QUERIES
+from tests.llm.helpers import rows
+
+
+@pytest.fixture(scope="module")
+def paths():
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def coders(paths):
+    """(encode A, bytes of an A id, encode B, bytes of a B id), from the libraries alone."""
+    import json
+
+    import sentencepiece
+    from tokenizers import Tokenizer
+    a = Tokenizer.from_file(paths[0])
+    a.encode_special_tokens = True
+    vocabulary = {v: k for k, v in json.load(open(paths[0]))["model"]["vocab"].items()}
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(x for x in range(256) if x not in plain)}
+    m = sentencepiece.SentencePieceProcessor(model_file=paths[1])
+
+    def b_bytes(i):
+        return bytes([int(m.id_to_piece(i)[1:-1], 16)]) if m.is_byte(i) else m.id_to_piece(i).replace("\u2581", " ").encode()
+
+    return (lambda t: a.encode(t, add_special_tokens=False).ids, lambda i: bytes(letters[c] for c in vocabulary[i]),
+            m.encode, b_bytes)
+
+
+def brute(docs, coders):
+    enc_a, bytes_a, enc_b, bytes_b = coders
+    made = []
+    for doc, text in docs:
+        groups = []
+        if text:
+            a, b = enc_a(" " + text), enc_b(text)
+            whole = (" " + text).encode()
+            if b"".join(map(bytes_a, a)) == whole == b"".join(map(bytes_b, b)):
+                i = j = x = y = 0
+                now = ([], [])
+                while i < len(a) or j < len(b):
+                    if x <= y and i < len(a):
+                        now[0].append(a[i])
+                        x += len(bytes_a(a[i]))
+                        i += 1
+                    else:
+                        now[1].append(b[j])
+                        y += len(bytes_b(b[j]))
+                        j += 1
+                    if x == y and now[0] and now[1]:
+                        groups.append(now)
+                        now = ([], [])
+        made.append((doc, groups, Counter((p, q) for g in groups for p in g[0] for q in g[1])))
+    count = Counter(pair for _, _, links in made for pair in links)
+    best = {}
+    for (a, _), n in count.items():
+        best[a] = max(best.get(a, 0), n)
+    out = []
+    for doc, groups, links in made:
+        text = ";".join(",".join(map(str, g[0])) + "|" + ",".join(map(str, g[1])) for g in groups)
+        out.append((doc, sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups),
+                    sum(links.values()), sum(n for p, n in links.items() if count[p] == best[p[0]]),
+                    sum(n * count[p] for p, n in links.items()),
+                    hashlib.sha256(text.encode()).hexdigest() if groups else ""))
+    return sorted(out, key=str), count
+
+
+def texts():
+    rnd = random.Random(6)
+    words = ["Hello", "world", "naïve", "größer", "日本語", "🙂", "don't", "3.14159", "internationalisation", "xkcdqz",
+             "\u00a0", "①", "<s>", "<|endoftext|>", "<0x41>", "ABCdef", "été", "\t", "\n\n", "  ", "\r\n"]
+    docs = [(i, rnd.choice(["", " "]).join(rnd.choices(words, k=rnd.randrange(1, 40)))) for i in range(60)]
+    docs += [(100, None), (101, ""), (102, " "), (103, "a"), (104, "lower\u2581block"), (105, "\x00 \x01"),
+             (106, "a" * 3000), (107, " " * 2000), (None, "no id"), (5, docs[5][1]), (5, docs[5][1]), (108, "word " * 4000)]
+    return docs + [(109, "".join(rnd.choices("qxzjkvw日本é ", k=6000)))]
+
+
+@pytest.mark.parametrize("hot_pairs", [ta.HOT_PAIRS, 0, 40])
+def test_matches_brute_force(spark, paths, coders, hot_pairs):
+    docs = texts()
+    got, pairs = ta.align(rows(spark, docs).repartition(3), *paths, hot_pairs=hot_pairs)
+    want, count = brute(docs, coders)
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    assert {(r["a"], r["b"]): r["docs"] for r in pairs.collect()} == dict(count)
+
+
+def test_large_groups_are_counted_by_id(paths):
+    v = ta.vocabularies(*paths)
+    rnd = np.random.default_rng(1)
+    a, b = rnd.integers(300, 330, 900), rnd.integers(300, 340, 700)
+    key, times, n = ta.links(v, a, b, np.array([1, 900]), np.array([1, 700]))
+    want = Counter((int(x), int(y)) for x in a[1:] for y in b[1:]) + Counter([(int(a[0]), int(b[0]))])
+    n_b = len(v.b_bytes)
+    assert n == 899 * 699 + 1 == times.sum()
+    assert {(int(k) // n_b, int(k) % n_b): int(t) for k, t in zip(key, times)} == dict(want)
+
+
+def test_identity_map_names_the_same_bytes(paths):
+    v = ta.vocabularies(*paths)
+    known = np.flatnonzero(v.identity >= 0)
+    assert len(known) > 5000 and all(v.a_bytes[i] == v.b_bytes[v.identity[i]] for i in known)
+    assert not any(v.a_bytes[i] in set(v.b_bytes) for i in np.flatnonzero(v.identity < 0)[:200])
+
+
+def test_empty_table(spark, paths):
+    got, pairs = ta.align(rows(spark, []), *paths)
+    assert got.collect() == [] and pairs.collect() == []
+
+
+def test_very_long_runs(spark, paths):
+    docs = [(1, " " * 400_000), (2, "x" * 300_000), (3, "short")]
+    got = {r["doc_id"]: r for r in ta.align(rows(spark, docs), *paths)[0].collect()}
+    assert got[1]["n_a"] > 0 and got[2]["n_b"] > 0 and got[3]["n_links"] == 1
+
+
+def test_query_matches_brute_force(spark, coders):
+    sf = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = QUERIES["op11_cross_tokenizer_alignment"](spark, sf)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(docs, coders)[0]
