@@ -6,9 +6,9 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from tenderlake.schemas import CORRUPT
+from tenderlake.sources.spans import lines, quoted_records
 
 
 def _shape_error(line: Column, sep: str, fields: int, fill_missing: bool) -> Column:
@@ -38,29 +38,19 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str
     with missing or surplus fields or with a quote that is never closed aborts
     the job.  ``fill_missing`` lets missing trailing fields read as NULL and
     forgives nothing else.  Quoted fields may hold the delimiter and doubled
-    quotes.  Plain (single-line) records keep the file splittable;
-    ``multi_line`` allows newlines inside quotes at the price of one task per
-    file.
+    quotes, with ``multi_line`` newlines too.  Files stay splittable either
+    way; blank lines are no records.
     """
     sep = sep[0]
-    options = {"sep": sep, "quote": '"', "escape": '"'}
     if multi_line:
-        mode = "PERMISSIVE" if fill_missing else "FAILFAST"
-        full = StructType([*schema.fields, StructField(CORRUPT, StringType())]) if fill_missing else schema
-        rows = (spark.read.schema(full).options(**options).option("header", header).option("multiLine", True)
-                .option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-        if not fill_missing:
-            return rows
-        error = _shape_error(F.col(CORRUPT), sep, len(schema.fields), True)
-        return (rows.withColumn("_record", _checked(F.struct(*schema.fieldNames()), F.col(CORRUPT), error))
-                .select("_record.*"))
-    # whole lines first (a reader without quotes and with a separator no text file has), so that
-    # every line's shape can be checked
-    lines = (spark.read.schema("line string").option("header", header).option("enforceSchema", True)
-             .option("sep", "\u0001").option("quote", "").csv(path))
+        records = quoted_records(spark, path, header)
+    else:
+        records = lines(spark, path, header).select(F.rtrim("value", F.lit("\r")).alias("line"))
+    records = records.where(F.trim("line") != "")
     error = _shape_error(F.col("line"), sep, len(schema.fields), fill_missing)
-    record = F.from_csv(F.col("line"), schema.simpleString()[len("struct<"):-1].replace(":", " "), options)
-    return lines.select(_checked(record, F.col("line"), error).alias("_record")).select("_record.*")
+    record = F.from_csv(F.col("line"), schema.simpleString()[len("struct<"):-1].replace(":", " "),
+                        {"sep": sep, "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})
+    return records.select(_checked(record, F.col("line"), error).alias("_record")).select("_record.*")
 
 
 def csv_header_scan(spark: SparkSession, path: str) -> DataFrame:

@@ -8,28 +8,29 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tenderlake import schemas
 from tenderlake.functions import strip_control
+from tenderlake.sources.spans import array_elements
 
 
-def landed_contracts(spark: SparkSession, path: str, multi_line: bool = False, partitions: int | None = None,
-                     tolerant: bool = False) -> DataFrame:
+def landed_contracts(spark: SparkSession, path: str, multi_line: bool = False, tolerant: bool = False) -> DataFrame:
     """One row per element of ``.marches[]`` of every document, values as text.
 
-    A malformed document (truncated, not JSON, no object) stops the load;
-    with ``tolerant`` it is left out here and listed by
-    :func:`rejected_documents`.
-
     Documents written one per line are split across tasks like any JSON-lines
-    input.  A pretty-printed document (``multi_line=True``) can only be parsed
-    by one task per file, so the exploded rows are spread over ``partitions``
-    (default: the shuffle partition count) before any further work.
+    input.  ``multi_line`` reads files that hold one document each, however it
+    is printed (the contracts are published as a single large one): it is
+    split, too, element by element (:func:`array_elements`).
+
+    A malformed document (truncated, not JSON, no object) stops the load.
+    With ``tolerant`` it is left out here and listed by
+    :func:`rejected_documents`; a large document is then parsed by one task,
+    since whether it is sound shows at its end only.
     """
+    if multi_line and not tolerant:
+        element = F.from_json("element", schemas.LANDED_CONTRACT, {"mode": "FAILFAST"})
+        return array_elements(spark, path, "marches").select(element.alias("m")).select("m.*")
     docs = (spark.read.schema(schemas.LANDED_DOCUMENT).option("multiLine", multi_line)
             .option("mode", "PERMISSIVE" if tolerant else "FAILFAST").json(path))
     rows = docs.select(F.explode("marches").alias("m")).select("m.*")
-    if multi_line:
-        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.repartition(n)
-    return rows
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if multi_line else rows
 
 
 def rejected_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -75,10 +76,9 @@ def value_defects() -> list[Column]:
         F.coalesce(F.sum(F.size(F.filter(elements, lambda e: ~_is_object(e)))), F.lit(0)).alias("bad_list_elements")]
 
 
-def read_contracts(spark: SparkSession, path: str, multi_line: bool = False, partitions: int | None = None,
-                   tolerant: bool = False) -> DataFrame:
+def read_contracts(spark: SparkSession, path: str, multi_line: bool = False, tolerant: bool = False) -> DataFrame:
     """SRC-1: contracts of every document in their declared types (see :func:`landed_contracts`)."""
-    return typed_contracts(landed_contracts(spark, path, multi_line, partitions, tolerant))
+    return typed_contracts(landed_contracts(spark, path, multi_line, tolerant))
 
 
 def strip_escapes(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -1,0 +1,143 @@
+"""Records of splittable files that span pieces, against whole-file parsing."""
+
+import csv
+import io
+import json
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tenderlake.sources import landed_contracts, read_contracts, read_delimited
+from tenderlake.sources.spans import array_elements, lines, quoted_records
+
+THREE = StructType([StructField(c, StringType()) for c in "abc"])
+
+
+@pytest.fixture()
+def small_ranges(spark):
+    """Byte ranges of a few dozen bytes, so that a small file is read by many tasks."""
+    keys = {"spark.sql.files.maxPartitionBytes": "120", "spark.sql.files.openCostInBytes": "1",
+            "spark.sql.files.minPartitionNum": "1"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _write(path, data):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as f:
+        f.write(data if isinstance(data, bytes) else data.encode())
+
+
+def documents():
+    rnd = random.Random(2)
+    parts = ["}", "{", "]", "[", '"', "\\", 'a "quoted" } part', "\\\"}", "é\n", "}}", ",", ":", "plain", ""]
+    marches = []
+    for i in range(60):
+        c = {"uid": str(i), "objet": "".join(rnd.choices(parts, k=rnd.randrange(6)))}
+        if i % 3 == 0:
+            c["acheteur"] = {"id": "}", "nom": rnd.choice(parts)}
+        if i % 4 == 0:
+            c["titulaires"] = [{"id": str(k), "denominationSociale": rnd.choice(parts)} for k in range(rnd.randrange(3))]
+        if i % 5 == 0:
+            c["extra"] = {"deep": [[1, {"x": "]"}], {"marches": [{"uid": "no"}]}]}
+        marches.append(c)
+    return marches
+
+
+META = {"meta": {"marches": [{"uid": "no"}], "o": {"p": {}}}}
+SCALARS = {"version": "1 } [", "n": 3, "tags": ["a", "}"]}
+BEHIND = {"other": [{"uid": "no"}, {"uid": "no"}], "z": None}
+
+
+@pytest.mark.parametrize(("indent", "end", "around"), [
+    (None, "", ({}, {})), (2, "\n", (SCALARS, {"count": 60, "note": "]"})), (None, "  \n\n", (META, BEHIND)),
+    (1, "", (META, {}))])
+def test_one_document_is_read_by_many_tasks(spark, tmp_dir, small_ranges, indent, end, around):
+    doc = {**around[0], "marches": documents(), **around[1]}
+    _write(f"{tmp_dir}/one/doc.json", json.dumps(doc, indent=indent, ensure_ascii=False) + end)
+    _write(f"{tmp_dir}/two/doc.json", json.dumps({"marches": documents()}) + "\n")
+    got = read_contracts(spark, f"{tmp_dir}/one", multi_line=True)
+    want = read_contracts(spark, f"{tmp_dir}/two")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert spark.read.option("lineSep", "}").text(f"{tmp_dir}/one").rdd.getNumPartitions() > 8
+
+
+def test_several_files_and_awkward_documents(spark, tmp_dir, small_ranges):
+    _write(f"{tmp_dir}/d/a.json", json.dumps({"marches": documents()}, indent=1))
+    _write(f"{tmp_dir}/d/b.json", json.dumps({"marches": []}))
+    _write(f"{tmp_dir}/d/c.json", json.dumps({"marches": None, "x": {"y": 1}}))
+    _write(f"{tmp_dir}/d/e.json", json.dumps({"other": 1}))
+    _write(f"{tmp_dir}/d/f.json", json.dumps({"marches": [{"uid": "f"}]}, indent=4))
+    elements = array_elements(spark, f"{tmp_dir}/d", "marches").collect()
+    got = [json.loads(r["element"]) for r in elements]
+    assert sorted(got, key=lambda c: str(c["uid"])) == sorted([*documents(), {"uid": "f"}], key=lambda c: str(c["uid"]))
+    assert max(len(r["element"]) for r in elements) < 400
+
+
+@pytest.mark.parametrize("cut", [-1, -2, -30, 50])
+def test_truncated_document_stops_the_load(spark, tmp_dir, small_ranges, cut):
+    _write(f"{tmp_dir}/t/doc.json", json.dumps({"marches": documents()})[:cut])
+    with pytest.raises(Exception, match="truncated"):
+        landed_contracts(spark, f"{tmp_dir}/t", multi_line=True).collect()
+
+
+@pytest.mark.parametrize("text", [
+    '{"marches": [{"uid": "1"}, 7, {"uid": "2"}]}', '{"marches": [{"uid": "1"}, "x"], "o": {}}',
+    '{"odd": [[1]], "marches": [{"uid": "1"}]}'])
+def test_what_is_no_list_of_objects_stops_the_load(spark, tmp_dir, text):
+    _write(f"{tmp_dir}/t/doc.json", text)
+    with pytest.raises(Exception, match="no object|array of arrays"):
+        landed_contracts(spark, f"{tmp_dir}/t", multi_line=True).collect()
+
+
+def table():
+    rnd = random.Random(5)
+    fields = ["plain", "two\nlines", 'say "hi"', "", "a,b", "\n", 'x"\n"y', "é", "tab\t", "n\x01u", "very long " * 6]
+    return [["a", "b", "c"]] + [[str(i), rnd.choice(fields), rnd.choice(fields) + "."] for i in range(80)]
+
+
+@pytest.mark.parametrize("fill", [False, True])
+@pytest.mark.parametrize("end", ["\n", ""])
+def test_quoted_newlines_are_split(spark, tmp_dir, small_ranges, fill, end):
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows(table())
+    text = out.getvalue().removesuffix("\n") + end
+    for name in "xy":
+        _write(f"{tmp_dir}/c/{name}.csv", text)
+    got = read_delimited(spark, f"{tmp_dir}/c", THREE, multi_line=True, fill_missing=fill)
+    whole = spark.read.schema(THREE).csv(f"{tmp_dir}/c", header=True, multiLine=True, quote='"', escape='"')
+    key = lambda r: str(tuple(r))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, whole.collect()), key=key)
+    want = [tuple(x or None for x in r) for r in table()[1:]] * 2
+    assert sorted((tuple(x or None for x in r) for r in got.collect()), key=key) == sorted(want, key=key)
+    assert spark.read.option("lineSep", "\n").text(f"{tmp_dir}/c").rdd.getNumPartitions() > 8
+
+
+def test_record_of_many_lines_and_open_quote(spark, tmp_dir, small_ranges):
+    long = "\n".join(f"line {i}" for i in range(200))
+    _write(f"{tmp_dir}/c/a.csv", f'1,"{long}",z\n2,y,z\n')
+    got = {r["a"]: r["b"] for r in read_delimited(spark, f"{tmp_dir}/c", THREE, header=False, multi_line=True).collect()}
+    assert got == {"1": long, "2": "y"}
+    _write(f"{tmp_dir}/o/a.csv", '1,x,z\n2,"never\nclosed,z\n')
+    with pytest.raises(Exception, match="open quote"):
+        read_delimited(spark, f"{tmp_dir}/o", THREE, header=False, multi_line=True).collect()
+    assert quoted_records(spark, f"{tmp_dir}/o").count() == 2
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_lines_survive_whole(spark, tmp_dir, small_ranges, multi_line):
+    data = b'h1,h2,h3\n1,x\x01y,2\n3,"\x01""\x01",4\n5,n\x00ul,6\n7,"a\x00b",8\r\n\n9,h2,\x01\n'
+    _write(f"{tmp_dir}/w/a.csv", data)
+    _write(f"{tmp_dir}/w/b.csv", b"h1,h2,h3\n")
+    _write(f"{tmp_dir}/w/c.csv", b"h1,h2,h3\nh1,h2,h3\n")  # only the first line is the header
+    got = read_delimited(spark, f"{tmp_dir}/w", THREE, multi_line=multi_line).collect()
+    assert sorted(map(tuple, got)) == [("1", "x\x01y", "2"), ("3", '\x01"\x01', "4"), ("5", "n\x00ul", "6"),
+                                       ("7", "a\x00b", "8"), ("9", "h2", "\x01"), ("h1", "h2", "h3")]
+    assert lines(spark, f"{tmp_dir}/w", header=True).where(F.col("value").startswith("h1")).count() == 1
