@@ -14,6 +14,15 @@ on rows nobody sees yet, and a failed or interrupted job leaves the current
 version as it was.  An append adds a folder to the list.  An upsert reads and
 rewrites only the buckets its batch falls into and carries all other folders
 over by reference.
+
+No update is lost to another writer: staged rows remember the version they were
+staged from, and ``publish`` writes exactly the next one.  If the table has
+moved on meanwhile, an append goes onto the newer version, an upsert too when
+the other writer touched other buckets only; anything else raises
+:class:`StaleWrite` (``append`` and ``upsert`` then merge anew).  Two writers
+that publish in the same instant are told apart by the file system's
+create-if-absent, which HDFS guarantees; on a store without it, one writer per
+table.
 """
 
 from __future__ import annotations
@@ -21,8 +30,9 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -36,6 +46,13 @@ NULL_BUCKET = -1
 #: of them and one bucket is a few files: the table's gigabytes, roughly.
 BUCKETS = 16
 
+#: Times that an append or upsert is merged anew when other writers were faster.
+ATTEMPTS = 5
+
+
+class StaleWrite(RuntimeError):
+    """The table has changed in a way that the staged rows don't take into account."""
+
 
 @dataclass
 class UpsertResult:
@@ -47,13 +64,20 @@ class UpsertResult:
 
 @dataclass
 class Staged:
-    """Rows written but not yet visible; ``parts`` are [bucket or None, folder] pairs."""
+    """Rows written but not yet visible; ``parts`` are [bucket or None, folder] pairs.
+
+    ``base``: the version (0: none) and its parts that the rows were staged
+    from; ``touched``: the buckets whose parts they replace (None: all).
+    """
     layer: str
     table: str
     schema: StructType
     key: str | None
     buckets: int
     parts: list[list]
+    base: int = 0
+    base_parts: list[list] = field(default_factory=list)
+    touched: set[int | None] | None = None
     result: UpsertResult = field(default_factory=lambda: UpsertResult(-1, -1, 0))
 
 
@@ -114,19 +138,59 @@ class Warehouse:
         m = json.loads(text)
         return Staged(layer, table, StructType.fromJson(m["schema"]), m["key"], m["buckets"], m["parts"])
 
+    def rebased(self, staged: Staged) -> Staged:
+        """``staged`` on top of the table's current version; raises :class:`StaleWrite` if it doesn't fit there."""
+        v = self.current(staged.layer, staged.table) or 0
+        if v == staged.base:
+            return staged
+        name = f"{staged.layer}.{staged.table}"
+        if staged.touched is None:
+            raise StaleWrite(f"{name} is at version {v}, the new content was staged from version {staged.base}")
+        now = self._manifest(staged.layer, staged.table, v)
+        if (now.schema, now.key, now.buckets) != (staged.schema, staged.key, staged.buckets):
+            raise StaleWrite(f"{name} has another layout since version {staged.base}")
+
+        def of_touched(parts: list[list]) -> list[list]:
+            return sorted(p for p in parts if p[0] in staged.touched)
+
+        if of_touched(now.parts) != of_touched(staged.base_parts):
+            raise StaleWrite(f"{name}: another writer changed the same buckets since version {staged.base}")
+        fresh = [p for p in staged.parts if p not in staged.base_parts]
+        kept = [p for p in now.parts if p[0] not in staged.touched]
+        return replace(staged, base=v, base_parts=now.parts, parts=kept + fresh)
+
     def publish(self, staged: Staged) -> int:
-        """Make staged rows the table's current version; fails if another writer was faster."""
-        v = (self.current(staged.layer, staged.table) or 0) + 1
-        text = json.dumps({"schema": staged.schema.jsonValue(), "key": staged.key, "buckets": staged.buckets,
-                           "parts": staged.parts})
-        fs, p = hadoop_path(self.spark, f"{self.location(staged.layer, staged.table)}/versions/{v:06d}")
-        out = fs.create(p, False)
-        try:
-            out.write(bytearray(text.encode()))
-        finally:
-            out.close()
-        staged.result.version = v
-        return v
+        """Make staged rows the table's next version, on top of whatever other writers published meanwhile."""
+        for attempt in range(ATTEMPTS):
+            at = self.rebased(staged)
+            text = json.dumps({"schema": at.schema.jsonValue(), "key": at.key, "buckets": at.buckets,
+                               "parts": at.parts})
+            fs, p = hadoop_path(self.spark, f"{self.location(at.layer, at.table)}/versions/{at.base + 1:06d}")
+            try:
+                out = fs.create(p, False)
+            except Py4JJavaError as e:
+                if "AlreadyExists" not in str(e.java_exception) or attempt == ATTEMPTS - 1:
+                    raise
+                continue
+            try:
+                out.write(bytearray(text.encode()))
+            finally:
+                out.close()
+            staged.result.version = at.base + 1
+            return at.base + 1
+        raise StaleWrite(f"{staged.layer}.{staged.table}")
+
+    def _retried(self, stage: Callable[[], Staged]) -> Staged:
+        """Stage and publish, anew when another writer changed the same buckets."""
+        for attempt in range(ATTEMPTS):
+            staged = stage()
+            try:
+                self.publish(staged)
+                return staged
+            except StaleWrite:
+                if attempt == ATTEMPTS - 1:
+                    raise
+        raise StaleWrite("never reached")
 
     # -- read ----------------------------------------------------------------
     def _rows(self, layer: str, table: str, schema: StructType, parts: list[list]) -> DataFrame:
@@ -162,30 +226,41 @@ class Warehouse:
         folders = [n for n in self._names(path) if n.startswith(f"{BUCKET}=")]
         return [[int(n.split("=")[1]), f"{new}/{n}"] for n in folders]
 
-    def stage(self, df: DataFrame, layer: str, table: str, key: str | None = None) -> Staged:
+    def _base(self, layer: str, table: str) -> tuple[int, Staged | None]:
+        v = self.current(layer, table)
+        return (0, None) if v is None else (v, self._manifest(layer, table, v))
+
+    def stage(self, df: DataFrame, layer: str, table: str, key: str | None = None,
+              buckets: int | None = None) -> Staged:
         """Write a whole new content for a table, in buckets of ``key`` if given."""
-        return Staged(layer, table, df.schema, key, self.buckets, self._write(df, layer, table, key, self.buckets))
+        base = self.current(layer, table) or 0  # before the rows are read
+        n = buckets or self.buckets
+        return Staged(layer, table, df.schema, key, n, self._write(df, layer, table, key, n), base)
 
     def overwrite(self, df: DataFrame, layer: str, table: str, key: str | None = None) -> int:
         """SNK-1: replace the table's content with ``df`` (new version)."""
         return self.publish(self.stage(df, layer, table, key))
 
+    def rebucket(self, layer: str, table: str, buckets: int) -> int:
+        """Spread a grown table over more buckets (a multiple splits each bucket), so that a batch rewrites less."""
+        _, old = self._base(layer, table)
+        return self.publish(self.stage(self.preview(old), layer, table, old.key, buckets))
+
     def stage_append(self, df: DataFrame, layer: str, table: str) -> Staged:
-        v = self.current(layer, table)
-        if v is None:
+        v, old = self._base(layer, table)
+        if old is None:
             return self.stage(df, layer, table)
-        old = self._manifest(layer, table, v)
         missing = set(old.schema.fieldNames()) - set(df.columns)
         if missing:
             raise ValueError(f"append to {layer}.{table}: batch lacks columns {sorted(missing)}")
         new = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in old.schema.fields])
-        return Staged(layer, table, old.schema, old.key, old.buckets,
-                      old.parts + self._write(new, layer, table, old.key, old.buckets))
+        parts = old.parts + self._write(new, layer, table, old.key, old.buckets)
+        return Staged(layer, table, old.schema, old.key, old.buckets, parts, v, old.parts, set())
 
     def append(self, df: DataFrame, layer: str, table: str) -> int:
         """SNK-4: add rows as a new version of the old folders and one more,
         columns matched by name (never by position)."""
-        return self.publish(self.stage_append(df, layer, table))
+        return self._retried(lambda: self.stage_append(df, layer, table)).result.version
 
     def stage_upsert(self, batch: DataFrame, layer: str, table: str, key: str, distinct: bool = True,
                      merge: Callable[[DataFrame], DataFrame] | None = None) -> Staged:
@@ -197,11 +272,9 @@ class Warehouse:
         rows to keep.  NULL-key batch rows are rejected and counted.  A table
         without buckets of this key is rewritten once, into buckets.
         """
-        v = self.current(layer, table)
-        old = self._manifest(layer, table, v) if v is not None else \
-            Staged(layer, table, batch.schema, key, self.buckets, [])
-        if not old.parts:
-            return self._first_upsert(batch, layer, table, key, distinct, old.schema)
+        v, old = self._base(layer, table)
+        if old is None or not old.parts:
+            return self._first_upsert(batch, layer, table, key, distinct, batch.schema if old is None else old.schema, v)
         path = scratch_path(self.spark, f"upsert-{table}")
         rows = materialize(batch, f"upsert-{table}", path)
         try:
@@ -223,12 +296,13 @@ class Warehouse:
                 new = upsert_frame(target, fresh, key, distinct)
             parts = carried + (self._write(new, layer, table, key, buckets) if counts or touched else [])
             result = UpsertResult(-1, sum(counts.values()) + rejected, rejected, len(counts))
-            return Staged(layer, table, old.schema, key, buckets, parts, result)
+            return Staged(layer, table, old.schema, key, buckets, parts, v, old.parts,
+                          set(counts) if bucketed else None, result)
         finally:
             drop_scratch(self.spark, path)
 
     def _first_upsert(self, batch: DataFrame, layer: str, table: str, key: str, distinct: bool,
-                      schema: StructType) -> Staged:
+                      schema: StructType, base: int) -> Staged:
         """Into an empty table: nothing to match, so the batch is written as it comes (counted on the way)."""
         seen = Observation(f"{layer}.{table}")
         counted = batch.select(*schema.fieldNames()).observe(
@@ -238,16 +312,14 @@ class Warehouse:
         # inside a stream's batch function the metrics don't reach the observation: -1
         m = {} if self._in_stream() else seen.get
         result = UpsertResult(-1, int(m.get("rows", -1)), int(m.get("rejected", -1)), len(parts))
-        return Staged(layer, table, schema, key, self.buckets, parts, result)
+        return Staged(layer, table, schema, key, self.buckets, parts, base, result=result)
 
     def _in_stream(self) -> bool:
         return self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") is not None
 
     def upsert(self, batch: DataFrame, layer: str, table: str, key: str, distinct: bool = True,
                merge: Callable[[DataFrame], DataFrame] | None = None) -> UpsertResult:
-        staged = self.stage_upsert(batch, layer, table, key, distinct, merge)
-        self.publish(staged)
-        return staged.result
+        return self._retried(lambda: self.stage_upsert(batch, layer, table, key, distinct, merge)).result
 
     def vacuum(self, layer: str, table: str, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` versions and every data folder no

@@ -298,3 +298,65 @@ def test_registry_refresh_counts_non_numeric_siren(spark, tmp_dir):
     assert step.notes["siren_without_vat"] == 1
     got = {r.siren: r.euvat for r in wh.read("dwh", "siren_attributes").collect()}
     assert got["12A"] is None and got["123456789"].startswith("FR")
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_two_appends_from_one_version_keep_all_rows(spark, tmp_dir, keyed):
+    wh = Warehouse(spark, tmp_dir)
+    wh.overwrite(spark.createDataFrame([("a",)], "k string"), "dwh", "t", key="k" if keyed else None)
+    one = wh.stage_append(spark.createDataFrame([("b",)], "k string"), "dwh", "t")
+    two = wh.stage_append(spark.createDataFrame([("c",)], "k string"), "dwh", "t")
+    assert [wh.publish(one), wh.publish(two)] == [2, 3]
+    assert sorted(r.k for r in wh.read("dwh", "t").collect()) == ["a", "b", "c"]
+
+
+def test_upserts_from_one_version(spark, tmp_dir):
+    from tenderlake.sinks.warehouse import StaleWrite, bucket_of
+    wh = Warehouse(spark, tmp_dir, buckets=8)
+    frame = lambda *rows: spark.createDataFrame(list(rows), "k string, v string")
+    wh.overwrite(frame(*[(str(i), "old") for i in range(40)]), "datalake", "t", key="k")
+    place = {r.k: r.b for r in wh.read("datalake", "t").select("k", bucket_of("k", 8).alias("b")).collect()}
+    other = next(k for k in place if place[k] != place["0"])
+    same = next(k for k in place if place[k] == place["0"] and k != "0")
+    one = wh.stage_upsert(frame(("0", "one")), "datalake", "t", "k")
+    two = wh.stage_upsert(frame((other, "two")), "datalake", "t", "k")
+    late = wh.stage_upsert(frame((same, "late")), "datalake", "t", "k")
+    whole = wh.stage(frame(("x", "x")), "datalake", "t", "k")
+    assert [wh.publish(one), wh.publish(two)] == [2, 3]          # other buckets: merged
+    for stale in (late, whole):
+        with pytest.raises(StaleWrite):
+            wh.publish(stale)
+    wh.upsert(frame((same, "late")), "datalake", "t", "k")       # staged anew
+    got = dict(wh.read("datalake", "t").collect())
+    assert len(got) == 40 and (got["0"], got[other], got[same]) == ("one", "two", "late")
+    assert sum(v == "old" for v in got.values()) == 37
+
+
+def test_a_faster_writer_makes_upsert_and_append_merge_anew(spark, tmp_dir, monkeypatch):
+    wh, rival = Warehouse(spark, tmp_dir, buckets=1), Warehouse(spark, tmp_dir, buckets=1)
+    frame = lambda *rows: spark.createDataFrame(list(rows), "k string, v string")
+    wh.overwrite(frame(("a", "0")), "datalake", "t", key="k")
+    published, faster = wh.publish, [frame(("b", "rival")), frame(("c", "rival"))]
+
+    def publish(staged):
+        if faster:
+            rival.upsert(faster.pop(), "datalake", "t", "k")
+        return published(staged)
+
+    monkeypatch.setattr(wh, "publish", publish)
+    wh.upsert(frame(("a", "1"), ("b", "mine")), "datalake", "t", "k")
+    assert dict(wh.read("datalake", "t").collect()) == {"a": "1", "b": "mine", "c": "rival"}
+    faster.append(frame(("d", "rival")))
+    wh.append(frame(("e", "mine")), "datalake", "t")
+    assert sorted(r.k for r in wh.read("datalake", "t").collect()) == list("abcde")
+    assert wh.versions("datalake", "t") == list(range(1, wh.current("datalake", "t") + 1))
+
+
+def test_rebucket_keeps_rows_and_spreads_them(spark, tmp_dir):
+    wh = Warehouse(spark, tmp_dir, buckets=2)
+    rows = [(str(i),) for i in range(100)] + [(None,)]
+    wh.overwrite(spark.createDataFrame(rows, "k string"), "datalake", "t", key="k")
+    wh.rebucket("datalake", "t", 8)
+    assert len(_files(wh, "datalake", "t")) == 9 and wh.read("datalake", "t").count() == 101
+    res = wh.upsert(spark.createDataFrame([("7",)], "k string"), "datalake", "t", "k")
+    assert res.buckets_rewritten == 1 and wh.read("datalake", "t").count() == 101
