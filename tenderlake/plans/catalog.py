@@ -667,7 +667,7 @@ def q_stream_contract_ingest(spark, sf):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return wh.read("datalake", "decp_marches")
+    return wh.read("datalake", "decp_marches").select(*contracts.MARCHES_COLUMNS)
 
 
 # --- the whole pipeline on landed files ---------------------------------------------------

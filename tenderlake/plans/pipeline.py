@@ -8,6 +8,8 @@ it is published.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,8 +20,8 @@ from tenderlake import schemas
 from tenderlake.operators import codes, companies, contracts, quality, reports, statements
 from tenderlake.session import drop_scratch, materialize, scratch_path
 from tenderlake.sinks.warehouse import Staged, UpsertResult, Warehouse
-from tenderlake.sources import (award_rows, clean_loaded, contract_rows, landed_contracts, read_delimited,
-                                rejected_documents, strip_escapes, typed_contracts, value_defects)
+from tenderlake.sources import (award_rows, clean_loaded, contract_rows, defective_values, landed_contracts,
+                                read_delimited, rejected_documents, strip_escapes, typed_contracts, value_defects)
 
 # Declared widths of the registry landing table (every column 256 bytes).
 REGISTRY_WIDTHS = {c: 256 for c in schemas.REGISTRY_COLUMNS}
@@ -28,6 +30,7 @@ REGISTRY_WIDTHS = {c: 256 for c in schemas.REGISTRY_COLUMNS}
 @dataclass
 class StepReport:
     step: str
+    load_id: str = ""
     upserts: dict[str, UpsertResult] = field(default_factory=dict)
     checks: list[dict] = field(default_factory=list)
     notes: dict[str, int] = field(default_factory=dict)
@@ -38,9 +41,11 @@ class Pipeline:
     publishes them: a table that fails its check never becomes current.
 
     Rows without a key go to ``rejects.<table>`` before anything else looks at
-    them, and their number to the step's report.  ``keep_versions``: after a
-    step is published, delete all but that many newest versions of every table
-    it wrote (default: keep all)."""
+    them, and their number to the step's report.  Reject tables keep the rows
+    of every load under its ``load_id``; a load that is repeated under the same
+    id replaces its own rows.  ``keep_versions``: after a step is published,
+    delete all but that many newest versions of every table it wrote (default:
+    keep all)."""
 
     def __init__(self, spark: SparkSession, warehouse: Warehouse, check: bool = True,
                  keep_versions: int | None = None):
@@ -51,33 +56,38 @@ class Pipeline:
         self._staged: list[tuple[Staged, str | None]] = []
         self._scratch: list[str] = []
 
-    def _begin(self, name: str) -> StepReport:
+    def _begin(self, name: str, load_id: str | None = None) -> StepReport:
         """Forget what a step that failed half-way had staged: it is never published."""
         self._staged, self._scratch = [], []
-        return StepReport(name)
+        return StepReport(name, load_id or f"{name}-{uuid.uuid4().hex[:12]}")
 
     def _overwrite(self, df: DataFrame, layer: str, table: str, schema: StructType, key: str | None = None) -> None:
         """Stage a whole table; with ``key`` it is checked before it is published."""
         self._staged.append((self.wh.stage(schemas.conform(df, schema), layer, table), key))
 
     def _upsert(self, step: StepReport, df: DataFrame, layer: str, table: str, key: str, schema: StructType,
-                distinct: bool = True, rejected: int = 0) -> None:
-        staged = self.wh.stage_upsert(schemas.conform(df, schema), layer, table, key, distinct=distinct)
+                distinct: bool = True, rejected: int = 0, merge: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        staged = self.wh.stage_upsert(schemas.conform(df, schema), layer, table, key, distinct=distinct, merge=merge)
         staged.result.null_keys_rejected += rejected
         step.upserts[table] = staged.result
         self._staged.append((staged, key))
 
-    def _keyed(self, step: StepReport, df: DataFrame, table: str, key: str) -> tuple[DataFrame, int]:
-        """(rows that have a key, number of those that don't); the latter are kept in ``rejects.<table>``.
+    def _reject(self, step: StepReport, rows: DataFrame, table: str) -> None:
+        """Keep rows that a load leaves out, under the load's id: a repeated load replaces its own and adds none."""
+        self.wh.upsert(rows.withColumn("load_id", F.lit(step.load_id)), "rejects", table, "load_id", distinct=False)
 
-        ``df`` is evaluated once, into the scratch folder that the step drops at its end."""
-        path = scratch_path(self.spark, f"landed-{table}")
+    def _land(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` evaluated once, into the scratch folder that the step drops at its end."""
+        path = scratch_path(self.spark, f"landed-{name}")
         self._scratch.append(path)
-        df = materialize(df, f"landed-{table}", path)
+        return materialize(df, f"landed-{name}", path)
+
+    def _keyed(self, step: StepReport, df: DataFrame, table: str, key: str) -> tuple[DataFrame, int]:
+        """(rows that have a key, number of those that don't); the latter are kept in ``rejects.<table>``."""
         without = df.where(F.col(key).isNull())
         rejected = without.count()
-        if rejected or self.wh.exists("rejects", table):
-            self.wh.overwrite(without, "rejects", table)
+        if rejected:
+            self._reject(step, without, table)
         step.notes[f"{table}_without_key"] = rejected
         return df.where(F.col(key).isNotNull()), rejected
 
@@ -89,6 +99,8 @@ class Pipeline:
         frames = {f"{s.layer}.{s.table}": (self.wh.preview(s), key) for s, key in staged if key}
         if self.check and frames:
             step.checks = quality.assert_quality(quality.quality_report(frames))
+        for s, _ in staged:  # all or none, as far as other writers are known by now
+            self.wh.rebased(s)
         for s, _ in staged:
             self.wh.publish(s)
         if self.keep_versions:
@@ -103,27 +115,49 @@ class Pipeline:
         contract and award rows from it (each reads only its columns).
 
         A malformed document stops the load; with ``tolerant`` such documents
-        are kept in ``rejects.decp_documents`` and counted.  Values that don't
-        fit their type are counted while the staging table is written."""
+        are kept in ``rejects.decp_documents`` and counted."""
         step = self._begin("load_contracts")
         if tolerant:
-            self.wh.overwrite(rejected_documents(self.spark, path, multi_line), "rejects", "decp_documents")
-            step.notes["documents_rejected"] = self.wh.read("rejects", "decp_documents").count()
-        seen = Observation("load_contracts")
-        landed = landed_contracts(self.spark, path, multi_line, tolerant=tolerant)
-        counted = landed.observe(seen, *value_defects())
-        self.wh.overwrite(typed_contracts(counted), "staging", "decp_contracts")
-        step.notes.update({k: int(v or 0) for k, v in seen.get.items()})
-        nested = self.wh.read("staging", "decp_contracts")
+            documents = self._land(rejected_documents(self.spark, path, multi_line), "documents")
+            step.notes["documents_rejected"] = documents.count()
+            if step.notes["documents_rejected"]:
+                self._reject(step, documents, "decp_documents")
+        self.wh.overwrite(landed_contracts(self.spark, path, multi_line, tolerant), "staging", "decp_contracts")
+        return self._merge_contracts(step, self.wh.read("staging", "decp_contracts"), widths)
+
+    def load_contract_rows(self, landed: DataFrame, load_id: str, widths: dict[str, int] | None = None) -> StepReport:
+        """The same load for contracts that are landed already, e.g. a stream's micro-batch.
+
+        ``load_id`` names the batch: replayed under the same id it changes nothing."""
+        step = self._begin("load_contract_rows", load_id)
+        return self._merge_contracts(step, self._land(landed, "contracts"), widths)
+
+    def _merge_contracts(self, step: StepReport, landed: DataFrame, widths: dict[str, int] | None) -> StepReport:
+        """Of the rows known so far and the landed ones the newest publication of each contract stays, and of each
+        award the row with the longest name: any order and mix of loads gives the same tables.
+
+        Values that don't fit their type are counted, and kept in ``rejects.decp_values``."""
+        seen = landed.agg(F.count(F.lit(1)).alias("contracts_landed"), *value_defects()).first().asDict()
+        landed_rows = seen.pop("contracts_landed")
+        defects = {k: int(v or 0) for k, v in seen.items()}
+        step.notes.update(defects)
+        if any(defects.values()):
+            self._reject(step, defective_values(landed), "decp_values")
+        nested = typed_contracts(landed)
         marches, rejected = self._keyed(step, contracts.marches_typed(
             clean_loaded(strip_escapes(contract_rows(nested)), widths)), "decp_marches", "decp_uid")
-        awards = clean_loaded(strip_escapes(award_rows(nested)), widths)
-        # both batches are already one row per key: no whole-row distinct
-        self._upsert(step, contracts.newest_marches(marches).drop("publication_text"), "datalake", "decp_marches",
-                     "decp_uid", schemas.DATALAKE_MARCHES, distinct=False, rejected=rejected)
-        self._upsert(step, contracts.titulaires_unique(awards), "datalake", "decp_titulaires", "decp_bridge_uid",
-                     schemas.DATALAKE_TITULAIRES, distinct=False)
-        return self._commit(step)
+        awards = contracts.award_uid(clean_loaded(strip_escapes(award_rows(nested)), widths))
+        # both batches are one row per key: no whole-row distinct
+        self._upsert(step, contracts.newest_marches(marches), "datalake", "decp_marches", "decp_uid",
+                     schemas.STORED_MARCHES, distinct=False, rejected=rejected, merge=contracts.newest_marches)
+        self._upsert(step, contracts.longest_named(awards), "datalake", "decp_titulaires", "decp_bridge_uid",
+                     schemas.DATALAKE_TITULAIRES, distinct=False, merge=contracts.longest_named)
+        done = self._commit(step)
+        counts = {**step.notes, "contracts_landed": landed_rows}
+        row = self.spark.createDataFrame([(step.load_id, step.step, k, v) for k, v in sorted(counts.items())],
+                                         "load_id string, step string, metric string, value long")
+        self.wh.upsert(row, "rejects", "loads", "load_id", distinct=False)
+        return done
 
     # -- Entry B: contracts warehouse layer ----------------------------------------
     def refresh_contracts(self) -> StepReport:
@@ -144,7 +178,7 @@ class Pipeline:
         step = self._begin("load_registry")
         reg = clean_loaded(read_delimited(self.spark, path, schemas.REGISTRY, sep=",", header=True,
                                           multi_line=multi_line), REGISTRY_WIDTHS if widths is None else widths)
-        keyed, rejected = self._keyed(step, reg, "siren_attributes", "siren")
+        keyed, rejected = self._keyed(step, self._land(reg, "siren_attributes"), "siren_attributes", "siren")
         self._upsert(step, keyed, "datalake", "siren_attributes", "siren", schemas.REGISTRY, rejected=rejected)
         return self._commit(step)
 
@@ -166,7 +200,8 @@ class Pipeline:
         raw = clean_loaded(read_delimited(self.spark, path, schemas.STAGING_STATEMENTS, sep=";", header=header,
                                           fill_missing=True, multi_line=multi_line))
         normal = statements.statements_normalized(statements.statements_long(raw))
-        keyed, rejected = self._keyed(step, normal, "infogreffe_attributes", "infogreffe_uid")
+        keyed, rejected = self._keyed(step, self._land(normal, "infogreffe_attributes"), "infogreffe_attributes",
+                                      "infogreffe_uid")
         self._upsert(step, statements.statements_unique(keyed), "datalake", "infogreffe_attributes", "infogreffe_uid",
                      schemas.DATALAKE_STATEMENTS, distinct=False, rejected=rejected)
         return self._commit(step)
@@ -183,7 +218,7 @@ class Pipeline:
         step = self._begin("load_codes")
         raw = clean_loaded(read_delimited(self.spark, path, schemas.CPV, sep="|", header=True, multi_line=multi_line),
                            schemas.CPV_WIDTHS)
-        keyed, rejected = self._keyed(step, raw, "cpv_attributes", "codecpv")
+        keyed, rejected = self._keyed(step, self._land(raw, "cpv_attributes"), "cpv_attributes", "codecpv")
         self._upsert(step, keyed, "datalake", "cpv_attributes", "codecpv", schemas.CPV, rejected=rejected)
         return self._commit(step)
 

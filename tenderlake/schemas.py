@@ -70,6 +70,10 @@ DATALAKE_MARCHES = StructType([
     for f in STAGING_MARCHES.fields
 ])
 
+# As stored: with the landed publication date, which orders the versions of a
+# contract in every later load, batch or stream.
+STORED_MARCHES = StructType([*DATALAKE_MARCHES.fields, StructField("publication_text", StringType())])
+
 DWH_MARCHES = StructType(DATALAKE_MARCHES.fields + [StructField("suspicious_amount", IntegerType())])
 
 STAGING_TITULAIRES = _strings("decp_uid", "titulaire_id", "titulaire_name", "titulaire_typeidentifiant")

@@ -76,6 +76,20 @@ def value_defects() -> list[Column]:
         F.coalesce(F.sum(F.size(F.filter(elements, lambda e: ~_is_object(e)))), F.lit(0)).alias("bad_list_elements")]
 
 
+def defective_values(landed: DataFrame) -> DataFrame:
+    """uid, field, value of every value that :func:`value_defects` counts (list elements one by one)."""
+    elements = F.filter(F.from_json("titulaires", "array<string>"), lambda e: ~_is_object(e))
+
+    def odd(name: str, kind: str) -> Column:
+        bad = F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
+        return F.when(bad, F.array(F.struct(F.lit(name).alias("field"), F.col(name).alias("value"))))
+
+    in_lists = F.transform(elements, lambda e: F.struct(F.lit("titulaires").alias("field"), e.alias("value")))
+    none = F.array().cast("array<struct<field:string,value:string>>")
+    found = F.concat(*[F.coalesce(c, none) for c in (odd("montant", "double"), odd("dureeMois", "int"), in_lists)])
+    return landed.select("uid", F.explode(found).alias("v")).select("uid", "v.field", "v.value")
+
+
 def read_contracts(spark: SparkSession, path: str, multi_line: bool = False, tolerant: bool = False) -> DataFrame:
     """SRC-1: contracts of every document in their declared types (see :func:`landed_contracts`)."""
     return typed_contracts(landed_contracts(spark, path, multi_line, tolerant))

@@ -2,13 +2,14 @@
 
 The batch job re-reads a whole landing folder; here the file source tracks
 which files were already ingested (in the checkpoint), so each run only
-parses new documents.  A micro-batch is merged with the rows its buckets
-already hold and the newest publication of each key is kept, so the tables
-don't depend on how files fall into batches or in which order they arrive.
-Publications are compared by their landed text, as in the batch load; the
-table ``staging.decp_marches_newest`` keeps that text next to the typed row.
-``foreachBatch`` is at-least-once; the merge is idempotent, so a batch
-replayed after a failure changes nothing.
+parses new documents.  A micro-batch goes through the batch load itself
+(:meth:`Pipeline.load_contract_rows`): it is merged with what the tables hold,
+the newest publication of each contract stays, and rows without a key, values
+that don't fit their type and the counts of both are kept under the batch's
+id.  So the tables don't depend on how files fall into batches, in which order
+they arrive, or which of them a batch load brought.  ``foreachBatch`` is
+at-least-once; a batch replayed after a failure has the same id and changes
+nothing.
 """
 
 from __future__ import annotations
@@ -18,42 +19,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tenderlake import schemas
-from tenderlake.operators import contracts
-from tenderlake.session import materialize
+from tenderlake.plans.pipeline import Pipeline
 from tenderlake.sinks.warehouse import Warehouse
-from tenderlake.sources import award_rows, clean_loaded, contract_rows, strip_escapes, typed_contracts
 
 
 def contract_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of contracts (one row per ``.marches[]`` element)
+    """Streaming frame of landed contracts (one row per ``.marches[]`` element, values as text)
     from JSON documents landing in ``landing_dir``, one document per line."""
     reader = spark.readStream.schema(schemas.LANDED_DOCUMENT).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    landed = reader.json(landing_dir).select(F.explode("marches").alias("m")).select("m.*")
-    return typed_contracts(landed)
-
-
-def _apply(wh: Warehouse, batch: DataFrame) -> None:
-    rows = materialize(batch, "stream-batch")
-    marches = contracts.marches_typed(clean_loaded(strip_escapes(contract_rows(rows))))
-    awards = contracts.award_uid(clean_loaded(strip_escapes(award_rows(rows))))
-    wh.upsert(contracts.newest_marches(marches), "staging", "decp_marches_newest", "decp_uid", distinct=False,
-              merge=contracts.newest_marches)
-    # the published table takes the same keys from the merged state
-    touched = marches.select("decp_uid").where(F.col("decp_uid").isNotNull()).distinct()
-    state = wh.read("staging", "decp_marches_newest").join(touched, "decp_uid", "left_semi")
-    wh.upsert(state.select(*contracts.MARCHES_COLUMNS), "datalake", "decp_marches", "decp_uid", distinct=False)
-    wh.upsert(contracts.longest_named(awards), "datalake", "decp_titulaires", "decp_bridge_uid", distinct=False,
-              merge=contracts.longest_named)
+    return reader.json(landing_dir).select(F.explode("marches").alias("m")).select("m.*")
 
 
 def ingest_contracts(spark: SparkSession, landing_dir: str, warehouse: Warehouse, checkpoint: str,
-                     max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
+                     max_files_per_trigger: int | None = None, available_now: bool = True, name: str = "stream",
+                     keep_versions: int | None = None) -> StreamingQuery:
     """Start the ingestion; with ``available_now`` it processes every file
-    present and stops (a scheduled incremental run)."""
+    present and stops (a scheduled incremental run).
+
+    ``name`` and the batch's number are its load id, so streams with their own
+    checkpoint need their own name.  ``keep_versions`` bounds the storage of an
+    endless stream.
+    """
+    pipe = Pipeline(spark, warehouse, check=False, keep_versions=keep_versions)
     writer = (contract_stream(spark, landing_dir, max_files_per_trigger).writeStream
-              .foreachBatch(lambda df, _epoch: _apply(warehouse, df))
+              .foreachBatch(lambda df, batch: pipe.load_contract_rows(df, f"{name}-{batch}"))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

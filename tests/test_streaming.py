@@ -58,3 +58,81 @@ def test_older_publication_in_a_later_batch_changes_nothing(spark, tmp_dir):
                     for t in ("decp_marches", "decp_titulaires")])
     assert got[0] == got[1]
     assert [r[6] for r in got[0][0]] == ["NEWEST"] and [r[3] for r in got[0][1]] == ["NEWEST"]
+
+
+def _rows(wh, table, *columns):
+    return sorted(map(tuple, wh.read("datalake", table).select(*columns).collect()), key=str)
+
+
+def test_any_mix_of_batch_and_stream_gives_the_newest_row(spark, tmp_dir):
+    from tenderlake.operators.contracts import MARCHES_COLUMNS
+    from tenderlake.plans.pipeline import Pipeline
+    award = {"id": "123456789", "typeIdentifiant": "SIRET"}
+    docs = {}
+    for day, name in [("2021-01-01", "NEW"), ("2019-01-01", "OLD SUPPLIER"), ("2020-01-01", "MID")]:
+        docs[name] = [{"uid": "1", "objet": name, "datePublicationDonnees": day,
+                       "titulaires": [{**award, "denominationSociale": name}]}]
+        _doc(f"{tmp_dir}/{name}/a.json", docs[name])
+    got = set()
+    for k, order in enumerate([("bNEW", "sOLD SUPPLIER"), ("sNEW", "bOLD SUPPLIER"), ("bOLD SUPPLIER", "sMID", "bNEW"),
+                               ("sOLD SUPPLIER", "bNEW", "bMID")]):
+        wh = Warehouse(spark, f"{tmp_dir}/wh{k}")
+        for step in order:
+            if step[0] == "b":
+                Pipeline(spark, wh).load_contracts(f"{tmp_dir}/{step[1:]}")
+            else:
+                _run(spark, f"{tmp_dir}/{step[1:]}", wh, f"{tmp_dir}/ck{k}{step}")
+        got.add(str(_rows(wh, "decp_marches", *MARCHES_COLUMNS)))
+        assert [r[0] for r in _rows(wh, "decp_titulaires", "titulaire_name")] == ["OLD SUPPLIER"]
+        Pipeline(spark, wh).refresh_contracts()
+        assert [r.objet for r in wh.read("dwh", "decp_marches").collect()] == ["NEW"]
+    assert len(got) == 1 and "NEW" in got.pop()
+
+
+def test_rejects_of_micro_batches_survive_replay(spark, tmp_dir):
+    from tenderlake.plans.pipeline import Pipeline
+    landing = f"{tmp_dir}/landing"
+    for i in range(2):
+        _doc(f"{landing}/{i}.json", [
+            {"uid": str(i), "montant": "n/a", "dureeMois": "3", "titulaires": [{"id": "1"}, 7]},
+            {"uid": " ", "objet": f"no key {i}"}, {"objet": f"no key {i}"}])
+        os.utime(f"{landing}/{i}.json", (1_600_000_000 + i, 1_600_000_000 + i))
+    wh = Warehouse(spark, f"{tmp_dir}/wh")
+    _run(spark, landing, wh, f"{tmp_dir}/ckpt", 1)
+
+    def state():
+        return {t: sorted((str(r.asDict()) for r in wh.read("rejects", t).collect()))
+                for t in ("decp_marches", "decp_values", "loads")}
+
+    first = state()
+    assert len(first["decp_marches"]) == 4 and len(first["decp_values"]) == 4
+    metrics = {(r.load_id, r.metric): r.value for r in wh.read("rejects", "loads").collect()}
+    for k in range(2):
+        assert {m: metrics[f"stream-{k}", m] for m in ("bad_amounts", "bad_list_elements", "decp_marches_without_key",
+                                                       "contracts_landed")} == {
+            "bad_amounts": 1, "bad_list_elements": 1, "decp_marches_without_key": 2, "contracts_landed": 3}
+    # a fresh checkpoint replays both batches under their ids
+    _run(spark, landing, wh, f"{tmp_dir}/ckpt2", 1)
+    assert state() == first and wh.read("datalake", "decp_marches").count() == 2
+    # a batch load adds its own rejects and leaves the others
+    step = Pipeline(spark, wh).load_contracts(landing)
+    assert step.notes["decp_marches_without_key"] == 4
+    assert wh.read("rejects", "decp_marches").count() == 8
+    values = wh.read("rejects", "decp_values").where(f"load_id = '{step.load_id}'").collect()
+    assert sorted((r.uid, r.field, r.value) for r in values) == [
+        ("0", "montant", "n/a"), ("0", "titulaires", "7"), ("1", "montant", "n/a"), ("1", "titulaires", "7")]
+
+
+def test_a_batch_leaves_no_scratch_and_few_versions(spark, tmp_dir):
+    from tenderlake.session import _scratch_root, hadoop_path
+    landing = f"{tmp_dir}/landing"
+    for i in range(3):
+        _doc(f"{landing}/{i}.json", [{"uid": str(i)}])
+    fs, root = hadoop_path(spark, _scratch_root(spark))
+    names = lambda: {s.getPath().getName() for s in fs.listStatus(root)} if fs.exists(root) else set()
+    before = names()
+    wh = Warehouse(spark, f"{tmp_dir}/wh")
+    q = ingest_contracts(spark, landing, wh, f"{tmp_dir}/ckpt", 1, keep_versions=1)
+    assert q.awaitTermination(180) and q.exception() is None
+    assert not names() - before
+    assert len(wh.versions("datalake", "decp_marches")) == 1 and wh.read("datalake", "decp_marches").count() == 3
