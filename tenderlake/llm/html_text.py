@@ -5,9 +5,14 @@ navigation, headers, footers, sidebars, adverts, notices and comment sections
 yield lines of no length.  The line-block function sums text lengths over a
 sliding window of lines; text surges where a window first exceeds the
 threshold and dives where the sums fall to zero.  Every line from the first
-surge to the last dive is kept.  Where the page marks its article (``article``,
-``main``; all such parts count), lines outside have no length; a check after
-the method adds the article's lines that the stretch misses.
+surge to the last dive is kept; a page without surge has no text.  Where the
+page marks its article (``article``, ``main``; all such parts count), lines
+outside have no length, and a check after the method adds the marked lines
+that touch the stretch (a title, a short closing line): the neighbours of a
+kept line, with less than a window of other text between.
+
+The parser passes over a page once: open elements are found by name and by
+block, and no pattern runs on to the end of the page more than once.
 """
 
 from __future__ import annotations
@@ -46,8 +51,8 @@ widget""".split())
 #: Name parts that tell how a container is laid out, not what it holds.
 LAYOUT_PREFIXES = ("has-", "with-", "without-", "no-")
 
-_PIECE = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>"""
-                    r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[/!?a-zA-Z][^<>]*\Z""", re.S)
+_OPENS = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_TAG_STOP = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""(?i)(?<![\w-])(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -85,6 +90,47 @@ def _is_furniture(attributes: str, in_article: bool) -> bool:
 OUTSIDE, NAMED, MARKED = 0, 1, 2
 
 
+def _tag_end(page: str, at: int) -> int:
+    """Place of the ``>`` that ends the tag; the first one where its quotes don't match, -1 where there is none."""
+    i = at
+    while m := _TAG_STOP.search(page, i):
+        if m[0] == ">":
+            return m.start()
+        i = page.find(m[0], m.end()) + 1
+        if not i:
+            break
+    return page.find(">", at)
+
+
+def _pieces(page: str) -> Iterator[tuple[str, str, str, bool]]:
+    """(text before, element, attributes, closing) of every tag; comments and declarations have no element."""
+    text = at = 0
+    last = page.rfind(">")
+    while m := _OPENS.search(page, at):
+        if m[0] == "<!--":
+            end = page.find("-->", m.end())
+            at = len(page) if end < 0 else end + 3
+            yield page[text:m.start()], "", "", False
+        elif m.start() > last:  # no tag ends any more: an unfinished one at the very end is dropped, the rest is text
+            tail = page.rfind("<")
+            cut = tail if _OPENS.match(page, tail) else len(page)
+            yield page[text:cut], "", "", False
+            return
+        else:
+            end = _tag_end(page, m.end()) if m[2] else page.find(">", m.end())
+            if end < 0:
+                at = m.end()
+                continue
+            at = end + 1
+            name = (m[2] or "").lower()
+            yield page[text:m.start()], name, page[m.end():end] if name else "", bool(m[1])
+            if name in RAW and not m[1] and page[end - 1] != "/":
+                stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                at = stop.end() if stop else len(page)
+        text = at
+    yield page[text:], "", "", False
+
+
 def lines(page: str) -> list[tuple[str, int, int]]:
     """(text, length, place) of every line.
 
@@ -96,7 +142,8 @@ def lines(page: str) -> list[tuple[str, int, int]]:
     buffer: list[str] = []
     linked = 0  # characters of the buffer that are link text
     stack: list[tuple[str, bool, int, bool]] = []  # element, inside furniture, place, inside a link
-    at = 0
+    where: dict[str, list[int]] = {}  # element -> its places in the stack
+    blocks: list[int] = []  # places of block elements
 
     def flush() -> None:
         nonlocal linked
@@ -107,55 +154,37 @@ def lines(page: str) -> list[tuple[str, int, int]]:
         buffer.clear()
         linked = 0
 
-    while True:
-        m = _PIECE.search(page, at)
-        buffer.append(page[at:m.start()] if m else page[at:])
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            where[stack.pop()[0]].pop()
+        while blocks and blocks[-1] >= depth:
+            blocks.pop()
+
+    for text, name, attributes, closing in _pieces(page):
+        buffer.append(text)
         if stack and stack[-1][3]:
-            linked += len(buffer[-1])
-        if not m:
-            break
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+            linked += len(text)
         if not name:
             continue
-        closing, attributes = m[1] or m[4], m[3] or m[6] or ""
+        if name == "br":
+            buffer.append(" ")
         if closing:
-            if name in VOID:
-                if name == "br":
-                    buffer.append(" ")
-                continue
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is not None:
-                if name in BLOCK or any(s[0] in BLOCK for s in stack[depth:]):
+            if name not in VOID and where.get(name):
+                depth = where[name][-1]
+                if blocks and blocks[-1] >= depth:
                     flush()
-                del stack[depth:]
+                close(depth)
             continue
         if name in RAW:
-            if not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
             continue
         if name in BLOCK:
             flush()
-        elif name == "br":
-            buffer.append(" ")
         if name in VOID or attributes.endswith("/"):
             continue
-        if name in SELF_CLOSING:
-            # an open element of this kind ends here, unless a container lies between
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-                if stack[i][0] in BLOCK:
-                    break
-        elif name in BLOCK:
-            for i in range(len(stack) - 1, -1, -1):  # an open paragraph ends at any block
-                if stack[i][0] == "p":
-                    del stack[i:]
-                    break
-                if stack[i][0] in BLOCK:
-                    break
+        # an element of the same kind that is the innermost block ends here; an open paragraph ends at any block
+        if blocks and (name in SELF_CLOSING and stack[blocks[-1]][0] == name
+                       or name in BLOCK and name not in SELF_CLOSING and stack[blocks[-1]][0] == "p"):
+            close(blocks[-1])
         _, hidden, place, link = stack[-1] if stack else ("", False, OUTSIDE, False)
         if not hidden:
             furniture = name in BOILERPLATE and not (name == "header" and place)
@@ -164,6 +193,9 @@ def lines(page: str) -> list[tuple[str, int, int]]:
                 or (name == "article" and place > OUTSIDE and _is_furniture(attributes, True))
             if name in ("article", "main") and not hidden and not place:
                 place = NAMED if name == "article" and _is_furniture(attributes, True) else MARKED
+        where.setdefault(name, []).append(len(stack))
+        if name in BLOCK:
+            blocks.append(len(stack))
         stack.append((name, hidden, place, link or name == "a"))
     flush()
     return out
@@ -187,20 +219,43 @@ def block_stretch(lengths: list[int], window: int, threshold: int) -> tuple[int,
 
 def text_stretch(found: list[tuple[str, int, int]], chosen: int, window: int = WINDOW_LINES,
                  threshold: int = SURGE_CHARS) -> tuple[int, int]:
-    """``block_stretch`` of a page's lines, of which those at other places than the chosen one have no length."""
+    """``block_stretch`` of a page's lines, of which those at other places than the chosen one have no length.
+
+    Where all text is link text, it counts as text.
+    """
     lengths = [n if place == chosen else 0 for _, n, place in found]
+    if not any(lengths):
+        lengths = [len(text) if place == chosen else 0 for text, _, place in found]
     return block_stretch(lengths, window, min(threshold, max(lengths))) if any(lengths) else (0, 0)
 
 
+def _touching(found: list[tuple[str, int, int]], chosen: int, lines_of_text: range, window: int) -> list[int]:
+    """The marked lines next to a stretch, away from it, until ``window`` other lines of text have come between."""
+    out, other = [], 0
+    for i in lines_of_text:
+        text, _, place = found[i]
+        if text and place == chosen:
+            out.append(i)
+            other = 0
+        elif text:
+            other += 1
+            if other >= window:
+                break
+    return out
+
+
 def main_text(page: str, window: int = WINDOW_LINES, threshold: int = SURGE_CHARS) -> str:
     """The article's lines in page order, joined by newlines; empty when the page has none."""
     found = lines(page)
     chosen = max((place for text, _, place in found if text), default=OUTSIDE)
     start, end = text_stretch(found, chosen, window, threshold)
-    if chosen:  # the check after the method: article lines too short to surge, or all link text, are text as well
-        at = [i for i, (text, _, place) in enumerate(found) if text and place == chosen]
-        start, end = min(start, at[0]), max(end, at[-1] + 1)
-    return "\n".join(t for t, _, place in found[start:end] if t and place == chosen)
+    if end <= start:
+        return ""
+    kept = [i for i in range(start, min(end, len(found))) if found[i][0] and found[i][2] == chosen]
+    if chosen and kept:  # the check after the method
+        kept = (_touching(found, chosen, range(start - 1, -1, -1), window)[::-1] + kept
+                + _touching(found, chosen, range(end, len(found)), window))
+    return "\n".join(found[i][0] for i in kept)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -112,3 +112,42 @@ def test_query_against_a_plain_reading_of_its_pages(spark):
         want = "\n".join(b for b in blocks if b)
         assert got[p["page_id"]]["text"] == want
         assert got[p["page_id"]]["n_chars"] == len(want)
+
+
+@pytest.mark.parametrize("stretch", [(0, 0), (10**9, 0)])
+def test_the_stretch_decides_on_every_given_page(spark, monkeypatch, stretch):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    assert all(html_text.main_text(p) for p in pages)
+    monkeypatch.setattr(html_text, "block_stretch", lambda *a: stretch)
+    assert not any(html_text.main_text(p) for p in pages)
+
+
+def test_a_marked_part_far_from_the_text_is_not_added():
+    body = "".join(f"<p>{'word ' * 40}{i}</p>" for i in range(3))
+    between = "".join(f"<div>outside {i}</div>" for i in range(4))
+    page = "<article><h1>Title</h1>{}<p>End.</p></article>{}<article>stray</article>"
+    near = html_text.main_text(page.format(body, between[:20])).split("\n")
+    assert near[0] == "Title" and near[-2:] == ["End.", "stray"]
+    assert html_text.main_text(page.format(body, between)).split("\n")[-1] == "End."
+    assert html_text.main_text("<article><a href='/'>all of it is a link</a></article>") == "all of it is a link"
+
+
+HOSTILE = {
+    "unfinished tags": lambda n: "<a " * n, "quotes": lambda n: "<a '" * n + ">", "open quotes": lambda n: "<a \"'>" * n,
+    "stray ends": lambda n: "<b>" * n + "</i>" * n, "open then paragraphs": lambda n: "<div>" + "<b>" * n + "<p></p>" * n,
+    "list items": lambda n: "<ul>" + "<b>" * n + "<li>x" * n, "deep blocks": lambda n: "<div>" * n + "x" + "</div>" * n,
+    "comments": lambda n: "<!-- " * n, "scripts": lambda n: "<script>" * n, "ends": lambda n: "</p>" * n + "<" * n,
+    "raw": lambda n: "<textarea></textarea" * n, "signs": lambda n: "< <! <? </" * n}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_time_grows_with_the_length_of_a_page(kind):
+    import time
+
+    def took(n):
+        began = time.process_time()
+        html_text.main_text(HOSTILE[kind](n))
+        return time.process_time() - began
+
+    took(1000)
+    assert took(80_000) < 12 * max(took(20_000), 0.05)
