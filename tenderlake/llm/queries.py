@@ -121,14 +121,9 @@ def html_extraction(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("op9_sharding")
 def sharding_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Version 0 of the stored map has 24 shards, version 1 one more."""
-    path = scratch_path(spark, "slot-map")
-    owners = sharding.initial_map(N_SHARDS)
-    sharding.store_map(spark, owners, path, 0)
-    sharding.store_map(spark, sharding.grown(owners), path, 1)
-    recs = sharding.records(table(spark, sf, "documents"))
-    placed = sharding.assign_shards(recs, sharding.load_map(spark, path, 0), sharding.load_map(spark, path, 1))
-    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+    placed = sharding.shard(table(spark, sf, "documents"), N_SHARDS, scratch_path(spark, "slot-map"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard",
+                         "rebalanced_shard")
 
 
 @register("op10_language_id")

@@ -2,10 +2,10 @@
 
 A record's slot depends on its id only, and the map of version 0 on the slot
 and shard counts only.  Growing by a shard moves slots into the new shard and
-nowhere else.  Bytes per slot are aggregated so that ``rebalanced`` can edit a
-map (move slots from heavy shards to light ones) and store it as the next
-version.  The number of slots is a constant, so maps are driver-sized lists at
-any data size.
+nowhere else.  Bytes are aggregated per slot, and ``rebalanced`` edits the map by
+them (moves slots from heavy shards to light ones); ``shard`` stores the result
+as a further version and places every record under each.  The number of slots
+is a constant, so maps are driver-sized lists at any data size.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql.window import Window
 from tenderlake.llm.common import text_or_empty
 
 N_SLOTS = 8192
+#: Parts that the slot of NULL ids is ranked in (all other slots hold few ids each).
+NULL_LANES = 256
 
 
 def grown(owners: list[int]) -> list[int]:
@@ -90,19 +92,41 @@ def assign_shards(recs: DataFrame, slot_map: DataFrame, grown_map: DataFrame) ->
     ``slot_map`` / ``grown_map`` have one row per virtual slot (a constant
     count), hence the broadcast.  Places: virtual slots in order, inside one
     by id; equal rows collapse to a count first, so repeated rows neither meet
-    in one sort nor share a place.
+    in one sort nor share a place.  Rows without an id share a slot, which is
+    ranked in ``NULL_LANES`` parts by the text's checksum.
     """
     both = slot_map.join(F.broadcast(grown_map.withColumnRenamed("shard", "grown_shard")), "vslot")
-    cells = recs.groupBy("vslot", "doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
-    totals = recs.groupBy("vslot").agg(F.count("*").alias("rows"))
-    by_shard = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (both.join(totals, "vslot", "left")
+    lane = F.when(F.col("doc_id").isNull(), 1 + F.col("text_crc32") % NULL_LANES).otherwise(0).cast("int")
+    recs = recs.withColumn("lane", lane)
+    cells = recs.groupBy("vslot", "lane", "doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
+    totals = recs.groupBy("vslot", "lane").agg(F.count("*").alias("rows"))
+    by_shard = Window.partitionBy("shard").orderBy("vslot", "lane").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (both.join(totals, "vslot")
               .withColumn("start", F.coalesce(F.sum("rows").over(by_shard), F.lit(0)))
-              .select("vslot", "shard", "grown_shard", "start"))
-    in_slot = (Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32")
+              .select("vslot", "lane", *[c for c in both.columns if c != "vslot"], "start"))
+    in_lane = (Window.partitionBy("vslot", "lane").orderBy("doc_id", "size", "text_crc32")
                .rowsBetween(Window.unboundedPreceding, -1))
-    return (cells.withColumn("before", F.coalesce(F.sum("copies").over(in_slot), F.lit(0)))
-            .join(F.broadcast(starts), "vslot")
+    extra = [c for c in both.columns if c not in ("vslot", "shard", "grown_shard")]
+    return (cells.withColumn("before", F.coalesce(F.sum("copies").over(in_lane), F.lit(0)))
+            .join(F.broadcast(starts), ["vslot", "lane"])
             .withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
             .select("doc_id", "size", "text_crc32", "shard",
-                    (F.col("start") + F.col("before") + F.col("i")).alias("slot"), "grown_shard"))
+                    (F.col("start") + F.col("before") + F.col("i")).alias("slot"), "grown_shard", *extra))
+
+
+def shard(docs: DataFrame, n_shards: int, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Store the slot map under ``path`` and place every row of ``docs``.
+
+    Version 0 has ``n_shards`` shards, version 1 one more, and version 2 is
+    version 0 rebalanced by the bytes that its slots hold.  Columns as
+    ``assign_shards``, and ``rebalanced_shard``: the shard under version 2.
+    """
+    spark = docs.sparkSession
+    owners = initial_map(n_shards)
+    recs = records(docs, id_col=id_col, text_col=text_col)
+    weight = {r["vslot"]: r["bytes"] for r in bytes_per_slot(recs).collect()}  # a row per slot
+    for version, m in enumerate((owners, grown(owners), rebalanced(owners, weight))):
+        store_map(spark, m, path, version)
+    edited = load_map(spark, path, 2).withColumnRenamed("shard", "rebalanced_shard")
+    slots = load_map(spark, path, 0).join(F.broadcast(edited), "vslot")
+    return assign_shards(recs, slots, load_map(spark, path, 1))

@@ -62,3 +62,44 @@ def test_bytes_per_slot_cover_all_rows(spark):
     recs = sharding.records(rows(spark, [(i, "abc") for i in range(100)]))
     got = sharding.bytes_per_slot(recs).collect()
     assert sum(r["bytes"] for r in got) == 1100 and sum(r["rows"] for r in got) == 100
+
+
+def test_rows_without_an_id_are_ranked_in_parts(spark):
+    docs = [(None, f"text {i}") for i in range(3000)] + [(None, "same")] * 40 + [(i, "x") for i in range(30)]
+    got = place(spark, docs)
+    assert len(got) == len(docs) and len({r["shard"] for r in got if r["doc_id"] is None}) == 1
+    by_shard = {}
+    for r in got:
+        by_shard.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in by_shard.values())
+
+
+def test_query_against_plain_maps(spark):
+    """Every column of the query, from the maps and the documents alone."""
+    from tenderlake.llm.queries import N_SHARDS, QUERIES
+    sf = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r["doc_id"]: r for r in QUERIES["op9_sharding"](spark, sf).collect()}
+    assert got.keys() == docs.keys()
+    slot = {r[0]: r[1] for r in spark.createDataFrame([(d,) for d in docs], "doc_id long")
+            .selectExpr("doc_id", f"pmod(xxhash64(doc_id), {sharding.N_SLOTS})").collect()}
+    first, more = sharding.initial_map(N_SHARDS), sharding.initial_map(N_SHARDS + 1)
+    weight = Counter()
+    for d, text in docs.items():
+        weight[slot[d]] += len(text) + 8
+    even = sharding.rebalanced(first, weight)
+    for d, text in docs.items():
+        r = got[d]
+        assert (r["size"], r["text_crc32"], r["law"]) == (len(text) + 8, zlib.crc32(text), "key")
+        assert (r["shard"], r["grown_shard"], r["rebalanced_shard"]) == (first[slot[d]], more[slot[d]], even[slot[d]])
+    for shard in range(N_SHARDS):
+        held = sorted((slot[d], d) for d in docs if first[slot[d]] == shard)
+        assert [got[d]["slot"] for _, d in held] == list(range(len(held)))
+
+    def spread(column):
+        load = Counter()
+        for d, text in docs.items():
+            load[got[d][column]] += len(text) + 8
+        return max(load.values()) - min(load.values())
+
+    assert spread("rebalanced_shard") < 0.2 * spread("shard")
