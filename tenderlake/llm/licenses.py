@@ -81,39 +81,57 @@ def family(identifier: str) -> str:
                  or name.startswith(prefix + "+")), name)
 
 
-def postfix(expression: str) -> list[str] | None:
-    """Shunting-yard: tokens in postfix order (operators lower-case); None when malformed.
+def lead(tokens: list[str]) -> int:
+    """How many tokens the longest well-formed expression at the beginning has."""
+    best, depth, operand = 0, 0, True  # operand: the next token must start one
+    for i, tok in enumerate(tokens):
+        if tok.lower() in _RANK:
+            if operand:
+                break
+            operand = True
+        elif tok == "(":
+            if not operand:
+                break
+            depth += 1
+        elif tok == ")":
+            if operand or not depth:
+                break
+            depth -= 1
+        elif operand:
+            operand = False
+        else:
+            break
+        if not operand and not depth:
+            best = i + 1
+    return best
+
+
+def postfix(expression: str, strict: bool = True) -> list[str] | None:
+    """Shunting-yard: tokens in postfix order (operators lower-case).
 
     A plain identifier after a complete expression ends it (prose after a
-    tag); a bracket or operator out of place makes it malformed.
+    tag).  A bracket or operator out of place makes it malformed (None); with
+    ``strict=False`` the longest well-formed lead counts.
     """
-    out, ops, operand = [], [], True  # operand: the next token must start one
-    for tok in _TOKEN.findall(expression):
+    tokens = _TOKEN.findall(expression)
+    n = lead(tokens)
+    if not n or strict and n < len(tokens) and (tokens[n] in "()" or tokens[n].lower() in _RANK):
+        return None
+    out, ops = [], []
+    for tok in tokens[:n]:
         op = tok.lower()
         if op in _RANK:
-            if operand:
-                return None
             while ops and ops[-1] != "(" and _RANK[ops[-1]] >= _RANK[op]:
                 out.append(ops.pop())
             ops.append(op)
-            operand = True
         elif tok == "(":
-            if not operand:
-                return None
             ops.append(tok)
         elif tok == ")":
-            if operand or "(" not in ops:
-                return None
             while ops[-1] != "(":
                 out.append(ops.pop())
             ops.pop()
-        elif operand:
-            out.append(tok)
-            operand = False
         else:
-            break
-    if operand or "(" in ops:
-        return None
+            out.append(tok)
     return out + ops[::-1]
 
 
@@ -133,19 +151,27 @@ def evaluate(tokens: list[str]) -> tuple[float, set[str]]:
     return stack[0]
 
 
-def tagged(text: str) -> list[tuple[float, set[str]]]:
-    """Evaluated expressions after the identifier tags of a raw text; malformed ones give nothing."""
-    low, at, out = text.lower(), 0, []
+def tagged(text: str, tags) -> list[tuple[float, set[str]]]:
+    """Evaluated expressions after the identifier tags of a raw text, each up to the next tag or the line's end."""
+    low, out = text.lower(), []
     if len(low) != len(text):  # a character whose lower case is longer would shift positions
         text = low
-    while (at := low.find(TAG, at)) >= 0:
-        at += len(TAG)
-        tokens = postfix(_EXPRESSION.match(text, at)[1])
+    ends = [end + 1 for end, _ in tags.iter(low)]
+    for at, following in zip(ends, [*[e - len(TAG) for e in ends[1:]], len(text)]):
+        tokens = postfix(_EXPRESSION.match(text, at, max(at, following))[1], strict=False)
         if tokens:
             out.append(evaluate(tokens))
     return out
 
 
+def tag_automaton():
+    import ahocorasick
+    machine = ahocorasick.Automaton()
+    machine.add_word(TAG, TAG)
+    machine.make_automaton()
+    return machine
+
+
 def automaton():
     """Phrases between spaces -> (label, words, is base); a phrase listed twice keeps both labels."""
     import ahocorasick
@@ -159,7 +185,7 @@ def automaton():
     return machine
 
 
-def scan(text: str, machine) -> tuple:
+def scan(text: str, machine, tags=None) -> tuple:
     """(n_words, n_base, first_word, last_word, base_labels, labels, score) of one text."""
     words = text.encode("utf-8", "surrogatepass").translate(_TO_WORDS).split(b" ")
     words = [w for w in words if w]
@@ -186,7 +212,7 @@ def scan(text: str, machine) -> tuple:
     else:
         first = last = None
     score = min(labels.values(), default=None)
-    for value, families in tagged(text):
+    for value, families in tagged(text, tags or tag_automaton()):
         score = value if score is None else min(score, value)
         labels.update(dict.fromkeys(families))
     return (len(words), len(starts), first, last, ",".join(sorted(base)), ",".join(sorted(labels)),
@@ -205,9 +231,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton()
+        machine, tags = automaton(), tag_automaton()
         for b in batches:
-            cols = list(zip(*[scan(t, machine) for t in b.column(1).to_pylist()])) or [()] * 7
+            cols = list(zip(*[scan(t, machine, tags) for t in b.column(1).to_pylist()])) or [()] * 7
             kinds = (pa.int64(),) * 4 + (pa.string(), pa.string(), pa.float64())
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, t) for c, t in zip(cols, kinds)]],
                                              names=[f.split()[0] for f in SCHEMA.split(", ")])

@@ -77,3 +77,27 @@ def test_punctuation_after_a_tag_is_no_part_of_the_identifier():
     machine = licenses.automaton()
     assert licenses.scan("SPDX-License-Identifier: MIT. See the file.", machine)[5:] == ("mit", 1.0)
     assert licenses.scan("SPDX-License-Identifier: MIT OR GPL-2.0+.", machine)[5:] == ("gpl,mit", 1.0)
+
+
+def test_prose_after_a_tag_costs_no_expression():
+    machine = licenses.automaton()
+    for tail, want in [("MIT (see LICENSE)", "mit"), ("MIT and", "mit"), ("MIT and (Apache-2.0 or", "mit"),
+                       ("(MIT OR Apache-2.0) for all", "apache,mit"), ("MIT)", "mit"), ("GPL-2.0 WITH x y", "gpl"),
+                       ("and MIT", ""), ("(MIT", ""), ("", "")]:
+        got = licenses.scan(f"x SPDX-License-Identifier: {tail}\nnext line", machine)
+        assert got[5] == want, tail
+    two = "SPDX-License-Identifier: MIT SPDX-License-Identifier: ISC"
+    assert licenses.scan(two, machine)[5] == "isc,mit"
+
+
+def test_time_grows_with_the_number_of_tags():
+    import time
+    machine, tags = licenses.automaton(), licenses.tag_automaton()
+
+    def took(n):
+        began = time.process_time()
+        licenses.scan("SPDX-License-Identifier: MIT or " * n, machine, tags)
+        return time.process_time() - began
+
+    took(100)
+    assert took(40_000) < 12 * max(took(10_000), 0.05)
