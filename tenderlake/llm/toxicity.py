@@ -81,7 +81,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, learnable: Column, rows: i
     ids = (labels.select("doc_id", F.col("toxic").cast("int").alias("y")).where("doc_id IS NOT NULL AND y IS NOT NULL")
            .groupBy("doc_id").agg(F.max("y").alias("y")).where(learnable)
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    texts = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(ids), "doc_id").select("y", "text")
+    # an id that many rows repeat is one row of the sample
+    texts = (docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(ids), "doc_id")
+             .groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("y", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
