@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import map_arrow, text_or_empty
+from tenderlake.llm.common import map_arrow, materialize, text_or_empty
 from tenderlake.session import drop_scratch, scratch_path
 
 MIN_DOCS = 3
@@ -114,10 +114,11 @@ class LineIndex:
         return self._merged([p for _, p in self.runs]).where(F.col("docs") >= self.min_docs).select("h1", "h2", "top")
 
 
-def _in_batches(lines: DataFrame, batches: int) -> tuple[str, int]:
+def _in_batches(lines: DataFrame, ids: DataFrame, batches: int) -> tuple[str, int]:
     """Write ``lines`` in folders by batch, the largest ids first (so that most repeats find their hash settled)."""
-    cuts = lines.agg(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)], 1000)).first()[0] or []
-    cuts = sorted(set(cuts), reverse=True)
+    shares = [k / batches for k in range(1, batches)]
+    cuts = ids.agg(F.percentile_approx("doc_id", shares, 1000)).first()[0] if shares else []
+    cuts = sorted(set(cuts or []), reverse=True)
     batch = reduce(lambda a, b: a + b, [F.coalesce(F.col("doc_id") < c, F.lit(True)).cast("int") for c in cuts],
                    F.lit(0))
     path = scratch_path(lines.sparkSession, "lines")
@@ -136,14 +137,18 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     read.
     """
     spark = docs.sparkSession
-    path, n = _in_batches(line_hashes(docs, min_chars, id_col, text_col), batches)
+    rows = _documents(docs, id_col, text_col)
+    path, n = _in_batches(line_hashes(docs, min_chars, id_col, text_col), rows.select("doc_id"), batches)
     lines = spark.read.schema("doc_id long, text_key long, h1 long, h2 long, batch int").parquet(path)
     index = LineIndex(spark, min_docs, fan)
     for k in range(n):
         index.add(lines.where(F.col("batch") == k))
-    gone = (lines.join(index.repeated(), ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("top")))
-            .groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("h1", "h2")).alias("gone")))
-    rows = _documents(docs, id_col, text_col)
+    # written first: a join whose sides come straight from their shuffles can split a line, or a row, that is hot
+    repeated = materialize(index.repeated(), "repeated-lines")
+    hits = materialize(lines.join(repeated, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("top")))
+                       .select("doc_id", "text_key", "h1", "h2"), "dropped-lines")
+    gone = materialize(hits.groupBy("doc_id", "text_key")
+                       .agg(F.collect_set(F.struct("h1", "h2")).alias("gone")), "dropped-by-document")
     same = rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["text_key"] == gone["text_key"])
     # a document's repeated lines only: no larger than the document
     both = rows.join(gone, same, "left").select(
