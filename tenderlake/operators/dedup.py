@@ -23,7 +23,3 @@ def latest_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[
 
 def asc(*names: str) -> list[Column]:
     return [F.col(n).asc_nulls_last() for n in names]
-
-
-def desc(*names: str) -> list[Column]:
-    return [F.col(n).desc_nulls_last() for n in names]

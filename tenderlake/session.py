@@ -73,8 +73,15 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         path = tempfile.mkdtemp(prefix="tenderlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    app = spark.sparkContext.applicationId
+    if app not in _CHECKPOINTS:  # Spark makes a new sub-folder at every call
+        spark.sparkContext.setCheckpointDir(path)
+        _CHECKPOINTS[app] = spark.sparkContext.getCheckpointDir()
+    return _CHECKPOINTS[app] or path
+
+
+#: The folder of its own that each application's checkpoints go to.
+_CHECKPOINTS: dict[str, str | None] = {}
 
 
 def _scratch_root(spark: SparkSession) -> str:
@@ -95,7 +102,7 @@ def hadoop_path(spark: SparkSession, path: str):
 
 
 def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
-    """Delete one scratch folder, by default all of this application's.
+    """Delete one scratch folder, by default all of this application's, its checkpoints included.
 
     Frames returned by queries read their scratch lazily, so whoever uses
     their rows calls this when done (the command line, the bench and the test
@@ -106,6 +113,9 @@ def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
         raise ValueError(f"{path} is no scratch folder")
     fs, p = hadoop_path(spark, path or root)
     fs.delete(p, True)
+    if path is None and (own := _CHECKPOINTS.pop(spark.sparkContext.applicationId, None)):
+        fs, p = hadoop_path(spark, own)
+        fs.delete(p, True)
 
 
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
