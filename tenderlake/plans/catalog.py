@@ -241,14 +241,23 @@ FROM fx_marches LEFT JOIN (SELECT decp_uid, count(*) AS n FROM fx_titulaires GRO
 """
 
 
-@register("contracts_from_json", _CONTRACTS_ORACLE)
-def q_contracts_from_json(spark, sf):
-    rows = _landed_contracts(spark, sf)
+def _contract_values(rows: DataFrame) -> DataFrame:
     return rows.select(*[c for c in rows.columns if c not in ("acheteur", "titulaires")],
                        F.col("acheteur.id").alias("acheteur_id"), F.col("acheteur.nom").alias("acheteur_name"),
                        F.when(F.col("titulaires").isNotNull(), F.size("titulaires")).alias("n_titulaires"))
 
 
+@register("contracts_from_json", _CONTRACTS_ORACLE)
+def q_contracts_from_json(spark, sf):
+    return _contract_values(_landed_contracts(spark, sf))
+
+
+@register("contracts_from_whole_documents", _CONTRACTS_ORACLE)
+def q_contracts_from_whole_documents(spark, sf):
+    path = landing.land_contract_files(spark, sf, scratch_path(spark, "contracts-documents"))
+    return _contract_values(sources.read_contracts(spark, path, multi_line=True))
+
+
 @register("contract_rows", "SELECT * FROM fx_marches")
 def q_contract_rows(spark, sf):
     return sources.contract_rows(_landed_contracts(spark, sf))
@@ -280,13 +289,24 @@ FROM fx_siren
 """
 
 
+_REGISTRY_READ = ["siren", "nomUniteLegale", "nomUsageUniteLegale", "denominationUniteLegale",
+                  "denominationUsuelle2UniteLegale", "economieSocialeSolidaireUniteLegale",
+                  "trancheEffectifsUniteLegale", "categorieEntreprise", "dateDebut"]
+
+
 @register("read_delimited", _REGISTRY_ORACLE)
 def q_read_delimited(spark, sf):
     path = landing.land_registry(spark, sf, scratch_path(spark, "registry-csv"))
     reg = sources.clean_loaded(sources.read_delimited(spark, path, schemas.REGISTRY, sep=",", header=True))
-    return reg.select("siren", "nomUniteLegale", "nomUsageUniteLegale", "denominationUniteLegale",
-                      "denominationUsuelle2UniteLegale", "economieSocialeSolidaireUniteLegale",
-                      "trancheEffectifsUniteLegale", "categorieEntreprise", "dateDebut")
+    return reg.select(*_REGISTRY_READ)
+
+
+@register("read_delimited_quoted_newlines",
+          _REGISTRY_ORACLE.replace("""siren || '"' AS""", """siren || '"' || chr(10) || 'second line' AS"""))
+def q_read_delimited_quoted_newlines(spark, sf):
+    path = landing.land_registry(spark, sf, scratch_path(spark, "registry-csv"), newlines=True)
+    reg = sources.clean_loaded(sources.read_delimited(spark, path, schemas.REGISTRY, multi_line=True))
+    return reg.select(*_REGISTRY_READ)
 
 
 @register("read_delimited_fill", "SELECT * FROM fx_infogreffe")

@@ -53,11 +53,21 @@ def land_contracts(spark: SparkSession, sf: str, path: str) -> str:
     return path
 
 
-def registry_frame(spark: SparkSession, sf: str) -> DataFrame:
-    """All 33 registry columns; a quoted comma and doubled quotes planted in
+def land_contract_files(spark: SparkSession, sf: str, path: str) -> str:
+    """The form in which contracts are published: files of one pretty-printed document each."""
+    docs = contract_documents(fixture(spark, sf, "fx_marches"), fixture(spark, sf, "fx_titulaires"))
+    (docs.select(F.monotonically_increasing_id().alias("doc"),
+                 F.to_json(F.struct("marches"), {"pretty": "true"}).alias("value"))
+     .write.mode("errorifexists").partitionBy("doc").text(path))
+    return path
+
+
+def registry_frame(spark: SparkSession, sf: str, newlines: bool = False) -> DataFrame:
+    """All 33 registry columns; a quoted comma and doubled quotes (and, if asked for, a newline) planted in
     ``denominationUsuelle2UniteLegale``."""
     fx = fixture(spark, sf, "fx_siren")
-    planted = {"denominationUsuelle2UniteLegale": F.concat(F.lit('Denom, "'), F.col("siren"), F.lit('"'))}
+    parts = [F.lit('Denom, "'), F.col("siren"), F.lit('"')] + [F.lit("\nsecond line")] * newlines
+    planted = {"denominationUsuelle2UniteLegale": F.concat(*parts)}
     cols = []
     for c in REGISTRY_COLUMNS:
         if c in fx.columns:
@@ -69,8 +79,8 @@ def registry_frame(spark: SparkSession, sf: str) -> DataFrame:
     return fx.select(*cols)
 
 
-def land_registry(spark: SparkSession, sf: str, path: str) -> str:
-    (registry_frame(spark, sf).write.mode("errorifexists")
+def land_registry(spark: SparkSession, sf: str, path: str, newlines: bool = False) -> str:
+    (registry_frame(spark, sf, newlines).write.mode("errorifexists")
      .option("header", True).option("quote", '"').option("escape", '"').csv(path))
     return path
 

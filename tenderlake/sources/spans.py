@@ -41,6 +41,10 @@ def lines(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
     return all_lines.join(first, same, "left_anti")
 
 
+def _count(text: Column, character: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(character), F.lit("")))
+
+
 def _inside(amount: Column) -> Column:
     """Sum over the earlier pieces of the same byte range."""
     w = Window.partitionBy("file", "range_start").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
@@ -73,7 +77,7 @@ def quoted_records(spark: SparkSession, path: str, header: bool = False) -> Data
     gives a last record with an open quote, which the caller's shape check
     finds.
     """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    quotes = _count(F.col("value"), '"')
     # what a line is if its range begins outside (0) or inside (1) a quoted field
     cut = (pieces(spark, path, "\n").withColumn("quotes", quotes)
            .withColumn("start0", (_inside(F.col("quotes")) % 2 == 0).cast("int")).withColumn("start1", 1 - F.col("start0"))
@@ -93,20 +97,26 @@ def quoted_records(spark: SparkSession, path: str, header: bool = False) -> Data
 
 # -- one JSON document ------------------------------------------------------------
 
-_STRING = r'"(?:[^"\\]|\\.)*+"'
+_TEXT = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
+_STRING = f'"{_TEXT}"'
 _SCALAR = r'[^\s"{}\[\],:]++'
 _FLAT = rf'(?:{_STRING}|{_SCALAR}|\[[^\[\]{{}}"]*+(?:{_STRING}[^\[\]{{}}"]*+)*+\])'
 #: What may stand before the first member that holds objects (or, of an array, arrays); its key; its brackets.
 _OPENER = (rf'(?s)^((?:[\s,{{\]]++|{_STRING}\s*+:\s*+{_FLAT}\s*+(?=[,}}\]])|{_STRING}(?!\s*+:)|{_SCALAR})*+)'
            rf'({_STRING})\s*+:\s*+(\{{|\[\s*+\[?)')
 #: The rest of a string that began in an earlier piece.
-_TAIL = r'(?s)^(?:[^"\\]|\\.)*+"'
+_TAIL = f'(?s)^{_TEXT}"'
+
 
+def _bare(piece: Column) -> Column:
+    """``piece`` without its strings, an open one at its end included."""
+    return F.regexp_replace(piece, f'(?s){_STRING}|"{_TEXT}$', "")
 
-def _depth(piece: Column) -> Column:
-    """Brackets that ``piece`` opens less those it closes, strings left out (an open one at its end, too)."""
-    bare = F.regexp_replace(piece, rf'(?s){_STRING}|"(?:[^"\\]|\\.)*+$', "")
-    return F.length(F.regexp_replace(bare, r"[^\[{]", "")) - F.length(F.regexp_replace(bare, r"[^\]}]", ""))
+
+def _depth(bare: str) -> Column:
+    """Brackets that a piece without strings opens less those it closes."""
+    c = F.col(bare)
+    return _count(c, "{") + _count(c, "[") - _count(c, "}") - _count(c, "]")
 
 
 def array_elements(spark: SparkSession, path: str, member: str) -> DataFrame:
@@ -119,13 +129,14 @@ def array_elements(spark: SparkSession, path: str, member: str) -> DataFrame:
     truncated document, an element that is no object, and members that can't
     be told apart (an array of arrays beside the wanted one) stop the load.
     """
-    piece = F.concat("value", F.lit("}"))
-    # an escape never crosses a cut: "\\}" is no JSON escape
-    plain = F.regexp_replace("value", r"(?s)\\.", "")
-    # what a piece is if its range begins outside (0) or inside (1) a string
-    cut = (pieces(spark, path, "}").withColumn("value", piece)
-           .withColumns({"quotes": F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit(""))),
-                         "out": _depth(F.col("value")), "within": _depth(F.concat(F.lit('"'), "value"))})
+    # What a piece is if its range begins outside (0) or inside (1) a string.  An escape never crosses a cut: "\\}" is
+    # no JSON escape.
+    cut = (pieces(spark, path, "}").withColumn("value", F.concat("value", F.lit("}")))
+           .withColumns({"plain": F.regexp_replace("value", r"(?s)\\.", ""), "bare_out": _bare(F.col("value")),
+                         "bare_within": _bare(F.concat(F.lit('"'), "value"))})
+           .withColumns({"quotes": _count(F.col("plain"), '"'), "out": _depth("bare_out"),
+                         "within": _depth("bare_within")})
+           .select(*PLACE, "file_size", "value", "quotes", "out", "within")
            .withColumn("odd", _inside(F.col("quotes")) % 2 == 1)
            .withColumns({"gain0": F.when(F.col("odd"), F.col("within")).otherwise(F.col("out")),
                          "gain1": F.when(F.col("odd"), F.col("out")).otherwise(F.col("within"))})
@@ -147,43 +158,44 @@ def array_elements(spark: SparkSession, path: str, member: str) -> DataFrame:
                       odd.alias("in_text"), gain.alias("gain"),
                       (F.col("start_depth") + F.when(F.col("in_text"), F.col("depth1")).otherwise(F.col("depth0")))
                       .alias("depth")))
-    placed = materialize(placed, "document-pieces")
     # a piece from outside the elements of an array may lead into a member of the document
     body = F.when(F.col("in_text"), F.regexp_replace("value", _TAIL, "")).otherwise(F.col("value"))
-    at_root = (F.col("depth") <= 2) & (F.col("depth") + _depth(F.regexp_extract("body", _OPENER, 1)) == 1)
-    brackets = F.regexp_replace(F.regexp_extract("body", _OPENER, 3), r"\s", "")
-    leads = at_root & (F.regexp_extract("body", _OPENER, 2) == f'"{member}"') & (brackets == "[")
-    unclear = at_root & (brackets == "[[")
-    ends_here = rf'(?s)^(?:[^{{}}"\]]|{_STRING})*+\]'
-    marked = (placed.withColumn("body", F.when(F.col("depth") <= 2, body).otherwise(""))
-              .withColumn("begins", F.when(unclear, F.raise_error(F.lit("an array of arrays beside the wanted member")))
-                          .otherwise(leads).cast("int"))
-              .withColumn("closes", (F.col("depth") + F.col("gain") == 2).cast("int"))
-              # the wanted array ends where a piece goes on behind its bracket
-              .withColumn("leaves", (~F.col("in_text") & (F.col("depth") == 2) & F.col("value").rlike(ends_here)).cast("int"))
-              .withColumns({f"{c}_before": _inside(F.col(c)) for c in ("begins", "leaves", "closes")}))
-    totals = (marked.groupBy("file", "range_start")
-              .agg(*[F.sum(c).alias(c) for c in ("begins", "closes")])
-              .select(F.col("file").alias("f"), F.col("range_start").alias("r"),
-                      *[_earlier(F.col(c)).alias(f"{c}_earlier") for c in ("begins", "closes")]))
-    ends = (marked.where("begins = 1").groupBy(F.col("file").alias("b"))
-            .agg(F.min(F.struct("range_start", "nth")).alias("begin")))
+    opened = (placed.withColumn("body", F.when(F.col("depth") <= 2, body).otherwise(""))
+              .withColumns({"prefix": F.regexp_extract("body", _OPENER, 1), "key": F.regexp_extract("body", _OPENER, 2),
+                            "brackets": F.regexp_extract("body", _OPENER, 3)})
+              .withColumn("bare", _bare(F.col("prefix"))))
+    at_root = (F.col("key") != "") & (F.col("depth") + _depth("bare") == 1)
+    arrays = F.regexp_replace("brackets", r"\s", "")
+    begins = F.when(at_root & (arrays == "[["), F.raise_error(F.lit("an array of arrays beside the wanted member"))
+                    ).otherwise(at_root & (F.col("key") == f'"{member}"') & (arrays == "["))
+    # the wanted array ends where a piece at its depth goes on behind its bracket
+    leaves = ~F.col("in_text") & (F.col("depth") == 2) & F.col("value").rlike(rf'(?s)^(?:[^{{}}"\]]|{_STRING})*+\]')
+    flagged = (opened.withColumns({"begins": begins.cast("int"), "leaves": leaves.cast("int"),
+                                   "closes": (F.col("depth") + F.col("gain") == 2).cast("int")})
+               .select(*PLACE, "begins", "leaves", "closes",
+                       F.when(F.col("begins") == 1, F.regexp_replace("body", _OPENER, ""))
+                       .otherwise(F.col("value")).alias("value")))
+    marked = materialize(flagged, "document-pieces")
     place = F.struct("range_start", "nth")
+    totals = (marked.groupBy("file", "range_start").agg(F.sum("closes").alias("closes"))
+              .select(F.col("file").alias("f"), F.col("range_start").alias("r"),
+                      _earlier(F.col("closes")).alias("closed_earlier")))
+    ends = (marked.where("begins = 1").groupBy(F.col("file").alias("b")).agg(F.min(place).alias("begin")))
     leaving = (marked.where("leaves = 1").join(ends, F.col("file") == F.col("b")).where(place > F.col("begin"))
-               .groupBy("b", "begin").agg(F.min(F.struct("range_start", "nth", "value")).alias("end")))
-    spans = (ends.join(leaving.select(F.col("b").alias("e"), "end"), F.col("b") == F.col("e"), "left")
+               .groupBy("b").agg(F.min(F.struct("range_start", "nth", "value")).alias("end")))
+    spans = (ends.join(leaving.withColumnRenamed("b", "e"), F.col("b") == F.col("e"), "left")
              .select("b", "begin", "end"))
     last = F.struct(F.col("end.range_start"), F.col("end.nth"))
     scalars = F.col("end.value").isNotNull() & ~F.col("end.value").rlike(r"^\s*+\]")
     inside = (place >= F.col("begin")) & F.when(F.col("end").isNull(), True).when(
         scalars, F.raise_error(F.concat(F.lit("array element is no object: "), F.left("end.value", F.lit(80))))
     ).otherwise(place < last)
-    numbered = (marked.join(spans, F.col("file") == F.col("b")).where(inside)
+    numbered = (marked.withColumn("closed_before", _inside(F.col("closes")))
                 .join(totals, (F.col("file") == F.col("f")) & (F.col("range_start") == F.col("r")))
-                .withColumn("record", F.col("closes_earlier") + F.col("closes_before"))
-                .withColumn("value", F.when(F.col("begins") == 1, F.regexp_replace("body", _OPENER, ""))
-                            .otherwise(F.col("value"))))
+                .join(spans, F.col("file") == F.col("b")).where(inside)
+                .select(*PLACE, "closes", "value", (F.col("closed_earlier") + F.col("closed_before")).alias("record")))
     whole = joined(numbered, "record", "", F.max("closes").alias("closed")).where("closed = 1")
-    text = F.regexp_replace("value", r"^[\s,]++", "")
+    text = F.col("text")
     bad = F.raise_error(F.concat(F.lit("array element is no object: "), F.left(text, F.lit(80))))
-    return whole.select(F.when(text.startswith("{"), text).otherwise(bad).alias("element"))
+    return (whole.select(F.regexp_replace("value", r"^[\s,]++", "").alias("text"))
+            .select(F.when(text.startswith("{"), text).otherwise(bad).alias("element")))
