@@ -81,9 +81,9 @@ def main(argv: list[str] | None = None) -> None:
     profile.null_share(df).show(len(df.columns), truncate=False)
     if args.key:
         profile.key_uniqueness(df, args.key).show()
-    for c in args.numeric:
-        profile.numeric_summary(df, c).show(truncate=False)
-        profile.box_stats(df, c).show(truncate=False)
+    if args.numeric:
+        profile.numeric_summaries(df, args.numeric).show(len(args.numeric), truncate=False)
+        profile.box_stats_of(df, args.numeric).show(len(args.numeric), truncate=False)
 
 
 if __name__ == "__main__":

@@ -1,20 +1,21 @@
 """Column profiling of any table (the exploration notebooks as Spark jobs).
 
-Every profile is one or two aggregation passes; results are small frames
-(one row, or one row per column / value / month).
+Every profile is a fixed number of aggregation passes, for any number of
+columns; results are small frames (one row, or one row per column / value /
+month).
 """
 
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.functions import year_month
 from tenderlake.operators.quality import check_unique_key
-from tenderlake.operators.quantiles import exact_quantiles
+from tenderlake.operators.quantiles import column_quantiles
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -51,38 +52,54 @@ def max_rows_per_key(df: DataFrame, key: str) -> DataFrame:
     return check_unique_key(df, key)
 
 
-def numeric_summary(df: DataFrame, column: str) -> DataFrame:
-    """PRF-5: count, mean, sample std, min, exact quartiles, max (NULLs ignored)."""
-    c = F.col(column)
-    base = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                  F.min(c).alias("min"), F.max(c).alias("max")).first()
-    q = exact_quantiles(df, column, QUARTILES)
+def numeric_summaries(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """PRF-5 for many columns, a row each in the given order: count, mean, sample std, min, exact quartiles, max
+    (NULLs ignored).  The number of jobs doesn't grow with the columns."""
+    quartiles = column_quantiles(df, columns, QUARTILES)
+    base = _first_of_each(df, columns, n=F.count, mean=F.avg, std=F.stddev_samp, min=F.min, max=F.max)
+    rows = [(c, b["n"], b["mean"], b["std"], _f(b["min"]), *q, _f(b["max"]))
+            for c, b, q in zip(columns, base, quartiles)]
     return df.sparkSession.createDataFrame(
-        [(base["n"], base["mean"], base["std"], _f(base["min"]), q[0], q[1], q[2], _f(base["max"]))],
-        "n long, mean double, std double, min double, p25 double, p50 double, p75 double, max double")
+        rows, "column_name string, n long, mean double, std double, min double, p25 double, p50 double, p75 double,"
+              " max double")
+
+
+def numeric_summary(df: DataFrame, column: str) -> DataFrame:
+    """PRF-5 for one column."""
+    return numeric_summaries(df, [column]).drop("column_name")
+
+
+def _first_of_each(df: DataFrame, columns: Sequence[str], **aggregates: Callable[[Column], Column]) -> list[dict]:
+    """The named aggregates of every column, from one pass over the rows."""
+    got = df.agg(*[fn(F.col(c)).alias(f"{name}_{i}") for i, c in enumerate(columns)
+                   for name, fn in aggregates.items()]).first()
+    return [{name: got[f"{name}_{i}"] for name in aggregates} for i in range(len(columns))]
 
 
 def _f(x):
     return None if x is None else float(x)
 
 
+def box_stats_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """PRF-6 for many columns: the numbers a box plot draws: quartiles, whiskers (furthest values within 1.5 IQR of
+    the box) and the count of points beyond them.  Columns without values have no row."""
+    boxes = [(c, *q) for c, q in zip(columns, column_quantiles(df, columns, QUARTILES)) if q[0] is not None]
+    aggs = []
+    for i, (c, q1, _, q3) in enumerate(boxes):
+        inside = F.col(c).between(F.lit(q1 - 1.5 * (q3 - q1)), F.lit(q3 + 1.5 * (q3 - q1)))
+        aggs += [F.min(F.when(inside, F.col(c))).cast("double").alias(f"low_{i}"),
+                 F.max(F.when(inside, F.col(c))).cast("double").alias(f"high_{i}"), F.count_if(~inside).alias(f"n_{i}")]
+    far = df.agg(*aggs).first() if aggs else {}
+    return df.sparkSession.createDataFrame(
+        [(c, q1, med, q3, q3 - q1, far[f"low_{i}"], far[f"high_{i}"], far[f"n_{i}"])
+         for i, (c, q1, med, q3) in enumerate(boxes)],
+        "column_name string, q1 double, median double, q3 double, iqr double, lower_whisker double,"
+        " upper_whisker double, n_outliers long")
+
+
 def box_stats(df: DataFrame, column: str) -> DataFrame:
-    """PRF-6: the numbers a box plot draws: quartiles, whiskers (furthest
-    values within 1.5 IQR of the box) and the count of points beyond them."""
-    c = F.col(column)
-    q1, med, q3 = exact_quantiles(df, column, QUARTILES)
-    if q1 is None:
-        return df.sparkSession.createDataFrame(
-            [], "q1 double, median double, q3 double, iqr double, lower_whisker double, upper_whisker double, "
-                "n_outliers long")
-    iqr = q3 - q1
-    lo, hi = q1 - 1.5 * iqr, q3 + 1.5 * iqr
-    inside = (c >= F.lit(lo)) & (c <= F.lit(hi))
-    return df.where(c.isNotNull()).agg(
-        F.lit(q1).alias("q1"), F.lit(med).alias("median"), F.lit(q3).alias("q3"), F.lit(iqr).alias("iqr"),
-        F.min(F.when(inside, c)).cast("double").alias("lower_whisker"),
-        F.max(F.when(inside, c)).cast("double").alias("upper_whisker"),
-        F.count_if(~inside).alias("n_outliers"))
+    """PRF-6 for one column."""
+    return box_stats_of(df, [column]).drop("column_name")
 
 
 def amount_outliers(df: DataFrame, column: str = "montant", huge: float = OUTLIER_AMOUNT) -> DataFrame:
@@ -101,20 +118,23 @@ def date_coerce(df: DataFrame, column: str) -> DataFrame:
                       F.avg(F.col("d").isNull().cast("int")).alias("null_share"))
 
 
-def date_summary(df: DataFrame, column: str) -> DataFrame:
-    """PRF-9: count, mean, min, quartiles, max of a date column.  The mean is
-    in days since 1970-01-01; quartiles are interpolated in days and shown as
-    the date of their whole-day part."""
-    days = df.select(F.unix_date(F.col(column)).alias("d"))
-    base = days.agg(F.count("d").alias("n"), F.avg("d").alias("mean_day"), F.min("d").alias("lo"),
-                    F.max("d").alias("hi")).first()
-    q = exact_quantiles(days, "d", QUARTILES)
-    row = [(base["n"], base["mean_day"], base["lo"], q[0], q[1], q[2], base["hi"])]
+def date_summaries(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """PRF-9 for many columns, a row each in the given order: count, mean, min, quartiles, max.  The mean is in days
+    since 1970-01-01; quartiles are interpolated in days and shown as the date of their whole-day part."""
+    days = df.select(*[F.unix_date(F.col(c)).alias(f"d{i}") for i, c in enumerate(columns)])
+    quartiles = column_quantiles(days, days.columns, QUARTILES)
+    base = _first_of_each(days, days.columns, n=F.count, mean_day=F.avg, lo=F.min, hi=F.max)
+    rows = [(c, b["n"], b["mean_day"], b["lo"], *q, b["hi"]) for c, b, q in zip(columns, base, quartiles)]
     out = df.sparkSession.createDataFrame(
-        row, "n long, mean_day double, lo int, q1 double, q2 double, q3 double, hi int")
-    as_date = {k: F.date_from_unix_date(F.floor(F.col(k)).cast("int")) for k in ("lo", "q1", "q2", "q3", "hi")}
-    return out.select("n", "mean_day", as_date["lo"].alias("min"), as_date["q1"].alias("p25"),
-                      as_date["q2"].alias("p50"), as_date["q3"].alias("p75"), as_date["hi"].alias("max"))
+        rows, "column_name string, n long, mean_day double, lo int, q1 double, q2 double, q3 double, hi int")
+    shown = {"lo": "min", "q1": "p25", "q2": "p50", "q3": "p75", "hi": "max"}
+    return out.select("column_name", "n", "mean_day", *[
+        F.date_from_unix_date(F.floor(F.col(k)).cast("int")).alias(name) for k, name in shown.items()])
+
+
+def date_summary(df: DataFrame, column: str) -> DataFrame:
+    """PRF-9 for one column."""
+    return date_summaries(df, [column]).drop("column_name")
 
 
 def future_dates(df: DataFrame, column: str, after_year: int = LAST_EXPECTED_YEAR) -> DataFrame:

@@ -523,6 +523,23 @@ def q_numeric_summary(spark, sf):
     return _rounded(out, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+# numeric columns of the filed statements, explored together
+_MEASURES = ["millesime", "duree", "ca", "resultat", "effectif"]
+_SUMMARIES = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS n, round(avg({c}), 2) AS mean,"
+    f" round(stddev_samp({c}), 2) AS std, round(CAST(min({c}) AS DOUBLE), 2) AS min,"
+    f" round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 2) AS p25,"
+    f" round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 2) AS p50,"
+    f" round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 2) AS p75, round(CAST(max({c}) AS DOUBLE), 2) AS max"
+    f" FROM st_unique" for c in _MEASURES)
+
+
+@register("numeric_summaries", _SUMMARIES)
+def q_numeric_summaries(spark, sf):
+    filed = materialize(datalake_statements(spark, sf).select(*_MEASURES), "measures")
+    return _rounded(profile.numeric_summaries(filed, _MEASURES), "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
 _BOX = """
 SELECT round(q1, 2) AS q1, round(med, 2) AS median, round(q3, 2) AS q3, round(q3 - q1, 2) AS iqr,
        round(min(CASE WHEN montant >= q1 - 1.5 * (q3 - q1) AND montant <= q3 + 1.5 * (q3 - q1) THEN montant END), 2)
@@ -545,6 +562,23 @@ def q_box_stats(spark, sf):
     return _rounded(out, "q1", "median", "q3", "iqr", "lower_whisker", "upper_whisker")
 
 
+_BOXES = " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, round(q[1], 2) AS q1, round(q[2], 2) AS median, round(q[3], 2) AS q3,
+       round(q[3] - q[1], 2) AS iqr, round(min(v) FILTER (WHERE NOT far), 2) AS lower_whisker,
+       round(max(v) FILTER (WHERE NOT far), 2) AS upper_whisker, CAST(count_if(far) AS BIGINT) AS n_outliers
+FROM (SELECT v, q, v < q[1] - 1.5 * (q[3] - q[1]) OR v > q[3] + 1.5 * (q[3] - q[1]) AS far
+      FROM (SELECT CAST({c} AS DOUBLE) AS v FROM st_unique WHERE {c} IS NOT NULL) x,
+           (SELECT quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.5, 0.75]) AS q FROM st_unique) quartiles) marked
+GROUP BY q""" for c in _MEASURES)
+
+
+@register("box_stats_of", _BOXES)
+def q_box_stats_of(spark, sf):
+    filed = materialize(datalake_statements(spark, sf).select(*_MEASURES), "measures")
+    return _rounded(profile.box_stats_of(filed, _MEASURES), "q1", "median", "q3", "iqr", "lower_whisker",
+                    "upper_whisker")
+
+
 @register("amount_outliers",
           "SELECT *, CASE WHEN montant >= 100000000 THEN 'huge' ELSE 'zero' END AS kind FROM dwh_marches"
           " WHERE montant >= 100000000 OR montant = 0")
@@ -576,6 +610,21 @@ def q_date_summary(spark, sf):
     return _rounded(profile.date_summary(dwh_marches(spark, sf), "datenotification"), "mean_day")
 
 
+_DATES = ["datenotification", "datepublicationdonnees"]
+_DATE_SUMMARIES = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count(d) AS BIGINT) AS n, round(avg(d), 2) AS mean_day, "
+    + ", ".join(f"{_EPOCH} + CAST(floor({x}) AS INTEGER) AS {name}" for name, x in (
+        ("min", "min(d)"), ("p25", "quantile_cont(d, 0.25)"), ("p50", "quantile_cont(d, 0.5)"),
+        ("p75", "quantile_cont(d, 0.75)"), ("max", "max(d)")))
+    + f" FROM (SELECT date_diff('day', {_EPOCH}, {c}) AS d FROM dwh_marches) x" for c in _DATES)
+
+
+@register("date_summaries", _DATE_SUMMARIES)
+def q_date_summaries(spark, sf):
+    dates = materialize(dwh_marches(spark, sf).select(*_DATES), "dates")
+    return _rounded(profile.date_summaries(dates, _DATES), "mean_day")
+
+
 @register("future_dates", "SELECT * FROM dwh_marches WHERE year(datenotification) > 2021")
 def q_future_dates(spark, sf):
     return profile.future_dates(dwh_marches(spark, sf), "datenotification", 2021)

@@ -193,6 +193,50 @@ def test_exact_quantiles_in_a_fixed_number_of_jobs(spark, shape):
     assert 0 < len(jobs) <= 12
 
 
+def test_many_columns_take_as_many_jobs_as_one(spark):
+    rnd = np.random.default_rng(4)
+    vals = {shape: np.resize(make(rnd), 5000) for shape, make in QUANTILE_COLUMNS.items()}
+    vals["whole numbers"] = rnd.integers(-9, 9, 5000)
+    names = {f"c{i}": v for i, v in enumerate(vals.values())}
+    df = spark.createDataFrame([tuple(None if r % 7 == i else v[r].item() for i, v in enumerate(names.values()))
+                                for r in range(5000)],
+                               ", ".join(f"{c} {'long' if v.dtype.kind == 'i' else 'double'}" for c, v in names.items()))
+    df = df.withColumn("empty", F.lit(None).cast("double"))
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    jobs = {}
+    for tag, columns in (("one", ["c0"]), ("all", [*names, "empty"])):
+        spark.sparkContext.addJobTag(tag)
+        try:
+            got = quantiles.column_quantiles(df, columns, probs)
+        finally:
+            spark.sparkContext.removeJobTag(tag)
+        jobs[tag] = len(spark.sparkContext._jsc.sc().statusTracker().getJobIdsForTag(tag))
+    for i, v in enumerate(names.values()):
+        assert np.allclose(got[i], np.quantile(np.delete(v, np.s_[i::7]), probs), rtol=0, atol=1e-9)
+    assert got[-1] == [None] * len(probs)
+    assert 0 < jobs["all"] <= jobs["one"] + 2  # adaptive execution may split off a job, columns add none
+
+
+def test_profiles_of_many_columns(spark):
+    df = spark.createDataFrame([(1, 1.0, None), (2, 2.0, None), (3, 3.0, None), (4, 400.0, None), (None, None, None)],
+                               "a long, b double, c int")
+    got = {r["column_name"]: r for r in profile.numeric_summaries(df, ["b", "a", "c"]).collect()}
+    assert list(got) == ["b", "a", "c"]
+    assert got["a"][1:] == profile.numeric_summary(df, "a").first()[:]
+    assert (got["a"]["n"], got["a"]["p50"], got["b"]["max"]) == (4, 2.5, 400.0)
+    assert got["c"]["n"] == 0 and got["c"]["p50"] is None
+    boxes = {r["column_name"]: r for r in profile.box_stats_of(df, ["a", "c", "b"]).collect()}
+    assert set(boxes) == {"a", "b"}
+    assert boxes["b"]["n_outliers"] == 1 and boxes["b"]["upper_whisker"] == 3.0 and boxes["a"]["n_outliers"] == 0
+    assert profile.box_stats_of(df, ["c"]).collect() == [] and profile.box_stats(df, "c").collect() == []
+    empty = df.limit(0)
+    assert profile.numeric_summaries(empty, ["a", "b"]).select("n", "mean", "p25").collect() == [(0, None, None)] * 2
+    dates = spark.createDataFrame([("2020-01-01", None), ("2020-01-04", None)], "d string, e string").selectExpr(
+        "to_date(d) AS d", "to_date(e) AS e")
+    d, e = profile.date_summaries(dates, ["d", "e"]).collect()
+    assert str(d["p50"]) == "2020-01-02" and str(d["max"]) == "2020-01-04" and e["n"] == 0 and e["p50"] is None
+
+
 def test_no_values_no_quantiles(spark):
     assert quantiles.exact_quantiles(spark.createDataFrame([(None,)], "x double"), "x", [0.5]) == [None]
 
