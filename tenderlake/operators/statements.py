@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.functions import french_vat_number
 from tenderlake.operators.companies import of_interest
 from tenderlake.operators.dedup import latest_per_key
+from tenderlake.operators.prefilter import WORDS, hash_bits, may_hold
 
 LONG_COLUMNS = ["millesime", "date_de_cloture", "duree", "tranche_ca_millesime", "ca", "resultat", "effectif"]
 
@@ -68,11 +69,34 @@ def datalake_statements(staging: DataFrame) -> DataFrame:
 def statements_per_year(statements: DataFrame) -> DataFrame:
     """Full-year (12 month) statements only; latest closing per company-year.
     The group is ``siren || year`` as text, so NULL parts share one group."""
-    group = F.concat(F.col("siren"), F.col("millesime").cast("string"))
     order = [F.col("date_de_cloture").desc_nulls_first()] + [
         F.col(c).asc_nulls_last() for c in ("infogreffe_uid", "siren", "millesime", "tranche_ca_millesime", "ca",
                                             "resultat", "effectif")]
-    return latest_per_key(statements.where(F.col("duree") == 12), [group], order)
+    return latest_per_key(_full_year(statements), [_company_year()], order)
+
+
+def _full_year(statements: DataFrame) -> DataFrame:
+    return statements.where(F.col("duree") == 12)
+
+
+def _company_year() -> Column:
+    return F.concat(F.col("siren"), F.col("millesime").cast("string"))
+
+
+def near_interest(datalake: DataFrame, used: DataFrame, words: int = WORDS) -> DataFrame:
+    """The full-year statements of every company-year group that holds a company of ``used``, and of a few more.
+
+    Whole groups stay or go, since groups of different companies can share
+    one text; the choice per group and the exact semi-join are still to
+    follow.  Two filters of fixed size are broadcast (the companies, then the
+    groups that may hold one of them), so what the choice shuffles are the
+    statements near the companies of interest instead of all.
+    """
+    full = _full_year(datalake)
+    companies = hash_bits(used, F.col("siren"), words)
+    groups = hash_bits(may_hold(full.select("siren", "millesime"), F.col("siren"), companies, words),
+                       _company_year(), words)
+    return may_hold(full, _company_year(), groups, words)
 
 
 def statements_standardized(per_year: DataFrame) -> DataFrame:
@@ -87,3 +111,8 @@ def dwh_statements(datalake: DataFrame) -> DataFrame:
 def statements_of_interest(standardized: DataFrame, used: DataFrame) -> DataFrame:
     """Statements of companies that won a contract, columns by name in table order."""
     return of_interest(standardized, used).select("infogreffe_uid", "siren", "euvat", *LONG_COLUMNS)
+
+
+def dwh_statements_of_interest(datalake: DataFrame, used: DataFrame) -> DataFrame:
+    """The same rows from the landed statements, most others dropped before any shuffle."""
+    return statements_of_interest(dwh_statements(near_interest(datalake, used)), used)

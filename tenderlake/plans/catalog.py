@@ -167,8 +167,8 @@ def q_statements_standardized(spark, sf):
 
 @register("statements_of_interest", "SELECT * FROM dwh_statements")
 def q_statements_of_interest(spark, sf):
-    return statements.statements_of_interest(statements.dwh_statements(datalake_statements(spark, sf)),
-                                             siren_used(spark, sf))
+    return statements.dwh_statements_of_interest(materialize(datalake_statements(spark, sf), "statements"),
+                                                 materialize(siren_used(spark, sf), "siren_used"))
 
 
 @register("cpv_refresh", "SELECT * FROM fx_cpv")
@@ -458,7 +458,7 @@ def _keyed_tables(spark, sf):
         "datalake.siren_attributes": registry,
         "dwh.siren_attributes": companies.siren_of_interest(companies.siren_standardized(registry), used),
         "datalake.infogreffe_attributes": filed,
-        "dwh.infogreffe_attributes": statements.statements_of_interest(statements.dwh_statements(filed), used),
+        "dwh.infogreffe_attributes": statements.dwh_statements_of_interest(filed, used),
         "datalake.cpv_attributes": codes_,
         "dwh.cpv_attributes": codes.cpv_refresh(codes_),
     }

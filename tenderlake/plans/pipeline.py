@@ -208,8 +208,8 @@ class Pipeline:
 
     def refresh_statements(self) -> StepReport:
         step = self._begin("refresh_statements")
-        std = statements.dwh_statements(self.wh.read("datalake", "infogreffe_attributes"))
-        self._overwrite(statements.statements_of_interest(std, self.wh.read("dwh", "decp_siren_used")),
+        filed = self.wh.read("datalake", "infogreffe_attributes")
+        self._overwrite(statements.dwh_statements_of_interest(filed, self.wh.read("dwh", "decp_siren_used")),
                         "dwh", "infogreffe_attributes", schemas.DWH_STATEMENTS, "infogreffe_uid")
         return self._commit(step)
 
