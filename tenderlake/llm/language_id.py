@@ -27,14 +27,15 @@ UNKNOWN = "und"
 #: Share that the main language must reach for a row to be kept; mixtures of three stay.
 MIN_SCORE = 0.3
 
-# Bytes of words: letters and everything beyond ASCII; all else separates.
-_BYTES = np.array([c | 0x20 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 32
+# Bytes of words: letters and everything beyond ASCII; all else separates.  NUL stands between texts.
+_BYTES = np.array([c | 0x20 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 or c == 0 else 32
                    for c in range(256)], dtype=np.uint32)
 
 
-def trigrams(text: str) -> np.ndarray:
-    """Buckets of the byte trigrams of a lower-cased text; a run of separators counts once."""
-    raw = _BYTES[np.frombuffer(f" {text.lower()} ".encode("utf-8", "surrogatepass"), dtype=np.uint8)]
+def trigrams(*texts: str) -> np.ndarray:
+    """Buckets of the byte trigrams of lower-cased texts, none across two texts; a run of separators counts once."""
+    joined = "\0".join([f" {text.lower()} ".replace("\0", " ") for text in texts])
+    raw = _BYTES[np.frombuffer(joined.encode("utf-8", "surrogatepass"), dtype=np.uint8)]
     keep = raw != 32
     keep[0] = True
     keep[1:] |= raw[:-1] != 32
@@ -42,6 +43,9 @@ def trigrams(text: str) -> np.ndarray:
     if len(raw) < 3:
         return np.zeros(0, dtype=np.int64)
     code = raw[:-2] << np.uint32(16) | raw[1:-1] << np.uint32(8) | raw[2:]
+    if len(texts) > 1:
+        between = raw == 0
+        code = code[~(between[:-2] | between[1:-1] | between[2:])]
     return ((code * np.uint32(2654435761)) >> np.uint32(17)).astype(np.int64)
 
 
@@ -61,7 +65,7 @@ def trigram_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
             for lang, ts in texts.items():
                 total = counts.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
                 for i in range(0, len(ts), 64):
-                    total += np.bincount(trigrams("\n".join(ts[i:i + 64])), minlength=BUCKETS)
+                    total += np.bincount(trigrams(*ts[i:i + 64]), minlength=BUCKETS)
         for lang, total in counts.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
@@ -77,15 +81,16 @@ def trigram_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
 def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[list[str], np.ndarray]:
     """(languages, probabilities by language and bucket); no learning rows: no languages.
 
-    What reaches the driver is one count per language and bucket, a bound that
-    doesn't depend on the number of rows.
+    What reaches the driver is one count per language and bucket, as packed
+    columns: a bound that doesn't depend on the number of rows.  The model
+    that tasks share has 256 KB per language.
     """
-    rows = trigram_counts(docs, lang_col, text_col).collect()
-    langs = sorted({r["lang"] for r in rows})
+    found = trigram_counts(docs, lang_col, text_col).toArrow()
+    lang = found["lang"].combine_chunks().dictionary_encode()
+    langs = sorted(lang.dictionary.to_pylist())
+    place = np.array([langs.index(x) for x in lang.dictionary.to_pylist()], dtype=np.int64)
     counts = np.zeros((len(langs), BUCKETS))
-    index = {x: i for i, x in enumerate(langs)}
-    for r in rows:
-        counts[index[r["lang"]], r["bucket"]] = r["n"]
+    counts[place[lang.indices.to_numpy()], found["bucket"].to_numpy()] = found["n"].to_numpy()
     p = (counts + SMOOTHING) / (counts.sum(axis=1, keepdims=True) + SMOOTHING * BUCKETS)
     return langs, np.ascontiguousarray(p.T)
 

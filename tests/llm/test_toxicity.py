@@ -1,4 +1,7 @@
+import math
 import random
+import re
+import zlib
 
 import numpy as np
 
@@ -59,8 +62,6 @@ def test_held_out_quality_on_documents(spark):
 
 
 def test_labels_of_the_held_out_fold_are_never_read(spark):
-    import zlib
-
     from pyspark.sql import functions as F
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
@@ -71,6 +72,67 @@ def test_labels_of_the_held_out_fold_are_never_read(spark):
     assert ids and all(zlib.crc32(str(i).encode()) % 3 == 1 for i in ids)
 
 
+def plain_features(ws):
+    """Hashes of the words and of their first 4, 5 and 6 bytes, ascending."""
+    out = set()
+    for w in ws:
+        out.add(zlib.crc32(w) or 1)
+        out |= {zlib.crc32(b"^" + w[:n]) or 1 for n in (4, 5, 6) if len(w) >= n}
+    return sorted(out)
+
+
+def plain_words(text):
+    return {w.encode("utf-8") for w in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").lower())}
+
+
+def packed(features):
+    return b"".join(f.to_bytes(4, "little") for f in features)
+
+
+def plain_swaps(ws):
+    out = []
+    for kind in toxicity.IDENTITY_TERMS.values():
+        terms = kind.split()
+        for term in terms:
+            if term.encode() in ws:
+                rest = [t for t in terms if t != term] + ["person"]
+                for other in dict.fromkeys([rest[0], rest[len(rest) // 2], "person"]):
+                    out.append((term, (ws - {term.encode()}) | {other.encode()}))
+    return [packed(plain_features(v)) for _, v in sorted(out, key=lambda p: p[0])]
+
+
+def test_query_equals_a_plain_classifier(spark, tmp_path):
+    """Sample, counterfactuals and every score are rebuilt row by row; only the solver is shared."""
+    from tenderlake.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    docs += [(90_001, None), (90_002, ""), (90_003, "a Muslim woman, an OLD man"), (90_004, "scum! idiot"), (90_004, "scum!")]
+    toxic = [(r["doc_id"], int(r["toxic"])) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()]
+    toxic += [(90_003, 0), (90_004, 0), (90_004, 1), (99_999, 1)]
+    rows(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(toxic, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    label, text = {}, {}
+    for i, y in toxic:
+        label[i] = max(y, label.get(i, 0))
+    for i, t in docs:
+        text[i] = min(t or "", text.get(i, t or ""))
+    sample = []
+    for i in sorted(text):
+        if i in label and zlib.crc32(str(i).encode()) % 3 != 1:
+            ws = plain_words(text[i])
+            sample.append((label[i], packed(plain_features(ws)), plain_swaps(ws)))
+    assert 50 < len(sample) <= toxicity.SAMPLE_ROWS and any(s[2] for s in sample)
+    model = toxicity.fit(sorted(sample))
+    wanted = []
+    for i, t in docs:
+        margin = model[0] + sum(model.get(f, 0.0) for f in plain_features(plain_words(t)))
+        wanted.append((i, zlib.crc32(str(i).encode()) % 3 == 1, 1 / (1 + math.exp(-margin))))
+    got = sorted((r["doc_id"], r["held_out"], r["score"]) for r in QUERIES["op7_toxicity"](spark, str(tmp_path)).collect())
+    assert len(got) == len(wanted)
+    for a, b in zip(got, sorted(wanted)):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-9
+
+
 def test_awkward_rows(spark):
     docs = rows(spark, [(1, None), (2, ""), (2, ""), (None, "idiot"), (3, "word " * 200_000), (4, "idiot")])
     labels = spark.createDataFrame([(1, 0), (2, 0), (2, None), (3, 0), (4, 1), (None, 1), (99, 1)], "doc_id long, toxic int")
