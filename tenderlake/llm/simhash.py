@@ -308,10 +308,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int =
     fps = materialize(fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")),
                                    shingle), "fingerprints")
     roots = cut(near_groups(fps, max_distance, bucket))
-    lowest = fps.groupBy("fp").agg(F.min("doc_id").alias("low")).join(roots, "fp", "left") \
-        .select("fp", F.coalesce("root", "fp").alias("root"), "low")
-    component = lowest.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = lowest.join(component, "root").select("fp", "component_id")
+    # written sides: adaptive execution splits a hot root only where both sides of the join come straight from a shuffle
+    lowest = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("low")).join(roots, "fp", "left"), "lowest")
+    linked, alone = lowest.where(F.col("root").isNotNull()), lowest.where(F.col("root").isNull())
+    component = materialize(linked.groupBy("root").agg(F.min("low").alias("component_id")), "components")
+    by_fp = (linked.join(component, "root").select("fp", "component_id")
+             .unionByName(alone.select("fp", F.col("low").alias("component_id"))))
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
