@@ -42,10 +42,13 @@ from tenderlake.session import drop_scratch, hadoop_path, materialize, scratch_p
 BUCKET = "_bucket"
 NULL_BUCKET = -1
 
-#: Hash buckets of a keyed table.  Choose it so that a usual batch touches few
-#: of them and one bucket is a few files: the table's gigabytes, roughly.
+#: Hash buckets that a keyed table starts with.
 BUCKETS = 16
 
+#: Buckets are split once those that an upsert reads hold more bytes than this on
+#: average, so that a batch costs by the buckets it falls into, however large the table.
+BUCKET_BYTES = 1 << 30
+
 #: Times that an append or upsert is merged anew when other writers were faster.
 ATTEMPTS = 5
 
@@ -105,10 +108,11 @@ def upsert_frame(target: DataFrame, batch: DataFrame, key: str, distinct: bool =
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS, bucket_bytes: int = BUCKET_BYTES):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self.bucket_bytes = bucket_bytes
 
     # -- paths and versions ------------------------------------------------
     def location(self, layer: str, table: str) -> str:
@@ -242,7 +246,7 @@ class Warehouse:
         return self.publish(self.stage(df, layer, table, key))
 
     def rebucket(self, layer: str, table: str, buckets: int) -> int:
-        """Spread a grown table over more buckets (a multiple splits each bucket), so that a batch rewrites less."""
+        """Spread a table that grew by appends over more buckets (upserts split buckets by themselves)."""
         _, old = self._base(layer, table)
         return self.publish(self.stage(self.preview(old), layer, table, old.key, buckets))
 
@@ -270,7 +274,10 @@ class Warehouse:
         ``merge`` decides instead between old and new rows of a key: it gets
         the old and new rows of the touched buckets together and returns the
         rows to keep.  NULL-key batch rows are rejected and counted.  A table
-        without buckets of this key is rewritten once, into buckets.
+        without buckets of this key is rewritten once, into buckets; so is one
+        whose touched buckets are larger than ``bucket_bytes`` on average, into
+        twice as many (or four, eight ... times), which adds up to a few
+        rewrites of its final size at most.
         """
         v, old = self._base(layer, table)
         if old is None or not old.parts:
@@ -279,12 +286,14 @@ class Warehouse:
         rows = materialize(batch, f"upsert-{table}", path)
         try:
             buckets = old.buckets
-            # at most one row per bucket reaches the driver
-            counts = {r[BUCKET]: r["n"] for r in
-                      rows.groupBy(bucket_of(key, buckets).alias(BUCKET)).agg(F.count("*").alias("n")).collect()}
-            rejected = counts.pop(NULL_BUCKET, 0)
+            # one row, with a number per bucket at most, reaches the driver
+            seen = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("rejected"),
+                            F.collect_set(bucket_of(key, buckets)).alias("found")).first()
+            found = set(seen["found"]) - {NULL_BUCKET}
             bucketed = old.key == key
-            touched = [p for p in old.parts if not bucketed or p[0] in counts]
+            touched = [p for p in old.parts if not bucketed or p[0] in found]
+            if bucketed and (times := self._split(layer, table, touched, len(found))) > 1:
+                bucketed, buckets, touched = False, buckets * times, old.parts
             carried = [p for p in old.parts if p not in touched]
             target = self._rows(layer, table, old.schema, touched)
             fresh = rows.where(F.col(key).isNotNull())
@@ -294,13 +303,24 @@ class Warehouse:
                                                   .unionByName(fresh.select(*target.columns))))
             else:
                 new = upsert_frame(target, fresh, key, distinct)
-            parts = carried + (self._write(new, layer, table, key, buckets) if counts or touched else [])
-            result = UpsertResult(-1, sum(counts.values()) + rejected, rejected, len(counts))
+            parts = carried + (self._write(new, layer, table, key, buckets) if found or touched else [])
+            result = UpsertResult(-1, seen["n"], seen["rejected"], len(found) if bucketed else buckets)
             return Staged(layer, table, old.schema, key, buckets, parts, v, old.parts,
-                          set(counts) if bucketed else None, result)
+                          found if bucketed else None, result)
         finally:
             drop_scratch(self.spark, path)
 
+    def _split(self, layer: str, table: str, parts: list[list], buckets: int) -> int:
+        """How many buckets (a power of two) to make of each, by the average size of ``buckets`` ones with these parts."""
+        size = 0
+        for _, folder in parts:
+            fs, p = hadoop_path(self.spark, f"{self.location(layer, table)}/data/{folder}")
+            size += fs.getContentSummary(p).getLength()
+        times = 1
+        while size > times * buckets * self.bucket_bytes:
+            times *= 2
+        return times
+
     def _first_upsert(self, batch: DataFrame, layer: str, table: str, key: str, distinct: bool,
                       schema: StructType, base: int) -> Staged:
         """Into an empty table: nothing to match, so the batch is written as it comes (counted on the way)."""

@@ -396,6 +396,31 @@ def test_a_faster_writer_makes_upsert_and_append_merge_anew(spark, tmp_dir, monk
     assert wh.versions("datalake", "t") == list(range(1, wh.current("datalake", "t") + 1))
 
 
+def test_buckets_split_as_upserts_grow_a_table(spark, tmp_dir):
+    from tenderlake.sinks.warehouse import StaleWrite
+    wh = Warehouse(spark, tmp_dir, buckets=2, bucket_bytes=3000)
+    frame = lambda a, b, v: spark.range(a, b).select(F.md5(F.col("id").cast("string")).alias("k"), F.lit(v).alias("v"))
+    wh.overwrite(frame(0, 50, "old").unionByName(spark.createDataFrame([(None, "null key")], "k string, v string")),
+                 "datalake", "t", key="k")
+    early = wh.stage_upsert(frame(0, 1, "early"), "datalake", "t", "k")
+    for start in range(0, 1000, 250):
+        wh.upsert(frame(start, start + 250, "new"), "datalake", "t", "k")
+    manifest = wh._manifest("datalake", "t", wh.current("datalake", "t"))
+    assert manifest.buckets >= 8 and manifest.buckets & (manifest.buckets - 1) == 0
+    assert len(manifest.parts) == manifest.buckets + 1
+    with pytest.raises(StaleWrite):  # staged for the buckets of before
+        wh.publish(early)
+    got = wh.read("datalake", "t")
+    assert got.count() == 1001 == got.select("k").distinct().count()
+    assert {(r.v, r["count"]) for r in got.groupBy("v").count().collect()} == {("new", 1000), ("null key", 1)}
+    # settled: one key rewrites one bucket of bounded size and leaves the others
+    wh.bucket_bytes = 1 << 20
+    before = _files(wh, "datalake", "t")
+    assert wh.upsert(frame(7, 8, "last"), "datalake", "t", "k").buckets_rewritten == 1
+    after = _files(wh, "datalake", "t")
+    assert sum(after[b] != before[b] for b in after) == 1 and wh.read("datalake", "t").where("v = 'last'").count() == 1
+
+
 def test_rebucket_keeps_rows_and_spreads_them(spark, tmp_dir):
     wh = Warehouse(spark, tmp_dir, buckets=2)
     rows = [(str(i),) for i in range(100)] + [(None,)]
