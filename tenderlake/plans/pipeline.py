@@ -45,14 +45,17 @@ class Pipeline:
     of every load under its ``load_id``; a load that is repeated under the same
     id replaces its own rows.  ``keep_versions``: after a step is published,
     delete all but that many newest versions of every table it wrote (default:
-    keep all)."""
+    keep all).  With ``strict=False`` the checks run all the same, but a failed
+    one is left to the step's report (``passed``) and the table is published:
+    for sources that list several rows under one key."""
 
     def __init__(self, spark: SparkSession, warehouse: Warehouse, check: bool = True,
-                 keep_versions: int | None = None):
+                 keep_versions: int | None = None, strict: bool = True):
         self.spark = spark
         self.wh = warehouse
         self.check = check
         self.keep_versions = keep_versions
+        self.strict = strict
         self._staged: list[tuple[Staged, str | None]] = []
         self._scratch: list[str] = []
 
@@ -98,7 +101,9 @@ class Pipeline:
             drop_scratch(self.spark, path)
         frames = {f"{s.layer}.{s.table}": (self.wh.preview(s), key) for s, key in staged if key}
         if self.check and frames:
-            step.checks = quality.assert_quality(quality.quality_report(frames))
+            report = quality.quality_report(frames)
+            step.checks = (quality.assert_quality(report) if self.strict  # a row per table either way
+                           else [r.asDict() for r in report.collect()])
         for s, _ in staged:  # all or none, as far as other writers are known by now
             self.wh.rebased(s)
         for s, _ in staged:
