@@ -1,9 +1,10 @@
 """Land fixtures as the files the pipeline ingests (JSON documents, CSV).
 
 Everything is written by Spark tasks into the shared folder; no file passes
-through the driver.  Contract documents hold at most ``DOC_SIZE`` contract
-keys each (grouped on the numeric contract id), one document per line, so a
-document never grows with the data.
+through the driver.  Contract documents hold about ``DOC_SIZE`` contracts each
+(a hash of the contract's uid deals them), one document per line, so a
+document never grows with the data.  They are compressed, in files of at most
+``FILE_DOCS`` documents, so that a task that reads one has a bounded share.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from tenderlake.plans.fixtures import fixture
 from tenderlake.schemas import REGISTRY_COLUMNS
 
 DOC_SIZE = 1000
+FILE_DOCS = 256
 
 
 def contract_documents(marches: DataFrame, titulaires: DataFrame) -> DataFrame:
@@ -23,42 +25,43 @@ def contract_documents(marches: DataFrame, titulaires: DataFrame) -> DataFrame:
     The supplier list rides on the first version (``objet`` ending ``v0``) of
     each contract; later versions carry an empty list or no list at all.
     """
-    awards = (titulaires.groupBy("decp_uid")
-              .agg(F.collect_list(F.struct(F.col("titulaire_id").alias("id"),
-                                           F.col("titulaire_name").alias("denominationSociale"),
-                                           F.col("titulaire_typeidentifiant").alias("typeIdentifiant")))
-                   .alias("awards")))
-    first = F.col("objet").endswith(" v0")
-    k = F.col("decp_id").cast("bigint")
-    lists = (F.when(first, F.col("awards"))
-             .when(k % 2 == 0, F.array().cast("array<struct<id:string,denominationSociale:string,"
-                                              "typeIdentifiant:string>>")))
+    documents = max(1, -(-marches.count() // DOC_SIZE))
     contract = F.struct(
         F.col("decp_uid").alias("uid"), "source", F.col("decp_id").alias("id"), F.col("type").alias("_type"),
         "nature", "procedure", "objet", F.col("codecpv").alias("codeCPV"), F.col("dureemois").alias("dureeMois"),
         F.col("datenotification").alias("dateNotification"),
         F.col("datepublicationdonnees").alias("datePublicationDonnees"), "montant",
         F.col("formeprix").alias("formePrix"),
-        F.struct(F.col("acheteur_id").alias("id"), F.col("acheteur_name").alias("nom")).alias("acheteur"),
-        lists.alias("titulaires"))
-    return (marches.join(awards, "decp_uid", "left")
-            .groupBy(F.floor(k / DOC_SIZE).alias("doc"))
-            .agg(F.collect_list(contract).alias("marches"))
+        F.struct(F.col("acheteur_id").alias("id"), F.col("acheteur_name").alias("nom")).alias("acheteur"))
+    award = F.struct(F.col("titulaire_id").alias("id"), F.col("titulaire_name").alias("denominationSociale"),
+                     F.col("titulaire_typeidentifiant").alias("typeIdentifiant"))
+    # contracts and awards meet in the document's partition: one shuffle instead of one per join side and grouping
+    both = (marches.select("decp_uid", contract.alias("contract"))
+            .unionByName(titulaires.where(F.col("decp_uid").isNotNull()).select("decp_uid", award.alias("award")),
+                         allowMissingColumns=True)
+            .withColumn("doc", F.pmod(F.xxhash64("decp_uid"), F.lit(documents))).repartition("doc"))
+    per_uid = both.groupBy("doc", "decp_uid").agg(F.collect_list("contract").alias("contracts"),
+                                                  F.collect_list("award").alias("awards"))
+    c = F.col("contract")
+    lists = (F.when(c["objet"].endswith(" v0"), F.when(F.size("awards") > 0, F.col("awards")))
+             .when(c["id"].cast("bigint") % 2 == 0, F.array().cast("array<struct<id:string,denominationSociale:string,"
+                                                                   "typeIdentifiant:string>>")))
+    return (per_uid.select("doc", F.explode("contracts").alias("contract"), "awards")
+            .groupBy("doc").agg(F.collect_list(c.withField("titulaires", lists)).alias("marches"))
             .select("marches"))
 
 
 def land_contracts(spark: SparkSession, sf: str, path: str) -> str:
     docs = contract_documents(fixture(spark, sf, "fx_marches"), fixture(spark, sf, "fx_titulaires"))
-    docs.write.mode("errorifexists").json(path)
+    docs.write.mode("errorifexists").option("maxRecordsPerFile", FILE_DOCS).json(path, compression="gzip")
     return path
 
 
 def land_contract_files(spark: SparkSession, sf: str, path: str) -> str:
     """The form in which contracts are published: files of one pretty-printed document each."""
     docs = contract_documents(fixture(spark, sf, "fx_marches"), fixture(spark, sf, "fx_titulaires"))
-    (docs.select(F.monotonically_increasing_id().alias("doc"),
-                 F.to_json(F.struct("marches"), {"pretty": "true"}).alias("value"))
-     .write.mode("errorifexists").partitionBy("doc").text(path))
+    (docs.select(F.to_json(F.struct("marches"), {"pretty": "true"}).alias("value"))
+     .write.mode("errorifexists").option("maxRecordsPerFile", 1).text(path, compression="gzip"))
     return path
 
 

@@ -46,3 +46,16 @@ def test_landed_report_of_companies_that_share_a_number(spark, tmp_dir):
     assert sorted(map(tuple, got)) == sorted(want.fetchall())
     names = {r["sirenname"] for r in got}
     assert "Nom12628Denom" not in names and {"Nom12628", "Nom1132"} <= names
+
+
+def test_contracts_and_awards_meet_in_one_shuffle(spark, tmp_dir):
+    _tables(spark, tmp_dir)
+    marches, awards = (landing.fixture(spark, tmp_dir, f"fx_{n}").localCheckpoint() for n in ("marches", "titulaires"))
+    docs = landing.contract_documents(marches, awards)
+    assert _plan(docs).count("Exchange") == 1
+    path = landing.land_contracts(spark, tmp_dir, f"{tmp_dir}/landed")
+    files = [f for f in os.listdir(path) if f.endswith((".json", ".gz"))]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    landed = {r["uid"]: r["n"] for r in read_contracts(spark, path).where("titulaires IS NOT NULL")
+              .selectExpr("uid", "size(titulaires) AS n").collect() if r["n"]}
+    assert landed == {r["decp_uid"]: r["count"] for r in awards.groupBy("decp_uid").count().collect()}
