@@ -59,3 +59,18 @@ def test_contracts_and_awards_meet_in_one_shuffle(spark, tmp_dir):
     landed = {r["uid"]: r["n"] for r in read_contracts(spark, path).where("titulaires IS NOT NULL")
               .selectExpr("uid", "size(titulaires) AS n").collect() if r["n"]}
     assert landed == {r["decp_uid"]: r["count"] for r in awards.groupBy("decp_uid").count().collect()}
+
+
+def test_awards_are_chosen_once_and_hashed_after_the_shuffle(spark, tmp_dir, monkeypatch):
+    awards = spark.createDataFrame([("u", "1", "short", "SIRET"), ("u", "1", "longer", "SIRET"), (None, "u", None, None)],
+                                   schemas.STAGING_TITULAIRES.simpleString()[len("struct<"):-1])
+    plan = _plan(contracts.titulaires_unique(awards))
+    assert plan.index("md5") < plan.index("Exchange") and "md5" not in plan[plan.index("Exchange"):]
+    assert {r["titulaire_name"] for r in contracts.titulaires_unique(awards).collect()} == {"longer", None}
+    con, calls = _tables(spark, tmp_dir), []
+    chosen = contracts.titulaires_unique
+    monkeypatch.setattr(catalog.contracts, "titulaires_unique", lambda df: calls.append(1) or chosen(df))
+    out = E.queries()["overwrite_table"](spark, tmp_dir)
+    want = con.sql(E.oracle_sql()["overwrite_table"])
+    assert sorted(map(tuple, out.select(*want.columns).collect()), key=str) == sorted(want.fetchall(), key=str)
+    assert len(calls) == 1
