@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tenderlake import schemas
 from tenderlake.functions import strip_control
-from tenderlake.sources.spans import array_elements
+from tenderlake.sources.spans import array_elements, pieces, small_array_elements
+
+#: Documents up to this many bytes are parsed whole by one task (and no larger than the byte range of a task).
+WHOLE_DOCUMENT = 16 << 20
+
+
+def _bytes(size: str) -> int:
+    """A size setting (``134217728``, ``128m``, ``128MB``) in bytes."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)i?b?", size.strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
 
 
 def landed_contracts(spark: SparkSession, path: str, multi_line: bool = False, tolerant: bool = False) -> DataFrame:
@@ -17,7 +28,8 @@ def landed_contracts(spark: SparkSession, path: str, multi_line: bool = False, t
     Documents written one per line are split across tasks like any JSON-lines
     input.  ``multi_line`` reads files that hold one document each, however it
     is printed (the contracts are published as a single large one): it is
-    split, too, element by element (:func:`array_elements`).
+    split, too, element by element (:func:`array_elements`); a small one is
+    parsed whole.
 
     A malformed document (truncated, not JSON, no object) stops the load.
     With ``tolerant`` it is left out here and listed by
@@ -26,7 +38,11 @@ def landed_contracts(spark: SparkSession, path: str, multi_line: bool = False, t
     """
     if multi_line and not tolerant:
         element = F.from_json("element", schemas.LANDED_CONTRACT, {"mode": "FAILFAST"})
-        return array_elements(spark, path, "marches").select(element.alias("m")).select("m.*")
+        most = min(WHOLE_DOCUMENT, _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+        elements = small_array_elements(spark, path, "marches", most)
+        if not pieces(spark, path, "}", most).isEmpty():
+            elements = elements.unionByName(array_elements(spark, path, "marches", most))
+        return elements.select(element.alias("m")).select("m.*")
     docs = (spark.read.schema(schemas.LANDED_DOCUMENT).option("multiLine", multi_line)
             .option("mode", "PERMISSIVE" if tolerant else "FAILFAST").json(path))
     rows = docs.select(F.explode("marches").alias("m")).select("m.*")

@@ -18,12 +18,12 @@ from tenderlake.session import materialize
 PLACE = ["file", "range_start", "nth"]
 
 
-def pieces(spark: SparkSession, path: str, separator: str) -> DataFrame:
-    """file, file_size, range_start, nth, value: the pieces of every file between separators.
+def pieces(spark: SparkSession, path: str, separator: str, above: int = -1) -> DataFrame:
+    """file, file_size, range_start, nth, value: the pieces between separators of every file of more than ``above`` bytes.
 
     ``nth`` grows with the place inside a byte range.
     """
-    return (spark.read.option("lineSep", separator).text(path)
+    return (spark.read.option("lineSep", separator).text(path).where(F.col("_metadata.file_size") > above)
             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("file_size"),
                     F.col("_metadata.file_block_start").alias("range_start"),
                     F.monotonically_increasing_id().alias("nth"), "value"))
@@ -119,8 +119,9 @@ def _depth(bare: str) -> Column:
     return _count(c, "{") + _count(c, "[") - _count(c, "}") - _count(c, "]")
 
 
-def array_elements(spark: SparkSession, path: str, member: str) -> DataFrame:
-    """``element``: the JSON text of every object in the array ``member`` of each file's one document.
+def array_elements(spark: SparkSession, path: str, member: str, above: int = -1) -> DataFrame:
+    """``element``: the JSON text of every object in the array ``member`` of the one document of each file that has
+    more than ``above`` bytes.
 
     Files are cut at every closing brace.  The quotes before a piece tell
     whether it begins inside a string (a brace may be part of a text), the
@@ -131,7 +132,7 @@ def array_elements(spark: SparkSession, path: str, member: str) -> DataFrame:
     """
     # What a piece is if its range begins outside (0) or inside (1) a string.  An escape never crosses a cut: "\\}" is
     # no JSON escape.
-    cut = (pieces(spark, path, "}").withColumn("value", F.concat("value", F.lit("}")))
+    cut = (pieces(spark, path, "}", above).withColumn("value", F.concat("value", F.lit("}")))
            .withColumns({"plain": F.regexp_replace("value", r"(?s)\\.", ""), "bare_out": _bare(F.col("value")),
                          "bare_within": _bare(F.concat(F.lit('"'), "value"))})
            .withColumns({"quotes": _count(F.col("plain"), '"'), "out": _depth("bare_out"),
@@ -199,3 +200,24 @@ def array_elements(spark: SparkSession, path: str, member: str) -> DataFrame:
     bad = F.raise_error(F.concat(F.lit("array element is no object: "), F.left(text, F.lit(80))))
     return (whole.select(F.regexp_replace("value", r"^[\s,]++", "").alias("text"))
             .select(F.when(text.startswith("{"), text).otherwise(bad).alias("element")))
+
+
+def small_array_elements(spark: SparkSession, path: str, member: str, most: int) -> DataFrame:
+    """The same for files of at most ``most`` bytes, each read whole by one task: no shuffle, and the document is
+    parsed once.  What stops the load there stops it here.  A compressed file counts by its compressed size."""
+    files = (spark.read.text(path, wholetext=True)
+             .where((F.col("_metadata.file_size") <= most) & (F.trim("value") != ""))
+             .select(F.col("_metadata.file_path").alias("file"), "value")
+             .withColumn("bare", F.regexp_replace("value", rf'(?s){_STRING}|[^"{{}}\[\]]++', "")))  # brackets only
+    sound = (_depth("bare") == 0) & (_count(F.col("bare"), '"') == 0)
+    members = F.from_json(F.when(sound, F.col("value")).otherwise(F.raise_error(
+        F.concat(F.lit("malformed or truncated document "), "file"))), "map<string,string>", {"mode": "FAILFAST"})
+    beside = F.exists(F.map_values(F.map_filter("members", lambda k, _: k != member)), lambda v: v.rlike(r"^\[\s*+\["))
+    wanted = (F.when(beside & F.col("bare").contains("[["),
+                     F.raise_error(F.lit("an array of arrays beside the wanted member")))
+              .when(F.col("wanted").startswith("["), F.from_json("wanted", "array<string>", {"mode": "FAILFAST"})))
+    text = F.col("text")
+    bad = F.raise_error(F.concat(F.lit("array element is no object: "), F.coalesce(F.left(text, F.lit(80)), F.lit("null"))))
+    return (files.withColumn("members", members).withColumn("wanted", F.col("members")[member])
+            .select(F.explode(wanted).alias("text"))
+            .select(F.when(text.startswith("{"), text).otherwise(bad).alias("element")))

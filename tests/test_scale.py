@@ -74,3 +74,31 @@ def test_awards_are_chosen_once_and_hashed_after_the_shuffle(spark, tmp_dir, mon
     want = con.sql(E.oracle_sql()["overwrite_table"])
     assert sorted(map(tuple, out.select(*want.columns).collect()), key=str) == sorted(want.fetchall(), key=str)
     assert len(calls) == 1
+
+
+def _document(path, value, indent=1):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    text = value if isinstance(value, str) else json.dumps(value, indent=indent)
+    with (gzip.open if path.endswith(".gz") else open)(path, "wt") as f:
+        f.write(text)
+
+
+def test_small_documents_are_parsed_without_a_shuffle(spark, tmp_dir):
+    odd = [{"uid": "a", "objet": 'brace } and "quote" ]', "titulaires": [{"id": "1"}, {"id": "2"}]}, {"uid": "b"}]
+    _document(f"{tmp_dir}/d/a.json", {"note": "[[", "marches": odd, "nested": {"x": [1]}})
+    _document(f"{tmp_dir}/d/b.json.gz", {"marches": [{"uid": "c", "montant": 1.5}]})
+    for name, text in (("c", " \n"), ("d", {"marches": None}), ("e", {"other": 1}), ("f", {"marches": "[]"})):
+        _document(f"{tmp_dir}/d/{name}.json", text)
+    rows = read_contracts(spark, f"{tmp_dir}/d", multi_line=True)
+    assert "Exchange" not in _plan(rows)
+    got = {r["uid"]: r for r in rows.collect()}
+    assert sorted(got) == ["a", "b", "c"] and got["a"]["objet"] == odd[0]["objet"] and got["c"]["montant"] == 1.5
+    assert [t["id"] for t in got["a"]["titulaires"]] == ["1", "2"]
+
+
+@pytest.mark.parametrize("text", ['{"marches": [{"uid": "a"}]}}', '{"marches": [{"uid": "a"}, null]}',
+                                  '{"marches": [{"uid": "a}]}'])
+def test_malformed_small_document_stops_the_load(spark, tmp_dir, text):
+    _document(f"{tmp_dir}/d/a.json", text)
+    with pytest.raises(Exception, match="malformed|no object"):
+        read_contracts(spark, f"{tmp_dir}/d", multi_line=True).collect()
