@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from tenderlake import schemas
 from tenderlake.operators import codes, companies, contracts, quality, reports, statements
 from tenderlake.session import drop_scratch, materialize, scratch_path
-from tenderlake.sinks.warehouse import Staged, UpsertResult, Warehouse
+from tenderlake.sinks.warehouse import COMPRESSION, Staged, UpsertResult, Warehouse
 from tenderlake.sources import (award_rows, clean_loaded, contract_rows, defective_values, landed_contracts,
                                 read_delimited, rejected_documents, strip_escapes, typed_contracts, value_defects)
 
@@ -75,6 +75,13 @@ class Pipeline:
         step.upserts[table] = staged.result
         self._staged.append((staged, key))
 
+    def _pending(self, step: StepReport, df: DataFrame, table: str, key: str, schema: StructType,
+                 merge: Callable[..., DataFrame], key_sql: str | None = None, rejected: int = 0) -> None:
+        staged = self.wh.stage_pending(schemas.conform(df, schema), "datalake", table, key, merge, key_sql)
+        staged.result.null_keys_rejected += rejected
+        step.upserts[table] = staged.result
+        self._staged.append((staged, key))
+
     def _reject(self, step: StepReport, rows: DataFrame, table: str) -> None:
         """Keep rows that a load leaves out, under the load's id: a repeated load replaces its own and adds none."""
         self.wh.upsert(rows.withColumn("load_id", F.lit(step.load_id)), "rejects", table, "load_id", distinct=False)
@@ -83,7 +90,7 @@ class Pipeline:
         """``df`` evaluated once, into the scratch folder that the step drops at its end."""
         path = scratch_path(self.spark, f"landed-{name}")
         self._scratch.append(path)
-        return materialize(df, f"landed-{name}", path)
+        return materialize(df, f"landed-{name}", path, COMPRESSION)
 
     def _keyed(self, step: StepReport, df: DataFrame, table: str, key: str) -> tuple[DataFrame, int]:
         """(rows that have a key, number of those that don't); the latter are kept in ``rejects.<table>``."""
@@ -133,11 +140,18 @@ class Pipeline:
     def load_contract_rows(self, landed: DataFrame, load_id: str, widths: dict[str, int] | None = None) -> StepReport:
         """The same load for contracts that are landed already, e.g. a stream's micro-batch.
 
-        ``load_id`` names the batch: replayed under the same id it changes nothing."""
+        ``load_id`` names the batch: replayed under the same id it changes nothing.  Its rows are written once and
+        merged by readers of the tables, or for good by :meth:`settle_contracts`."""
         step = self._begin("load_contract_rows", load_id)
-        return self._merge_contracts(step, self._land(landed, "contracts"), widths)
+        return self._merge_contracts(step, self._land(landed, "contracts"), widths, pending=True)
+
+    def settle_contracts(self) -> None:
+        """Merge what batches of landed contracts left to the readers of both tables."""
+        for table in ("decp_marches", "decp_titulaires"):
+            self.wh.settle("datalake", table)
 
-    def _merge_contracts(self, step: StepReport, landed: DataFrame, widths: dict[str, int] | None) -> StepReport:
+    def _merge_contracts(self, step: StepReport, landed: DataFrame, widths: dict[str, int] | None,
+                         pending: bool = False) -> StepReport:
         """Of the rows known so far and the landed ones the newest publication of each contract stays, and of each
         award the row with the longest name: any order and mix of loads gives the same tables.
 
@@ -152,11 +166,21 @@ class Pipeline:
         marches, rejected = self._keyed(step, contracts.marches_typed(
             clean_loaded(strip_escapes(contract_rows(nested)), widths)), "decp_marches", "decp_uid")
         awards = contracts.award_uid(clean_loaded(strip_escapes(award_rows(nested)), widths))
+        if pending:
+            self._pending(step, marches, "decp_marches", "decp_uid", schemas.STORED_MARCHES, contracts.newest_marches,
+                          rejected=rejected)
+            self._pending(step, awards, "decp_titulaires", "decp_bridge_uid", schemas.DATALAKE_TITULAIRES,
+                          contracts.titulaires_unique, key_sql=contracts.AWARD_UID_SQL)
+            return self._loaded(step, landed_rows)
         # both batches are one row per key: no whole-row distinct
         self._upsert(step, contracts.newest_marches(marches), "datalake", "decp_marches", "decp_uid",
                      schemas.STORED_MARCHES, distinct=False, rejected=rejected, merge=contracts.newest_marches)
         self._upsert(step, contracts.longest_named(awards), "datalake", "decp_titulaires", "decp_bridge_uid",
                      schemas.DATALAKE_TITULAIRES, distinct=False, merge=contracts.longest_named)
+        return self._loaded(step, landed_rows)
+
+    def _loaded(self, step: StepReport, landed_rows: int) -> StepReport:
+        """Publish a load of contracts and keep its counts."""
         done = self._commit(step)
         counts = {**step.notes, "contracts_landed": landed_rows}
         row = self.spark.createDataFrame([(step.load_id, step.step, k, v) for k, v in sorted(counts.items())],

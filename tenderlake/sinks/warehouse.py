@@ -15,6 +15,11 @@ version as it was.  An append adds a folder to the list.  An upsert reads and
 rewrites only the buckets its batch falls into and carries all other folders
 over by reference.
 
+A table of which each batch touches most buckets can take its batches as they
+come (``stage_pending``): the rows of such a batch are written once, without a
+shuffle, and merged with the others of their key by whoever reads the table,
+and for good by ``settle``, in one shuffle for any number of batches.
+
 No update is lost to another writer: staged rows remember the version they were
 staged from, and ``publish`` writes exactly the next one.  If the table has
 moved on meanwhile, an append goes onto the newer version, an upsert too when
@@ -29,6 +34,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from importlib import import_module
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
@@ -49,6 +55,15 @@ BUCKETS = 16
 #: average, so that a batch costs by the buckets it falls into, however large the table.
 BUCKET_BYTES = 1 << 30
 
+#: Column of the shares that ``settle`` deals to tasks, several of each bucket.
+SHARE = "_share"
+
+#: Batches that a table keeps for its readers to merge before one settles them: at least so many,
+#: if they hold as many bytes as the rest (so all rewrites add up to a few times the table) ...
+PENDING = 8
+#: ... and never more than so many.
+MOST_PENDING = 128
+
 #: Of data files: hashed keys, which snappy leaves as they are, take about half the space.
 COMPRESSION = "zstd"
 
@@ -74,6 +89,10 @@ class Staged:
 
     ``base``: the version (0: none) and its parts that the rows were staged
     from; ``touched``: the buckets whose parts they replace (None: all).
+
+    ``pending``: folders of batches that are not merged yet.  ``merge`` names
+    (module:function) what chooses among the rows of a key.  ``key_sql``: the
+    key as an expression of the other columns; such batches don't store it.
     """
     layer: str
     table: str
@@ -85,6 +104,10 @@ class Staged:
     base_parts: list[list] = field(default_factory=list)
     touched: set[int | None] | None = None
     result: UpsertResult = field(default_factory=lambda: UpsertResult(-1, -1, 0))
+    pending: list[str] = field(default_factory=list)
+    base_pending: list[str] = field(default_factory=list)
+    merge: str | None = None
+    key_sql: str | None = None
 
 
 def bucket_of(key: str, buckets: int) -> Column:
@@ -92,6 +115,15 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.when(k.isNull(), NULL_BUCKET).otherwise(F.pmod(F.xxhash64(k), F.lit(buckets))).cast("int")
 
 
+def _keyless(parts: list[list]) -> list[list]:
+    return [p for p in parts if p[0] == NULL_BUCKET]
+
+
+def _function(name: str) -> Callable[..., DataFrame]:
+    module, function = name.split(":")
+    return getattr(import_module(module), function)
+
+
 def upsert_frame(target: DataFrame, batch: DataFrame, key: str, distinct: bool = True) -> DataFrame:
     """Target rows whose key is not in the batch, plus the distinct batch rows.
 
@@ -143,7 +175,8 @@ class Warehouse:
         finally:
             stream.close()
         m = json.loads(text)
-        return Staged(layer, table, StructType.fromJson(m["schema"]), m["key"], m["buckets"], m["parts"])
+        return Staged(layer, table, StructType.fromJson(m["schema"]), m["key"], m["buckets"], m["parts"],
+                      pending=m.get("pending", []), merge=m.get("merge"), key_sql=m.get("key_sql"))
 
     def rebased(self, staged: Staged) -> Staged:
         """``staged`` on top of the table's current version; raises :class:`StaleWrite` if it doesn't fit there."""
@@ -154,7 +187,9 @@ class Warehouse:
         if staged.touched is None:
             raise StaleWrite(f"{name} is at version {v}, the new content was staged from version {staged.base}")
         now = self._manifest(staged.layer, staged.table, v)
-        if (now.schema, now.key, now.buckets) != (staged.schema, staged.key, staged.buckets):
+        fresh = [p for p in staged.parts if p not in staged.base_parts]
+        in_buckets = staged.touched or fresh  # a pending batch is in none, however many there are by now
+        if (now.schema, now.key) != (staged.schema, staged.key) or in_buckets and now.buckets != staged.buckets:
             raise StaleWrite(f"{name} has another layout since version {staged.base}")
 
         def of_touched(parts: list[list]) -> list[list]:
@@ -162,16 +197,17 @@ class Warehouse:
 
         if of_touched(now.parts) != of_touched(staged.base_parts):
             raise StaleWrite(f"{name}: another writer changed the same buckets since version {staged.base}")
-        fresh = [p for p in staged.parts if p not in staged.base_parts]
         kept = [p for p in now.parts if p[0] not in staged.touched]
-        return replace(staged, base=v, base_parts=now.parts, parts=kept + fresh)
+        pending = now.pending + [p for p in staged.pending if p not in staged.base_pending]
+        return replace(staged, base=v, base_parts=now.parts, parts=kept + fresh, buckets=now.buckets, pending=pending,
+                       base_pending=now.pending, merge=staged.merge or now.merge, key_sql=staged.key_sql or now.key_sql)
 
     def publish(self, staged: Staged) -> int:
         """Make staged rows the table's next version, on top of whatever other writers published meanwhile."""
         for attempt in range(ATTEMPTS):
             at = self.rebased(staged)
             text = json.dumps({"schema": at.schema.jsonValue(), "key": at.key, "buckets": at.buckets,
-                               "parts": at.parts})
+                               "parts": at.parts, "pending": at.pending, "merge": at.merge, "key_sql": at.key_sql})
             fs, p = hadoop_path(self.spark, f"{self.location(at.layer, at.table)}/versions/{at.base + 1:06d}")
             try:
                 out = fs.create(p, False)
@@ -208,7 +244,20 @@ class Warehouse:
 
     def preview(self, staged: Staged) -> DataFrame:
         """What the table will hold once ``staged`` is published."""
-        return self._rows(staged.layer, staged.table, staged.schema, staged.parts)
+        if not staged.pending:
+            return self._rows(staged.layer, staged.table, staged.schema, staged.parts)
+        merged = _function(staged.merge)(self._unmerged(staged)).select(*staged.schema.fieldNames())
+        keyless = _keyless(staged.parts)
+        return (merged.unionByName(self._rows(staged.layer, staged.table, staged.schema, keyless)) if keyless else merged)
+
+    def _unmerged(self, staged: Staged) -> DataFrame:
+        """Rows with a key: the merged ones and those of pending batches together."""
+        base = f"{self.location(staged.layer, staged.table)}/data"
+        late = self.spark.read.schema(staged.schema).parquet(*[f"{base}/{folder}" for folder in staged.pending])
+        if staged.key_sql:
+            late = late.withColumn(staged.key, F.expr(staged.key_sql))
+        parts = [p for p in staged.parts if p not in _keyless(staged.parts)]
+        return self._rows(staged.layer, staged.table, staged.schema, parts).unionByName(late) if parts else late
 
     def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
         """SRC-9: the current version of a table (empty with ``schema`` if none)."""
@@ -220,16 +269,17 @@ class Warehouse:
         return self.preview(self._manifest(layer, table, v))
 
     # -- write ---------------------------------------------------------------
-    def _write(self, df: DataFrame, layer: str, table: str, key: str | None, buckets: int) -> list[list]:
-        """Write rows to a new folder; its parts."""
+    def _write(self, df: DataFrame, layer: str, table: str, key: str | None, buckets: int,
+               dealt: bool = False) -> list[list]:
+        """Write rows to a new folder; its parts.  ``dealt``: tasks hold rows of few buckets each already."""
         new = uuid.uuid4().hex
         path = f"{self.location(layer, table)}/data/{new}"
         if key is None:
             df.write.mode("errorifexists").parquet(path, compression=COMPRESSION)
             return [[None, new]]
         # rebalancing by bucket gives few files per bucket and splits a bucket that is large
-        (df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET)
-         .write.mode("errorifexists").partitionBy(BUCKET).parquet(path, compression=COMPRESSION))
+        rows = df.withColumn(BUCKET, bucket_of(key, buckets))
+        ((rows if dealt else rows.hint("rebalance", BUCKET)).write.mode("errorifexists").partitionBy(BUCKET).parquet(path, compression=COMPRESSION))
         folders = [n for n in self._names(path) if n.startswith(f"{BUCKET}=")]
         return [[int(n.split("=")[1]), f"{new}/{n}"] for n in folders]
 
@@ -250,10 +300,12 @@ class Warehouse:
 
     def rebucket(self, layer: str, table: str, buckets: int) -> int:
         """Spread a table that grew by appends over more buckets (upserts split buckets by themselves)."""
+        self.settle(layer, table)
         _, old = self._base(layer, table)
         return self.publish(self.stage(self.preview(old), layer, table, old.key, buckets))
 
     def stage_append(self, df: DataFrame, layer: str, table: str) -> Staged:
+        self.settle(layer, table)
         v, old = self._base(layer, table)
         if old is None:
             return self.stage(df, layer, table)
@@ -282,6 +334,7 @@ class Warehouse:
         twice as many (or four, eight ... times), which adds up to a few
         rewrites of its final size at most.
         """
+        self.settle(layer, table)
         v, old = self._base(layer, table)
         if old is None or not old.parts:
             return self._first_upsert(batch, layer, table, key, distinct, batch.schema if old is None else old.schema, v)
@@ -313,12 +366,70 @@ class Warehouse:
         finally:
             drop_scratch(self.spark, path)
 
-    def _split(self, layer: str, table: str, parts: list[list], buckets: int) -> int:
-        """How many buckets (a power of two) to make of each, by the average size of ``buckets`` ones with these parts."""
+    def stage_pending(self, batch: DataFrame, layer: str, table: str, key: str,
+                      merge: Callable[..., DataFrame], key_sql: str | None = None) -> Staged:
+        """SNK-2 for batches that fall into most buckets: write the rows as they come, to be merged by readers.
+
+        ``merge`` (a module's function) decides between the rows of a key as in ``stage_upsert``; given the name of
+        a column that follows from the key, it chooses within the groups of that column.  The rows are not counted, and a NULL key is
+        left out.  Now and then (``PENDING``) the batches so far are settled first.
+        """
+        v, old = self._base(layer, table)
+        name = f"{merge.__module__}:{merge.__qualname__}"
+        if old is not None and (self._many_pending(old) or old.pending
+                                and (old.key, old.merge, old.key_sql) != (key, name, key_sql)):
+            self.settle(layer, table)
+            v, old = self._base(layer, table)
+        if old is not None and old.key != key:
+            self._retried(lambda: self._stage_rekeyed(layer, table, key))
+            v, old = self._base(layer, table)
+        now = old or Staged(layer, table, batch.schema, key, self.buckets, [])
+        new = uuid.uuid4().hex
+        rows = (batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in now.schema.fields])
+                .where(F.col(key).isNotNull()))
+        (rows.drop(key) if key_sql else rows).write.mode("errorifexists").parquet(
+            f"{self.location(layer, table)}/data/{new}", compression=COMPRESSION)
+        return Staged(layer, table, now.schema, key, now.buckets, now.parts, v, now.parts, set(),
+                      pending=now.pending + [new], base_pending=now.pending, merge=name, key_sql=key_sql)
+
+    def _stage_rekeyed(self, layer: str, table: str, key: str) -> Staged:
+        v, old = self._base(layer, table)
+        return replace(self.stage(self.preview(old), layer, table, key), base=v)
+
+    def _many_pending(self, old: Staged) -> bool:
+        if len(old.pending) < PENDING:
+            return False
+        return (len(old.pending) >= MOST_PENDING or self._bytes(old.layer, old.table, old.pending)
+                >= self._bytes(old.layer, old.table, [folder for _, folder in old.parts]))
+
+    def settle(self, layer: str, table: str) -> int | None:
+        """Merge the pending batches of a table, if any, into its buckets; the new version."""
+        v, old = self._base(layer, table)
+        if old is None or not old.pending:
+            return None
+        return self._retried(lambda: self._stage_settled(layer, table)).result.version
+
+    def _stage_settled(self, layer: str, table: str) -> Staged:
+        v, old = self._base(layer, table)
+        folders = old.parts + [[None, f] for f in old.pending]
+        buckets = old.buckets * self._split(layer, table, folders, old.buckets)
+        # a share is a part of one bucket: rows of a key meet in one shuffle, and a task writes to a few buckets only
+        shares = buckets * -(-4 * int(self.spark.conf.get("spark.sql.shuffle.partitions")) // buckets)
+        rows = self._unmerged(old).withColumn(SHARE, bucket_of(old.key, shares))
+        merged = _function(old.merge)(rows.repartition(SHARE), SHARE).select(*old.schema.fieldNames())
+        parts = _keyless(old.parts) + self._write(merged, layer, table, old.key, buckets, dealt=True)
+        return Staged(layer, table, old.schema, old.key, buckets, parts, v, old.parts)
+
+    def _bytes(self, layer: str, table: str, folders: list[str]) -> int:
         size = 0
-        for _, folder in parts:
+        for folder in folders:
             fs, p = hadoop_path(self.spark, f"{self.location(layer, table)}/data/{folder}")
             size += fs.getContentSummary(p).getLength()
+        return size
+
+    def _split(self, layer: str, table: str, parts: list[list], buckets: int) -> int:
+        """How many buckets (a power of two) to make of each, by the average size of ``buckets`` ones with these parts."""
+        size = self._bytes(layer, table, [folder for _, folder in parts])
         times = 1
         while size > times * buckets * self.bucket_bytes:
             times *= 2
@@ -355,7 +466,8 @@ class Warehouse:
         for v in gone:
             fs, p = hadoop_path(self.spark, f"{base}/versions/{v:06d}")
             fs.delete(p, False)
-        used = {folder for v in kept for _, folder in self._manifest(layer, table, v).parts}
+        manifests = [self._manifest(layer, table, v) for v in kept]
+        used = {f for m in manifests for f in [folder for _, folder in m.parts] + m.pending}
         for name in self._names(f"{base}/data"):
             if not any(u == name or u.startswith(f"{name}/") for u in used):
                 fs, p = hadoop_path(self.spark, f"{base}/data/{name}")

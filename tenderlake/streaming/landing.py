@@ -3,8 +3,9 @@
 The batch job re-reads a whole landing folder; here the file source tracks
 which files were already ingested (in the checkpoint), so each run only
 parses new documents.  A micro-batch goes through the batch load itself
-(:meth:`Pipeline.load_contract_rows`): it is merged with what the tables hold,
-the newest publication of each contract stays, and rows without a key, values
+(:meth:`Pipeline.load_contract_rows`), but is written as it comes: who reads a
+table merges it with the rest (:meth:`Pipeline.settle_contracts` does for
+good).  The newest publication of each contract stays, and rows without a key, values
 that don't fit their type and the counts of both are kept under the batch's
 id.  So the tables don't depend on how files fall into batches, in which order
 they arrive, or which of them a batch load brought.  ``foreachBatch`` is

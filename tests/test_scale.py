@@ -61,6 +61,13 @@ def test_contracts_and_awards_meet_in_one_shuffle(spark, tmp_dir):
     assert landed == {r["decp_uid"]: r["count"] for r in awards.groupBy("decp_uid").count().collect()}
 
 
+def test_award_fixture_shuffles_numbers_once(spark, tmp_dir):
+    _tables(spark, tmp_dir)
+    plan = _plan(landing.fixture(spark, tmp_dir, "fx_titulaires"))
+    assert plan.count("Exchange hashpartitioning") == 2  # one for each half of the UNION ALL, the same, so run once
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 2
+
+
 def test_awards_are_chosen_once_and_hashed_after_the_shuffle(spark, tmp_dir, monkeypatch):
     awards = spark.createDataFrame([("u", "1", "short", "SIRET"), ("u", "1", "longer", "SIRET"), (None, "u", None, None)],
                                    schemas.STAGING_TITULAIRES.simpleString()[len("struct<"):-1])
