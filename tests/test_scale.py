@@ -10,7 +10,7 @@ import pytest
 
 from tenderlake import schemas
 from tenderlake.operators import contracts
-from tenderlake.plans import catalog, landing
+from tenderlake.plans import catalog, fixtures, landing
 from tenderlake.sources import read_contracts
 
 import __spark_entry__ as E
@@ -68,6 +68,27 @@ def test_award_fixture_shuffles_numbers_once(spark, tmp_dir):
     assert plan.count("Exchange hashpartitioning(l_orderkey") == 2
 
 
+def test_awards_of_companies_whose_number_is_no_int(spark, tmp_dir):
+    keys = (3, 208041, 208042, 359999, None)
+    lines = [(k, s) for k in [*range(1, 30), None] for s in keys]
+    con = duckdb.connect()
+    for name, rows, schema in (
+            ("supplier", [(s, s and f"Supplier#{s}") for s in keys] + [(359999, None)], "s_suppkey long, s_name string"),
+            ("lineitem", lines + lines, "l_orderkey long, l_suppkey long")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_dir}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_dir}/{name}.parquet/*.parquet')")
+    text = fixtures.duckdb_sql("fx_titulaires")
+    want = con.sql(text.replace("CAST(sn AS INT)", "CAST(sn AS BIGINT)")).fetchall()
+    got = fixtures.fixture(spark, tmp_dir, "fx_titulaires")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    ids = {r["titulaire_id"] for r in got.collect()}
+    numbers = [500000000 + s * 7919 for s in (208041, 208042)]
+    assert numbers[0] < 2**31 <= numbers[1]
+    assert {f"FR{(12 + 3 * (n % 97)) % 97:02d}{n}" for n in numbers} <= ids
+    assert E.queries()["award_uid"](spark, tmp_dir).count() == len(want)
+    assert "500023757" in {r["siren"] for r in E.queries()["siren_used"](spark, tmp_dir).collect()}
+
+
 def test_awards_are_chosen_once_and_hashed_after_the_shuffle(spark, tmp_dir, monkeypatch):
     awards = spark.createDataFrame([("u", "1", "short", "SIRET"), ("u", "1", "longer", "SIRET"), (None, "u", None, None)],
                                    schemas.STAGING_TITULAIRES.simpleString()[len("struct<"):-1])
