@@ -38,6 +38,8 @@ SHINGLE = 4
 MAX_DISTANCE = 4
 SEED = 42
 BUCKET = 4096
+#: Fingerprints of crowded keys that one task expands into points (2,081 each, some 50 MB).
+EXPANDED = 1024
 
 #: Seconds per row filed under a key and per pair compared: the weights of the dynamic program.
 ROW_COST, PAIR_COST = 2e-6, 5e-9
@@ -252,16 +254,16 @@ def links(points: DataFrame, max_distance: int = MAX_DISTANCE, bucket: int = BUC
     n, both = bit_moments(points)
     keyed = filed(points, allocation(n, both, max_distance))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n"))
-    big = cut(sizes.where(F.col("n") > bucket).select("key"))
+    big = cut(sizes.where(F.col("n") > bucket))
     small = keyed
-    crowded = not big.isEmpty()
+    crowded = big.agg(F.sum("n")).first()[0]
     if crowded:
         small = keyed.join(big, "key", "left_anti")
     edges = map_arrow(small.repartition("key").sortWithinPartitions("key"), _links_in_runs(max_distance),
                       "src long, dst long")
     if crowded:
-        edges = edges.unionByName(_links_by_midpoint(keyed.join(big, "key", "left_semi").select("fp").distinct(),
-                                                     max_distance))
+        crowd = keyed.join(big, "key", "left_semi").select("fp").repartition(-(-crowded // EXPANDED), "fp").distinct()
+        edges = edges.unionByName(_links_by_midpoint(crowd, max_distance))
     return edges.distinct()
 
 
@@ -269,8 +271,10 @@ def _links_by_midpoint(points: DataFrame, max_distance: int) -> DataFrame:
     """Exact links for crowded keys, for an even ``max_distance``.
 
     Two fingerprints are linked exactly when some 64-bit point lies within
-    half the distance of both, so everything that emits a point is joined to
-    the smallest fingerprint that emits it.
+    half the distance of both, so everything that emits a point is linked to
+    the smallest fingerprint that emits it.  No join: Spark takes the emitted
+    points to be as few as ``points`` and would broadcast them.  A point is
+    emitted by 2,081 fingerprints at most (distance 4), so no window grows.
     """
     if max_distance % 2:
         raise ValueError("crowded keys need an even maximum distance")
@@ -286,9 +290,8 @@ def _links_by_midpoint(points: DataFrame, max_distance: int) -> DataFrame:
                      pa.array(np.repeat(fp, len(flips)).view(np.int64))], names=["mid", "fp"])
 
     mids = map_arrow(points, run, "mid long, fp long")
-    centre = mids.groupBy("mid").agg(F.min("fp").alias("src"), F.count("*").alias("n")).where(F.col("n") > 1)
-    return (mids.join(centre, "mid").where(F.col("fp") != F.col("src"))
-            .select("src", F.col("fp").alias("dst")).distinct())
+    src = F.min("fp").over(Window.partitionBy("mid"))
+    return mids.select(src.alias("src"), F.col("fp").alias("dst")).where(F.col("src") != F.col("dst")).distinct()
 
 
 def near_groups(fps: DataFrame, max_distance: int = MAX_DISTANCE, bucket: int = BUCKET) -> DataFrame:

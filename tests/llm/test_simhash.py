@@ -95,6 +95,15 @@ def test_links_are_complete_for_random_neighbours(spark):
         assert union_find(points, edges) == want
 
 
+def test_points_of_crowded_keys_are_emitted_once_and_never_broadcast(spark):
+    df = spark.createDataFrame([(i << 7 * (i % 8),) for i in range(200)], "fp long").distinct()
+    edges = simhash._links_by_midpoint(df, 4)
+    plan = edges._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("MapInArrow") == 1
+    edges.collect()
+    assert "Broadcast" not in edges._jdf.queryExecution().executedPlan().toString()
+
+
 def test_keep_one(spark):
     docs = texts()
     df = rows(spark, docs)
